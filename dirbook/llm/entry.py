@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dirbook.llm.bpe import token_digests
+from dirbook.llm.exact import exact_groups
 from dirbook.llm.packing import pack
+from dirbook.llm.quality import quality_report
+from dirbook.llm.suffix_array import remove_repeats
+from dirbook.llm.warc import round_trip
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +20,64 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def op3_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
+def op4_salvage_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(pages(spark, sf_dir))
+
+
 def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir))
 
 
+def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(documents(spark, sf_dir)).drop("rid")
+
+
+def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(documents(spark, sf_dir))
+
+
 def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op5_forced_boundary_bpe, op10_shortest_pack_first)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP4 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(((CAST('0x' || substr(hex, CAST((i // 4) * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM g
+"""
+
+OP8 = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+  sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+OP9 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d),
+k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM t),
+r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM k WHERE n >= 2) GROUP BY doc_id),
+f AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+  FROM d LEFT JOIN r ON d.doc_id = r.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines) AS kept
+FROM f
+"""
+
+ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op8_block_naming": OP8, "op9_quality_cascade": OP9}
