@@ -159,7 +159,8 @@ def candidates(table: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
     Counts are combined before they are shuffled, and runs find theirs by an equi-join that adaptive execution can split.
     """
     anchors = table.groupBy("m").agg(F.count("*").alias("c"), F.min("sh").alias("low"), F.max("sh").alias("high"), F.max("again").alias("twice")).where("c > 1 or twice")
-    found = scratch.table(table.join(anchors.select("m", (F.expr("low = high and not twice")).alias("one")), "m"), "candidates")
+    anchors = scratch.table(anchors.select("m", F.expr("low = high and not twice").alias("one")), "anchors")
+    found = scratch.table(table.join(anchors, "m"), "candidates")
     contents = found.where("not one").groupBy("m", "sh").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start", "n")).alias("rep"))
     contents = scratch.table(contents, "contents")
     copied = found.where("not one").join(contents.where("c > 1").select("m", "sh"), ["m", "sh"])

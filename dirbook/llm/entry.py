@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dirbook.llm.bpe import token_digests
 from dirbook.llm.exact import exact_groups
+from dirbook.llm.ngram_join import components
 from dirbook.llm.packing import pack
 from dirbook.llm.quality import quality_report
+from dirbook.llm.substring import remove_repeats as remove_repeated_words
 from dirbook.llm.suffix_array import remove_repeats
 from dirbook.llm.warc import round_trip
 
@@ -32,6 +34,14 @@ def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(documents(spark, sf_dir))
 
 
+def op6_combination_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+def op7_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(documents(spark, sf_dir))
+
+
 def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir)).drop("rid")
 
@@ -44,7 +54,7 @@ def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
+QUERIES = {f.__name__: f for f in (op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -80,4 +90,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM f
 """
 
-ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op8_block_naming": OP8, "op9_quality_cascade": OP9}
+OP6 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) END) AS t FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM b JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
+OP7 = rf"""
+WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),
+k AS (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(w[i : i + 34], ' ')) AS n FROM t),
+g AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM k WHERE n > 1) GROUP BY doc_id),
+o AS (SELECT d.doc_id, w, list_filter(range(1, len(w) + 1), lambda i: gone IS NULL OR NOT list_contains(gone, i)) AS kept FROM d LEFT JOIN g ON g.doc_id = d.doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_transform(kept, lambda i: w[i]), ' ')) AS kept_sha256
+FROM o
+"""
+
+ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op6_combination_prefixes": OP6, "op7_seed_and_extend": OP7, "op8_block_naming": OP8, "op9_quality_cascade": OP9}
