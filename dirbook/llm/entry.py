@@ -11,6 +11,7 @@ from dirbook.llm.packing import pack
 from dirbook.llm.quality import quality_report
 from dirbook.llm.substring import remove_repeats as remove_repeated_words
 from dirbook.llm.suffix_array import remove_repeats
+from dirbook.llm.suffix_tree_lm import score
 from dirbook.llm.warc import round_trip
 
 
@@ -22,6 +23,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(documents(spark, sf_dir))
+
+
 def op3_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
 
@@ -54,7 +59,7 @@ def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
+QUERIES = {f.__name__: f for f in (op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
