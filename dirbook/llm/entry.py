@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dirbook.llm.bpe import token_digests
 from dirbook.llm.exact import exact_groups
+from dirbook.llm.html_templates import main_text
 from dirbook.llm.ngram_join import components
 from dirbook.llm.packing import pack
 from dirbook.llm.quality import quality_report
@@ -23,6 +24,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def op1_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(pages(spark, sf_dir))
+
+
 def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(documents(spark, sf_dir))
 
@@ -59,7 +64,7 @@ def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
+QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 

@@ -185,7 +185,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratc
     return rows.join(by_row(ranges, "start", "n"), "rid", "left").select("doc_id", "text", "runs").mapInArrow(run, REMOVED)
 
 
-def cut_later_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch: Scratch | None = None) -> DataFrame:
+def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch: Scratch | None = None) -> DataFrame:
     """docs with repeated windows cut from their texts; n_chars, where there is one, follows. All columns and rows stay.
 
     Texts that lose nothing are left as they are; others become their remaining words, a space between them.

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 from hashlib import sha256
 
-from dirbook.llm.substring import cut_later_repeats, remove_repeats
+from dirbook.llm.substring import cut_repeats, remove_repeats
 
 
 def brute(texts, width):
@@ -21,7 +21,7 @@ def check(spark, texts, width, gram):
     want = brute([t or "" for t in texts], width)
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in remove_repeats(df, width, gram).collect()}
     assert got == {i: w[:3] for i, w in enumerate(want)}
-    cut = {r["doc_id"]: r for r in cut_later_repeats(df, width, gram).collect()}
+    cut = {r["doc_id"]: r for r in cut_repeats(df, width, gram).collect()}
     for i, (t, w) in enumerate(zip(texts, want)):
         assert cut[i]["text"] == (w[3] if w[1] else t)
         assert cut[i]["n_chars"] == (None if t is None else len(cut[i]["text"]))
@@ -42,4 +42,4 @@ def test_equals_brute_force(spark, odd, empty):
     check(spark, texts, 12, 4)
     check(spark, texts, 9, 8)
     check(spark, [r["text"] for r in odd.collect()], 35, 8)
-    assert remove_repeats(empty).count() == 0 and cut_later_repeats(empty.withColumn("n_chars", empty["rid"])).count() == 0
+    assert remove_repeats(empty).count() == 0 and cut_repeats(empty.withColumn("n_chars", empty["rid"])).count() == 0
