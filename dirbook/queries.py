@@ -1,4 +1,510 @@
-"""Registered queries of the directory engine and their SQL oracles."""
+"""Registered queries of the directory engine over the driver's tables, each with the SQL that checks it."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dirbook import dictionary as D
+from dirbook.functions import address as A
+from dirbook.functions import arrays as R
+from dirbook.functions import phone as P
+from dirbook.functions import text as T
+from dirbook.functions.jsons import extract_object
+from dirbook.operators import export as X
+from dirbook.operators import harvest as H
+from dirbook.operators import layout as L
+from dirbook.operators import publish as B
+from dirbook.operators import repair as Q
+from dirbook.operators import segments as S
+from dirbook.operators import windows as W
+from dirbook.views import load, with_views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = with_views(sql)
+        return f
+
+    return put
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else "'" + str(x) + "'" for x in row) + ")" for row in rows)
+
+
+# -- publish ------------------------------------------------------------------------------------------------------
+
+_PUBLISHED = """
+SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(phone_raw, 'ー', '-'), '\\s+', '', 'g'), '-+', '-', 'g'), '^-|-$', '', 'g'), '(代表|代)$', '') AS phone, name, row_idx FROM v_phone_raw
+"""
+
+
+@query(f"""WITH p AS ({_PUBLISHED}) SELECT phone, name, min(row_idx) AS row_idx FROM p
+WHERE regexp_full_match(phone, '06-[0-9]{{3}}-[0-9]{{4}}') GROUP BY phone, name
+ORDER BY CAST(split_part(phone, '-', 2) AS INT), CAST(split_part(phone, '-', 3) AS INT), row_idx""")
+def publish_dedupe_sort(spark, sf_dir):
+    rows = load(spark, sf_dir, "v_phone_raw").withColumnRenamed("phone_raw", "phone")
+    return B.publish(rows, ("phone", "name"))
+
+
+@query(f"""WITH p AS ({_PUBLISHED}), v AS (SELECT *, regexp_full_match(phone, '06-[0-9]{{3}}-[0-9]{{4}}') AS ok FROM p)
+SELECT count(*) AS total, count(*) FILTER (NOT ok) AS invalid, count(*) FILTER (ok) - count(DISTINCT (phone, name)) FILTER (ok) AS duplicates,
+count(DISTINCT (phone, name)) FILTER (ok) AS published FROM v""")
+def publish_skip_counts(spark, sf_dir):
+    rows = load(spark, sf_dir, "v_phone_raw").withColumnRenamed("phone_raw", "phone")
+    return B.skip_counts(rows, ("phone", "name"))
+
+
+@query("""WITH a AS (SELECT row_idx, translate(phone_raw, '()', '--') AS p FROM v_phone_raw),
+b AS (SELECT row_idx, regexp_replace(regexp_replace(regexp_replace(p, '-+', '-', 'g'), '^-|-$', '', 'g'), '(代表|代)$', '') AS p FROM a),
+c AS (SELECT row_idx, p, CASE WHEN p LIKE '※%' THEN substr(p, 2) ELSE p END AS q FROM b)
+SELECT row_idx, CASE WHEN p = '' THEN '' WHEN q LIKE '0%' THEN q ELSE '06-' || q END AS phone FROM c""")
+def phone_normalize(spark, sf_dir):
+    return load(spark, sf_dir, "v_phone_raw").select("row_idx", P.export_number(F.col("phone_raw")).alias("phone"))
+
+
+@query("SELECT doc_id, regexp_extract(coalesce(text, ''), '" + P.PATTERN + "', 0) AS phone FROM documents")
+def phone_extract(spark, sf_dir):
+    return load(spark, sf_dir, "documents").select("doc_id", P.first_number(F.coalesce("text", F.lit(""))).alias("phone"))
+
+
+@query("""WITH s AS (SELECT row_idx, unnest(string_split(phones_text, '、')) AS p, generate_subscripts(string_split(phones_text, '、'), 1) AS i FROM v_entry),
+f AS (SELECT row_idx, '06-' || p AS p, min(i) AS i FROM s GROUP BY row_idx, p)
+SELECT row_idx, string_agg(p, '/' ORDER BY i) AS phones, count(*) AS n FROM f GROUP BY row_idx""")
+def phone_candidates(spark, sf_dir):
+    found = P.number_candidates(F.array("phones_text"), F.lit(""))
+    return load(spark, sf_dir, "v_entry").select("row_idx", F.array_join(found, "/").alias("phones"), F.size(found).cast("long").alias("n"))
+
+
+# -- addresses ----------------------------------------------------------------------------------------------------
+
+_DICT = "d(valid_from, prefix, kind, prefecture, municipality, precedence) AS (VALUES " + _values((v, e.prefix, e.kind, e.prefecture, e.municipality, e.precedence) for v in (D.EARLY, D.LATE) for e in D.entries(v)) + ")"
+_HEADS = "h(valid_from, prefix) AS (VALUES " + _values((v, p) for v in (D.EARLY, D.LATE) for p in D.starts(v)) + ")"
+_TOWNS = "t(valid_from, district, name, town) AS (VALUES " + _values((v, x, n, t) for v in (D.EARLY, D.LATE) for n, t in D.profile(v).towns.items() for x, y in D.district_names().items() if t.startswith(y)) + ")"
+_ADDRESS = "a AS (SELECT row_idx, address, as_of, CASE WHEN as_of >= '1968-03-01' THEN '1968-03-01' ELSE '1963-02-01' END AS v FROM v_address)"
+
+
+@query(f"""WITH {_HEADS}, {_ADDRESS}
+SELECT row_idx, coalesce(arg_max(h.prefix, length(h.prefix)), '') AS prefix FROM a LEFT JOIN h ON h.valid_from = a.v AND starts_with(address, h.prefix) AND address <> h.prefix GROUP BY row_idx""")
+def address_longest_prefix(spark, sf_dir):
+    text = A.tidy_address(F.col("address"))
+    late = A.valid_from(F.col("as_of")) == D.LATE
+    return load(spark, sf_dir, "v_address").select("row_idx", F.when(late, A.longest_prefix(text, D.LATE)).otherwise(A.longest_prefix(text, D.EARLY)).alias("prefix"))
+
+
+@query(f"""WITH {_DICT}, {_HEADS}, {_TOWNS}, {_ADDRESS},
+s AS (SELECT row_idx, v, address, 1 AS k, split_part(address, ',', 1) AS p, substr(address, instr(address, ',') + 1) AS rest FROM a WHERE instr(address, ',') > 1
+  UNION ALL SELECT row_idx, v, any_value(address), 2, arg_max(h.prefix, length(h.prefix)), substr(any_value(address), max(length(h.prefix)) + 1) FROM a JOIN h ON h.valid_from = a.v AND starts_with(address, h.prefix) AND address <> h.prefix GROUP BY row_idx, v),
+w AS (SELECT row_idx, k, p, rest, arg_max(t.town, length(t.name)) AS town, max(length(t.name)) AS n FROM s JOIN t ON t.valid_from = s.v AND t.district = s.p AND starts_with(s.rest, t.name) GROUP BY ALL),
+e AS (SELECT row_idx, k, p, rest, arg_min(d.prefecture, precedence) AS prefecture, arg_min(d.municipality, precedence) AS municipality FROM s JOIN d ON d.valid_from = s.v AND d.prefix = s.p GROUP BY ALL),
+r AS (SELECT row_idx, k, 0 AS o, '大阪府' AS prefecture, town AS municipality, trim(substr(rest, n + 1), ',') AS rest FROM w
+  UNION ALL SELECT row_idx, k, 1, prefecture, municipality, coalesce((SELECT trim(substr(e.rest, length(c) + 1), ',') FROM (SELECT unnest([p, regexp_replace(regexp_replace(p, '^.*郡', ''), '[市町村区]$', ''), regexp_replace(regexp_replace(municipality, '^.*郡', ''), '[市町村区]$', '')]) AS c) q WHERE length(c) > 1 AND starts_with(e.rest, c) ORDER BY length(c) DESC LIMIT 1), e.rest) FROM e),
+b AS (SELECT row_idx, arg_min(prefecture, k * 2 + o) AS prefecture, arg_min(municipality, k * 2 + o) AS municipality, arg_min(rest, k * 2 + o) AS rest FROM r GROUP BY row_idx),
+f AS (SELECT a.row_idx, coalesce(b.prefecture, '大阪府') AS prefecture, coalesce(b.municipality, '大阪市') AS municipality, coalesce(b.rest, a.address) AS rest FROM a LEFT JOIN b ON b.row_idx = a.row_idx)
+SELECT row_idx, prefecture, municipality, trim(regexp_replace(rest, '[0-9]+(-[0-9]+)*$', '')) AS area, regexp_extract(rest, '[0-9]+(-[0-9]+)*$', 0) AS lot FROM f""")
+def address_split(spark, sf_dir):
+    return A.split_address(load(spark, sf_dir, "v_address"), "address", "as_of").select("row_idx", "prefecture", "municipality", "area", "lot")
+
+
+@query("SELECT row_idx, regexp_extract(address, '([0-9]+(?:-[0-9]+)*)$', 1) AS lot FROM v_address")
+def lot_split(spark, sf_dir):
+    return load(spark, sf_dir, "v_address").select("row_idx", A.lot_number(F.col("address")).alias("lot"))
+
+
+@query("SELECT o_orderkey, CASE WHEN strftime(o_orderdate, '%Y-%m-%d') >= '1968-03-01' THEN '1968-03-01' ELSE '1963-02-01' END AS valid_from FROM orders")
+def address_profile_asof(spark, sf_dir):
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return load(spark, sf_dir, "orders").select("o_orderkey", A.valid_from(day).alias("valid_from"))
+
+
+_BOOK = "'^(昭和)([0-9]+)年([0-9]+)月([0-9]+)日(.+)$'"
+
+
+@query(f"""SELECT row_idx, CASE WHEN regexp_matches(book, {_BOOK}) THEN printf('%04d-%02d-%02d', 1925 + CAST(regexp_extract(book, {_BOOK}, 2) AS INT), CAST(regexp_extract(book, {_BOOK}, 3) AS INT), CAST(regexp_extract(book, {_BOOK}, 4) AS INT)) ELSE 'unknown-date' END AS as_of FROM v_bookname""")
+def era_date_parse(spark, sf_dir):
+    return load(spark, sf_dir, "v_bookname").select("row_idx", T.book_date(F.col("book")).alias("as_of"))
+
+
+@query(f"""WITH b AS (SELECT row_idx, book, regexp_matches(book, {_BOOK}) AS ok, CASE WHEN regexp_matches(book, {_BOOK}) THEN printf('%04d-%02d-%02d', 1925 + CAST(regexp_extract(book, {_BOOK}, 2) AS INT), CAST(regexp_extract(book, {_BOOK}, 3) AS INT), CAST(regexp_extract(book, {_BOOK}, 4) AS INT)) ELSE 'unknown-date' END AS d, regexp_extract(book, {_BOOK}, 5) AS r FROM v_bookname),
+k AS (SELECT *, CASE WHEN r LIKE '%50音別電話番号簿' THEN '50音別電話番号簿' WHEN r LIKE '%職業別電話番号簿' THEN '職業別電話番号簿' ELSE '電話番号簿' END AS t FROM b)
+SELECT row_idx, d || '-' || CASE WHEN ok THEN CASE WHEN r LIKE '%' || t THEN substr(r, 1, length(r) - length(t)) ELSE r END ELSE book END || '-' || t || '.csv.gz' AS file FROM k""")
+def book_filename(spark, sf_dir):
+    return load(spark, sf_dir, "v_bookname").select("row_idx", T.book_filename(F.col("book")).alias("file"))
+
+
+# -- repair -------------------------------------------------------------------------------------------------------
+
+_LOC = """l AS (SELECT prefecture || chr(9) || municipality || chr(9) || area AS id, prefecture, municipality, area, replace(area, ',', '') AS c, count(*) AS n, min(row_idx) AS seen FROM v_location WHERE area <> '' GROUP BY ALL),
+o AS (SELECT * FROM l WHERE n <= 2 OR contains(area, ','))"""
+
+
+_SEP = _LOC.replace("v_location", "v_separated")
+
+
+def _locations(spark, sf_dir, view: str = "v_location") -> tuple[DataFrame, DataFrame]:
+    counts = Q.location_counts(load(spark, sf_dir, view))
+    return counts, Q.suspicious(counts)
+
+
+@query(f"WITH {_LOC} SELECT id, prefecture, municipality, area, n AS count, seen AS first_seen FROM l")
+def location_counts(spark, sf_dir):
+    return _locations(spark, sf_dir)[0].drop("comparable")
+
+
+@query(f"WITH {_LOC} SELECT id, n AS count FROM l WHERE n <= 2")
+def rare_locations(spark, sf_dir):
+    return _locations(spark, sf_dir)[0].where("count <= 2").select("id", "count")
+
+
+@query(f"""WITH {_LOC} SELECT id, n AS count, concat_ws('/', CASE WHEN contains(area, ',') THEN 'area_contains_separator' END, CASE WHEN n <= 2 THEN 'rare_location' END) AS reasons FROM o""")
+def suspicious_reasons(spark, sf_dir):
+    return _locations(spark, sf_dir)[1].select("id", "count", F.array_join("reasons", "/").alias("reasons"))
+
+
+@query(f"""WITH {_LOC}, f AS (SELECT * FROM l WHERE n >= 8 AND c <> '')
+SELECT o.id, f.id AS candidate, min(CASE WHEN o.municipality = f.municipality THEN 0 ELSE 1 END) AS block, min(f.seen) AS seen
+FROM o JOIN f ON o.prefecture = f.prefecture AND (o.municipality = f.municipality OR substr(o.c, 1, 1) = substr(f.c, 1, 1)) GROUP BY ALL""")
+def block_candidates(spark, sf_dir):
+    counts, odd = _locations(spark, sf_dir)
+    return Q.block_pairs(odd, Q.common(counts, 8))
+
+
+@query()
+def candidate_similarity_topk(spark, sf_dir):
+    counts, odd = _locations(spark, sf_dir)
+    return Q.similar_candidates(odd, counts, min_similarity=0.5)
+
+
+@query(f"""WITH {_LOC}, p AS (SELECT o.id, f.id AS candidate, f.n AS candidate_count, row_number() OVER (PARTITION BY o.id ORDER BY f.n DESC, f.seen) AS rank
+FROM o JOIN l f ON o.prefecture = f.prefecture AND o.municipality = f.municipality AND o.id <> f.id AND f.n >= 8 AND substr(o.c, 1, 1) = substr(f.c, 1, 1))
+SELECT id, candidate, rank, candidate_count FROM p WHERE rank <= 8""")
+def fallback_candidates(spark, sf_dir):
+    counts, odd = _locations(spark, sf_dir)
+    return Q.fallback_candidates(odd, counts)
+
+
+@query(f"""WITH {_SEP}, m AS (SELECT o.id, o.c, f.id AS candidate FROM o JOIN l f ON o.prefecture = f.prefecture AND o.municipality = f.municipality AND o.id <> f.id AND f.n >= 8 AND substr(o.c, 1, 1) = substr(f.c, 1, 1) AND f.c = o.c WHERE contains(o.area, ','))
+SELECT id, 'replace' AS action, min(candidate) AS corrected_id, 0.99::DOUBLE AS confidence FROM m GROUP BY id HAVING count(*) = 1""")
+def deterministic_decisions(spark, sf_dir):
+    counts, odd = _locations(spark, sf_dir, "v_separated")
+    return Q.deterministic_decisions(odd, Q.fallback_candidates(odd, counts, top=1 << 20), counts)
+
+
+_CORRECTED = f"""{_SEP}, f AS (SELECT * FROM l WHERE n >= 8), k AS (SELECT v.id, v.corrected_id, v.decision_idx, f.prefecture, f.municipality, f.area FROM v_judged v JOIN o ON o.id = v.id JOIN f ON f.id = v.corrected_id AND f.id <> o.id
+  AND f.prefecture = o.prefecture AND f.municipality = o.municipality AND substr(f.c, 1, 1) = substr(o.c, 1, 1) WHERE v.action = 'replace' AND v.confidence >= 0.25),
+c AS (SELECT id, arg_max(prefecture, decision_idx) AS prefecture, arg_max(municipality, decision_idx) AS municipality, arg_max(area, decision_idx) AS area FROM k GROUP BY id)"""
+
+
+def _corrections(spark, sf_dir) -> DataFrame:
+    counts, odd = _locations(spark, sf_dir, "v_separated")
+    found = Q.fallback_candidates(odd, counts, top=1 << 20)
+    return Q.valid_corrections(load(spark, sf_dir, "v_judged"), odd, found, counts, min_confidence=0.25)
+
+
+@query(f"WITH {_CORRECTED} SELECT * FROM c")
+def validate_corrections(spark, sf_dir):
+    return _corrections(spark, sf_dir)
+
+
+@query(f"""WITH {_CORRECTED} SELECT row_idx, coalesce(c.prefecture, v.prefecture) AS prefecture, coalesce(c.municipality, v.municipality) AS municipality, coalesce(c.area, v.area) AS area, lot, c.id IS NOT NULL AS changed
+FROM v_separated v LEFT JOIN c ON c.id = v.prefecture || chr(9) || v.municipality || chr(9) || v.area""")
+def apply_corrections(spark, sf_dir):
+    return Q.apply_corrections(load(spark, sf_dir, "v_separated"), _corrections(spark, sf_dir))
+
+
+@query(f"""WITH {_LOC} SELECT id, action, corrected_id, confidence FROM v_decision WHERE decision_idx % 2 = 0
+UNION ALL SELECT id, 'keep', '', 0.0 FROM o WHERE id NOT IN (SELECT id FROM v_decision WHERE decision_idx % 2 = 0)""")
+def missing_decisions_fill(spark, sf_dir):
+    return Q.fill_missing(_locations(spark, sf_dir)[1], load(spark, sf_dir, "v_decision").where("decision_idx % 2 = 0"))
+
+
+@query(f"WITH {_LOC} SELECT id, n AS count FROM o WHERE id NOT IN (SELECT id FROM v_decision)")
+def remaining_items(spark, sf_dir):
+    return Q.remaining(_locations(spark, sf_dir)[1], load(spark, sf_dir, "v_decision")).select("id", "count")
+
+
+@query(f"""WITH s AS (SELECT *, row_number() OVER (PARTITION BY prefecture, municipality, area ORDER BY row_idx) AS k FROM v_location)
+SELECT prefecture || chr(9) || municipality || chr(9) || area AS id, string_agg(CAST(row_idx AS VARCHAR) || ':' || lot, ' ' ORDER BY k) AS samples FROM s WHERE k <= 5 GROUP BY ALL""")
+def location_samples(spark, sf_dir):
+    rows = load(spark, sf_dir, "v_location")
+    found = Q.samples(rows, Q.location_counts(rows))
+    return found.select("id", F.array_join(F.transform("samples", lambda s: F.concat_ws(":", s["row_idx"].cast("string"), s["lot"])), " ").alias("samples"))
+
+
+# -- ordered operators --------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_id, CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS section FROM events")
+def section_ids(spark, sf_dir):
+    return W.sections(load(spark, sf_dir, "events"), F.col("event_type") == "purchase", "user_id", ["event_id"]).select("event_id", "section")
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_type <> 'click' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS carried FROM events")
+def carry_forward(spark, sf_dir):
+    return W.carry_forward(load(spark, sf_dir, "events"), F.when(F.col("event_type") != "click", F.col("value")), ["user_id"], ["event_id"], "carried").select("event_id", "carried")
+
+
+@query("""WITH RECURSIVE s AS (SELECT *, CAST(sum(CASE WHEN entry_type <> 'directory_entry' THEN 1 ELSE 0 END) OVER (PARTITION BY book ORDER BY pos) AS BIGINT) AS section FROM v_segment),
+e AS (SELECT book, section, pos, indent_level, name, row_number() OVER (PARTITION BY book, section ORDER BY pos) AS k FROM s WHERE entry_type = 'directory_entry'),
+r AS (SELECT book, section, pos, k, name AS full_name, [CASE WHEN indent_level = 0 THEN name END, CASE WHEN indent_level = 1 THEN name END, CASE WHEN indent_level = 2 THEN name END, CASE WHEN indent_level = 3 THEN name END] AS st FROM e WHERE k = 1
+  UNION ALL
+  SELECT e.book, e.section, e.pos, e.k, x.f, list_transform([0, 1, 2, 3], lambda i: CASE WHEN i < e.indent_level THEN r.st[i + 1] WHEN i = e.indent_level THEN x.f END)
+  FROM r JOIN e ON e.book = r.book AND e.section = r.section AND e.k = r.k + 1,
+  LATERAL (SELECT CASE WHEN starts_with(e.name, p) THEN e.name ELSE p || e.name END AS f FROM (SELECT coalesce(CASE e.indent_level WHEN 1 THEN r.st[1] WHEN 2 THEN coalesce(r.st[2], r.st[1]) WHEN 3 THEN coalesce(r.st[3], r.st[2], r.st[1]) END, '') AS p)) x)
+SELECT book, section, pos, full_name AS name FROM r""")
+def indent_names(spark, sf_dir):
+    numbered = W.sections(load(spark, sf_dir, "v_segment"), F.col("entry_type") != "directory_entry", "book", ["pos"]).where("entry_type = 'directory_entry'")
+    return X.indented_names(numbered, "book", "pos", "indent_level", "name")
+
+
+@query("""WITH o AS (SELECT l_orderkey AS k, list('p' || l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS p, list_distinct(list('s' || l_suppkey)) AS s, list('a' || CAST(l_linenumber % 3 AS VARCHAR) ORDER BY l_linenumber, l_partkey, l_suppkey) AS a FROM lineitem GROUP BY l_orderkey),
+q AS (SELECT k, CASE WHEN len(p) > 4 THEN p[1:2] ELSE p END AS p, list_sort(s) AS s, CASE WHEN len(p) % 2 = 0 THEN a[1:1] ELSE a END AS a FROM o),
+e AS (SELECT k, p, s, a, unnest(range(1, greatest(len(p), len(a)) + 1)) AS i FROM q)
+SELECT k AS l_orderkey, i - 1 AS i, CASE WHEN i <= len(p) THEN p[i] WHEN len(p) = 1 THEN p[1] ELSE '' END AS phone, coalesce(s[i], s[1]) AS name, coalesce(a[i], a[len(a)]) AS address FROM e""")
+def candidate_expansion(spark, sf_dir):
+    item = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    o = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("x"))
+    text = lambda c, f: F.transform("x", lambda v: F.concat(F.lit(c), v[f].cast("string")))
+    p, s = text("p", "l_partkey"), F.array_sort(F.array_distinct(text("s", "l_suppkey")))
+    a = F.transform("x", lambda v: F.concat(F.lit("a"), (v["l_linenumber"] % 3).cast("string")))
+    n = F.size("x")
+    rows = R.expand_candidates(F.when(n > 4, F.slice(p, 1, 2)).otherwise(p), s, F.when(n % 2 == 0, F.slice(a, 1, 1)).otherwise(a))
+    return o.select("l_orderkey", F.posexplode(rows).alias("i", "r")).select("l_orderkey", F.col("i").cast("long").alias("i"), "r.*")
+
+
+_ADDRESSES = "SELECT row_idx, string_split(addresses_text, '|') AS a FROM v_entry"
+
+
+@query(f"""WITH e AS ({_ADDRESSES}), c AS (SELECT row_idx, a, replace(a[1], '-', '-') AS x, a[2] AS y FROM e)
+SELECT row_idx, CASE WHEN contains(y, x) THEN y WHEN contains(x, y) THEN x ELSE x || '|' || y END AS addresses FROM c""")
+def collapse_fragments(spark, sf_dir):
+    found = R.collapse_fragments(F.split("addresses_text", r"\|"))
+    return load(spark, sf_dir, "v_entry").select("row_idx", F.array_join(found, "|").alias("addresses"))
+
+
+@query(f"""WITH e AS ({_ADDRESSES}) SELECT row_idx, array_to_string(list_transform(a, lambda x: x || '北' || CAST(row_idx % 3 AS VARCHAR)), '|') AS addresses FROM e""")
+def continuation_merge(spark, sf_dir):
+    merged = R.merge_continuation(F.split("addresses_text", r"\|"), F.array(F.lit(" 北 "), (F.col("row_idx") % 3).cast("string")))
+    return load(spark, sf_dir, "v_entry").select("row_idx", F.array_join(merged, "|").alias("addresses"))
+
+
+_SIDES = "l AS (SELECT event_id, user_id, event_id AS place FROM events WHERE event_type <> 'view'), r AS (SELECT user_id, event_id AS place, value FROM events WHERE event_type = 'view')"
+
+
+@query(f"WITH {_SIDES} SELECT l.event_id, r.value AS label FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.place >= r.place")
+def asof_label(spark, sf_dir):
+    events = load(spark, sf_dir, "events").withColumn("at", F.col("event_id"))
+    left, right = events.where("event_type <> 'view'").select("event_id", "user_id", "at"), events.where("event_type = 'view'").select("user_id", "at", "value")
+    return W.asof_backward(left, right, "user_id", "at", "value", "label").select("event_id", "label")
+
+
+@query(f"""WITH {_SIDES}, n AS (SELECT *, lead(place) OVER (PARTITION BY user_id ORDER BY place) AS until FROM l)
+SELECT n.event_id, arg_min(r.value, r.place) AS first_view FROM n LEFT JOIN r ON r.user_id = n.user_id AND r.place >= n.place AND (n.until IS NULL OR r.place < n.until) GROUP BY n.event_id""")
+def range_first(spark, sf_dir):
+    events = load(spark, sf_dir, "events").withColumn("at", F.col("event_id"))
+    left, right = events.where("event_type <> 'view'").select("event_id", "user_id", "at"), events.where("event_type = 'view'").select("user_id", "at", "value")
+    return W.range_first(left, right, "user_id", "at", "value", "first_view").select("event_id", "first_view")
+
+
+def _directory_segments(spark, sf_dir) -> DataFrame:
+    """v_segment as segments: numbers and addresses by place, gaps included, so that all ways of the fold are taken."""
+    s = load(spark, sf_dir, "v_segment")
+    place = F.col("pos")
+    phone = F.concat((place % 900 + 100).cast("string"), F.lit("-"), F.lpad((place % 9000).cast("string"), 4, "0"))
+    address = F.concat(F.when(place % 3 == 0, "北").when(place % 3 == 1, "豊,中").otherwise("布,"), F.lit("町"), (place % 40).cast("string"))
+    keep = lambda when, c: F.when(when, F.array(c)).otherwise(F.array().cast("array<string>"))
+    return s.select(
+        F.concat(F.lit("昭和38年2月1日"), F.col("book").cast("string")).alias("book"), F.lit("0001-01").alias("file_key"), place.alias("pos"), F.col("entry_type").alias("entryType"),
+        F.lit("").alias("rawText"), F.when(place % 5 == 4, F.lit("町の")).otherwise(phone).alias("cleanText"), F.col("indent_level").alias("indentLevel"),
+        F.struct(F.lit("").alias("phone"), F.lit("").alias("name"), F.lit("").alias("address")).alias("entryHints"),
+        keep(place % 5 != 4, phone).alias("phones"), keep(~(place % 5).isin(3, 4), F.col("name")).alias("names"), keep(place % 5 != 3, address).alias("addresses"),
+    )
+
+
+@query()
+def export_fold(spark, sf_dir):
+    return X.export(_directory_segments(spark, sf_dir))
+
+
+# -- segments and harvest -----------------------------------------------------------------------------------------
+
+
+@query("""SELECT book, pos, printf('%04d-%02d-%04d', book, 1, pos) AS segment_id, CASE entry_type WHEN 'directory_entry' THEN 'directory_entry' WHEN 'ad_block' THEN 'ad_block' ELSE 'category_heading' END AS entry_type, greatest(indent_level - 1, 0) AS indent_level,
+'p' || (pos % 3) || CASE WHEN pos % 2 = 0 THEN '/q' ELSE '' END AS phones, 'p' || (pos % 3) AS phone,
+concat_ws('/', 'old', CASE WHEN pos % 4 = 0 THEN 'starts_mid_entry' END, CASE WHEN pos % 2 = 0 THEN 'multi_phone' END) AS flags FROM v_segment""")
+def segment_normalize(spark, sf_dir):
+    s = load(spark, sf_dir, "v_segment")
+    short = F.create_map(*[F.lit(x) for k, v in S.SHORT_TYPES.items() for x in (v, k)])
+    first = F.concat(F.lit("p"), (F.col("pos") % 3).cast("string"))
+    phones = F.when(F.col("pos") % 2 == 0, F.array(first, F.lit(" q "), first)).otherwise(F.array(first, F.lit("")))
+    row = F.struct(short[F.col("entry_type")].alias("t"), F.lit("x ").alias("x"), (F.col("indent_level") - 1).alias("i"), phones.alias("p"), F.array(F.lit("old")).alias("f"), (F.col("pos") % 4 == 0).alias("s"))
+    text = F.to_json(F.struct(F.array(row).alias("r")))
+    found = S.normalize_responses(s.select(F.col("book").cast("int").alias("page"), F.col("pos").cast("int").alias("column"), text.alias("text")))
+    seg = found.select("page", "column", F.col("segments")[0].alias("s"))
+    return seg.select(
+        F.col("page").cast("long").alias("book"), F.col("column").cast("long").alias("pos"), F.format_string("%04d-%02d-%04d", "page", F.lit(1), "column").alias("segment_id"), F.col("s.entryType").alias("entry_type"), F.col("s.indentLevel").alias("indent_level"),
+        F.array_join("s.phones", "/").alias("phones"), F.col("s.entryHints.phone").alias("phone"), F.array_join("s.reviewFlags", "/").alias("flags"),
+    )
+
+
+@query("""SELECT book, pos, concat_ws('/', CASE WHEN pos % 4 <> 1 THEN 'seen' ELSE 'multi_phone' END, CASE WHEN pos % 2 = 0 THEN 'starts_mid_entry' END, CASE WHEN pos % 3 = 0 THEN 'ends_mid_entry' END,
+CASE WHEN pos % 5 = 0 THEN 'continued_from_previous' END, CASE WHEN pos % 4 <> 1 AND indent_level > 1 THEN 'multi_phone' END) AS flags FROM v_segment""")
+def review_flags(spark, sf_dir):
+    p = F.col("pos")
+    phones = F.when(F.col("indent_level") > 1, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))
+    flags = R.review_flags(F.when(p % 4 != 1, F.array(F.lit("seen"))).otherwise(F.array(F.lit("multi_phone"))), p % 2 == 0, p % 3 == 0, p % 5 == 0, phones, F.array(F.lit("x")))
+    return load(spark, sf_dir, "v_segment").select("book", "pos", F.array_join(flags, "/").alias("flags"))
+
+
+def _quality(spark, sf_dir) -> DataFrame:
+    c = load(spark, sf_dir, "conversations")
+    n = F.char_length(F.coalesce("text", F.lit("")))
+    counted = S.conditions(F.when(F.col("role") == "user", "x"), (n % 100) / 100, F.split("text", " "), F.col("turn") == 1, n % 7 == 0, F.when(F.col("turn") > 2, F.array(F.lit("f"))))
+    return S.quality_rollup(c, counted, "conv_id", "turn")
+
+
+_QUALITY = """SELECT conv_id, turn, count(*) AS segments, count(*) FILTER (role IS DISTINCT FROM 'user') AS without_phone, count(*) FILTER ((length(coalesce(text, '')) % 100) / 100.0 < 0.6) AS low_confidence,
+count(*) FILTER (len(list_filter(string_split(text, ' '), lambda x: trim(x) <> '')) > 1) AS multi_phone, count(*) FILTER (turn = 1) AS mid_entry, count(*) FILTER (length(coalesce(text, '')) % 7 = 0) AS continued, count(*) FILTER (turn > 2) AS flagged,
+GROUPING(conv_id, turn) AS level FROM conversations GROUP BY ROLLUP (conv_id, turn)"""
+
+
+@query(_QUALITY)
+def ocr_quality_rollup(spark, sf_dir):
+    return _quality(spark, sf_dir)
+
+
+@query(f"""WITH q AS ({_QUALITY}) SELECT conv_id, turn, concat_ws('/', CASE WHEN without_phone * 2 > segments THEN 'many_segments_without_phone' END, CASE WHEN low_confidence > 0 THEN 'low_confidence_segments' END,
+CASE WHEN mid_entry > 0 THEN 'mid_entry_segments' END, CASE WHEN continued > 0 THEN 'continued_from_previous_segments' END) AS flags FROM q WHERE level = 0""")
+def column_flags(spark, sf_dir):
+    q = _quality(spark, sf_dir).where("level = 0")
+    return q.select("conv_id", "turn", F.array_join(S.column_flags(q), "/").alias("flags"))
+
+
+def _batch(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    key = lambda c: F.concat(F.lit("k"), F.col(c).cast("string")).alias("output_key")
+    results = load(spark, sf_dir, "lineitem").select(key("l_orderkey"), "l_linenumber", "l_partkey")
+    orders = load(spark, sf_dir, "orders")
+    return results, orders.where("o_orderkey % 5 <> 0").select(key("o_orderkey")), orders.where("o_orderkey % 7 = 0").select(key("o_orderkey"))
+
+
+_BATCH = "r AS (SELECT 'k' || l_orderkey AS output_key, l_linenumber, l_partkey FROM lineitem), q AS (SELECT 'k' || o_orderkey AS output_key FROM orders WHERE o_orderkey % 5 <> 0), x AS (SELECT 'k' || o_orderkey AS output_key FROM orders WHERE o_orderkey % 7 = 0)"
+
+
+@query(f"""WITH {_BATCH} SELECT CASE WHEN output_key NOT IN (SELECT output_key FROM q) THEN 'unmatched' WHEN output_key IN (SELECT output_key FROM x) THEN 'skipped' ELSE 'saved' END AS status, count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS parts FROM r GROUP BY 1""")
+def harvest_join(spark, sf_dir):
+    return H.harvest(*_batch(spark, sf_dir)).groupBy("status").agg(F.count("*").alias("n"), F.sum("l_partkey").alias("parts"))
+
+
+@query(f"""WITH {_BATCH}, m AS (SELECT DISTINCT output_key FROM q WHERE output_key NOT IN (SELECT output_key FROM r WHERE l_partkey % 2 = 0)),
+k AS (SELECT output_key, row_number() OVER (ORDER BY output_key) AS i FROM m)
+SELECT output_key, 0::BIGINT AS others FROM k WHERE i <= 100 UNION ALL SELECT NULL, count(*) - 100 FROM k HAVING count(*) > 100""")
+def missing_results(spark, sf_dir):
+    results, requests, _ = _batch(spark, sf_dir)
+    return H.missing_results(requests, results.where("l_partkey % 2 = 0"))
+
+
+@query(f"WITH {_BATCH} SELECT output_key, l_linenumber, l_partkey FROM r WHERE output_key NOT IN (SELECT output_key FROM x)")
+def skip_existing(spark, sf_dir):
+    results, _, existing = _batch(spark, sf_dir)
+    return H.write_if_absent(results, existing, "output_key")
+
+
+@query("""WITH a AS (SELECT o_custkey % 50 AS g, o_orderkey, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) AS place FROM orders),
+b AS (SELECT c_custkey % 50 AS g, c_custkey, row_number() OVER (PARTITION BY c_custkey % 50 ORDER BY c_custkey) AS place FROM customer)
+SELECT g, place, o_orderkey, c_custkey, CASE WHEN c_custkey IS NULL THEN 'left' WHEN o_orderkey IS NULL THEN 'right' ELSE 'both' END AS side FROM a FULL JOIN b USING (g, place)""")
+def positional_zip(spark, sf_dir):
+    left = load(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("g"), "o_orderkey")
+    right = load(spark, sf_dir, "customer").select((F.col("c_custkey") % 50).alias("g"), "c_custkey")
+    return H.zip_by_place(left, right, "g", "o_orderkey", "c_custkey").withColumn("place", F.col("place").cast("long"))
+
+
+@query("SELECT doc_id, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / 100) AS BIGINT) AS chunk FROM documents")
+def batch_chunks(spark, sf_dir):
+    return W.chunked(load(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], 100)
+
+
+@query("WITH p AS (SELECT doc_id, lpad(CAST(doc_id AS VARCHAR), 6, '0') AS page FROM documents) SELECT doc_id, page FROM p WHERE page NOT IN ('000003', '000777') AND NOT (page BETWEEN '000010' AND '000020') AND NOT (page BETWEEN '000500' AND '000600')")
+def page_exclusion(spark, sf_dir):
+    pages = load(spark, sf_dir, "documents").select("doc_id", F.lpad(F.col("doc_id").cast("string"), 6, "0").alias("page"))
+    return L.excluded_pages(pages, "page", ["000003", "000777"], [("000010", "000020"), ("000600", "000500")])
+
+
+# -- layout -------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH h AS (SELECT p_size, count(*) AS pages, min(p_partkey) AS first FROM part GROUP BY p_size), m AS (SELECT p_size FROM h ORDER BY pages DESC, first LIMIT 1)
+SELECT p_size, pages, p_size = (SELECT p_size FROM m) AS is_mode FROM h""")
+def split_histogram_mode(spark, sf_dir):
+    return L.count_mode(load(spark, sf_dir, "part"), "p_size", "p_partkey")
+
+
+@query("SELECT flag, count(*) AS n FROM (SELECT unnest(CASE WHEN value > 50 THEN [event_type, 'high'] ELSE [event_type] END) AS flag FROM events) GROUP BY flag")
+def flag_counts(spark, sf_dir):
+    rows = load(spark, sf_dir, "events").select(F.when(F.col("value") > 50, F.array("event_type", F.lit("high"))).otherwise(F.array("event_type")).alias("flags"))
+    return L.flag_counts(rows, "flags")
+
+
+def _widths(spark, sf_dir) -> DataFrame:
+    return load(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("place", "x")).select("vec_id", "label", "place", (F.floor(F.abs("x") * 100000) + 1).cast("double").alias("width"))
+
+
+_WIDTHS = "w AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS place, CAST(floor(abs(CAST(unnest(embedding) AS DOUBLE)) * 100000) + 1 AS DOUBLE) AS width FROM embeddings)"
+_STATS = f"WITH {_WIDTHS}, s AS (SELECT vec_id, any_value(label) AS label, count(*) AS n, avg(width) AS m, stddev_pop(width) / avg(width) AS cv, min(width) / avg(width) AS lo, max(width) / avg(width) AS hi, median(width) AS med FROM w GROUP BY vec_id)"
+
+
+@query(f"{_STATS} SELECT vec_id, n, round(m, 4) AS mean_width, round(cv, 6) AS cv, round(lo, 6) AS min_ratio, round(hi, 6) AS max_ratio FROM s")
+def width_stats(spark, sf_dir):
+    s = L.width_stats(_widths(spark, sf_dir), ["vec_id"], "width")
+    return s.select("vec_id", "n", F.round("mean_width", 4).alias("mean_width"), *[F.round(c, 6).alias(c) for c in ("cv", "min_ratio", "max_ratio")])
+
+
+@query(f"""{_STATS}, k AS (SELECT label, vec_id % 7 AS page, 2 + vec_id % 3 AS n_cols, min(cv) AS cv, min(lo) AS lo, min(hi) AS hi FROM s GROUP BY ALL),
+c AS (SELECT *, 3 * cv + 0.9 - 2.5 * cv - 3 * greatest(0.55 - lo, 0) - 2 * greatest(hi - 1.6, 0) - 4 * greatest(lo - 0.03, 0) - 0.3 * greatest(3 - n_cols, 0) - CASE n_cols WHEN 2 THEN 0.05 WHEN 4 THEN 0.02 ELSE 0 END AS score FROM k)
+SELECT label * 10 + page AS page, arg_max(n_cols, score) AS n_cols, round(max(score), 6) AS score FROM c GROUP BY 1""")
+def layout_argmax(spark, sf_dir):
+    w = _widths(spark, sf_dir)
+    s = L.width_stats(w, ["vec_id", "label"], "width")
+    k = s.groupBy((F.col("label") * 10 + F.col("vec_id") % 7).alias("page"), (F.col("vec_id") % 3 + 2).alias("n_cols")).agg(F.min("cv").alias("cv"), F.min("min_ratio").alias("lo"), F.min("max_ratio").alias("hi"))
+    score = L.layout_score(F.col("cv"), F.lit(0.9), F.col("cv"), F.col("lo"), F.col("hi"), F.col("lo"), F.lit(2), F.col("n_cols"))
+    return L.best_layout(k.withColumn("score", score), "page", "n_cols", "score").withColumn("score", F.round("score", 6))
+
+
+@query(f"""WITH {_WIDTHS}, f AS (SELECT vec_id, place, place - row_number() OVER (PARTITION BY vec_id ORDER BY place) AS g FROM w WHERE width % 2 = 0)
+SELECT vec_id, min(place) AS first, max(place) AS last, count(*) AS length FROM f GROUP BY vec_id, g HAVING count(*) >= 2""")
+def run_groups(spark, sf_dir):
+    return W.islands(_widths(spark, sf_dir), F.col("width") % 2 == 0, ["vec_id"], "place").where("length >= 2")
+
+
+@query(f"""WITH {_WIDTHS}, e AS (SELECT vec_id, max(place) AS top FROM w GROUP BY vec_id), o AS (SELECT unnest(range(-3, 3)) AS o)
+SELECT a.vec_id, a.place, round(avg(b.width), 4) AS smooth FROM w a JOIN e ON e.vec_id = a.vec_id CROSS JOIN o JOIN w b ON b.vec_id = a.vec_id AND b.place = least(greatest(a.place + o.o, 0), e.top) GROUP BY ALL""")
+def moving_average(spark, sf_dir):
+    return W.moving_average(_widths(spark, sf_dir), "width", 6, ["vec_id"], "place", "smooth").select("vec_id", "place", F.round("smooth", 4).alias("smooth"))
+
+
+@query(f"WITH {_WIDTHS} SELECT vec_id, min(place) FILTER (width > 20000) AS first, max(place) FILTER (width > 20000) AS last FROM w GROUP BY vec_id")
+def first_crossing(spark, sf_dir):
+    return W.first_crossing(_widths(spark, sf_dir), F.col("width") > 20000, ["vec_id"], "place")
+
+
+@query("SELECT doc_id, sha256(coalesce(text, '')) AS sha FROM documents")
+def content_sha256(spark, sf_dir):
+    return load(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.page') AS VARCHAR) AS page, json_extract_string(props, '$.k') AS k FROM events")
+def json_props(spark, sf_dir):
+    return load(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.page").alias("page"), F.get_json_object("props", "$.k").alias("k"))
+
+
+@query("SELECT event_id, regexp_replace(props, '[ ]', '', 'g') AS found FROM events")
+def extract_json_object(spark, sf_dir):
+    wrapped = F.concat(F.lit("note {not json} ```json\n"), "props", F.lit("\n``` end {}"))
+    return load(spark, sf_dir, "events").select("event_id", extract_object(wrapped).alias("found"))
