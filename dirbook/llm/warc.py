@@ -74,9 +74,10 @@ class Archive:
         self.read, self.size = read, size
         self._at, self._held = 0, b""
 
-    def window(self, start: int, n: int = WINDOW) -> bytes:
-        """Up to n bytes from `start`; the last window read is kept."""
-        if not self._at <= start or start + n > self._at + len(self._held) and self._at + len(self._held) < self.size:
+    def window(self, start: int, n: int = WINDOW, least: int | None = None) -> bytes:
+        """Up to n bytes from `start`, fewer than `least` (or n) only at the end; the last window read is kept."""
+        held = self._at + len(self._held)
+        if not self._at <= start or start + (least or n) > held and held < self.size:
             self._at, self._held = start, self.read(start, max(n, WINDOW))
         return self._held[start - self._at : start - self._at + n]
 
@@ -84,7 +85,7 @@ class Archive:
         """(content, end) of the gzip member at `start`."""
         unpacker, at, parts, total = zlib.decompressobj(31), start, [], 0
         while not unpacker.eof:
-            data = self.window(at)
+            data = self.window(at, 1 << 14, 1)
             if not data:
                 raise Damaged("member cut short")
             try:
@@ -92,7 +93,7 @@ class Archive:
             except zlib.error as e:
                 raise Damaged(f"member: {e}") from None
             at += len(data)
-            if not parts and part and not b"WARC/".startswith(part[:5]) :
+            if not parts and part and not b"WARC/".startswith(part[:5]):
                 raise Damaged("member holds no record")
             parts.append(part)
             total += len(part)
@@ -102,7 +103,7 @@ class Archive:
 
     def plain_at(self, start: int) -> tuple[bytes, int]:
         """(content, end) of the uncompressed record at `start`."""
-        head = self.window(start, 1 << 16)
+        head = self.window(start, 1 << 16, 1 << 16)
         stop = head.find(b"\r\n\r\n")
         if stop < 0:
             raise Damaged("headers without an end")
