@@ -110,11 +110,12 @@ def normalize_response(payload: dict, page: int, column: int) -> list[dict]:
     return [make(_need(row, dict, f"row {i}"), i, page, column) for i, row in enumerate(rows, 1)]
 
 
-def normalize_responses(responses: DataFrame) -> DataFrame:
-    """responses(page, column, text) with `segments` (array) or `error` (string), one of them null.
+def normalize_responses(responses: DataFrame, *keys: str) -> DataFrame:
+    """responses(page, column, text, keys...) with `segments` (array) or `error` (string), one of them null.
 
     Strict about types, which from_json is not: it would read 1 as "1". Python in Arrow batches, one pass, no shuffle.
     """
+    names = [*keys, "page", "column"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -129,10 +130,11 @@ def normalize_responses(responses: DataFrame) -> DataFrame:
                 except Invalid as e:
                     segments.append(None)
                     errors.append(str(e))
-            yield frame[["page", "column"]].assign(__s=segments, error=errors)
+            yield frame[names].assign(__s=segments, error=errors)
 
-    found = responses.select("page", "column", "text").mapInPandas(run, "page int, column int, __s string, error string")
-    return found.select("page", "column", F.from_json("__s", _array_type()).alias("segments"), "error")
+    kinds = ", ".join(f"{c} {responses.schema[c].dataType.simpleString()}" for c in keys)
+    found = responses.select(*names, "text").mapInPandas(run, f"{kinds}{', ' if kinds else ''}page int, column int, __s string, error string")
+    return found.select(*names, F.from_json("__s", _array_type()).alias("segments"), "error")
 
 
 def _array_type() -> str:
