@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, where words of `[^\x20\x09-\x0D]+` end. bytes.split() uses the same six.
@@ -73,7 +73,7 @@ def bytes_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 class WordIds(dict):
     """64-bit content hashes of words, kept for words seen before; at most `most` are kept."""
 
-    def __init__(self, most: int = 400_000, lower: bool = False):
+    def __init__(self, most: int = 500_000, lower: bool = False):
         super().__init__()
         self.most, self.lower = most, lower
 
@@ -89,12 +89,20 @@ class WordIds(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-_WORD_IDS: dict[bool, WordIds] = {}
+_held: dict[str, object] = {}
+
+
+def held(name: str, make):
+    """What this Python worker holds from task to task under a name; only one such thing, to bound its memory."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
 
 
 def word_ids(lower: bool = False) -> WordIds:
-    """This Python worker's cache."""
-    return _WORD_IDS.setdefault(lower, WordIds(lower=lower))
+    """This Python worker's hashes of words."""
+    return held(f"words {lower}", lambda: WordIds(lower=lower))
 
 
 def batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -113,5 +121,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def hex_lower(column: Column | str) -> Column:
-    return F.lower(F.hex(column))
+def hash_pair(data: bytes) -> tuple[int, int]:
+    """A 128-bit hash as two signed numbers."""
+    h = xxhash.xxh3_128_intdigest(data)
+    return (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)

@@ -14,7 +14,7 @@ BPE = encoder(public_tokenizers.path(VOCABULARY))
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("abcdeth 'sS1<|endoftext|>.,\n\x1c\x7f")), max_size=80))
+@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("abcdeth 'sSE1<|endoftext|>É.,\n\x1c\x7f")), max_size=80))
 def test_ids_and_text_equal_the_library(text):
     want = BPE.library.encode(text, add_special_tokens=False)
     ids, decoded = BPE.encode_decode(text.encode())
@@ -23,6 +23,11 @@ def test_ids_and_text_equal_the_library(text):
     assert BPE.encode(text.encode()) == ids
 
 
+def test_special_tokens_are_matched_as_written():
+    for text in ("<|endoftext|>", "<|ENDOFTEXT|>", "A<|endoftext|>B,", "x.<|startoftext|>.", "T\u0308. E\u0301, É. ß,", "don't, o'ER."):
+        assert list(np.frombuffer(BPE.encode(text.encode()), "<u4")) == BPE.library.encode(text, add_special_tokens=False).ids
+
+
 def test_both_merge_orders_agree():
     rng = random.Random(1)
     for _ in range(300):
