@@ -1,17 +1,19 @@
 """Jaccard self-join of documents on word shingles, by token-combination prefixes.
 
-Tokens are hashes of shingles. They fall into classes by how many documents have them: rare tokens are indexed one by
-one; frequent ones only as pairs, drawn within small subclasses. A document orders its tokens by class, subclass and
-hash, and indexes a prefix. Of n tokens at most d = n - ceil(0.8 n) are missing from a similar document; the prefix is
-extended until it holds a credit of d + 1, where a rare token counts one and a subclass with s tokens of the prefix
-counts s - 1. Two similar documents then share a rare token of both prefixes or a pair: were fewer than k tokens shared in
-each class of k-combinations, more than d tokens would be missing.
+Tokens are hashes of shingles. Documents with one set of tokens are one node. First, nodes that can't be similar to any
+are set aside: of n tokens a similar set lacks d = n - ceil(0.8 n) at most, so a node with more than d tokens that no
+other has is alone. That is counted on the tokens below a bound of the hash, and for the nodes left on all of theirs.
 
-Subclasses depend on the document's size, so a document indexes pairs for each size class that a similar one may be in.
+Tokens of the rest fall into classes by how many nodes have them: rare tokens are indexed one by one; frequent ones
+only as pairs, drawn within small subclasses. A node orders its tokens by class, subclass and hash, and indexes a prefix,
+extended until it holds a credit of d + 1, where a rare token counts one and a subclass with s tokens of the prefix
+counts s - 1. Two similar nodes then share a rare token of both prefixes or a pair: were fewer than k tokens shared in
+each class of k-combinations, more than d tokens would be missing. Subclasses depend on the set's size, so a node indexes
+pairs for each size class that a similar one may be in.
 
-Candidates are verified on whole texts. Documents that share a combination are compared with a few centers of their
-group, not all with all; rounds go on until each group lies in one component or all documents outside its largest
-component have been compared with every other member of another component. So no link between components is missed.
+Candidates are verified on whole texts. Nodes that share a combination are compared with a few centers of their group,
+not all with all; rounds go on until each group lies in one component or all nodes outside its largest component have
+been compared with every other member of another component. So no link between components is missed.
 """
 
 from __future__ import annotations
@@ -28,11 +30,14 @@ from dirbook.llm.anchors import grams, mix
 from dirbook.llm.common import Scratch, bytes_of, keyed, word_ids
 
 WORDS, SIMILAR = 5, 80
-#: A token is frequent if at least one document in FREQUENT has it, and at most MOST_FREQUENT tokens are.
-FREQUENT, MOST_FREQUENT = 1000, 500_000
+#: A token is frequent if FREQUENT nodes have it at least; at most MOST_FREQUENT tokens are, by raising that bound.
+FREQUENT, MOST_FREQUENT = 16, 2_000_000
+#: Share of the hash range whose tokens are counted first, of all nodes.
+SHARE = 0.3
 #: Documents in groups up to this size are compared with each other, larger groups by centers.
 SMALL_GROUP = 8
-_SIZE_BITS = 20
+#: Centers of a group in the first round; four times as many in each that follows.
+CENTERS = 16
 
 
 def tokens(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -70,8 +75,8 @@ def missing(n: int, percent: int = SIMILAR) -> int:
 def subclasses(size_class: int) -> int:
     """Into how many subclasses sets of 2**size_class tokens and more, up to twice as many, deal frequent tokens.
 
-    At least eight tokens for each subclass, so that a prefix always reaches its credit; small sets have none."""
-    return (1 << size_class) // 8 if size_class >= 4 else 0
+    Four tokens or more for each subclass, so that a prefix always reaches its credit; small sets have none."""
+    return (1 << size_class) // 4 if size_class >= 4 else 0
 
 
 def signatures(found: np.ndarray, frequent: np.ndarray, percent: int = SIMILAR) -> np.ndarray:
@@ -108,137 +113,180 @@ def _pairs(often: np.ndarray, kinds: int, size_class: int, need: int) -> np.ndar
     return np.concatenate(out) if out else often[:0]
 
 
-SETS = "rid long, doc_id long, n long, s1 long, s2 long, token long, docs long"
+def node_of(found: np.ndarray) -> int:
+    """The name of a set."""
+    return xxhash.xxh3_64_intdigest(found.tobytes())
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: each document's number of tokens and hash of its set; tokens that are frequent in a batch."""
+COUNTED = "block long, kind int, rid long, doc_id long, n long, used long, node long, tokens binary, nodes binary"
+_COUNTED = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[c.split()[1]]) for c in COUNTED.split(", ")])
+#: Kinds of rows: tokens of nodes, sets of documents, how many tokens of a node others have, frequent tokens.
+_TOKENS, _SET, _COMMON, _OFTEN = 0, 1, 2, 3
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([(c.split()[0], pa.int64()) for c in SETS.split(", ")])
-        for batch in batches:
-            found = [tokens(t, words) for t in bytes_of(batch["text"])]
-            both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x.tobytes()) for x in found]), ">u8").astype(np.uint64).view(np.int64).reshape(-1, 2)
-            none = pa.nulls(len(found), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["rid"], batch["doc_id"], pa.array([len(x) for x in found], pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), none, none], schema=schema)
-            # copies in a batch count once: what they share is not frequent for that
-            distinct = {x.tobytes(): x for x in found}.values()
-            if distinct:
-                every = np.sort(np.concatenate(list(distinct)))
-                starts = np.flatnonzero(np.diff(every, prepend=every[:1] ^ np.uint64(1)))
-                counts = np.diff(starts, append=len(every))
-                often = counts >= max(2, len(distinct) // FREQUENT)
-                if len(distinct) >= 64 and often.any():
-                    none = pa.nulls(int(often.sum()), pa.int64())
-                    yield pa.RecordBatch.from_arrays([none] * 5 + [pa.array(every[starts[often]].view(np.int64)), pa.array(counts[often])], schema=schema)
 
-    return docs.mapInArrow(run, SETS)
+def _rows(kind: int, count: int, /, **columns) -> pa.RecordBatch:
+    """`count` rows of COUNTED; columns that aren't given are null."""
+    columns["kind"] = np.full(count, kind, np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(count, f.type) for f in _COUNTED], schema=_COUNTED)
 
 
-def _frequent(table: DataFrame) -> np.ndarray:
-    """The sorted frequent tokens; their counts are those that batches reported."""
-    totals = table.where("rid is not null").agg(F.count("*"), F.sum("n")).first()
-    least = max(totals[0] // FREQUENT, (totals[1] or 0) // MOST_FREQUENT, 16)
-    rows = table.where("rid is null").groupBy("token").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least).select("token").toArrow()
-    return np.sort(rows["token"].to_numpy().view(np.uint64)) if rows.num_rows else np.zeros(0, np.uint64)
+def _split(block: np.ndarray, *arrays: np.ndarray) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Arrays that are sorted by block, cut at blocks."""
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    return block[np.append(0, cuts)], [[x.tobytes() for x in np.split(a, cuts)] for a in arrays]
 
 
-def _key(first: int, n: int) -> int:
-    """A set's short name in the index: 44 bits of its hash and its size. Sets that share one are candidates, no more."""
-    return ((first & ((1 << 44) - 1)) << _SIZE_BITS) | min(n, (1 << _SIZE_BITS) - 1)
+def _counted_tokens(docs: DataFrame, words: int, share: float, blocks: int, frequent_from: int | None) -> DataFrame:
+    """COUNTED rows of the kinds _SET, _COMMON and, from so many nodes on, _OFTEN, of docs(rid, doc_id, text)."""
+    bound = np.uint64(min(int(share * 2**64), 2**64 - 1))
 
-
-def _signed(keys: np.ndarray) -> np.ndarray:
-    return keys.view(np.int64)
-
-
-def _index(docs: DataFrame, frequent: np.ndarray, words: int, percent: int, blocks: int) -> DataFrame:
-    """(block, sigs, keys): combinations and whose they are, dealt into blocks by combination, many in a row."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [tokens(t, words) for t in bytes_of(batch["text"])]
+            names = np.array([node_of(x) for x in found], np.uint64)
+            used = [x[: np.searchsorted(x, bound, "right")] for x in found]
+            yield _rows(_SET, len(found), block=(names % np.uint64(blocks)).astype(np.int64), rid=batch["rid"], doc_id=batch["doc_id"], n=[len(x) for x in found], used=[len(x) for x in used], node=names.view(np.int64))
+            once = [x for name, x in dict(zip(names.tolist(), used)).items() if len(x)]
+            if once:
+                token = np.concatenate(once)
+                node = np.repeat(np.array([name for name, x in dict(zip(names.tolist(), used)).items() if len(x)], np.uint64), [len(x) for x in once])
+                block = ((token ^ (token >> np.uint64(32))) % np.uint64(blocks)).astype(np.int32)
+                order = np.argsort(block, kind="stable")
+                where, (some, whose) = _split(block[order], token[order], node[order])
+                yield _rows(_TOKENS, len(where), block=where.astype(np.int64), tokens=some, nodes=whose)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            is_set = batch.filter(pa.array(batch["kind"].to_numpy() == _SET))
+            if is_set.num_rows:
+                yield is_set
+            rest = batch.filter(pa.array(batch["kind"].to_numpy() == _TOKENS))
+            for block, some, whose in zip(*(rest[c].to_pylist() for c in ("block", "tokens", "nodes"))):
+                if block != last and held:
+                    yield from flush(held)
+                    held = []
+                last = block
+                held.append((some, whose))
+        if held:
+            yield from flush(held)
+
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        token, node = (np.frombuffer(b"".join([h[k] for h in held]), np.uint64) for k in (0, 1))
+        token, node = _distinct(token, node)
+        starts = np.flatnonzero(np.diff(token, prepend=token[:1] ^ np.uint64(1)))
+        sizes = np.diff(starts, append=len(token))
+        names, common = np.unique(node[np.repeat(sizes, sizes) > 1], return_counts=True)
+        if len(names):
+            yield _rows(_COMMON, len(names), node=names.view(np.int64), n=common)
+        if frequent_from is not None:
+            often = sizes >= frequent_from
+            if often.any():
+                yield _rows(_OFTEN, int(often.sum()), node=token[starts[often]].view(np.int64), n=sizes[often])
+
+    dealt = docs.select("rid", "doc_id", "text").mapInArrow(deal, COUNTED).repartition(F.col("block")).sortWithinPartitions("block")
+    return dealt.mapInArrow(count, COUNTED)
+
+
+def _distinct(first: np.ndarray, second: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sorted distinct pairs, and what goes with them."""
+    order = np.lexsort((second, first))
+    first, second = first[order], second[order]
+    one = np.ones(len(first), bool)
+    one[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    return first[one], second[one], *(x[order][one] for x in more)
+
+
+def _possible(counted: DataFrame, percent: int) -> DataFrame:
+    """(node, rep, n, shared) of nodes that don't have more tokens of their own than a similar set can lack; `shared`: how
+    many tokens others may have, too."""
+    nodes = counted.where((F.col("kind") == _SET) & (F.col("n") > 0)).groupBy("node").agg(F.min("rid").alias("rep"), F.max("n").alias("n"), F.max("used").alias("used"))
+    common = counted.where(F.col("kind") == _COMMON).groupBy("node").agg(F.sum("n").alias("common"))
+    lacking = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
+    shared = F.coalesce("common", F.lit(0))
+    return nodes.join(common, "node", "left").where(F.col("used") - shared <= lacking).select("node", "rep", "n", (F.col("n") - F.col("used") + shared).alias("shared"))
+
+
+def _index(texts: DataFrame, frequent: np.ndarray, words: int, percent: int, blocks: int) -> DataFrame:
+    """(block, sigs, nodes, sizes, shared): combinations and whose they are, dealt into blocks by combination, many in a row."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
         for batch in batches:
-            sigs, keys = [], []
-            for text in bytes_of(batch["text"]):
-                found = tokens(text, words)
-                if len(found):
-                    some = signatures(found, often, percent)
-                    sigs.append(some)
-                    keys.append(np.full(len(some), _key(xxhash.xxh3_128_intdigest(found.tobytes()) >> 64, len(found)), np.uint64))
-            if not sigs:
+            found = [tokens(t, words) for t in bytes_of(batch["text"])]
+            sigs = [signatures(x, often, percent) for x in found]
+            if not found:
                 continue
-            sig, key = np.concatenate(sigs), np.concatenate(keys)
-            block = ((sig >> np.uint64(16)) % np.uint64(blocks)).astype(np.int64)
-            order = np.lexsort((key, sig, block))
-            sig, key, block = sig[order], key[order], block[order]
-            one = np.ones(len(sig), bool)
-            one[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])  # copies of a set count once
-            sig, key, block = sig[one], key[one], block[one]
-            cuts = np.flatnonzero(np.diff(block)) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in np.split(sig, cuts)], pa.binary()), pa.array([x.tobytes() for x in np.split(key, cuts)], pa.binary())], ["block", "sigs", "keys"]
-            )
+            sig, lengths = np.concatenate(sigs), [len(x) for x in sigs]
+            node = np.repeat(batch["node"].to_numpy(zero_copy_only=False), lengths)
+            size = np.repeat(np.array([len(x) for x in found], np.int64), lengths)
+            common = np.repeat(batch["shared"].to_numpy(zero_copy_only=False), lengths)
+            block = ((sig >> np.uint64(16)) % np.uint64(blocks)).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            where, parts = _split(block[order], sig[order], node[order], size[order], common[order])
+            yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int64)), *(pa.array(x, pa.binary()) for x in parts)], ["block", "sigs", "nodes", "sizes", "shared"])
 
-    return docs.select("text").mapInArrow(run, "block long, sigs binary, keys binary")
+    return texts.select("node", "shared", "text").mapInArrow(run, "block long, sigs binary, nodes binary, sizes binary, shared binary")
 
 
-GROUPED = "gid long, a long, b long"
+GROUPED = "gid long, a long, b long, n long, shared long"
 
 
-def _near(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets of these keys can be similar by size."""
-    size = np.uint64((1 << _SIZE_BITS) - 1)
-    a, b = (a & size).astype(np.int64), (b & size).astype(np.int64)
-    return (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) | (np.maximum(a, b) == int(size))
+def _near(n, m, shared_n, shared_m, percent: int, least):
+    """Whether sets of n and m tokens can be similar: what they have in common is no more than either shares with any."""
+    both = least(shared_n, shared_m)
+    return 100 * both >= percent * (n + m - both)
 
 
 def _groups(index: DataFrame, percent: int) -> DataFrame:
-    """Rows of two kinds: candidate pairs of keys (gid null), and members of large groups (b null)."""
+    """Rows of two kinds: candidate pairs (a, b), and members of large groups (gid, a, n)."""
+    schema = pa.schema([(c.split()[0], pa.int64()) for c in GROUPED.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        last = None
+        last, held = None, []
         for batch in batches:
-            for block, sigs, keys in zip(batch["block"].to_pylist(), batch["sigs"].to_pylist(), batch["keys"].to_pylist()):
-                if last is not None and block != last:
-                    yield from flush(held.pop(last))
+            for block, *parts in zip(*(batch[c].to_pylist() for c in ("block", "sigs", "nodes", "sizes", "shared"))):
+                if block != last and held:
+                    yield from flush(held)
+                    held = []
                 last = block
-                held.setdefault(block, []).append((sigs, keys))
-        for rows in held.values():
-            yield from flush(rows)
-
-    def flush(rows: list) -> Iterator[pa.RecordBatch]:
-        sig, key = (np.frombuffer(b"".join([r[k] for r in rows]), np.uint64) for k in (0, 1))
-        order = np.lexsort((key, sig))
-        sig, key = sig[order], key[order]
-        one = np.ones(len(sig), bool)
-        one[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
-        sig, key = sig[one], key[one]
+                held.append(parts)
+        if held:
+            yield from flush(held)
+
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        sig, node, size, common = (np.frombuffer(b"".join([h[k] for h in held]), kind) for k, kind in enumerate((np.uint64, np.int64, np.int64, np.int64)))
+        sig, node, size, common = _distinct(sig, node, size, common)
         starts = np.flatnonzero(np.diff(sig, prepend=sig[:1] ^ np.uint64(1)))
         sizes = np.diff(starts, append=len(sig))
-        pairs = []
+        left, right = [], []
         for n in range(2, SMALL_GROUP + 1):
             at = starts[sizes == n]
             for i in range(n):
                 for j in range(i + 1, n):
-                    pairs.append(np.stack([key[at + i], key[at + j]], 1))
+                    left.append(at + i)
+                    right.append(at + j)
         large = np.flatnonzero(sizes > SMALL_GROUP)
-        for g in large:  # a star around the first member that is likely to be the same in other groups of the same documents
-            members = key[starts[g] : starts[g] + sizes[g]]
-            pairs.append(np.stack([np.full(len(members) - 1, members[0]), members[1:]], 1))
-        if pairs:
-            both = np.concatenate(pairs)
-            both = np.unique(both[_near(both[:, 0], both[:, 1], percent)], axis=0)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(both), pa.int64()), pa.array(_signed(np.ascontiguousarray(both[:, 0]))), pa.array(_signed(np.ascontiguousarray(both[:, 1])))], ["gid", "a", "b"])
-        # groups of the same members are one
+        own = size - common
+        for g in large:  # a star around the member with fewest tokens of its own: of copies with changes, what they copy
+            here = np.arange(starts[g], starts[g] + sizes[g])
+            center = here[own[here].argmin()]
+            left.append(np.full(len(here) - 1, center))
+            right.append(here[here != center])
+        if left:
+            a, b = np.concatenate(left), np.concatenate(right)
+            near = _near(size[a], size[b], common[a], common[b], percent, np.minimum)
+            both = np.unique(np.sort(np.stack([node[a[near]], node[b[near]]], 1), 1), axis=0)
+            none = pa.nulls(len(both), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, *(pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)), none, none], schema=schema)
         seen: set[bytes] = set()
-        for g in large:
-            members = key[starts[g] : starts[g] + sizes[g]]
-            if (name := xxhash.xxh3_128_digest(members.tobytes())) not in seen:
+        for g in large:  # groups of the same members are one
+            members = node[starts[g] : starts[g] + sizes[g]]
+            if (name := xxhash.xxh3_64_digest(members.tobytes())) not in seen:
                 seen.add(name)
-                gid = int.from_bytes(name[:8], "little", signed=True)
-                yield pa.RecordBatch.from_arrays([pa.array([gid] * len(members), pa.int64()), pa.array(_signed(members)), pa.nulls(len(members), pa.int64())], ["gid", "a", "b"])
+                gid = np.full(len(members), int.from_bytes(name, "little", signed=True))
+                yield pa.RecordBatch.from_arrays([pa.array(gid), pa.array(members), pa.nulls(len(members), pa.int64()), *(pa.array(x[starts[g] : starts[g] + sizes[g]]) for x in (size, common))], schema=schema)
 
     return index.mapInArrow(run, GROUPED)
 
@@ -264,25 +312,25 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 def connect(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
     """(node, comp) of every node of links(a, b): comp is the least node that links reach.
 
-    Components hook onto their least neighbour and names are then shortened by jumps, on tables in the shared folder, so
-    the number of rounds grows with the logarithm of the longest chain. Edges are contracted and made distinct each round.
+    Components hook onto their least neighbour and names are then shortened by jumps, so the number of rounds grows with
+    the logarithm of the longest chain. Each round writes its new names and the edges left, contracted and distinct.
     """
-    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    comps = scratch.table(nodes.withColumn("comp", F.col("node")), f"{name}_0")
-    edges = scratch.table(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), f"{name}_edges0")
-    k = 0
-    while edges.take(1):
+    comps = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("comp", F.col("node"))
+    edges, k = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), 0
+    while True:
         k += 1
+        edges = scratch.table(edges, f"{name}_edges{k}")
+        if not edges.take(1):
+            return comps
         hooks = edges.groupBy(F.col("b").alias("old")).agg(F.min("a").alias("new"))
-        hooks = scratch.table(hooks, f"{name}_hooks{k}")
-        for j in range(3):  # b -> its least neighbour -> that one's least neighbour ...
+        for _ in range(2):  # on to the least neighbour's least neighbour, and so on
             on = hooks.select(F.col("old").alias("new"), F.col("new").alias("further"))
-            hooks = scratch.table(hooks.join(on, "new", "left").select("old", F.coalesce("further", "new").alias("new")), f"{name}_hooks{k}_{j}")
+            hooks = hooks.join(on, "new", "left").select("old", F.coalesce("further", "new").alias("new"))
+        hooks = scratch.table(hooks, f"{name}_hooks{k}")
         to = lambda c, out: hooks.select(F.col("old").alias(c), F.col("new").alias(out))
-        comps = scratch.table(comps.join(to("comp", "new"), "comp", "left").select("node", F.coalesce("new", "comp").alias("comp")), f"{name}_{k}")
+        comps = comps.join(to("comp", "new"), "comp", "left").select("node", F.coalesce("new", "comp").alias("comp"))
         moved = edges.join(to("a", "x"), "a", "left").join(to("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
-        edges = scratch.table(moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), f"{name}_edges{k}")
-    return comps
+        edges = moved.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scratch: Scratch | None = None) -> DataFrame:
@@ -296,58 +344,55 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scra
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     rows = keyed(docs)
-    table = scratch.table(_sets(rows, words), "sets")
-    sets = table.where("rid is not null").select("rid", "doc_id", "n", "s1", "s2")
-    key = F.shiftleft(F.col("s1").bitwiseAND(F.lit((1 << 44) - 1)), _SIZE_BITS).bitwiseOR(F.least("n", F.lit((1 << _SIZE_BITS) - 1))).alias("key")
-    nodes = scratch.table(sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("rid").alias("node")).select("node", "s1", "s2", key), "nodes")
-    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _index(rows, _frequent(table), words, percent, blocks).repartition(F.col("block")).sortWithinPartitions("block")
+    blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = scratch.table(_counted_tokens(rows, words, SHARE, blocks, None), "counted")
+    sets = counted.where(F.col("kind") == _SET).select("rid", "doc_id", "n", "node")
+    possible = _possible(counted, percent)
+    texts = scratch.table(rows.join(possible.select("node", "rep", "n"), rows["rid"] == F.col("rep")).select(F.col("node").alias("rid"), F.col("n").alias("doc_id"), "text"), "possible")
+    counted = scratch.table(_counted_tokens(texts, words, 1.0, blocks, FREQUENT), "counted2")
+    texts = scratch.table(texts.join(_possible(counted, percent).select("node", "n", "shared"), texts["rid"] == F.col("node")).select("node", "n", "shared", "text"), "texts")
+    total = texts.agg(F.sum("n")).first()[0] or 0
+    often = counted.where((F.col("kind") == _OFTEN) & (F.col("n") >= -(-total // MOST_FREQUENT))).select("node").toArrow()["node"]
+    frequent = np.sort(often.to_numpy().view(np.uint64)) if len(often) else np.zeros(0, np.uint64)
+    dealt = _index(texts, frequent, words, percent, 4 * blocks).repartition(F.col("block")).sortWithinPartitions("block")
     grouped = scratch.table(_groups(dealt, percent), "grouped")
-    named = lambda c: nodes.select(F.col("key").alias(c), F.col("node").alias(f"{c}_node"))
-    pairs = grouped.where("gid is null").select("a", "b").distinct().join(named("a"), "a").join(named("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    clashes = nodes.join(nodes.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("c")).where("c > 1"), "key").where("node <> a").select("a", F.col("node").alias("b"))
-    tried = scratch.table(pairs.unionByName(clashes).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried0")
-    members = scratch.table(grouped.where("gid is not null").join(named("a"), "a").select("gid", F.col("a_node").alias("node"), F.col("a").bitwiseAND(F.lit((1 << _SIZE_BITS) - 1)).alias("n")), "members")
-    needed = tried.select(F.col("a").alias("node")).union(tried.select("b")).union(members.select("node")).distinct()
-    texts = scratch.table(rows.join(needed, rows["rid"] == needed["node"]).select("node", "text"), "texts")
+    tried = scratch.table(grouped.where("gid is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried0")
+    members = grouped.where("gid is not null").select("gid", F.col("a").alias("node"), "n", "shared").distinct()
     links = scratch.table(_verify(tried, texts, words, percent), "links0")
-    comps = connect(links, scratch)
-    done, k, centers = None, 0, 4
+    comps = scratch.table(connect(links, scratch), "comps0")
+    k, centers, done = 0, CENTERS, members.select("gid", "node").limit(0)
     while True:
         k += 1
-        more, asked = _more_pairs(members, comps, done, centers, percent, scratch, k)
-        if more is None:
+        chosen, pairs = _more_pairs(members, comps, done, centers, percent, scratch, k)
+        if not chosen.take(1):
             break
-        done = asked if done is None else scratch.table(done.unionByName(asked), f"done{k}")
-        more = scratch.table(more.join(tried, ["a", "b"], "left_anti"), f"more{k}")
-        tried = scratch.table(tried.unionByName(more), f"tried{k}")
-        links = scratch.table(links.unionByName(_verify(more, texts, words, percent)), f"links{k}")
-        comps, centers = connect(links, scratch, f"cc{k}"), 2 * centers
-    named_sets = sets.join(nodes.select("s1", "s2", "node"), ["s1", "s2"], "left").where("node is not null or n = 0")
-    placed = scratch.table(named_sets.join(comps, "node", "left").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "node")).alias("comp")), "placed")
+        more = scratch.table(pairs.join(tried, ["a", "b"], "left_anti"), f"more{k}")
+        found = scratch.table(_verify(more, texts, words, percent), f"links{k}")
+        done, tried = done.unionByName(chosen.select("gid", "node")), tried.unionByName(more)
+        if found.take(1):
+            links = links.unionByName(found)
+            comps = scratch.table(connect(links, scratch, f"cc{k}"), f"comps{k}")
+        centers *= 4
+    placed = scratch.table(sets.join(comps, "node", "left").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "node")).alias("comp")), "placed")
     least = scratch.table(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
     inside = placed.where("comp is not null").join(least, "comp").select("rid", "doc_id", "n_shingles", "component_id")
     return inside.unionByName(placed.where("comp is null").select("rid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _more_pairs(members: DataFrame, comps: DataFrame, done: DataFrame | None, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Pairs of members of different components in groups that aren't settled, around centers outside each group's largest
-    component; and those centers. None when all groups are settled."""
-    at = scratch.table(members.join(comps, "node", "left").select("gid", "node", "n", F.coalesce("comp", "node").alias("comp")), f"at{k}")
+def _more_pairs(members: DataFrame, comps: DataFrame, done: DataFrame, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame, DataFrame]:
+    """Centers: members outside their group's largest component that weren't centers yet, in groups that aren't settled;
+    and their pairs with members of other components that can be similar by their sizes."""
+    at = members.join(comps, "node", "left").select("gid", "node", "n", "shared", F.coalesce("comp", "node").alias("comp"))
     sizes = at.groupBy("gid", "comp").agg(F.count("*").alias("c"))
-    tops = scratch.table(sizes.groupBy("gid").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("gid", "top"), f"tops{k}")
-    outside = at.join(tops, "gid").where("comp <> top").select("gid", "node", "n", "comp")
-    if done is not None:
-        outside = outside.join(done, ["gid", "node"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("gid").orderBy("node"))
-    chosen = scratch.table(outside.withColumn("rank", rank).where(F.col("rank") <= centers).drop("rank"), f"chosen{k}")
-    if not chosen.take(1):
-        return None, None
-    other = at.select("gid", F.col("node").alias("other"), F.col("n").alias("m"), F.col("comp").alias("its"))
-    open_end = (1 << _SIZE_BITS) - 1
-    size = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) | (F.greatest("n", "m") == open_end)
-    pairs = chosen.join(other, "gid").where((F.col("comp") != F.col("its")) & size).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    return pairs, chosen.select("gid", "node")
+    tops = sizes.groupBy("gid").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("gid", "top")
+    at = scratch.table(at.join(tops, "gid"), f"open{k}")
+    outside = at.where("comp <> top").join(done, ["gid", "node"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.col("n") - F.col("shared"), "node"))
+    chosen = scratch.table(outside.withColumn("rank", rank).where(F.col("rank") <= centers).select("gid", "node", "n", "shared", "comp"), f"chosen{k}")
+    other = at.select("gid", F.col("node").alias("other"), F.col("n").alias("m"), F.col("shared").alias("shared_m"), F.col("comp").alias("its"))
+    near = _near(F.col("n"), F.col("m"), F.col("shared"), F.col("shared_m"), percent, F.least)
+    pairs = chosen.join(other, "gid").where((F.col("comp") != F.col("its")) & near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    return chosen, pairs
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scratch: Scratch | None = None) -> DataFrame:

@@ -58,8 +58,9 @@ def corpus(seed):
 
 
 def test_components_equal_brute_force(spark, monkeypatch):
-    for seed, frequent in ((1, 1000), (2, 20)):
+    for seed, frequent in ((1, 16), (2, 3)):
         monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+        monkeypatch.setattr(ngram_join, "CENTERS", 2)
         rows = corpus(seed)
         df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, node int")
         got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in components(df).collect())
