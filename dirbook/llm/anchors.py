@@ -151,13 +151,26 @@ def parts(sequences: list, width: int) -> Iterator[tuple[int, int, object]]:
 RUNS = "rid long, start long, n long, m long, sh long, again boolean"
 
 
-def candidates(table: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Of RUNS, what can hold repeated windows: (whole, pieces).
+#: An anchor with more contents than this is hot: its windows are dealt out one by one.
+HOT = 4096
+
+
+class Candidates(NamedTuple):
+    """What can hold repeated windows.
 
     whole(rid, start, n): runs of which the corpus has a second copy, item for item; all their windows are repeated.
     pieces(rid, start, n, m, c): one run for each content among those whose anchor has several contents; c copies.
-    Counts are combined before they are shuffled, and runs find theirs by an equi-join that adaptive execution can split.
+    hot: the same, of hot anchors.
     """
+
+    whole: DataFrame
+    pieces: DataFrame
+    hot: DataFrame
+
+
+def candidates(table: DataFrame, scratch: Scratch, most: int | None = None) -> Candidates:
+    """Candidates among RUNS. Counts are combined before they are shuffled, and runs find theirs by an equi-join that
+    adaptive execution can split. Anchors have `most` contents at most, or are hot."""
     anchors = table.groupBy("m").agg(F.count("*").alias("c"), F.min("sh").alias("low"), F.max("sh").alias("high"), F.max("again").alias("twice")).where("c > 1 or twice")
     anchors = scratch.table(anchors.select("m", F.expr("low = high and not twice").alias("one")), "anchors")
     found = scratch.table(table.join(anchors, "m"), "candidates")
@@ -165,7 +178,19 @@ def candidates(table: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame
     contents = scratch.table(contents, "contents")
     copied = found.where("not one").join(contents.where("c > 1").select("m", "sh"), ["m", "sh"])
     whole = found.where("one").select("rid", "start", "n").unionByName(copied.select("rid", "start", "n"))
-    return whole, contents.select("rep.rid", "rep.start", "rep.n", "m", "c")
+    hot = scratch.table(contents.groupBy("m").count().where(F.col("count") > (HOT if most is None else most)).select("m"), "hot")
+    rows = contents.select("rep.rid", "rep.start", "rep.n", "m", "c")
+    return Candidates(whole, rows.join(hot, "m", "left_anti"), rows.join(hot, "m", "left_semi"))
+
+
+def repeated_alone(windows: DataFrame) -> DataFrame:
+    """(rid, start, n) of windows(h1, h2, rid, start, c), told apart by 128-bit hashes, that occur twice or more.
+
+    Equal windows are combined before they are shuffled and found again by a join that can be split, so nothing about a
+    hot anchor meets in one task.
+    """
+    twice = windows.groupBy("h1", "h2").agg(F.sum("c").alias("n")).where("n > 1").select("h1", "h2")
+    return windows.where("c = 1").join(twice, ["h1", "h2"], "left_semi").select("rid", "start", F.lit(1).cast("long").alias("n"))
 
 
 def by_row(ranges: DataFrame, *columns: str) -> DataFrame:

@@ -70,6 +70,13 @@ def bytes_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of a few rows, for work whose Python objects would otherwise be as many as a batch has."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class WordIds(dict):
     """64-bit content hashes of words, kept for words seen before; at most `most` are kept."""
 

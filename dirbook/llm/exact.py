@@ -72,10 +72,11 @@ def exact_groups(docs: DataFrame, block: int = BLOCK, scratch: Scratch | None =
     doc_id stays (null is the smallest); of rows that share that too, the last in the scan, so one row is kept of each
     group. keep_id is its doc_id. An empty table gives no rows. Only doc_id and text are read.
     """
-    rows = keyed(docs)
+    rows, scratch = keyed(docs), scratch or Scratch(docs.sparkSession)
     named = identities(rows, block, scratch)
     ids = rows.select("rid", "doc_id", F.sha2("text", 256).alias("text_sha256")).join(named, "rid")
     groups = ids.groupBy("n_bytes", "name").agg(F.max(F.struct("doc_id", "rid")).alias("last"), F.count("*").alias("group_size"))
+    groups = scratch.table(groups, "groups")  # so that the join can be split where a group is large
     return ids.join(groups, ["n_bytes", "name"]).select("rid", "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("last.rid")).alias("kept"), "text_sha256")
 
 

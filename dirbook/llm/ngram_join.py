@@ -19,11 +19,12 @@ been compared with every other member of another component. So no link between c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import grams, mix
@@ -32,6 +33,8 @@ from dirbook.llm.common import Scratch, bytes_of, keyed, word_ids
 WORDS, SIMILAR = 5, 80
 #: A token is frequent if FREQUENT nodes have it at least; at most MOST_FREQUENT tokens are, by raising that bound.
 FREQUENT, MOST_FREQUENT = 16, 2_000_000
+#: Parts of the hash range in which sets are compared.
+_BITS = 1024
 #: Share of the hash range whose tokens are counted first, of all nodes.
 SHARE = 0.3
 #: Documents in groups up to this size are compared with each other, larger groups by centers.
@@ -235,8 +238,8 @@ GROUPED = "gid long, a long, b long, n long, shared long"
 
 def _near(n, m, shared_n, shared_m, percent: int, least):
     """Whether sets of n and m tokens can be similar: what they have in common is no more than either shares with any."""
-    both = least(shared_n, shared_m)
-    return 100 * both >= percent * (n + m - both)
+    # both / (n + m - both) >= percent / 100
+    return (100 + percent) * least(shared_n, shared_m) >= percent * (n + m)
 
 
 def _groups(index: DataFrame, percent: int) -> DataFrame:
@@ -291,6 +294,29 @@ def _groups(index: DataFrame, percent: int) -> DataFrame:
     return index.mapInArrow(run, GROUPED)
 
 
+_MAP = [f"b{i}" for i in range(_BITS // 64)]
+
+
+def _maps(texts: DataFrame, words: int) -> DataFrame:
+    """(node, b0, b1, ...): which of _BITS equal parts of the hash range a node's tokens fall into, a bit each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.zeros((batch.num_rows, _BITS), bool)
+            for row, text in zip(rows, bytes_of(batch["text"])):
+                row[((tokens(text, words) >> np.uint64(32)).astype(np.int64) * _BITS) >> 32] = True
+            packed = np.packbits(rows, axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["node"], *(pa.array(np.ascontiguousarray(packed[:, i])) for i in range(len(_MAP)))], ["node", *_MAP])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, " + ", ".join(f"{c} long" for c in _MAP))
+
+
+def _most_common(size: str, own: str, other: str) -> Column:
+    """How many tokens of a set another can have at most: each part that only this one has tokens in is one less."""
+    lacking = [F.bit_count(F.col(f"{c}{own}").bitwiseAND(F.bitwise_not(F.col(f"{c}{other}")))) for c in _MAP]
+    return F.col(size) - reduce(lambda x, y: x + y, lacking)
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose texts are similar."""
 
@@ -358,14 +384,16 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scra
     grouped = scratch.table(_groups(dealt, percent), "grouped")
     tried = scratch.table(grouped.where("gid is null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "tried0")
     members = grouped.where("gid is not null").select("gid", F.col("a").alias("node"), "n", "shared").distinct()
+    maps = scratch.table(_maps(texts, words), "maps")
     links = scratch.table(_verify(tried, texts, words, percent), "links0")
     comps = scratch.table(connect(links, scratch), "comps0")
     k, centers, done = 0, CENTERS, members.select("gid", "node").limit(0)
     while True:
         k += 1
-        chosen, pairs = _more_pairs(members, comps, done, centers, percent, scratch, k)
+        chosen, pairs = _more_pairs(members, comps, maps, done, centers, percent, scratch, k)
         if not chosen.take(1):
             break
+        pairs = scratch.table(pairs, f"pairs{k}")  # distinct before the join, not after
         more = scratch.table(pairs.join(tried, ["a", "b"], "left_anti"), f"more{k}")
         found = scratch.table(_verify(more, texts, words, percent), f"links{k}")
         done, tried = done.unionByName(chosen.select("gid", "node")), tried.unionByName(more)
@@ -379,18 +407,21 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scra
     return inside.unionByName(placed.where("comp is null").select("rid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _more_pairs(members: DataFrame, comps: DataFrame, done: DataFrame, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame, DataFrame]:
+def _more_pairs(members: DataFrame, comps: DataFrame, maps: DataFrame, done: DataFrame, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame, DataFrame]:
     """Centers: members outside their group's largest component that weren't centers yet, in groups that aren't settled;
     and their pairs with members of other components that can be similar by their sizes."""
     at = members.join(comps, "node", "left").select("gid", "node", "n", "shared", F.coalesce("comp", "node").alias("comp"))
     sizes = at.groupBy("gid", "comp").agg(F.count("*").alias("c"))
     tops = sizes.groupBy("gid").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("gid", "top")
-    at = scratch.table(at.join(tops, "gid"), f"open{k}")
+    at = scratch.table(at.join(tops, "gid").join(maps, "node"), f"open{k}")
     outside = at.where("comp <> top").join(done, ["gid", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.col("n") - F.col("shared"), "node"))
-    chosen = scratch.table(outside.withColumn("rank", rank).where(F.col("rank") <= centers).select("gid", "node", "n", "shared", "comp"), f"chosen{k}")
-    other = at.select("gid", F.col("node").alias("other"), F.col("n").alias("m"), F.col("shared").alias("shared_m"), F.col("comp").alias("its"))
+    chosen = scratch.table(outside.withColumn("rank", rank).where(F.col("rank") <= centers).select("gid", "node", "n", "shared", "comp", *_MAP), f"chosen{k}")
+    other = at.select("gid", F.col("node").alias("other"), F.col("n").alias("m"), F.col("shared").alias("shared_m"), F.col("comp").alias("its"), *[F.col(c).alias(f"{c}_m") for c in _MAP])
+    bound = F.lit(percent) * (F.col("n") + F.col("m"))
     near = _near(F.col("n"), F.col("m"), F.col("shared"), F.col("shared_m"), percent, F.least)
+    for most in (_most_common("n", "", "_m"), _most_common("m", "_m", "")):  # dearer, so looked at last
+        near = near & (F.lit(100 + percent) * most >= bound)
     pairs = chosen.join(other, "gid").where((F.col("comp") != F.col("its")) & near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     return chosen, pairs
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import SPACES, bytes_of, keyed
+from dirbook.llm.common import SPACES, bytes_of, keyed, slices
 
 #: Documents of the sample, from the first partitions that have any; their whole texts are tried.
 SAMPLE = 400
@@ -173,7 +173,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept = pa.array([verdict(Features(t), ordered) for t in bytes_of(batch.column(at))], pa.bool_())
             yield batch.filter(kept)
 

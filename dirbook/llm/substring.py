@@ -5,7 +5,8 @@ least hash among its grams of a few words (see anchors.py). Each place of an anc
 anchor are extended together, a word to the left or right at a time: seeds stay in one class while their words agree.
 A window reaching o words to the left and the rest to the right is repeated exactly when another seed shares both its
 left and its right class there, so no pairs are formed. What is removed, the union of repeated windows, is the union of
-the maximal repeats of at least `width` words.
+the maximal repeats of at least `width` words. Seeds of an anchor with very many contents would meet in one task; their
+windows are compared by hash instead.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.anchors import RUNS, by_row, candidates, grams, parts, portions, runs, spans
-from dirbook.llm.common import Scratch, batched, bytes_of, keyed, word_ids
-from dirbook.llm.suffix_array import PIECES, RANGES, buckets
+from dirbook.llm.anchors import RUNS, by_row, candidates, grams, parts, portions, repeated_alone, runs, spans
+from dirbook.llm.common import Scratch, batched, bytes_of, hash_pair, keyed, slices, word_ids
+from dirbook.llm.suffix_array import PIECES, RANGES, WINDOWS, buckets
 
 WIDTH, GRAM = 35, 8
 #: Bytes of pieces extended at once; an anchor's pieces are never parted.
@@ -66,6 +67,25 @@ def _pieces(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("rid", "text", "runs").mapInArrow(run, "m long, rid long, start long, c long, piece binary")
 
 
+def _windows(docs: DataFrame, width: int) -> DataFrame:
+    """Hashes of all windows of the runs that documents (rid, text, runs) list: those of hot anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed = word_ids()
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for rid, text, listed in zip(batch["rid"].to_pylist(), bytes_of(batch["text"]), batch["runs"].to_pylist()):
+                    data = hashed.of(text.split()).tobytes()
+                    for x in listed:
+                        for at in range(x["start"], x["start"] + x["n"]):
+                            yield *hash_pair(data[8 * at : 8 * (at + width)]), rid, at, x["c"]
+
+        yield from batched(rows(), WINDOWS)
+
+    return docs.select("rid", "text", "runs").mapInArrow(run, ", ".join(f"{f.name} long" for f in WINDOWS))
+
+
 def _classes(previous: np.ndarray, words: np.ndarray, places: np.ndarray, within: np.ndarray) -> np.ndarray:
     """Classes after one more word: seeds of one class with the same word at `places`; -1 where the piece ends."""
     out = np.full(len(previous), -1, np.int64)
@@ -141,9 +161,13 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scrat
     """(rid, start, n): the windows at words start .. start + n - 1 of keyed documents occur elsewhere too."""
     scratch = scratch or Scratch(docs.sparkSession)
     table = scratch.table(word_runs(docs, width, gram), "runs")
-    whole, listed = candidates(table, scratch)
-    pieces = _pieces(docs.join(by_row(listed, "start", "n", "m", "c"), "rid"), width)
+    found = candidates(table, scratch)
+    pieces = _pieces(docs.join(by_row(found.pieces, "start", "n", "m", "c"), "rid"), width)
     dealt = pieces.repartition(F.col("m")).sortWithinPartitions("m")
+    whole = found.whole
+    if found.hot.take(1):
+        alone = scratch.table(_windows(docs.join(by_row(found.hot, "start", "n", "c"), "rid"), width), "windows")
+        whole = whole.unionByName(repeated_alone(alone))
     return scratch.table(whole.unionByName(_repeats(dealt, width, gram)), "ranges")
 
 
@@ -195,7 +219,7 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch:
     lengths = [i for i, c in enumerate(names) if c == "n_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = []
             for text, listed in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
                 texts.append(b" ".join(_kept(text.encode().split(), listed, width)).decode() if listed and text else text)

@@ -3,7 +3,8 @@
 Every byte is removed that lies in a string of `width` bytes which also starts elsewhere in the corpus. A suffix array
 over all of it would be some ten times the text, so the suffixes are dealt out first: each by the anchor of its first
 `width` bytes (see anchors.py), which equal strings share. An anchor that occurs once can't begin a repeat, and of equal
-runs of suffixes one is sorted for all. What is left is sorted bucket by bucket: in each, only the suffixes smaller than
+runs of suffixes one is sorted for all. What is left is sorted bucket by bucket, an anchor never being parted (those with very many contents are dealt by their strings' own
+hashes instead, which leaves nothing to sort): in each, only the suffixes smaller than
 their successors are sorted directly; the others are induced by one scan over the buckets of first bytes; neighbours in
 the finished array are then compared for their common prefix.
 """
@@ -19,8 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.anchors import RUNS, by_row, byte_words, candidates, grams, parts, portions, runs, spans
-from dirbook.llm.common import Scratch, batched, bytes_of, keyed
+from dirbook.llm.anchors import RUNS, by_row, byte_words, candidates, grams, parts, portions, repeated_alone, runs, spans
+from dirbook.llm.common import Scratch, batched, bytes_of, hash_pair, keyed
 
 WIDTH, GRAM = 200, 64
 #: Bytes sorted at once; an anchor's suffixes are never parted.
@@ -143,6 +144,25 @@ def _pieces(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("rid", "text", "runs").mapInArrow(run, "m long, rid long, start long, c long, piece binary")
 
 
+WINDOWS = pa.schema([(c, pa.int64()) for c in ("h1", "h2", "rid", "start", "c")])
+
+
+def _windows(docs: DataFrame, width: int) -> DataFrame:
+    """Hashes of all strings of the runs that documents (rid, text, runs) list: those of hot anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for rid, text, listed in zip(batch["rid"].to_pylist(), bytes_of(batch["text"]), batch["runs"].to_pylist()):
+                    for x in listed:
+                        for at in range(x["start"], x["start"] + x["n"]):
+                            yield *hash_pair(text[at : at + width]), rid, at, x["c"]
+
+        yield from batched(rows(), WINDOWS)
+
+    return docs.select("rid", "text", "runs").mapInArrow(run, ", ".join(f"{f.name} long" for f in WINDOWS))
+
+
 RANGES = pa.schema([("rid", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
 
 
@@ -182,9 +202,13 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scrat
     """(rid, start, n): strings of `width` bytes at start .. start + n - 1 of keyed documents occur elsewhere too."""
     scratch = scratch or Scratch(docs.sparkSession)
     table = scratch.table(byte_runs(docs, width, gram), "runs")
-    whole, listed = candidates(table, scratch)
-    pieces = _pieces(docs.join(by_row(listed, "start", "n", "m", "c"), "rid"), width)
+    found = candidates(table, scratch)
+    pieces = _pieces(docs.join(by_row(found.pieces, "start", "n", "m", "c"), "rid"), width)
     dealt = pieces.repartition(F.col("m")).sortWithinPartitions("m")
+    whole = found.whole
+    if found.hot.take(1):
+        alone = scratch.table(_windows(docs.join(by_row(found.hot, "start", "n", "c"), "rid"), width), "windows")
+        whole = whole.unionByName(repeated_alone(alone))
     return scratch.table(whole.unionByName(_repeats(dealt, width)), "ranges")
 
 

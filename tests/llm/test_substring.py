@@ -2,6 +2,9 @@ import random
 from collections import Counter
 from hashlib import sha256
 
+import pytest
+
+from dirbook.llm import anchors
 from dirbook.llm.substring import cut_repeats, remove_repeats
 
 
@@ -27,7 +30,9 @@ def check(spark, texts, width, gram):
         assert cut[i]["n_chars"] == (None if t is None else len(cut[i]["text"]))
 
 
-def test_equals_brute_force(spark, odd, empty):
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_equals_brute_force(spark, odd, empty, monkeypatch, hot):
+    monkeypatch.setattr(anchors, "HOT", hot)
     rng = random.Random(5)
     text = lambda n: " ".join(rng.choice(["a", "b", "c", "é", "d", "e", "f", "gg"]) for _ in range(n))
     passages = [text(40), text(25), text(14), "z " * 30]

@@ -2,9 +2,11 @@ import random
 from collections import Counter
 from hashlib import sha256
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from dirbook.llm import anchors
 from dirbook.llm.suffix_array import remove_repeats, repeated_starts, suffix_order
 
 
@@ -45,7 +47,9 @@ def check(spark, texts, width, gram):
     assert got == want
 
 
-def test_remove_repeats_equals_brute_force(spark, odd, empty):
+@pytest.mark.parametrize("hot", [4096, 1])
+def test_remove_repeats_equals_brute_force(spark, odd, empty, monkeypatch, hot):
+    monkeypatch.setattr(anchors, "HOT", hot)
     rng = random.Random(3)
     text = lambda n: "".join(rng.choice("abcdefgé \n") for _ in range(n))
     passages = [text(90), text(60), text(41), "z" * 80]
