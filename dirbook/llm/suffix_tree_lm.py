@@ -8,17 +8,20 @@ log-likelihood on the training texts than its parameters cost. Suffixes of state
 discounted, the freed mass goes to the suffix's distribution. A symbol is scored in the longest suffix of the text
 before it that is a state.
 
-The tree is bounded: strings count only from one in STRINGS of the training symbols on, so at most that many are kept of
-each length, and the gain asked for rises until the states hold MODEL_STRINGS at most. The base score's word counts are
-not: words that are one in FREQUENT_WORDS tokens or more are sent to all tasks, the counts of the others are joined to
-their occurrences.
-
-Counts travel as sorted arrays, dealt into blocks. A string's block goes by the two symbols before its last, so one block
-has all strings of three symbols and more with the same ending, and all next symbols of their contexts.
+A string is stored from LEAST occurrences on and a state from GAIN on, at every size of corpus, so the tree grows with
+what it is trained on. No task holds all of it. A string's block goes by the two symbols before its last, so one block
+has all strings of three symbols and more with the same ending, and all next symbols of their contexts: it makes its part
+of the tree alone, from the counts of pairs of symbols, which all tasks get. Contexts up to one symbol always are states.
+
+Documents are dealt into chunks of successive rows. A chunk sends each of its distinct strings to the string's block once,
+with its count in training texts; the block answers with the log10 probability (32 bits), and answers meet the chunk's
+texts. The base score's word counts: words that are one in FREQUENT_WORDS tokens or more are sent to all tasks, the counts
+of the others are joined to their occurrences.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,14 +33,16 @@ from pyspark.sql import functions as F
 from dirbook.llm.common import Scratch, bytes_of, keyed, word_ids
 
 DEPTH = 6
-STRINGS, MODEL_STRINGS, FREQUENT_WORDS = 3_000_000, 2_000_000, 4_000_000
+FREQUENT_WORDS = 4_000_000
+#: Occurrences in training texts from which on a string is stored.
+LEAST = 2
 #: Log-likelihood, in nats, that a stored symbol of a state must gain.
 GAIN = 3.0
 DISCOUNT = 0.75
 END = b"\n"
-_CHUNK, _HELD = 2 << 20, 14 << 20
-#: Kinds of counted keys: strings of symbols, words, texts.
-_STRING, _WORD, _TEXT = 0, 1, 2
+_CHUNK, _HELD, _MERGED = 2 << 20, 14 << 20, 4 << 20
+#: Kinds of counted keys: pairs of symbols, words, texts.
+_PAIR, _WORD, _TEXT = 0, 1, 2
 #: Context length from which on a block has all of a context.
 _WHOLE = 2
 
@@ -77,89 +82,197 @@ def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts[:0]
 
 
+def _inside(every: np.ndarray, begins: np.ndarray, depth: int) -> np.ndarray:
+    """Which strings do not reach into the next text's ends."""
+    inside = np.ones(len(every), bool)
+    ends = np.append(begins[1:], len(every))
+    for k in range(1, depth + 1):
+        inside[np.maximum(ends - k, 0)] = False
+    return inside
+
+
+def _by_block(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of sorted strings, and the order by block and string."""
+    block = (((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(40503) % np.uint64(blocks)).astype(np.int32)
+    return block, np.argsort(block, kind="stable")
+
+
 BLOCKS = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
 
-def _blocks(docs: DataFrame, depth: int, blocks: int) -> DataFrame:
-    """Strings, words and texts of the documents, counted within batches and dealt into blocks."""
+def _counts(training: DataFrame, blocks: int) -> DataFrame:
+    """(kind, key, n) of the pairs of symbols (parts to be added up), words and texts of the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = word_ids(lower=True)
+        pairs, texts_seen = np.zeros(1 << 16, np.int64), 0
         for batch in batches:
             texts = bytes_of(batch["text"])
-            found: dict[int, list] = {_STRING: [], _WORD: []}
-            counted = 0
+            texts_seen += len(texts)
+            found, counted = [], 0
             for a, b in chunks(texts):
                 if counted >= _HELD:  # what has been counted goes out, to bound memory
                     yield from dealt(found)
-                    found, counted = {_STRING: [], _WORD: []}, 0
+                    found, counted = [], 0
                 counted += sum(map(len, texts[a:b]))
-                words, symbols, begins = stream(texts[a:b], depth)
-                every = strings(symbols, depth)
-                inside = np.ones(len(every), bool)
-                ends = np.append(begins[1:], len(symbols) - 8)
-                for k in range(1, depth + 1):  # strings that reach into the next text's ends
-                    inside[np.maximum(ends - k, 0)] = False
-                found[_STRING].append(np.unique(every[inside], return_counts=True))
-                found[_WORD].append(np.unique(hashed.of([w for some in words for w in some]), return_counts=True))
+                words, symbols, begins = stream(texts[a:b], 1)
+                every = strings(symbols, 1)
+                pairs += np.bincount(every[_inside(every, begins, 1)].astype(np.int64), minlength=1 << 16)
+                found.append(np.unique(hashed.of([w for some in words for w in some]), return_counts=True))
             yield from dealt(found)
-            yield pa.RecordBatch.from_pydict({"kind": [_TEXT], "block": [0], "keys": [bytes(8)], "counts": [np.array([len(texts)]).tobytes()]}, BLOCKS)
-
-    def dealt(found: dict[int, list]) -> Iterator[pa.RecordBatch]:
-        for kind, parts in found.items():
-            keys, counts = _counted(parts) if parts else ([], [])
-            if not len(keys):
-                continue
-            by = ((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(40503) if kind == _STRING else keys >> np.uint64(20)
-            block = (by % np.uint64(blocks)).astype(np.int32)
-            order = np.argsort(block, kind="stable")
-            keys, counts, block = keys[order], counts[order], block[order]
-            cuts = np.flatnonzero(np.diff(block)) + 1
-            rows = [np.full(len(cuts) + 1, kind, np.int32), block[np.append(0, cuts)].astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, rows), *(pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (keys, counts.astype(np.int64)))], schema=BLOCKS)
+        if texts_seen:
+            keys = np.flatnonzero(pairs)
+            yield pa.RecordBatch.from_pydict({"kind": [_PAIR, _TEXT], "block": [0, 0], "keys": [keys.astype(np.uint64).tobytes(), bytes(8)], "counts": [pairs[keys].tobytes(), np.array([texts_seen]).tobytes()]}, BLOCKS)
 
-    return docs.select("text").mapInArrow(run, "kind int, block long, keys binary, counts binary")
-
-
-COUNTS = pa.schema([("kind", pa.int32()), ("d", pa.int32()), ("key", pa.int64()), ("n", pa.int64()), ("of", pa.int64())])
-
-
-def _merged(blocks: DataFrame, depth: int, least: int) -> DataFrame:
-    """(kind, d, key, n, of): of strings, for each context length d, those that occur `least` times and how often their
-    contexts do; all strings below _WHOLE, as parts to be added up, of unknown `of`. Words and texts as they are."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt(parts: list) -> Iterator[pa.RecordBatch]:
+        keys, counts = _counted(parts) if parts else ([], [])
+        if not len(keys):
+            return
+        block = ((keys >> np.uint64(20)) % np.uint64(blocks)).astype(np.int32)
+        order = np.argsort(block, kind="stable")
+        keys, counts, block = keys[order], counts[order], block[order]
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        rows = [np.full(len(cuts) + 1, _WORD, np.int32), block[np.append(0, cuts)].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, rows), *(pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (keys, counts.astype(np.int64)))], schema=BLOCKS)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, held = None, []
         for batch in batches:
             for kind, block, keys, counts in zip(*(batch[c].to_pylist() for c in ("kind", "block", "keys", "counts"))):
                 if name != (kind, block) and held:
-                    yield from flush(name[0], held)
+                    yield flush(name[0], held)
                     held = []
                 name = kind, block
                 held.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)))
         if held:
-            yield from flush(name[0], held)
+            yield flush(name[0], held)
 
-    def flush(kind: int, held: list) -> Iterator[pa.RecordBatch]:
+    def flush(kind: int, held: list) -> pa.RecordBatch:
         keys, n = _counted(held)
-        if kind != _STRING:
-            yield batch_of(kind, 0, keys, n, n)
-            return
-        for d in range(depth, -1, -1):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["kind", "key", "n"])
+
+    sent = training.select("text").mapInArrow(run, "kind int, block long, keys binary, counts binary")
+    return sent.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(merge, "kind int, key long, n long")
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of successive rows with the chunk they belong to: the first rid of rows that have _HELD bytes together. That
+    goes by the rows of a partition alone, not by its batches."""
+    chunk, held = None, 0
+    for batch in batches:
+        rids, first = batch["rid"].to_pylist(), 0
+        for i, text in enumerate(bytes_of(batch["text"])):
+            if chunk is None or held >= _HELD:
+                if i > first:
+                    yield chunk, batch.slice(first, i - first)
+                chunk, held, first = rids[i], 0, i
+            held += len(text) + 1
+        if batch.num_rows > first:
+            yield chunk, batch.slice(first)
+
+
+REQUESTS = pa.schema([("chunk", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _requests(rows: DataFrame, depth: int, blocks: int) -> DataFrame:
+    """(chunk, block, keys, counts): the distinct strings of a chunk's texts, and their counts in training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, found = None, []
+        for chunk, part in _chunked(batches):
+            if chunk != last and found:
+                yield dealt(last, found)
+                found = []
+            last = chunk
+            texts, trains = bytes_of(part["text"]), ~np.array(part["held_out"].to_pylist(), bool)
+            for a, b in chunks(texts):
+                _, symbols, begins = stream(texts[a:b], depth)
+                every = strings(symbols, depth)
+                inside = _inside(every, begins, depth)
+                learned = inside & np.repeat(trains[a:b], np.diff(begins, append=len(every)))
+                found.append(np.unique(every[learned], return_counts=True))
+                seen = np.unique(every[inside & ~learned])
+                found.append((seen, np.zeros(len(seen), np.int64)))
+        if found:
+            yield dealt(last, found)
+
+    def dealt(chunk: int, found: list) -> pa.RecordBatch:
+        keys, counts = _counted(found)
+        block, order = _by_block(keys, blocks)
+        keys, counts, block = keys[order], counts[order], block[order]
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        rows = [np.full(len(cuts) + 1, chunk, np.int64), block[np.append(0, cuts)].astype(np.int64)]
+        return pa.RecordBatch.from_arrays([*map(pa.array, rows), *(pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (keys, counts.astype(np.int64)))], schema=REQUESTS)
+
+    return rows.select("rid", "held_out", "text").mapInArrow(run, "chunk long, block long, keys binary, counts binary")
+
+
+#: Kinds of rows that meet at a chunk: answers of blocks, documents, numbers of a block's states.
+_ANSWER, _DOCUMENT, _STATES = 0, 1, 2
+MEETING = "kind int, chunk long, at long, doc_id long, held_out boolean, data binary"
+_MEETING = pa.schema([(c.split()[0], {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[c.split()[1]]) for c in MEETING.split(", ")])
+
+
+def _answers(requests: DataFrame, depth: int, low) -> DataFrame:
+    """MEETING rows: for each request the scores of its strings (chunk, block, data), for each block how many states it has
+    (at). `low`: the levels below _WHOLE and the probabilities of the last of them, broadcast."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, work = None, None
+        for batch in batches:
+            for chunk, block, keys, counts in zip(*(batch[c].to_pylist() for c in ("chunk", "block", "keys", "counts"))):
+                if block != last and work:
+                    yield from flush(last, *work)
+                    work = None
+                last, work = block, work or ([], [], tempfile.TemporaryFile())
+                asked, parts, spool = work
+                asked.append((chunk, len(keys)))
+                spool.write(keys)  # read again when the block's tree is known
+                parts.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)))
+                if sum(len(p[0]) for p in parts) > max(_MERGED, 2 * len(parts[0][0])):
+                    parts[:] = [_learned(parts)]
+        if work:
+            yield from flush(last, *work)
+
+    def flush(block: int, asked: list, parts: list, spool) -> Iterator[pa.RecordBatch]:
+        lower, before = low.value
+        keys, n = _learned(parts)
+        table = {}
+        for d in range(depth, _WHOLE - 1, -1):
             if d < depth:
                 keys, n = _counted([(keys & np.uint64((1 << (8 * (d + 1))) - 1), n)])
-            if d < _WHOLE:
-                yield batch_of(kind, d, keys, n, np.zeros(len(n), np.int64))
-            else:
-                states, which = np.unique(keys >> np.uint64(8), return_inverse=True)
-                of = np.bincount(which, n, len(states)).astype(np.int64)[which]
-                yield batch_of(kind, d, keys[n >= least], n[n >= least], of[n >= least])
+            states, which = np.unique(keys >> np.uint64(8), return_inverse=True)
+            of = np.bincount(which, n, len(states))[which]
+            stored = n >= LEAST
+            table[d] = keys[stored], n[stored].astype(float), of[stored]
+        levels = tree(table, before=before)
+        scorer = Scorer([*lower, *levels])
+        spool.seek(0)
+        with spool:
+            for chunk, size in asked:
+                yield meeting(_ANSWER, chunk, block, scorer(np.frombuffer(spool.read(size), np.uint64)).astype(np.float32).tobytes())
+        yield meeting(_STATES, block, sum(len(x.states) for x in levels), None)
+
+    def meeting(kind: int, chunk: int, at: int, data: bytes | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{"kind": kind, "chunk": chunk, "at": at, "data": data}], schema=_MEETING)
+
+    return requests.repartition(F.col("block")).sortWithinPartitions("block", "chunk").mapInArrow(run, MEETING)
 
-    def batch_of(kind: int, d: int, keys: np.ndarray, n: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
-        same = [pa.array(np.full(len(keys), x, np.int32)) for x in (kind, d)]
-        return pa.RecordBatch.from_arrays([*same, pa.array(keys.view(np.int64)), pa.array(n), pa.array(of)], schema=COUNTS)
 
-    return blocks.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(run, "kind int, d int, key long, n long, of long")
+def _learned(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = _counted(parts)
+    return keys[n > 0], n[n > 0]
+
+
+def _tagged(rows: DataFrame) -> DataFrame:
+    """MEETING rows of the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, part in _chunked(batches):
+            same = [pa.array(np.full(part.num_rows, x), k) for x, k in ((_DOCUMENT, pa.int32()), (chunk, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*same, part["rid"], part["doc_id"], part["held_out"], part["text"].cast(pa.binary())], schema=_MEETING)
+
+    return rows.select("rid", "doc_id", "held_out", "text").mapInArrow(run, MEETING)
 
 
 class Level(NamedTuple):
@@ -172,12 +285,13 @@ class Level(NamedTuple):
     left: np.ndarray
 
 
-def tree(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], gain: float = GAIN) -> list[Level]:
-    """The tree from, for each context length, (keys, counts, counts of their contexts)."""
+def tree(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], gain: float = GAIN, before: tuple[np.ndarray, np.ndarray] | None = None) -> list[Level]:
+    """The tree from, for each context length, (keys, counts, counts of their contexts). Of a block, the part from _WHOLE
+    on; `before`: the sorted strings a symbol shorter than its first, with their probabilities."""
     levels: list[Level] = []
     kept: list[np.ndarray] = []
     whole: list[tuple] = []
-    before = None
+    least = min(table)
     for d in sorted(table):
         keys, n, of = (x[np.argsort(table[d][0], kind="stable")] for x in table[d])
         states, first, which = np.unique(keys >> np.uint64(8), return_index=True, return_inverse=True)
@@ -195,10 +309,9 @@ def tree(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], gain: floa
         kept.append(keep)
         whole.append((keys, p, states, left, which))
         before = (keys, p)
-    for d in range(len(whole) - 1, 0, -1):  # a state's suffix is a state
-        if d + 1 < len(whole):
-            longer = whole[d + 1][2][kept[d + 1]] & np.uint64((1 << (8 * d)) - 1)
-            kept[d] |= np.isin(whole[d][2], longer)
+    for k in range(len(whole) - 2, -1, -1):  # a state's suffix is a state
+        longer = whole[k + 1][2][kept[k + 1]] & np.uint64((1 << (8 * (k + least))) - 1)
+        kept[k] |= np.isin(whole[k][2], longer)
     for (keys, p, states, left, which), keep in zip(whole, kept):
         levels.append(Level(keys[keep[which]], np.log10(p[keep[which]]), states[keep], np.log10(left[keep])))
     return levels
@@ -263,6 +376,7 @@ def held_out_column() -> Column:
 
 
 SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"
+_SCORED = pa.schema([(c.split()[0], {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "array<long>": pa.list_(pa.int64())}[c.split()[1]]) for c in SCORED.split(", ")])
 
 
 def score(docs: DataFrame, depth: int = DEPTH, scratch: Scratch | None = None) -> DataFrame:
@@ -276,58 +390,90 @@ def score(docs: DataFrame, depth: int = DEPTH, scratch: Scratch | None = None) -
     scratch = scratch or Scratch(spark)
     rows = keyed(docs).withColumn("held_out", held_out_column())
     training = rows.where("not held_out")
-    size = training.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    least = max(2, -(-((size[0] or 0) + size[1]) // STRINGS))
-    blocks = _blocks(training, depth, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = scratch.table(_merged(blocks, depth, least), "counts")
-    totals = {r["kind"]: (r["n"], r["d"]) for r in counts.where(F.col("kind") != _STRING).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect()}
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = scratch.table(_counts(training, blocks), "counts")
+    totals = {r["kind"]: (r["n"], r["d"]) for r in counts.where(F.col("kind") != _PAIR).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect()}
     texts = totals.get(_TEXT, (0, 0))[0]
     n_words, distinct = totals.get(_WORD, (0, 0))
     tokens, known = n_words + texts, distinct + (texts > 0)
-    levels = _bounded(_table(counts, depth, least), MODEL_STRINGS)
+    lower, before = _lower(counts.where(F.col("kind") == _PAIR).groupBy("key").agg(F.sum("n").alias("n")).toArrow())
     # at most FREQUENT_WORDS words have that many occurrences
     least = max(2, -(-n_words // FREQUENT_WORDS))
     words = counts.where(F.col("kind") == _WORD).select("key", "n")
     often = words.where(F.col("n") >= least).toArrow()
     order = np.argsort(often["key"].to_numpy().view(np.uint64))
-    model = spark.sparkContext.broadcast((levels, often["key"].to_numpy().view(np.uint64)[order], often["n"].to_numpy()[order]))
+    model = spark.sparkContext.broadcast((often["key"].to_numpy().view(np.uint64)[order], often["n"].to_numpy()[order]))
+    low = spark.sparkContext.broadcast((lower, before))
     below = tokens + 0.1 * (known + 1)
     end = float(np.log10((texts + 0.1) / below))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, names, times = model.value
-        scores = np.log10((times + 0.1) / below)
-        scorer, hashed = Scorer(levels), word_ids(lower=True)
+        last, answers, documents = None, [], []
         for batch in batches:
-            texts_here = bytes_of(batch["text"])
-            for a, b in chunks(texts_here):
-                parts, symbols, begins = stream(texts_here[a:b], depth)
-                n = np.array([len(p) for p in parts], np.int64)
-                sums = _sums(scorer(strings(symbols, depth)), begins, np.append(begins[1:], len(symbols) - 8) - depth)
-                ids = hashed.of([w for some in parts for w in some])
-                owner = np.repeat(np.arange(len(n)), n)
-                at, found = _at(names, ids)
-                base = np.bincount(owner[found], scores[at[found]], len(n)) if len(names) else np.zeros(len(n))
-                n_known = np.bincount(owner[found], minlength=len(n))
-                which, word = owner[~found], ids[~found]
-                order = np.lexsort((word, which))
-                which, word = which[order], word[order]
-                new = np.ones(len(word), bool)
-                new[1:] = (which[1:] != which[:-1]) | (word[1:] != word[:-1])
-                first = np.flatnonzero(new)
-                offsets = np.append(np.searchsorted(which[first], np.arange(len(n))), len(first)).astype(np.int32)
-                rare = pa.ListArray.from_arrays(offsets, pa.array(word[first].view(np.int64)))
-                often_in = pa.ListArray.from_arrays(offsets, pa.array(np.diff(first, append=len(word))))
-                here = batch.slice(a, b - a)
-                columns = [here["rid"], here["doc_id"], here["held_out"], pa.array(n + 1), pa.array(n_known + (texts > 0)), pa.array(base + end), pa.array(sums), rare, often_in]
-                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCORED.split(", ")])
-
-    scored = scratch.table(rows.mapInArrow(run, SCORED), "scored")
+            for kind, chunk, at, doc_id, held_out, data in zip(*(batch[c].to_pylist() for c in _MEETING.names)):
+                if kind == _STATES:
+                    yield pa.RecordBatch.from_pylist([{"n_tokens": at}], schema=_SCORED)
+                    continue
+                if chunk != last:
+                    yield from scored_rows(answers, documents)
+                    last, answers, documents = chunk, [], []
+                if kind == _ANSWER:
+                    answers.append(np.frombuffer(data, np.float32))
+                else:
+                    documents.append((at, doc_id, held_out, data))
+        yield from scored_rows(answers, documents)
+
+    def scored_rows(answers: list, documents: list) -> Iterator[pa.RecordBatch]:
+        if not documents:
+            return
+        names, times = model.value
+        scores = np.log10((times + 0.1) / below)
+        hashed = word_ids(lower=True)
+        texts_here = [x[3] for x in documents]
+        pieces = list(chunks(texts_here))
+        keys = None
+        for a, b in pieces:  # the strings that the chunk asked for, in the order of its answers
+            _, symbols, begins = stream(texts_here[a:b], depth)
+            every = strings(symbols, depth)
+            found = np.unique(every[_inside(every, begins, depth)])
+            keys = found if keys is None else np.union1d(keys, found)
+        _, order = _by_block(keys, blocks)
+        score_of = np.empty(len(keys))
+        score_of[order] = np.concatenate(answers)
+        for a, b in pieces:
+            parts, symbols, begins = stream(texts_here[a:b], depth)
+            every = strings(symbols, depth)
+            inside = _inside(every, begins, depth)
+            mine, which = np.unique(every[inside], return_inverse=True)
+            values = np.zeros(len(every))
+            values[inside] = score_of[np.searchsorted(keys, mine)][which]
+            n = np.array([len(p) for p in parts], np.int64)
+            sums = _sums(values, begins, np.append(begins[1:], len(symbols) - 8) - depth)
+            ids = hashed.of([w for some in parts for w in some])
+            owner = np.repeat(np.arange(len(n)), n)
+            at, found = _at(names, ids)
+            base = np.bincount(owner[found], scores[at[found]], len(n)) if len(names) else np.zeros(len(n))
+            n_known = np.bincount(owner[found], minlength=len(n))
+            owners, word = owner[~found], ids[~found]
+            order = np.lexsort((word, owners))
+            owners, word = owners[order], word[order]
+            new = np.ones(len(word), bool)
+            new[1:] = (owners[1:] != owners[:-1]) | (word[1:] != word[:-1])
+            first = np.flatnonzero(new)
+            offsets = np.append(np.searchsorted(owners[first], np.arange(len(n))), len(first)).astype(np.int32)
+            rare = pa.ListArray.from_arrays(offsets, pa.array(word[first].view(np.int64)))
+            often_in = pa.ListArray.from_arrays(offsets, pa.array(np.diff(first, append=len(word))))
+            rid, doc_id, held_out = (pa.array([x[k] for x in documents[a:b]], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_())))
+            yield pa.RecordBatch.from_arrays([rid, doc_id, held_out, pa.array(n + 1), pa.array(n_known + (texts > 0)), pa.array(base + end), pa.array(sums), rare, often_in], schema=_SCORED)
+
+    met = _answers(_requests(rows, depth, blocks), depth, low).unionByName(_tagged(rows)).repartition(F.col("chunk")).sortWithinPartitions("chunk", "kind", "at")
+    scored = scratch.table(met.mapInArrow(run, SCORED), "scored")
+    states = sum(len(x.states) for x in lower) + (scored.where("rid is null").agg(F.sum("n_tokens")).first()[0] or 0)
+    scored = scored.where("rid is not null")
     rest = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
     seldom = words.where(F.col("n") < least)
     c = F.coalesce("n", F.lit(0))
     sums = rest.join(seldom, "key", "left").groupBy("rid").agg(F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(below))).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    states = sum(len(x.states) for x in levels)
     return scored.drop("rare", "times").join(sums, "rid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score", F.lit(states).cast("long").alias("n_states"),
@@ -340,27 +486,15 @@ def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarra
     return np.add.reduceat(np.append(values, 0.0), bounds)[::2]
 
 
-def _table(counts: DataFrame, depth: int, least: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Strings of each length that occur `least` times, and how often their contexts do."""
-    rows = counts.where(F.col("kind") == _STRING)
-    short = rows.where(F.col("d") < _WHOLE).groupBy("d", "key").agg(F.sum("n").alias("n"), F.sum("of").alias("of"))
-    kept = rows.where(F.col("d") >= _WHOLE).select("d", "key", "n", "of").unionByName(short).toArrow()
-    d, key, n, of = (kept[c].to_numpy() for c in ("d", "key", "n", "of"))
-    out = {}
-    for k in range(depth + 1):
-        keys, counted, contexts = key[d == k].view(np.uint64), n[d == k].astype(float), of[d == k].astype(float)
-        if k < _WHOLE:
-            which = np.unique(keys >> np.uint64(8), return_inverse=True)[1]
-            contexts = np.bincount(which, counted)[which] if len(keys) else counted
-            keys, counted, contexts = (x[counted >= least] for x in (keys, counted, contexts))
-        out[k] = keys, counted, contexts
-    return out
-
-
-def _bounded(table: dict, most: int) -> list[Level]:
-    gain = GAIN
-    while True:
-        levels = tree(table, gain)
-        if sum(len(x.keys) for x in levels) <= most or gain > 1e12:
-            return levels
-        gain *= 2
+def _lower(pairs: pa.Table) -> tuple[list[Level], tuple[np.ndarray, np.ndarray]]:
+    """The levels below _WHOLE, all of whose contexts are states, from pairs (key, n); and the last one's probabilities."""
+    keys, n = _counted([(pairs["key"].to_numpy().view(np.uint64), pairs["n"].to_numpy())])
+    table = {}
+    for d in range(_WHOLE - 1, -1, -1):
+        if d < _WHOLE - 1:
+            keys, n = _counted([(keys & np.uint64((1 << (8 * (d + 1))) - 1), n)])
+        which = np.unique(keys >> np.uint64(8), return_inverse=True)[1]
+        of = np.bincount(which, n)[which] if len(keys) else n.astype(float)
+        table[d] = keys[n >= LEAST], n[n >= LEAST].astype(float), of[n >= LEAST]
+    levels = tree(table, gain=-np.inf)
+    return levels, (levels[-1].keys, 10 ** levels[-1].score)

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from dirbook.llm.suffix_tree_lm import Scorer, score, string_scores, tree
+from dirbook.llm.suffix_tree_lm import Scorer, score, stream, string_scores, strings, tree
 
 
 def held(doc_id):
@@ -80,3 +80,30 @@ def test_score(spark, odd, empty):
     assert score(empty).count() == 0
     alone = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")  # all held out
     assert Counter((r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score(alone).collect()) == Counter([(3, 0, 0), (1, 0, 0)])
+
+
+def test_states_do_not_depend_on_the_size_of_the_corpus(spark):
+    """Strings of three occurrences make states among twelve million symbols, and blocks give the tree as a whole."""
+    rng = random.Random(3)
+    common = ["w%d" % i for i in range(300)]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(12000))) for i in range(260)]
+    rows += [(1000 + i, "zq xj kv wq jx %d" % (i % 5)) for i in range(15)]
+    got = {r["doc_id"]: r for r in score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    depth, every = 6, []
+    for d, t in rows:
+        if not held(d):
+            _, symbols, _ = stream([t.encode()], depth)
+            every.append(strings(symbols, depth)[: len(t) + 1])
+    keys, n = np.unique(np.concatenate(every), return_counts=True)
+    table = {}
+    for d in range(depth, -1, -1):
+        short, which = np.unique(keys & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
+        m = np.bincount(which, n)
+        states, which = np.unique(short >> np.uint64(8), return_inverse=True)
+        table[d] = short[m >= 2], m[m >= 2], np.bincount(which, m)[which][m >= 2]
+    levels = tree(table)
+    low = tree({d: table[d] for d in (0, 1)}, gain=-np.inf)
+    assert {r["n_states"] for r in got.values()} == {sum(len(x.states) for x in [*low, *levels[2:]])}
+    for d, t in rows[::20] + rows[-15:]:
+        _, symbols, _ = stream([t.encode()], depth)
+        assert abs(string_scores([*low, *levels[2:]], strings(symbols, depth)[: len(t) + 1]).sum() - got[d]["score"]) < 1e-3
