@@ -1,8 +1,10 @@
 """What the corpus operators share: row keys, shared scratch folders, word splitting and hashing.
 
 Row keys. A document is one row of the input, whatever its doc_id: doc_id may be null or occur twice. Each
-operator therefore numbers rows by their place in the scan (`rid`). That number is the same in every reading of
-files, tables and checkpoints, so the input must be one of those and not, say, the unsorted result of a shuffle.
+operator therefore numbers rows by their place in the scan (`rid`). So that this number is the same in every reading of
+files, tables and checkpoints, the first operator fixes the session's spark.sql.files.minPartitionNum: otherwise Spark
+splits files by the cores registered at that moment, and rows would change numbers when an executor is lost or added.
+The input must be one of these and not, say, the unsorted result of a shuffle.
 """
 
 from __future__ import annotations
@@ -14,17 +16,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space, where words of `[^\x20\x09-\x0D]+` end. bytes.split() uses the same six.
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+def row_number(rows: DataFrame) -> Column:
+    """The number of each row of a scan, whatever cores there are in later scans."""
+    spark = rows.sparkSession
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+    return F.monotonically_increasing_id()
+
+
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(rid, key, text) of every row; null texts become empty. Other columns, whatever their names, are left out."""
     return docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+        row_number(docs).alias("rid"),
         docs[key].cast("long").alias(key),
         F.coalesce(docs[text].cast("string"), F.lit("")).alias(text),
     )

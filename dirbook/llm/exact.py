@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch, keyed
+from dirbook.llm.common import Scratch, keyed, row_number
 
 BLOCK = 4096
 
@@ -83,4 +83,4 @@ def exact_groups(docs: DataFrame, block: int = BLOCK, scratch: Scratch | None =
 def drop_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """docs without the rows whose text another row keeps; all columns."""
     dropped = exact_groups(docs, scratch=scratch).where("not kept").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(dropped, "__rid", "left_anti").drop("__rid")
+    return docs.withColumn("__rid", row_number(docs)).join(dropped, "__rid", "left_anti").drop("__rid")

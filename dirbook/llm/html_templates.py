@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch
+from dirbook.llm.common import Scratch, row_number
 
 #: A subtree is template if it recurs on this many pages of its host, and on this share of them.
 MANY_PAGES, MANY_SHARE = 5, 0.2
@@ -173,7 +173,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
             columns = [[host_of(u) for u in urls], [[t for t, _ in p.blocks] for p in found], [[x for _, x in p.blocks] for p in found], [p.subtrees for p in found]]
             yield pa.RecordBatch.from_arrays([batch["rid"], batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(columns, kinds[3:]))], names)
 
-    rows = pages.select(F.monotonically_increasing_id().alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
+    rows = pages.select(row_number(pages).alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     return rows.mapInArrow(run, PARSED)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import grams, mix
-from dirbook.llm.common import Scratch, bytes_of, keyed, word_ids
+from dirbook.llm.common import Scratch, bytes_of, keyed, row_number, word_ids
 
 WORDS, SIMILAR = 5, 80
 #: A token is frequent if FREQUENT nodes have it at least; at most MOST_FREQUENT tokens are, by raising that bound.
@@ -433,4 +433,4 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scr
     first = found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("first"), F.count("*").alias("c"))
     first = scratch.table(first.where("c > 1"), "first")
     dropped = found.where("n_shingles > 0").join(first, "component_id").where("rid <> first.rid").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(dropped, "__rid", "left_anti").drop("__rid")
+    return docs.withColumn("__rid", row_number(docs)).join(dropped, "__rid", "left_anti").drop("__rid")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import RUNS, by_row, candidates, grams, parts, portions, repeated_alone, runs, spans
-from dirbook.llm.common import Scratch, batched, bytes_of, hash_pair, keyed, slices, word_ids
+from dirbook.llm.common import Scratch, batched, bytes_of, hash_pair, keyed, row_number, slices, word_ids
 from dirbook.llm.suffix_array import PIECES, RANGES, WINDOWS, buckets
 
 WIDTH, GRAM = 35, 8
@@ -229,5 +229,5 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch:
                 columns[i] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    joined = docs.withColumn("__rid", F.monotonically_increasing_id()).join(cut, "__rid", "left").drop("__rid")
+    joined = docs.withColumn("__rid", row_number(docs)).join(cut, "__rid", "left").drop("__rid")
     return joined.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch, bytes_of
+from dirbook.llm.common import Scratch, bytes_of, row_number
 
 VERSION = b"WARC/1.1\r\n"
 FILE_BYTES = 64 << 20
@@ -210,7 +210,7 @@ def write_archives(pages: DataFrame, folder: str, least_revisit: int = 0, scratc
     spark: SparkSession = pages.sparkSession
     scratch = scratch or Scratch(spark)
     html = F.coalesce(pages["html"].cast("string"), F.lit(""))
-    rows = pages.select(F.monotonically_increasing_id().alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"))
+    rows = pages.select(row_number(pages).alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"))
     digests = rows.select("rid", "page_id", F.unhex(F.sha2("html", 256)).alias("digest"), F.octet_length("html").alias("n")).where(F.col("n") >= least_revisit)
     groups = digests.groupBy("digest", "n").agg(F.max(F.struct("page_id", "rid")).alias("last"), F.count("*").alias("size")).where("size > 1")
     revisits = digests.join(groups, ["digest", "n"]).where("rid != last.rid").select("rid", F.col("last.rid").alias("original"), F.col("last.page_id").alias("refers_to"))
