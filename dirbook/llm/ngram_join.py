@@ -360,12 +360,13 @@ def connect(links: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
 
 
 def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scratch: Scratch | None = None) -> DataFrame:
-    """(rid, doc_id, n_shingles, component_id) of each row of docs(doc_id, text).
+    """(rid, doc_id, n_shingles, component_id, comp) of each row of docs(doc_id, text).
 
     A set is the distinct shingles of `words` words, lower-cased A-Z; with fewer words, their sequence is the one
     shingle. Texts that are null or without words have no shingles, link with nothing and are their own component, under
     their own doc_id. Others link when they share `percent` of their union at least; component_id is the least doc_id
-    that links reach (null only if all of them are). Repeated rows link with each other. An empty table gives no rows.
+    that links reach (null only if all of them are), and may be that of two components where ids repeat; comp is the
+    component's own name, null where there are no shingles. Repeated rows link with each other. An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
@@ -403,8 +404,8 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scra
         centers *= 4
     placed = scratch.table(sets.join(comps, "node", "left").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "node")).alias("comp")), "placed")
     least = scratch.table(placed.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
-    inside = placed.where("comp is not null").join(least, "comp").select("rid", "doc_id", "n_shingles", "component_id")
-    return inside.unionByName(placed.where("comp is null").select("rid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    inside = placed.where("comp is not null").join(least, "comp").select("rid", "doc_id", "n_shingles", "component_id", "comp")
+    return inside.unionByName(placed.where("comp is null").select("rid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "comp"))
 
 
 def _more_pairs(members: DataFrame, comps: DataFrame, maps: DataFrame, done: DataFrame, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame, DataFrame]:
@@ -427,10 +428,10 @@ def _more_pairs(members: DataFrame, comps: DataFrame, maps: DataFrame, done: Dat
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scratch: Scratch | None = None) -> DataFrame:
-    """docs with one row of each component: of those with the least doc_id, the first in the scan. All columns."""
+    """docs with one row of each component: of those with the least doc_id (null is the smallest), the first in the scan. All columns."""
     scratch = scratch or Scratch(docs.sparkSession)
     found = scratch.table(components(docs, words, percent, scratch), "components")
-    first = found.where("n_shingles > 0 and component_id is not null").groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("first"), F.count("*").alias("c"))
+    first = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "rid")).getField("rid").alias("first"), F.count("*").alias("c"))
     first = scratch.table(first.where("c > 1"), "first")
-    dropped = found.where("n_shingles > 0").join(first, "component_id").where("rid <> first.rid").select(F.col("rid").alias("__rid"))
+    dropped = found.join(first, "comp").where("rid <> first").select(F.col("rid").alias("__rid"))
     return docs.withColumn("__rid", row_number(docs)).join(dropped, "__rid", "left_anti").drop("__rid")

@@ -102,3 +102,11 @@ def test_connect_long_chain(spark):
     links = [(nodes[i], nodes[i + 1]) for i in range(99)] + [(500, 400), (400, 450)]
     got = {r["node"]: r["comp"] for r in connect(spark.createDataFrame(links, "a long, b long"), scratch).collect()}
     assert got == {**{n: min(nodes[:100]) for n in nodes[:100]}, 500: 400, 400: 400, 450: 400}
+
+
+def test_near_copies_go_by_component_not_by_id(spark):
+    """Unrelated texts that share an id all stay; near copies without ids are reduced."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(6, a, 0), (6, b, 1), (7, c, 2), (8, c + " more", 3), (7, b + " more", 4), (None, "x " + " ".join(f"n{i}" for i in range(60)), 5), (None, " ".join(f"n{i}" for i in range(60)), 6), (None, "", 7), (None, None, 8), (6, "", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place int")
+    assert sorted(r["place"] for r in one_of_each(docs.coalesce(1)).collect()) == [0, 1, 2, 5, 7, 8, 9]
