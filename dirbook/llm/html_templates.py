@@ -1,9 +1,9 @@
 """Main text of web pages by removing site templates.
 
 Each page is parsed once. Elements that hold no article text by their kind (scripts, menus, forms) or by a word in their
-class, id or role (adverts, comments) are left out at once. Every other container's subtree is hashed; Spark counts each
+class, id or role (adverts, comments) are left out at once; names never hide the page's body or article. Every other container's subtree is hashed; Spark counts each
 hash per host, and subtrees that recur on many pages of their host are deleted as the site's template. Where a page marks
-its article, blocks outside it are no candidates; paragraphs and headings are never taken for templates themselves, as
+one article or its main element, blocks outside it are left out; paragraphs and headings are never taken for templates themselves, as
 articles of a site do quote the same passages.
 
 Pages are not shuffled: what a parse yields is written once, and only pages with a template subtree are joined to the
@@ -48,7 +48,23 @@ _NAMED = frozenset(
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[a-z]{2,}")
+#: First words of names that tell a state of the page, and words that may follow one of _NAMED in the name of its parts.
+_STATES = frozenset("has have with without no not is are show hide".split())
+_PARTS = frozenset(
+    "area bar block body bottom box button buttons center col column container content element form group heading holder icon icons inner inside item items left link links list main module outer panel placeholder posts primary right row secondary section slot text title top unit wrap wrapper zone".split()
+)
+#: What a name never hides, nor an element around the page's only ones of the latter two.
+_NEVER_NAMED = frozenset("html body main article".split())
+
+
+def _names_boilerplate(name: str) -> bool:
+    """Whether one name is a word of _NAMED, ends with one (`site-footer`) or is one's part (`comment-list`); names of
+    states (`with-sidebar`, `comments-open`) are not."""
+    words = _WORDS.findall(name)
+    if not words or words[0] in _STATES:
+        return False
+    return words[-1] in _NAMED or words[0] in _NAMED and all(w in _NAMED or w in _PARTS for w in words)
 
 
 def _marked(attributes: str) -> tuple[bool, bool]:
@@ -57,7 +73,7 @@ def _marked(attributes: str) -> tuple[bool, bool]:
     for m in _ATTRIBUTE.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         main |= m[1].lower() == "role" and value.strip() == "main"
-        named |= not _NAMED.isdisjoint(_WORDS.findall(value))
+        named |= any(map(_names_boilerplate, value.split()))
     return named and not main, main
 
 
@@ -67,6 +83,7 @@ class Open(NamedTuple):
     node: int
     hidden: bool
     main: int
+    named: tuple[int, ...]
 
 
 class Page(NamedTuple):
@@ -78,19 +95,21 @@ class Page(NamedTuple):
 
 def parse(source: str) -> Page:
     """Blocks of a page in order, without what its kind or name gives away."""
-    # each block: text, whether it lies in a marked article, numbers of the enclosing candidate elements
-    blocks: list[tuple[str, bool, tuple[int, ...]]] = []
+    # each block: text, whether it lies in a marked article, numbers of the enclosing candidate and named elements
+    blocks: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []
     stack: list[Open] = []
     ends: dict[int, tuple[int, int]] = {}
     pieces: list[str] = []
-    at = nodes = 0
-    marked = False
+    within: dict[int, tuple[int, ...]] = {}
+    at = nodes = wrappers = 0
+    # of outermost article and main elements, whether it is an article and the named elements around it
+    opened: list[tuple[bool, tuple[int, ...]]] = []
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         pieces.clear()
         if text:
-            blocks.append((text, bool(stack and stack[-1].main), tuple(x.node for x in stack if x.node >= 0)))
+            blocks.append((text, bool(stack and stack[-1].main), tuple(x.node for x in stack if x.node >= 0), stack[-1].named if stack else ()))
 
     def close(until: int, end: int) -> None:
         while len(stack) > until:
@@ -137,18 +156,29 @@ def parse(source: str) -> Page:
             at = e.end() if e else size
             continue
         named, role = _marked(m[3]) if m[3] else (False, False)
-        hidden = bool(stack and stack[-1].hidden) or name in _NO_TEXT or named
+        hidden = bool(stack and stack[-1].hidden) or name in _NO_TEXT
         inside = bool(stack and stack[-1].main)
         main = not hidden and (name in ("article", "main") or role)
-        marked |= main
+        around = stack[-1].named if stack else ()
+        if main and not inside:
+            opened.append((name == "article" and not role, around))
+        if named and not hidden and name not in _NEVER_NAMED:
+            around, wrappers = (*around, wrappers), wrappers + 1
         node = -1
         if not hidden and not main and name not in _TEXT_BLOCKS and name not in ("html", "body"):
             node, nodes = nodes, nodes + 1
-        stack.append(Open(name, m.start(), node, hidden, inside or main))
+            within[node] = around
+        stack.append(Open(name, m.start(), node, hidden, inside or main, around))
     close(0, size)
     flush()
-    hashes = {n: xxhash.xxh3_64_intdigest(" ".join(source[a:b].split()).encode()) - (1 << 63) for n, (a, b) in ends.items()}
-    kept = [(text, [hashes[n] for n in path]) for text, in_main, path in blocks if in_main or not marked]
+    # where all articles are in named elements, these are the page's wrappers
+    shown = set().union(*(path for _, path in opened)) if all(path for _, path in opened) else set()
+    blocks = [x for x in blocks if shown.issuperset(x[3])]
+    # several articles and no main element can be cards beside the page's text, which then only counts of subtrees cut
+    tops = [is_article for is_article, path in opened if shown.issuperset(path)]
+    cut = len(tops) == 1 or not all(tops)
+    hashes = {n: xxhash.xxh3_64_intdigest(" ".join(source[a:b].split()).encode()) - (1 << 63) for n, (a, b) in ends.items() if shown.issuperset(within[n])}
+    kept = [(text, [hashes[n] for n in path]) for text, in_main, path, _ in blocks if in_main or not cut]
     return Page(kept, sorted(set(hashes.values())))
 
 

@@ -56,3 +56,17 @@ def test_generated_pages(spark):
         article = re.search("<article>(.*?)</article>", r["html"], re.S)[1]
         want = [" ".join(H.unescape(re.sub("</?b>", "", x)).split()) for x in re.split("</?(?:h1|p|br)>", article)]
         assert text(r["html"]) == "\n".join(x for x in want if x)
+
+
+@pytest.mark.parametrize("source, want", [
+    ('<body class="with-sidebar"><p>a</p><div class=sidebar>no</div>', "a"),
+    ('<article class="post comments-open"><p>a</p></article>', "a"),
+    ('<div class="has-header menu-closed search-enabled"><p>a</div>', "a"),
+    ('<div class="page search"><p>a<main>b b</main></div><div class=comments>no', "b b"),
+    ('<main>b b</main><div class=comments><article>no</article></div>', "b b"),
+    ('<html class=menu><body id=search><article id=comments>a</article>', "a"),
+    ('<div><p>the page itself</p></div><article>card</article><article>card 2</article>', "the page itself\ncard\ncard 2"),
+    ('<div>no</div><main><article>a</article><article>b</article></main>', "a\nb"),
+])
+def test_names_do_not_hide_the_page(source, want):
+    assert text(source) == want
