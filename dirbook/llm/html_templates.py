@@ -3,8 +3,9 @@
 Each page is parsed once. Elements that hold no article text by their kind (scripts, menus, forms) or by a word in their
 class, id or role (adverts, comments) are left out at once; names never hide the page's body or article. Every other container's subtree is hashed; Spark counts each
 hash per host, and subtrees that recur on many pages of their host are deleted as the site's template. Where a page marks
-one article or its main element, blocks outside it are left out; paragraphs and headings are never taken for templates themselves, as
-articles of a site do quote the same passages.
+one article or its main element, blocks outside it are left out; paragraphs and headings are
+templates only outside marked articles, on more pages and at the same place, as articles of a site do quote the same
+passages.
 
 Pages are not shuffled: what a parse yields is written once, and only pages with a template subtree are joined to the
 verdicts. Counts are combined before the shuffle, so a host with a third of all pages is no burden.
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 from dirbook.llm.common import Scratch, row_number
 
-#: A subtree is template if it recurs on this many pages of its host, and on this share of them.
-MANY_PAGES, MANY_SHARE = 5, 0.2
+#: A subtree is template if it recurs on this many pages of its host, whatever its size; a block of text outside marked
+#: articles if it does at the same place from the page's start or end.
+MANY_PAGES, MANY_TEXTS = 5, 50
 
 # fixed values: element names of the HTML standard
 _RAW = frozenset("script style xmp iframe noembed noframes noscript plaintext".split())
@@ -93,6 +95,15 @@ class Page(NamedTuple):
     subtrees: list[int]
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+def _placed(text: str, place: int) -> int:
+    """The hash of a block of text at a place from the start, or a negative one from the end: even, those of elements are odd."""
+    return _hash(f"{place} {text}") & ~1
+
+
 def parse(source: str) -> Page:
     """Blocks of a page in order, without what its kind or name gives away."""
     # each block: text, whether it lies in a marked article, numbers of the enclosing candidate and named elements
@@ -177,9 +188,10 @@ def parse(source: str) -> Page:
     # several articles and no main element can be cards beside the page's text, which then only counts of subtrees cut
     tops = [is_article for is_article, path in opened if shown.issuperset(path)]
     cut = len(tops) == 1 or not all(tops)
-    hashes = {n: xxhash.xxh3_64_intdigest(" ".join(source[a:b].split()).encode()) - (1 << 63) for n, (a, b) in ends.items() if shown.issuperset(within[n])}
-    kept = [(text, [hashes[n] for n in path]) for text, in_main, path, _ in blocks if in_main or not cut]
-    return Page(kept, sorted(set(hashes.values())))
+    hashes = {n: _hash(" ".join(source[a:b].split())) | 1 for n, (a, b) in ends.items() if shown.issuperset(within[n])}
+    kept = [(text, in_main, [hashes[n] for n in path]) for text, in_main, path, _ in blocks if in_main or not cut]
+    found = [(text, path if in_main else [*path, _placed(text, i), _placed(text, i - len(kept))]) for i, (text, in_main, path) in enumerate(kept)]
+    return Page(found, sorted(set(hashes.values()).union(*(path for _, path in found))))
 
 
 def host_of(url: str | None) -> str:
@@ -189,37 +201,40 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-PARSED = "rid long, page_id long, url string, host string, texts array<string>, paths array<array<long>>, subtrees array<long>"
+PARSED = "rid long, page_id long, url string, host string, page long, texts array<string>, paths array<array<long>>, subtrees array<long>"
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in PARSED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = batch["url"].to_pylist()
-            found = [parse(x or "") for x in batch["html"].to_pylist()]
-            columns = [[host_of(u) for u in urls], [[t for t, _ in p.blocks] for p in found], [[x for _, x in p.blocks] for p in found], [p.subtrees for p in found]]
+            sources = [x or "" for x in batch["html"].to_pylist()]
+            found = [parse(x) for x in sources]
+            columns = [[host_of(u) for u in urls], [_hash(x) for x in sources], [[t for t, _ in p.blocks] for p in found], [[x for _, x in p.blocks] for p in found], [p.subtrees for p in found]]
             yield pa.RecordBatch.from_arrays([batch["rid"], batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(columns, kinds[3:]))], names)
 
     rows = pages.select(row_number(pages).alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     return rows.mapInArrow(run, PARSED)
 
 
-def main_text(pages: DataFrame, many: int = MANY_PAGES, share: float = MANY_SHARE, scratch: Scratch | None = None) -> DataFrame:
+def main_text(pages: DataFrame, many: int = MANY_PAGES, many_texts: int = MANY_TEXTS, scratch: Scratch | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages(page_id, url, html).
 
     Blocks are texts between boundaries of block elements or line breaks, with character references decoded and each
     stretch of white space one space; empty ones are dropped, the others joined by line feeds. A null html is empty and
-    gives the empty text. Pages with a null or broken url share the empty host. Repeated rows give a row each, and count
-    as pages each. An empty table gives no rows. Other columns are not read.
+    gives the empty text. Pages with a null or broken url share the empty host. Repeated rows give a row each; equal
+    pages of a host count once, so that they are no templates of each other. An empty table gives no rows. Other columns are not read.
     """
     scratch = scratch or Scratch(pages.sparkSession)
     parsed = scratch.table(_parsed(pages), "parsed")
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
-    seen = parsed.select("host", F.explode("subtrees").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= many)
-    templates = scratch.table(seen.join(sizes, "host").where(F.col("n") >= F.lit(share) * F.col("pages")).select("host", "h"), "templates")
+    least = F.when(F.col("h") % 2 == 0, many_texts).otherwise(many)
+    once = parsed.groupBy("host", "page").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
+    copies = parsed.select("rid", "host", "page").join(once.where("n > 1").select("host", "page", F.col("rid").alias("first")), ["host", "page"]).where("rid <> first").select("rid")
+    seen = parsed.select("rid", "host", F.explode("subtrees").alias("h")).join(copies, "rid", "left_anti").groupBy("host", "h").agg(F.count("*").alias("n"))
+    templates = scratch.table(seen.where(F.col("n") >= least).select("host", "h"), "templates")
     # verdicts only for pages that have blocks in some subtree
     inside = parsed.select("rid", "host", F.explode(F.array_distinct(F.flatten("paths"))).alias("h"))
     verdicts = scratch.table(inside.join(templates, ["host", "h"]).groupBy("rid").agg(F.collect_list("h").alias("cut")), "verdicts")

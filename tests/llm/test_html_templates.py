@@ -70,3 +70,11 @@ def test_generated_pages(spark):
 ])
 def test_names_do_not_hide_the_page(source, want):
     assert text(source) == want
+
+
+def test_templates_do_not_depend_on_the_share_of_a_host(spark):
+    box, note = "<div class=x1>a box of this section</div>", "<ul><li>Imprint <li><a>Contact</a></ul>"
+    rows = [(i, f"http://a.b/{i}", f"<p>text {i}</p><p>more {i % 7}" + f"<p>own {i}" * (i % 3) + "<p>a quoted passage" + f"<p>end {i}" * (i % 4) + (box if i < 9 else "") + note, 1) for i in range(120)]
+    rows += [(200 + i, "http://a.b/copy", "<div><p>a page under many addresses</p></div>", 1) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: "\n".join([f"text {i}", f"more {i % 7}", *[f"own {i}"] * (i % 3), "a quoted passage", *[f"end {i}"] * (i % 4)]) for i in range(120)} | {200 + i: "a page under many addresses" for i in range(8)}
