@@ -52,9 +52,10 @@ class _Kept(dict):
 
 
 class ForcedBoundaryBPE:
-    """Encoder and decoder for a byte-level BPE file with word ends."""
+    """Encoder and decoder for a byte-level BPE file with word ends. Without `cuts`, pre-tokens go to the library's merges
+    whole: the same ids, for operators that are not about how they are found."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cuts: bool = True):
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
@@ -71,7 +72,7 @@ class ForcedBoundaryBPE:
         #: Letters of Latin-1 in the byte-level alphabet.
         self.shown = {c: self.library.pre_tokenizer.pre_tokenize_str(chr(c))[0][0] for c in (*range(0xDF, 0xF7), *range(0xF8, 0x100))}
         #: Each word that isn't kept costs a search of the merges; a pre-token is shared by words that differ in case or marks.
-        self.pretokens = _Kept(self._encode_pretoken, 700_000)
+        self.pretokens = _Kept(self._encode_pretoken if cuts else self._merge_pretoken, 700_000)
         self.words = _Kept(self.encode_word, 1_200_000)
         self.words_both = _Kept(self._word_both, 500_000)
 
@@ -107,6 +108,9 @@ class ForcedBoundaryBPE:
             out += [t.id for t in self.merges(parts[-1])]
         return array("I", out).tobytes()
 
+    def _merge_pretoken(self, pretoken: str) -> bytes:
+        return array("I", [t.id for t in self.merges(pretoken)]).tobytes() if len(pretoken) <= 256 else self._encode_pretoken(pretoken)
+
     def merge_short(self, symbols: list[str]) -> list[str]:
         """Merges in order of rank: the pair of least rank, everywhere it stands, until none is left."""
         ranks, none = self.ranks, len(self.ranks)
@@ -165,6 +169,8 @@ class ForcedBoundaryBPE:
             small = word.lower()
             if small != word:
                 return self.words[small]
+            if word.isalpha():  # one pre-token
+                return self.pretokens[word.decode()]
         if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
             return self.words[word[:-1]] + self.words[word[-1:]]
         text = word.decode()
@@ -194,9 +200,9 @@ class ForcedBoundaryBPE:
         return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
 
-def encoder(path: str) -> ForcedBoundaryBPE:
+def encoder(path: str, cuts: bool = True) -> ForcedBoundaryBPE:
     """One encoder for each Python worker, so that its caches outlive a task."""
-    return held(f"bpe {path}", lambda: ForcedBoundaryBPE(path))
+    return held(f"bpe {cuts} {path}", lambda: ForcedBoundaryBPE(path, cuts))
 
 
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -1,10 +1,10 @@
 """Packing of tokenised documents into sequences by shortest-pack-first over the length histogram.
 
-Texts are encoded once; documents over the sequence length are cut into whole sequences and a rest. The plan sees only
-the histogram of piece lengths (as many entries as the sequence length): lengths are placed longest first, each into
-the packs that are shortest so far, many equal pieces and packs at a time. As many packs are open as the tokens need at
-least; a piece that fits into no pack is cut to fill the shortest one, its rest returns to the histogram. So hardly any
-padding is left, whatever the lengths. Planned slots carry ranks, and pieces find their slot by their rank among the
+Texts are encoded once; documents over the sequence length are cut into whole sequences and a rest. The plan sees only the
+histogram of piece lengths (as many entries as the sequence length), and holds packing patterns with counts: packs that are
+filled alike are one entry. Lengths are placed longest first, each length's pieces into the packs that are shortest so far,
+as many as an entry has at a time; only when a piece fits into no pack are new ones opened. The number of entries does not
+grow with the number of pieces. Patterns are numbered as sequences, and pieces find their place by their rank among the
 pieces of their length: a place in their own partition's count plus the counts of the partitions before.
 """
 
@@ -26,65 +26,53 @@ from dirbook.llm.bpe import VOCABULARY, encoder
 from dirbook.llm.common import Scratch, batched, bytes_of, keyed
 
 SEQUENCE, SEPARATOR = 4096, 2
-#: Slots sent to every task; a plan of more (it has some for each length and each time round the packs) is joined by shuffle.
-BROADCAST_SLOTS = 500_000
+#: Ranks that are joined to the plan under one key, so that a frequent length is many keys.
+RANKS = 1024
 
 
 class Slot(NamedTuple):
-    """Pieces of one length whose ranks are from `first` to `last` - 1: tokens `start` to `start + length` of piece
-    `first + i` go to sequence `sequence + i` at `offset`."""
+    """Pieces of one length whose ranks are from `first` to `last` - 1: number `first + i` goes to sequence `sequence + i` at
+    `offset`."""
 
-    of: int
+    length: int
     first: int
     last: int
-    start: int
-    length: int
     sequence: int
     offset: int
 
 
 def plan(histogram: dict[int, int], most: int = SEQUENCE) -> list[Slot]:
     """Slots for histogram[length] pieces of each length up to `most`."""
-    total = sum(length * n for length, n in histogram.items())
-    packs = -(-total // most)
-    if not packs:
-        return []
-    # waiting[length]: (length of the whole piece, first rank, last rank, start within the piece)
-    waiting: list[list[tuple[int, int, int, int]]] = [[] for _ in range(most + 1)]
-    for length, n in histogram.items():
-        if length and n:
-            waiting[length].append((length, 0, n, 0))
-    # groups of equally long packs that follow each other, shortest first: (used, first pack, packs)
-    open_packs = [(0, 0, packs)]
-    slots: list[Slot] = []
-    for length in range(most, 0, -1):
-        runs = waiting[length]
-        while runs:
-            of, first, last, start = runs.pop()
-            while first < last:
-                used, pack, n = heapq.heappop(open_packs)
-                k = min(n, last - first)
-                put = min(length, most - used)
-                slots.append(Slot(of, first, first + k, start, put, pack, used))
-                if put < length:
-                    waiting[length - put].append((of, first, first + k, start + put))
-                if used + put < most:
-                    heapq.heappush(open_packs, (used + put, pack, k))
-                if k < n:
-                    heapq.heappush(open_packs, (used, pack + k, n - k))
-                first += k
-        waiting[length] = []
+    # patterns, shortest first: (tokens so far, first sequence, how many packs); those of a pattern follow each other
+    patterns: list[tuple[int, int, int]] = []
+    packs, slots = 0, []
+    for length in sorted((x for x, n in histogram.items() if x and n), reverse=True):
+        first, n = 0, histogram[length]
+        while first < n:
+            if not patterns or patterns[0][0] + length > most:
+                new = -(-(n - first) // (most // length))
+                heapq.heappush(patterns, (0, packs, new))
+                packs += new
+            used, sequence, count = heapq.heappop(patterns)
+            placed = min(count, n - first)
+            slots.append(Slot(length, first, first + placed, sequence, used))
+            if used + length < most:
+                heapq.heappush(patterns, (used + length, sequence, placed))
+            if placed < count:
+                heapq.heappush(patterns, (used, sequence + placed, count - placed))
+            first += placed
     return slots
 
 
-PIECES = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("crc", pa.int64()), ("doc_tokens", pa.int64()), ("part", pa.int64()), ("place", pa.int64())])
+PIECES = "rid long, doc_id long, start long, length long, crc long, doc_tokens long, part long, place long"
+_PIECES = pa.schema([(c.split()[0], pa.int64()) for c in PIECES.split(", ")])
 
 
 def pieces_of(docs: DataFrame, vocabulary: str, most: int, separator: int) -> DataFrame:
     """Whole sequences and rests of all documents; `place`: number among this partition's pieces of that length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, seen = encoder(public_tokenizers.path(vocabulary)), TaskContext.get().partitionId(), np.zeros(most + 1, np.int64)
+        bpe, part, seen = encoder(public_tokenizers.path(vocabulary), cuts=False), TaskContext.get().partitionId(), np.zeros(most + 1, np.int64)
         end = np.array([separator], "<u4").tobytes()
 
         def rows() -> Iterator[tuple]:
@@ -97,9 +85,9 @@ def pieces_of(docs: DataFrame, vocabulary: str, most: int, separator: int) -> Da
                         yield rid, doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n, part, int(seen[length])
                         seen[length] += 1
 
-        yield from batched(rows(), PIECES)
+        yield from batched(rows(), _PIECES)
 
-    return keyed(docs).mapInArrow(run, "rid long, doc_id long, start long, length long, crc long, doc_tokens long, part long, place long")
+    return keyed(docs).mapInArrow(run, PIECES)
 
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, most: int = SEQUENCE, separator: int = SEPARATOR, scratch: Scratch | None = None) -> DataFrame:
@@ -107,7 +95,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, most: int = SEQUENCE, se
 
     Null and empty texts are documents of one token, the separator. Repeated rows and doc_ids are documents each. An
     empty table gives no pieces. Only doc_id and text are read. Sequences are numbered from 0 and pieces stand in them
-    without gaps; all but the last few tokens' worth of sequences are full.
+    without gaps, each whole; a document of more than `most` tokens has a piece for each `most` and one for the rest.
     """
     spark: SparkSession = docs.sparkSession
     scratch = scratch or Scratch(spark)
@@ -116,40 +104,11 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, most: int = SEQUENCE, se
     # at most `most` rows reach the driver
     slots = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}, most)
     rows = zip(*slots) if slots else ([] for _ in Slot._fields)
-    names = ["length", "first", "last", "cut", "put", "sequence", "offset"]
-    table = pa.Table.from_arrays([pa.array(c, pa.int64()) for c in rows], names)
-    planned = spark.createDataFrame(table)
-    if len(slots) <= BROADCAST_SLOTS:
-        planned = F.broadcast(planned)
+    planned = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, pa.int64()) for c in rows], list(Slot._fields)))
+    key = lambda rank: F.floor(rank / RANKS)
+    planned = planned.withColumn("ranks", F.explode(F.sequence(key(F.col("first")), key(F.col("last") - 1))))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("place"))
-    put = ranked.join(planned, (ranked["length"] == planned["length"]) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))).select(
-        "rid", "doc_id", (F.col("start") + F.col("cut")).alias("start"), F.col("put").alias("length"), "crc", "doc_tokens", (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset", (F.col("put") == ranked["length"]).alias("whole")
-    )
-    put = scratch.table(put, "put")
-    whole = put.where("whole").select("doc_id", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
-    cut = put.where("not whole").groupBy("rid").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("cuts"))
-    return whole.unionByName(_cut_pieces(keyed(docs).join(cut, "rid"), vocabulary, separator))
-
-
-OUT = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
-
-
-def _cut_pieces(docs: DataFrame, vocabulary: str, separator: int) -> DataFrame:
-    """The pieces of the documents that the plan cut, which are encoded again for their checksums."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = encoder(public_tokenizers.path(vocabulary)), np.array([separator], "<u4").tobytes()
-
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for doc_id, text, cuts in zip(batch["doc_id"].to_pylist(), bytes_of(batch["text"]), batch["cuts"].to_pylist()):
-                    ids = bpe.encode(text) + end
-                    for c in cuts:
-                        a, n = c["start"], c["length"]
-                        yield doc_id, a, n, zlib.crc32(ids[4 * a : 4 * (a + n)]), len(ids) // 4, c["sequence_id"], c["offset"]
-
-        yield from batched(rows(), OUT)
-
-    return docs.mapInArrow(run, ", ".join(f"{f.name} long" for f in OUT))
+    ranked = pieces.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("place")).withColumn("ranks", key(F.col("rank")))
+    placed = ranked.join(planned, ["length", "ranks"]).where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last")))
+    return placed.select("doc_id", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset")
