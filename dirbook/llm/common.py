@@ -29,9 +29,18 @@ def row_number(rows: DataFrame) -> Column:
     if not spark.conf.get("spark.sql.files.minPartitionNum", None):
         cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
         spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
+    spark.conf.set(*_BATCH)
     return F.monotonically_increasing_id()
 
 
+def fresh(docs: DataFrame, name: str = "rid") -> str:
+    """A column name that docs doesn't have, whatever case counts."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(rid, key, text) of every row; null texts become empty. Other columns, whatever their names, are left out."""
     return docs.select(
@@ -50,6 +59,12 @@ def shared_base(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Settings while a scratch table is written.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.columnarReaderBatchSize": "256", "spark.sql.maxConcurrentOutputFileWriters": "4"}
+#: Rows go to Python in batches of this many bytes, so that long texts or binaries don't add up to large ones.
+_BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 class Scratch:
     """A folder under the shared one for an operator's intermediate tables.
 
@@ -65,9 +80,18 @@ class Scratch:
         self._fs.mkdirs(hadoop)
         self._fs.deleteOnExit(hadoop)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(path)
+    def table(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """The rows, written and reread; with `by`, a folder for each value of that column. What the write has shuffled goes
+        from the executors' disks as soon as it is done; scans are read a few rows at a time, as rows may be large."""
+        path, conf = f"{self.path}/{name}", self.spark.conf
+        before = {k: conf.get(k) for k in _WRITING}
+        for k, v in _WRITING.items():
+            conf.set(k, v)
+        try:
+            (df.write.partitionBy(by) if by else df.write).mode("overwrite").parquet(path)
+        finally:
+            for k, v in before.items():
+                conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -88,6 +112,88 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+#: Words are hashed as polynomials modulo 2**64, in spans of about this many bytes.
+_SPAN = 1 << 20
+_BASE = 0x9E3779B97F4A7C15 | 1
+
+
+def _coefficients(lower: bool) -> np.ndarray:
+    """A number for each byte, by a rule that spreads bits."""
+    x = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    for shift, by in ((30, 0x94D049BB133111EB), (27, 0xD6E8FEB86659FD93), (31, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    x ^= x >> np.uint64(32)
+    if lower:
+        x[ord("A") : ord("Z") + 1] = x[ord("a") : ord("z") + 1]
+    return x
+
+
+_COEFFICIENTS = {lower: _coefficients(lower) for lower in (False, True)}
+_IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES, np.uint8))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of _BASE modulo 2**64, and of its inverse."""
+    found = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(n, base, np.uint64)
+        x[0] = 1
+        found.append(np.cumprod(x, dtype=np.uint64))
+    return found[0], found[1]
+
+
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit content hashes of the words of all texts, number of words of each text).
+
+    A word's hash is a difference of prefix sums of coefficient times power, divided by the power where the word starts; so
+    all words of a span are hashed by a few operations on arrays. A word longer than a span is a span of its own.
+    """
+    if not _POWERS:
+        _POWERS.append(_powers(_SPAN))
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    space = _IS_SPACE[data]
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    coefficients = _COEFFICIENTS[lower]
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        low = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, low + _SPAN, "right")))
+        high = ends[last - 1]
+        power, inverse = _POWERS[0] if high - low <= _SPAN else _powers(high - low)
+        sums = np.empty(high - low + 1, np.uint64)
+        sums[0] = 0
+        np.cumsum(coefficients[data[low:high]] * power[: high - low], out=sums[1:])
+        a = starts[first:last] - low
+        out[first:last] = (sums[ends[first:last] - low] - sums[a]) * inverse[a]
+        first = last
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(29)
+    bounds = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
+    counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
+    return out, counts
+
+
+def places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where in sorted, evenly spread keys each of the wanted ones stands; all must be there."""
+    if not len(wanted):
+        return np.zeros(0, np.int64)
+    low, span = keys[0], int(keys[-1] - keys[0])
+    shift = max(0, span.bit_length() - len(keys).bit_length() - 1)
+    first = np.searchsorted(keys, low + (np.arange((span >> shift) + 1, dtype=np.uint64) << np.uint64(shift)))
+    at = first[((wanted - low) >> np.uint64(shift)).astype(np.int64)]
+    todo = np.flatnonzero(keys[at] != wanted)
+    while len(todo):
+        at[todo] += 1
+        todo = todo[keys[at[todo]] != wanted[todo]]
+    return at
+
+
 class WordIds(dict):
     """64-bit content hashes of words, kept for words seen before; at most `most` are kept."""
 

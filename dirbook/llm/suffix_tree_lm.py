@@ -1,27 +1,25 @@
-"""Scoring with a probabilistic suffix tree.
-
-Symbols are the UTF-8 bytes of a text's lower-cased words, a space after each but the last, and a line feed that ends the
-text; so a token sequence has one byte sequence and the model gives it one probability. Training counts every string
-of `depth` + 1 symbols in all training texts; shorter strings' counts are sums of these. A context is kept as a state of
-the tree when its next-symbol distribution diverges from that of its suffix: when telling them apart gains more
-log-likelihood on the training texts than its parameters cost. Suffixes of states are states. Distributions are
-discounted, the freed mass goes to the suffix's distribution. A symbol is scored in the longest suffix of the text
-before it that is a state.
-
-A string is stored from LEAST occurrences on and a state from GAIN on, at every size of corpus, so the tree grows with
-what it is trained on. No task holds all of it. A string's block goes by the two symbols before its last, so one block
-has all strings of three symbols and more with the same ending, and all next symbols of their contexts: it makes its part
-of the tree alone, from the counts of pairs of symbols, which all tasks get. Contexts up to one symbol always are states.
-
-Documents are dealt into chunks of successive rows. A chunk sends each of its distinct strings to the string's block once,
-with its count in training texts; the block answers with the log10 probability (32 bits), and answers meet the chunk's
-texts. The base score's word counts: words that are one in FREQUENT_WORDS tokens or more are sent to all tasks, the counts
-of the others are joined to their occurrences.
+"""Scoring with a probabilistic suffix tree over words.
+
+Symbols are a text's lower-cased words and one end; before the first word stand ends. A context is the symbols before a
+symbol, up to two. The empty context and contexts of one symbol always are states of the tree. A context of two is kept as
+a state when its next-symbol distribution diverges from that of its suffix: when telling them apart gains GAIN nats on the
+training texts, each occurrence being predicted from the others. Distributions are smoothed into their suffix's:
+P(w | c) = (n(c, w) + m P(w | suffix of c)) / (n(c) + m), with m growing with n(c); the empty context's is the base score's.
+A symbol is scored in the longest suffix of the symbols before it that is a state. Words that training texts lack are one
+symbol, as in the base score, so each distribution sums to one over the known symbols and the unknown one.
+
+All counts are of the whole training corpus. A context of two is looked at from CONTEXT occurrences on, its strings are
+stored from STORED on, whatever the size of the corpus, so the tree grows with what it is trained on. No task holds all of
+it: texts are dealt into chunks of successive rows, and strings into blocks by ranges of their hash. A chunk sends each of
+its distinct words and pairs of words once to their block, with the count in its training texts, and is answered with the
+count of all. Then it sends its strings of three in the same way to the block of their context, which decides whether
+that is a state and answers by how much the log10 probability changes. Rows that travel are one for each chunk and block, at
+most one for each string. Symbols and strings are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import tempfile
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,344 +28,380 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch, bytes_of, keyed, word_ids
+from dirbook.llm.anchors import mix
+from dirbook.llm.common import Scratch, bytes_of, keyed, places, slices, word_hashes
 
-DEPTH = 6
-FREQUENT_WORDS = 4_000_000
-#: Occurrences in training texts from which on a string is stored.
-LEAST = 2
-#: Log-likelihood, in nats, that a stored symbol of a state must gain.
+#: Occurrences in training texts from which on a context of two symbols is looked at, and from which on its strings are stored.
+CONTEXT, STORED = 4, 2
+#: Log-likelihood, in nats, that a state must gain.
 GAIN = 3.0
-DISCOUNT = 0.75
-END = b"\n"
-_CHUNK, _HELD, _MERGED = 2 << 20, 14 << 20, 4 << 20
-#: Kinds of counted keys: pairs of symbols, words, texts.
-_PAIR, _WORD, _TEXT = 0, 1, 2
-#: Context length from which on a block has all of a context.
-_WHOLE = 2
-
-
-def stream(texts: list[bytes], depth: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(words of each text, symbols of all texts with `depth` ends before each, place of each text's first string)."""
-    words = [t.split() for t in texts]
-    pad = END * depth
-    parts = [pad + b" ".join(w).lower() + END for w in words]
-    lengths = np.array([len(p) for p in parts], np.int64)
-    data = b"".join(parts) + bytes(8)
-    return words, np.frombuffer(data, np.uint8), np.cumsum(lengths) - lengths
-
-
-def strings(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """The depth + 1 symbols from each place on, as one number."""
-    view = np.ndarray(len(symbols) - 8, ">u8", symbols.tobytes(), 0, (1,))
-    return view.astype(np.uint64) >> np.uint64(8 * (7 - depth))
-
-
-def chunks(texts: list[bytes], size: int = _CHUNK) -> Iterator[tuple[int, int]]:
-    first = held = 0
-    for i, t in enumerate(texts):
-        held += len(t) + 1
-        if held >= size:
-            yield first, i + 1
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
-
-
-def _counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+#: What a distribution of n occurrences takes over from its suffix weighs STRENGTH * n ** POWER occurrences.
+STRENGTH, POWER = 2.0, 0.8
+#: Bytes of text in a chunk.
+CHUNK = 4 << 20
+END = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+_ONE = np.uint64(1)
+#: What stands before a text's first symbol is no context of its own.
+_START = (mix(np.array([END]), np.array([END])) & ~_ONE)[0]
+
+
+class Segment(NamedTuple):
+    """A text, or a part of a very long one: the words before it (two at most), its own, and whether the text ends here."""
+
+    rid: int
+    doc_id: int | None
+    held_out: bool
+    lead: bytes
+    text: bytes
+    ends: bool
+
+
+def _cut(text: bytes, size: int) -> Iterator[tuple[int, bytes, bytes, bool]]:
+    """(place, words before, part, whether it is the last) of parts of about `size` bytes, cut at white space."""
+    at, lead = 0, b""
+    while len(text) - at > size and (found := _SPACE.search(text, at + size)):
+        part = text[at : found.start()]
+        yield at, lead, part, False
+        lead = b" ".join((lead.split() + part.split()[-2:])[-2:])
+        at = found.start()
+    yield at, lead, text[at:] if at else text, True
+
+
+def segments(batches: Iterator[pa.RecordBatch], size: int = CHUNK) -> Iterator[tuple[tuple[int, int], list[Segment]]]:
+    """Chunks: the number of the first row and its first part's place, and segments that have `size` bytes together. That
+    goes by the rows of a partition alone, not by its batches."""
+    name, held, n = None, [], 0
+    for batch in slices(batches):
+        for rid, doc_id, held_out, text in zip(*(batch[c].to_pylist() for c in ("rid", "doc_id", "held_out")), bytes_of(batch["text"])):
+            for at, lead, part, ends in _cut(text, size):
+                name = name or (rid, at)
+                held.append(Segment(rid, doc_id, held_out, lead, part, ends))
+                n += len(part) + 1
+                if n >= size:
+                    yield name, held
+                    name, held, n = None, [], 0
+    if held:
+        yield name, held
+
+
+class Strings(NamedTuple):
+    """What a chunk asks for at each place of its segments but the first: `word` and `pair` (it and the symbol before).
+
+    `own`: places of the segments' own symbols, others only lead up to them. `lengths`: of the segments, in own symbols."""
+
+    symbol: np.ndarray
+    word: np.ndarray
+    pair: np.ndarray
+    own: np.ndarray
+    trains: np.ndarray
+    lengths: np.ndarray
+
+
+def strings(found: list[Segment]) -> Strings:
+    hashed, counts = word_hashes([s.text for s in found], lower=True)
+    ends = np.array([s.ends for s in found], np.int64)
+    lengths = counts + ends
+    total = lengths + 2
+    begins = np.cumsum(total) - total
+    symbols = np.full(int(total.sum()), END, np.uint64)
+    first = begins + 2
+    symbols[np.arange(len(hashed)) + np.repeat(first - (np.cumsum(counts) - counts), counts)] = hashed
+    for i, s in enumerate(found):
+        if s.lead:
+            lead = word_hashes([s.lead], lower=True)[0]
+            symbols[first[i] - len(lead) : first[i]] = lead
+    own = np.ones(len(symbols), bool)
+    own[begins] = own[begins + 1] = False
+    asked = np.ones(len(symbols), bool)
+    asked[begins] = False
+    pair = np.zeros(len(symbols), np.uint64)
+    pair[1:] = mix(symbols[:-1], symbols[1:]) & ~_ONE
+    trains = np.repeat(~np.array([s.held_out for s in found], bool), total)
+    symbol, own = symbols[asked], own[asked]
+    return Strings(symbol, symbol | _ONE, pair[asked], own, own & trains[asked], lengths)
+
+
+def counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts, from several sorted parts."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ np.uint64(1)))
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ _ONE))
     return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts[:0]
 
 
-def _inside(every: np.ndarray, begins: np.ndarray, depth: int) -> np.ndarray:
-    """Which strings do not reach into the next text's ends."""
-    inside = np.ones(len(every), bool)
-    ends = np.append(begins[1:], len(every))
-    for k in range(1, depth + 1):
-        inside[np.maximum(ends - k, 0)] = False
-    return inside
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and how often each occurs."""
+    keys = np.sort(keys)
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] ^ _ONE))
+    return keys[starts], np.diff(starts, append=len(keys))
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest needs, first bytes first, so that bytes which are mostly zero compress well."""
+    most = int(numbers.max()) if len(numbers) else 0
+    size = next(k for k in (1, 2, 4, 8) if most < 1 << (8 * k))
+    return bytes([size]) + np.ascontiguousarray(numbers.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T).tobytes()
+
+
+def unplanes(data: bytes, kind=np.int64) -> np.ndarray:
+    size = data[0]
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, offset=1).reshape(size, -1).T).view(f"<u{size}").ravel().astype(kind)
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
+
+
+def zipped(batch: pa.RecordBatch) -> bytes:
+    """Many rows as one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
 
+def unzipped(data: bytes) -> list[dict]:
+    return pa.ipc.open_stream(data).read_all().to_pylist()
 
-def _by_block(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Blocks of sorted strings, and the order by block and string."""
-    block = (((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(40503) % np.uint64(blocks)).astype(np.int32)
-    return block, np.argsort(block, kind="stable")
 
+def _bounds(keys: np.ndarray, blocks: int) -> np.ndarray:
+    """Where in sorted keys each block begins, and the end. Blocks are equal ranges of the hash."""
+    edges = np.array([-(-(b << 64) // blocks) for b in range(1, blocks)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
-BLOCKS = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
+def _strength(n: np.ndarray) -> np.ndarray:
+    return STRENGTH * np.maximum(n, 1) ** POWER
 
-def _counts(training: DataFrame, blocks: int) -> DataFrame:
-    """(kind, key, n) of the pairs of symbols (parts to be added up), words and texts of the training documents."""
+
+_TYPES = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
+
+
+def _schema(names: str) -> pa.Schema:
+    return pa.schema([(c.split()[0], _TYPES[c.split()[1]]) for c in names.split(", ")])
+
+
+def _rows(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+#: Kinds of rows that meet at a chunk: answers of blocks, segments. _TOTAL, _STATES: numbers of a block.
+_ANSWER, _SEGMENT, _TOTAL, _REQUEST, _STATES = 0, 1, 2, 3, 4
+REQUESTS = "chunk long, part long, block long, keys binary, counts binary"
+_REQUESTS = _schema(REQUESTS)
+ANSWERS = "kind int, chunk long, part long, at long, data binary, more binary"
+_ANSWERS = _schema(ANSWERS)
+#: What rows of segments hold, zipped: the segments, and then their scores and the numbers of their strings of three.
+_SEGMENTS = _schema("rid long, doc_id long, held_out boolean, lead binary, text binary, ends boolean")
+RESULT = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+_RESULT = _schema(RESULT)
+_WAITING = _schema(f"{RESULT}, strings binary")
+#: Segments in a row.
+_ROWS = 512
+
+
+def _requests(rows: DataFrame, blocks: int) -> DataFrame:
+    """REQUESTS rows: the distinct words and pairs of a chunk, and their counts in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = word_ids(lower=True)
-        pairs, texts_seen = np.zeros(1 << 16, np.int64), 0
-        for batch in batches:
-            texts = bytes_of(batch["text"])
-            texts_seen += len(texts)
-            found, counted = [], 0
-            for a, b in chunks(texts):
-                if counted >= _HELD:  # what has been counted goes out, to bound memory
-                    yield from dealt(found)
-                    found, counted = [], 0
-                counted += sum(map(len, texts[a:b]))
-                words, symbols, begins = stream(texts[a:b], 1)
-                every = strings(symbols, 1)
-                pairs += np.bincount(every[_inside(every, begins, 1)].astype(np.int64), minlength=1 << 16)
-                found.append(np.unique(hashed.of([w for some in words for w in some]), return_counts=True))
-            yield from dealt(found)
-        if texts_seen:
-            keys = np.flatnonzero(pairs)
-            yield pa.RecordBatch.from_pydict({"kind": [_PAIR, _TEXT], "block": [0, 0], "keys": [keys.astype(np.uint64).tobytes(), bytes(8)], "counts": [pairs[keys].tobytes(), np.array([texts_seen]).tobytes()]}, BLOCKS)
-
-    def dealt(parts: list) -> Iterator[pa.RecordBatch]:
-        keys, counts = _counted(parts) if parts else ([], [])
-        if not len(keys):
-            return
-        block = ((keys >> np.uint64(20)) % np.uint64(blocks)).astype(np.int32)
-        order = np.argsort(block, kind="stable")
-        keys, counts, block = keys[order], counts[order], block[order]
-        cuts = np.flatnonzero(np.diff(block)) + 1
-        rows = [np.full(len(cuts) + 1, _WORD, np.int32), block[np.append(0, cuts)].astype(np.int64)]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, rows), *(pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (keys, counts.astype(np.int64)))], schema=BLOCKS)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, held = None, []
-        for batch in batches:
-            for kind, block, keys, counts in zip(*(batch[c].to_pylist() for c in ("kind", "block", "keys", "counts"))):
-                if name != (kind, block) and held:
-                    yield flush(name[0], held)
-                    held = []
-                name = kind, block
-                held.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)))
-        if held:
-            yield flush(name[0], held)
-
-    def flush(kind: int, held: list) -> pa.RecordBatch:
-        keys, n = _counted(held)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], ["kind", "key", "n"])
-
-    sent = training.select("text").mapInArrow(run, "kind int, block long, keys binary, counts binary")
-    return sent.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(merge, "kind int, key long, n long")
-
-
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Slices of successive rows with the chunk they belong to: the first rid of rows that have _HELD bytes together. That
-    goes by the rows of a partition alone, not by its batches."""
-    chunk, held = None, 0
+        for (chunk, part), found in segments(batches):
+            s = strings(found)
+            learned, n = distinct(np.concatenate([s.word[s.trains], s.pair[s.trains]]))
+            rest = distinct(np.concatenate([s.word[~s.trains], s.pair[~s.trains]]))[0]
+            keys, n = counted(np.concatenate([learned, rest]), np.concatenate([n, np.zeros(len(rest), np.int64)]))
+            cuts = _bounds(keys, blocks)
+            yield _rows(_REQUESTS, [{"chunk": chunk, "part": part, "block": b, "keys": packed(keys[x:y]), "counts": planes(n[x:y])} for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y])
+
+    return rows.mapInArrow(run, REQUESTS)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each block, from batches sorted by it."""
+    last, held = None, []
     for batch in batches:
-        rids, first = batch["rid"].to_pylist(), 0
-        for i, text in enumerate(bytes_of(batch["text"])):
-            if chunk is None or held >= _HELD:
-                if i > first:
-                    yield chunk, batch.slice(first, i - first)
-                chunk, held, first = rids[i], 0, i
-            held += len(text) + 1
-        if batch.num_rows > first:
-            yield chunk, batch.slice(first)
+        for row in zip(*(batch[c].to_pylist() for c in ("block", *columns))):
+            if row[0] != last and held:
+                yield last, held
+                held = []
+            last = row[0]
+            held.append(row[1:])
+    if held:
+        yield last, held
+
+
+def _answers(requests: DataFrame) -> DataFrame:
+    """ANSWERS rows: the counts of what a chunk has asked for, in its order; and _TOTAL rows (at: training tokens, chunk:
+    distinct ones, part: texts) of each block."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, cells in _by_block(batches, ["chunk", "part", "keys", "counts"]):
+            asked = [unpacked(c[2]) for c in cells]
+            keys, n = counted(np.concatenate(asked), np.concatenate([unplanes(c[3]) for c in cells]))
+            for (chunk, part, *_), some in zip(cells, asked):
+                yield _rows(_ANSWERS, [{"kind": _ANSWER, "chunk": chunk, "part": part, "at": block, "data": planes(n[np.searchsorted(keys, some)])}])
+            words = n[(keys & _ONE) == _ONE]
+            yield _rows(_ANSWERS, [{"kind": _TOTAL, "at": int(words.sum()), "chunk": int((words > 0).sum()), "part": int(n[keys == END | _ONE].sum())}])
 
-REQUESTS = pa.schema([("chunk", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+    return requests.repartition(F.col("block")).sortWithinPartitions("block", "chunk", "part").mapInArrow(run, ANSWERS)
 
 
-def _requests(rows: DataFrame, depth: int, blocks: int) -> DataFrame:
-    """(chunk, block, keys, counts): the distinct strings of a chunk's texts, and their counts in training texts."""
+def _segment_rows(rows: DataFrame) -> DataFrame:
+    """ANSWERS rows of the segments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, found = None, []
-        for chunk, part in _chunked(batches):
-            if chunk != last and found:
-                yield dealt(last, found)
-                found = []
-            last = chunk
-            texts, trains = bytes_of(part["text"]), ~np.array(part["held_out"].to_pylist(), bool)
-            for a, b in chunks(texts):
-                _, symbols, begins = stream(texts[a:b], depth)
-                every = strings(symbols, depth)
-                inside = _inside(every, begins, depth)
-                learned = inside & np.repeat(trains[a:b], np.diff(begins, append=len(every)))
-                found.append(np.unique(every[learned], return_counts=True))
-                seen = np.unique(every[inside & ~learned])
-                found.append((seen, np.zeros(len(seen), np.int64)))
-        if found:
-            yield dealt(last, found)
-
-    def dealt(chunk: int, found: list) -> pa.RecordBatch:
-        keys, counts = _counted(found)
-        block, order = _by_block(keys, blocks)
-        keys, counts, block = keys[order], counts[order], block[order]
-        cuts = np.flatnonzero(np.diff(block)) + 1
-        rows = [np.full(len(cuts) + 1, chunk, np.int64), block[np.append(0, cuts)].astype(np.int64)]
-        return pa.RecordBatch.from_arrays([*map(pa.array, rows), *(pa.array([x.tobytes() for x in np.split(y, cuts)], pa.binary()) for y in (keys, counts.astype(np.int64)))], schema=REQUESTS)
-
-    return rows.select("rid", "held_out", "text").mapInArrow(run, "chunk long, block long, keys binary, counts binary")
-
-
-#: Kinds of rows that meet at a chunk: answers of blocks, documents, numbers of a block's states.
-_ANSWER, _DOCUMENT, _STATES = 0, 1, 2
-MEETING = "kind int, chunk long, at long, doc_id long, held_out boolean, data binary"
-_MEETING = pa.schema([(c.split()[0], {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[c.split()[1]]) for c in MEETING.split(", ")])
-
-
-def _answers(requests: DataFrame, depth: int, low) -> DataFrame:
-    """MEETING rows: for each request the scores of its strings (chunk, block, data), for each block how many states it has
-    (at). `low`: the levels below _WHOLE and the probabilities of the last of them, broadcast."""
+        for (chunk, part), found in segments(batches):
+            for at in range(0, len(found), _ROWS):
+                data = zipped(_rows(_SEGMENTS, [s._asdict() for s in found[at : at + _ROWS]]))
+                yield _rows(_ANSWERS, [{"kind": _SEGMENT, "chunk": chunk, "part": part, "at": at, "data": data}])
+
+    return rows.mapInArrow(run, ANSWERS)
+
+
+def _met(answers: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows of each chunk together, answers first."""
+    both = answers.where(F.col("kind") == _ANSWER).unionByName(others.select(*_ANSWERS.names))
+    return both.repartition("chunk", "part").sortWithinPartitions("chunk", "part", "kind", "at")
+
+
+def _by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], list[tuple[bytes, bytes]], list[dict]]]:
+    """(chunk, its answers, its segments)."""
+    last, answers, found = None, [], []
+    for batch in batches:
+        for kind, chunk, part, data, more in zip(*(batch[c].to_pylist() for c in ("kind", "chunk", "part", "data", "more"))):
+            if (chunk, part) != last and last is not None:
+                yield last, answers, found
+                answers, found = [], []
+            last = chunk, part
+            if kind == _ANSWER:
+                answers.append((data, more))
+            else:
+                found += unzipped(data)
+    if last is not None:
+        yield last, answers, found
+
+
+#: Segments with their scores in contexts of one symbol, and requests for their strings of three.
+SCORED = f"{ANSWERS}, lengths binary, totals binary, counts binary, suffix binary"
+_SCORED = _schema(SCORED)
+
+
+def _scored(met: DataFrame, blocks: int, tokens: int, known: int) -> DataFrame:
+    below = tokens + 0.1 * (known + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, work = None, None
-        for batch in batches:
-            for chunk, block, keys, counts in zip(*(batch[c].to_pylist() for c in ("chunk", "block", "keys", "counts"))):
-                if block != last and work:
-                    yield from flush(last, *work)
-                    work = None
-                last, work = block, work or ([], [], tempfile.TemporaryFile())
-                asked, parts, spool = work
-                asked.append((chunk, len(keys)))
-                spool.write(keys)  # read again when the block's tree is known
-                parts.append((np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.int64)))
-                if sum(len(p[0]) for p in parts) > max(_MERGED, 2 * len(parts[0][0])):
-                    parts[:] = [_learned(parts)]
-        if work:
-            yield from flush(last, *work)
-
-    def flush(block: int, asked: list, parts: list, spool) -> Iterator[pa.RecordBatch]:
-        lower, before = low.value
-        keys, n = _learned(parts)
-        table = {}
-        for d in range(depth, _WHOLE - 1, -1):
-            if d < depth:
-                keys, n = _counted([(keys & np.uint64((1 << (8 * (d + 1))) - 1), n)])
-            states, which = np.unique(keys >> np.uint64(8), return_inverse=True)
-            of = np.bincount(which, n, len(states))[which]
-            stored = n >= LEAST
-            table[d] = keys[stored], n[stored].astype(float), of[stored]
-        levels = tree(table, before=before)
-        scorer = Scorer([*lower, *levels])
-        spool.seek(0)
-        with spool:
-            for chunk, size in asked:
-                yield meeting(_ANSWER, chunk, block, scorer(np.frombuffer(spool.read(size), np.uint64)).astype(np.float32).tobytes())
-        yield meeting(_STATES, block, sum(len(x.states) for x in levels), None)
-
-    def meeting(kind: int, chunk: int, at: int, data: bytes | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([{"kind": kind, "chunk": chunk, "at": at, "data": data}], schema=_MEETING)
-
-    return requests.repartition(F.col("block")).sortWithinPartitions("block", "chunk").mapInArrow(run, MEETING)
-
-
-def _learned(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    keys, n = _counted(parts)
-    return keys[n > 0], n[n > 0]
-
-
-def _tagged(rows: DataFrame) -> DataFrame:
-    """MEETING rows of the documents."""
+        for (chunk, part), answers, rows in _by_chunk(batches):
+            found = [Segment(**r) for r in rows]
+            s = strings(found)
+            n = np.concatenate([unplanes(a[0]) for a in answers])
+            keys = distinct(np.concatenate([s.word, s.pair]))[0]
+            if len(keys) != len(n):
+                raise ValueError("the rows of the input have changed between two scans")
+            c, pairs = n[places(keys, s.word)], n[places(keys, s.pair)]
+            before = np.flatnonzero(s.own) - 1  # the place of the symbol before
+            own = before + 1
+            base = (c[own] + 0.1) / below
+            weight = _strength(c[before])
+            p = (pairs[own] + weight * base) / (c[before] + weight)
+            owner = np.repeat(np.arange(len(found)), s.lengths)
+            total = lambda x: np.bincount(owner, x, len(found))
+            # strings of three, by context and last symbol
+            asks = (pairs[before] >= CONTEXT) & (s.pair[before] != _START)
+            context, symbol, occurs, p3 = s.pair[before][asks], s.symbol[own][asks], pairs[before][asks], p[asks]
+            sent = pairs[own][asks] >= STORED
+            contexts, first, group = np.unique(context, return_index=True, return_inverse=True)
+            order = np.lexsort((symbol[sent], group[sent]))
+            g, w = group[sent][order], symbol[sent][order]
+            new = np.ones(len(g), bool)
+            new[1:] = (g[1:] != g[:-1]) | (w[1:] != w[:-1])
+            number = np.empty(len(g), np.int64)
+            number[order] = np.cumsum(new) - 1
+            starts = np.flatnonzero(new)
+            times = np.add.reduceat(s.trains[own][asks][sent][order].astype(np.int64), starts) if len(starts) else np.zeros(0, np.int64)
+            number_of = len(starts) + group
+            number_of[sent] = number
+            lengths = np.bincount(g[starts], minlength=len(contexts))
+            suffix, totals, w = p3[sent][order][starts].astype(np.float32), occurs[first], w[starts]
+            cuts, at = _bounds(contexts, blocks), np.concatenate([[0], np.cumsum(lengths)])
+            for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
+                if x < y:
+                    i, j = at[x], at[y]
+                    yield _rows(_SCORED, [{"kind": _REQUEST, "chunk": chunk, "part": part, "at": b, "data": packed(contexts[x:y]), "lengths": planes(lengths[x:y]), "totals": planes(totals[x:y]), "more": w[i:j].tobytes(), "counts": planes(times[i:j]), "suffix": suffix[i:j].tobytes()}])
+            ask_of = np.concatenate([[0], np.cumsum(np.bincount(owner[asks], minlength=len(found)))])
+            columns = zip(s.lengths.tolist(), total(c[own] > 0).astype(int).tolist(), total(np.log10(base)).tolist(), total(np.log10(p)).tolist())
+            waiting = [(x.rid, x.doc_id, x.held_out, *some, planes(number_of[ask_of[i] : ask_of[i + 1]])) for i, (x, some) in enumerate(zip(found, columns))]
+            for a in range(0, len(found), _ROWS):
+                data = zipped(_rows(_WAITING, [dict(zip(_WAITING.names, x)) for x in waiting[a : a + _ROWS]]))
+                yield _rows(_SCORED, [{"kind": _SEGMENT, "chunk": chunk, "part": part, "at": a, "data": data}])
+
+    return met.mapInArrow(run, SCORED)
+
+
+def divergence(group: np.ndarray, totals: np.ndarray, n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of contexts with so many occurrences in `totals`, and strings of context `group` that occur n times, the last symbol
+    having probability p after the context's suffix: which contexts are states, and by how much the log10 probability of
+    strings, and of symbols without a stored string, changes."""
+    stored = n >= STORED
+    kept = np.bincount(group[stored], n[stored], len(totals))
+    weight, less = _strength(kept), np.maximum(kept - 1, 0)
+    other = np.log(weight / (kept + weight))
+    one_less = _strength(less)
+    alone = np.log((np.maximum(n - 1, 0) + one_less[group] * p) / ((less + one_less)[group] * p))
+    gain = np.bincount(group[stored], (n * alone)[stored], len(totals)) + (totals - kept) * other
+    states = (gain > GAIN) & (kept > 0)
+    change = np.where(stored, np.log((np.where(stored, n, 0) + weight[group] * p) / ((kept + weight)[group] * p)), other[group])
+    return states, np.where(states[group], change, 0.0) / np.log(10), np.where(states, other, 0.0) / np.log(10)
+
+
+def _changes(requests: DataFrame) -> DataFrame:
+    """ANSWERS rows: for each chunk the changes of its strings (data) and of its contexts' other symbols (more), in its order;
+    and the number of a block's states."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, part in _chunked(batches):
-            same = [pa.array(np.full(part.num_rows, x), k) for x, k in ((_DOCUMENT, pa.int32()), (chunk, pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*same, part["rid"], part["doc_id"], part["held_out"], part["text"].cast(pa.binary())], schema=_MEETING)
-
-    return rows.select("rid", "doc_id", "held_out", "text").mapInArrow(run, MEETING)
-
-
-class Level(NamedTuple):
-    """Strings of one length: sorted `keys` (context and next symbol) with log10 probabilities, and the states that are
-    their contexts, sorted, with the log10 of the mass left to their suffix."""
-
-    keys: np.ndarray
-    score: np.ndarray
-    states: np.ndarray
-    left: np.ndarray
-
-
-def tree(table: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], gain: float = GAIN, before: tuple[np.ndarray, np.ndarray] | None = None) -> list[Level]:
-    """The tree from, for each context length, (keys, counts, counts of their contexts). Of a block, the part from _WHOLE
-    on; `before`: the sorted strings a symbol shorter than its first, with their probabilities."""
-    levels: list[Level] = []
-    kept: list[np.ndarray] = []
-    whole: list[tuple] = []
-    least = min(table)
-    for d in sorted(table):
-        keys, n, of = (x[np.argsort(table[d][0], kind="stable")] for x in table[d])
-        states, first, which = np.unique(keys >> np.uint64(8), return_index=True, return_inverse=True)
-        share = (n - DISCOUNT) / of
-        left = np.maximum(1.0 - np.bincount(which, share, len(states)), 1e-12)
-        if before is None:
-            suffix = np.full(len(keys), 1 / 256)
-        else:
-            mask = np.uint64((1 << (8 * d)) - 1)
-            suffix = before[1][np.searchsorted(before[0], keys & mask)]
-        p = share + left[which] * suffix
-        totals = of[first]
-        gained = np.bincount(which, n * np.log(p / suffix), len(states)) + (totals - np.bincount(which, n, len(states))) * np.log(left)
-        keep = gained > gain * np.bincount(which, minlength=len(states)) if d else np.ones(len(states), bool)
-        kept.append(keep)
-        whole.append((keys, p, states, left, which))
-        before = (keys, p)
-    for k in range(len(whole) - 2, -1, -1):  # a state's suffix is a state
-        longer = whole[k + 1][2][kept[k + 1]] & np.uint64((1 << (8 * (k + least))) - 1)
-        kept[k] |= np.isin(whole[k][2], longer)
-    for (keys, p, states, left, which), keep in zip(whole, kept):
-        levels.append(Level(keys[keep[which]], np.log10(p[keep[which]]), states[keep], np.log10(left[keep])))
-    return levels
-
-
-def _at(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(sorted_keys):
-        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return at, sorted_keys[at] == keys
-
-
-def string_scores(levels: list[Level], keys: np.ndarray) -> np.ndarray:
-    """log10 probability of the last symbol of each string after the ones before it."""
-    out = np.full(len(keys), -np.log10(256))
-    alive = np.arange(len(keys))
-    for d, level in enumerate(levels):
-        short = keys[alive] & np.uint64((1 << (8 * (d + 1))) - 1)
-        state, is_state = _at(level.states, short >> np.uint64(8))
-        # where a context is no state, no longer one is
-        alive, short, state = alive[is_state], short[is_state], state[is_state]
-        if not len(alive):
-            break
-        score = out[alive] + level.left[state]
-        at, stored = _at(level.keys, short)
-        score[stored] = level.score[at[stored]]
-        out[alive] = score
-    return out
-
-
-class Scorer:
-    """Scores strings, and keeps what it has scored in a table of fixed size: a slot for each hash, the newest wins."""
-
-    BITS = 22
-
-    def __init__(self, levels: list[Level]):
-        self.levels = levels
-        self.names = np.full(1 << self.BITS, 2**64 - 1, np.uint64)
-        self.scores = np.zeros(1 << self.BITS, np.float64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slots = (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)
-        out = self.scores[slots]
-        lacking = np.flatnonzero(self.names[slots] != keys)
-        if len(lacking):
-            new = np.unique(keys[lacking])
-            found = string_scores(self.levels, new)
-            out[lacking] = found[np.searchsorted(new, keys[lacking])]
-            slot = (new * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)
-            self.names[slot] = new
-            self.scores[slot] = found
-            clash = self.names[slot] != new  # of strings that share a slot, numpy keeps one; its score must be the same one's
-            if clash.any():
-                holder = np.searchsorted(new, self.names[slot[clash]])
-                self.scores[slot[clash]] = found[holder]
-        return out
+        for block, cells in _by_block(batches, ["chunk", "part", "data", "lengths", "totals", "more", "counts", "suffix"]):
+            contexts = [unpacked(c[2]) for c in cells]
+            sizes = [unplanes(c[3]) for c in cells]
+            names, first, group = np.unique(np.concatenate(contexts), return_index=True, return_inverse=True)
+            totals = np.concatenate([unplanes(c[4]) for c in cells])[first]
+            of = np.repeat(group, np.concatenate(sizes))
+            symbol = np.frombuffer(b"".join([c[5] for c in cells]), np.uint64)
+            n, p = np.concatenate([unplanes(c[6]) for c in cells]), np.frombuffer(b"".join([c[7] for c in cells]), np.float32)
+            order = np.lexsort((symbol, of))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(of[order]) != 0) | (np.diff(symbol[order]) != 0)
+            starts = np.flatnonzero(new)
+            which = np.empty(len(order), np.int64)
+            which[order] = np.cumsum(new) - 1
+            n = np.add.reduceat(n[order], starts) if len(starts) else n[:0]
+            states, change, other = divergence(of[order][starts], totals, n, p[order][starts].astype(float))
+            change, other = change[which].astype(np.float32), other[group].astype(np.float32)
+            i = j = 0
+            for (chunk, part, *_), here, size in zip(cells, contexts, sizes):
+                k, m = i + int(size.sum()), j + len(here)
+                yield _rows(_ANSWERS, [{"kind": _ANSWER, "chunk": chunk, "part": part, "at": block, "data": change[i:k].tobytes(), "more": other[j:m].tobytes()}])
+                i, j = k, m
+            yield _rows(_ANSWERS, [{"kind": _STATES, "at": int(states.sum())}])
+
+    asked = requests.withColumn("block", F.col("at")).repartition(F.col("block")).sortWithinPartitions("block", "chunk", "part")
+    return asked.mapInArrow(run, ANSWERS)
+
+
+def _changed(met: DataFrame) -> DataFrame:
+    """RESULT rows of the segments: their scores with the changes that states of two symbols make."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, answers, rows in _by_chunk(batches):
+            change = np.concatenate([np.frombuffer(a[k], np.float32) for k in (0, 1) for a in answers] or [np.zeros(0, np.float32)])
+            for r in rows:
+                r["score"] += float(change[unplanes(r.pop("strings"))].sum(dtype=float))
+            yield _rows(_RESULT, rows)
+
+    return met.mapInArrow(run, RESULT)
 
 
 def held_out_column() -> Column:
@@ -375,126 +409,30 @@ def held_out_column() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
-SCORED = "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"
-_SCORED = pa.schema([(c.split()[0], {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "array<long>": pa.list_(pa.int64())}[c.split()[1]]) for c in SCORED.split(", ")])
-
-
-def score(docs: DataFrame, depth: int = DEPTH, scratch: Scratch | None = None) -> DataFrame:
+def score(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_states) of each row of docs(doc_id, text).
 
     Rows whose doc_id's crc32 is a multiple of ten are held out; all others train. Null texts are empty: one token, the
-    end. Repeated rows train as often as they occur. With nothing to train on, known tokens are 0 and the model is uniform
-    over bytes. An empty table gives no rows. Words are told apart by 64-bit hashes.
+    end. Repeated rows train as often as they occur. With nothing to train on, known tokens are 0 and every symbol is the
+    unknown one, whose probability is 1. An empty table gives no rows. Words are told apart by 64-bit hashes. A text beyond
+    the size of a chunk is counted and scored in parts, each with the two words before it as context.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
-    rows = keyed(docs).withColumn("held_out", held_out_column())
-    training = rows.where("not held_out")
-    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = scratch.table(_counts(training, blocks), "counts")
-    totals = {r["kind"]: (r["n"], r["d"]) for r in counts.where(F.col("kind") != _PAIR).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect()}
-    texts = totals.get(_TEXT, (0, 0))[0]
-    n_words, distinct = totals.get(_WORD, (0, 0))
-    tokens, known = n_words + texts, distinct + (texts > 0)
-    lower, before = _lower(counts.where(F.col("kind") == _PAIR).groupBy("key").agg(F.sum("n").alias("n")).toArrow())
-    # at most FREQUENT_WORDS words have that many occurrences
-    least = max(2, -(-n_words // FREQUENT_WORDS))
-    words = counts.where(F.col("kind") == _WORD).select("key", "n")
-    often = words.where(F.col("n") >= least).toArrow()
-    order = np.argsort(often["key"].to_numpy().view(np.uint64))
-    model = spark.sparkContext.broadcast((often["key"].to_numpy().view(np.uint64)[order], often["n"].to_numpy()[order]))
-    low = spark.sparkContext.broadcast((lower, before))
-    below = tokens + 0.1 * (known + 1)
-    end = float(np.log10((texts + 0.1) / below))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, answers, documents = None, [], []
-        for batch in batches:
-            for kind, chunk, at, doc_id, held_out, data in zip(*(batch[c].to_pylist() for c in _MEETING.names)):
-                if kind == _STATES:
-                    yield pa.RecordBatch.from_pylist([{"n_tokens": at}], schema=_SCORED)
-                    continue
-                if chunk != last:
-                    yield from scored_rows(answers, documents)
-                    last, answers, documents = chunk, [], []
-                if kind == _ANSWER:
-                    answers.append(np.frombuffer(data, np.float32))
-                else:
-                    documents.append((at, doc_id, held_out, data))
-        yield from scored_rows(answers, documents)
-
-    def scored_rows(answers: list, documents: list) -> Iterator[pa.RecordBatch]:
-        if not documents:
-            return
-        names, times = model.value
-        scores = np.log10((times + 0.1) / below)
-        hashed = word_ids(lower=True)
-        texts_here = [x[3] for x in documents]
-        pieces = list(chunks(texts_here))
-        keys = None
-        for a, b in pieces:  # the strings that the chunk asked for, in the order of its answers
-            _, symbols, begins = stream(texts_here[a:b], depth)
-            every = strings(symbols, depth)
-            found = np.unique(every[_inside(every, begins, depth)])
-            keys = found if keys is None else np.union1d(keys, found)
-        _, order = _by_block(keys, blocks)
-        score_of = np.empty(len(keys))
-        score_of[order] = np.concatenate(answers)
-        for a, b in pieces:
-            parts, symbols, begins = stream(texts_here[a:b], depth)
-            every = strings(symbols, depth)
-            inside = _inside(every, begins, depth)
-            mine, which = np.unique(every[inside], return_inverse=True)
-            values = np.zeros(len(every))
-            values[inside] = score_of[np.searchsorted(keys, mine)][which]
-            n = np.array([len(p) for p in parts], np.int64)
-            sums = _sums(values, begins, np.append(begins[1:], len(symbols) - 8) - depth)
-            ids = hashed.of([w for some in parts for w in some])
-            owner = np.repeat(np.arange(len(n)), n)
-            at, found = _at(names, ids)
-            base = np.bincount(owner[found], scores[at[found]], len(n)) if len(names) else np.zeros(len(n))
-            n_known = np.bincount(owner[found], minlength=len(n))
-            owners, word = owner[~found], ids[~found]
-            order = np.lexsort((word, owners))
-            owners, word = owners[order], word[order]
-            new = np.ones(len(word), bool)
-            new[1:] = (owners[1:] != owners[:-1]) | (word[1:] != word[:-1])
-            first = np.flatnonzero(new)
-            offsets = np.append(np.searchsorted(owners[first], np.arange(len(n))), len(first)).astype(np.int32)
-            rare = pa.ListArray.from_arrays(offsets, pa.array(word[first].view(np.int64)))
-            often_in = pa.ListArray.from_arrays(offsets, pa.array(np.diff(first, append=len(word))))
-            rid, doc_id, held_out = (pa.array([x[k] for x in documents[a:b]], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_())))
-            yield pa.RecordBatch.from_arrays([rid, doc_id, held_out, pa.array(n + 1), pa.array(n_known + (texts > 0)), pa.array(base + end), pa.array(sums), rare, often_in], schema=_SCORED)
-
-    met = _answers(_requests(rows, depth, blocks), depth, low).unionByName(_tagged(rows)).repartition(F.col("chunk")).sortWithinPartitions("chunk", "kind", "at")
-    scored = scratch.table(met.mapInArrow(run, SCORED), "scored")
-    states = sum(len(x.states) for x in lower) + (scored.where("rid is null").agg(F.sum("n_tokens")).first()[0] or 0)
-    scored = scored.where("rid is not null")
-    rest = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
-    seldom = words.where(F.col("n") < least)
-    c = F.coalesce("n", F.lit(0))
-    sums = rest.join(seldom, "key", "left").groupBy("rid").agg(F.sum(F.col("times") * F.log10((c + 0.1) / F.lit(below))).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"))
-    return scored.drop("rare", "times").join(sums, "rid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score", F.lit(states).cast("long").alias("n_states"),
-    )
-
-
-def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums over ranges, none of which is empty."""
-    bounds = np.stack([begins, ends], 1).ravel()
-    return np.add.reduceat(np.append(values, 0.0), bounds)[::2]
-
-
-def _lower(pairs: pa.Table) -> tuple[list[Level], tuple[np.ndarray, np.ndarray]]:
-    """The levels below _WHOLE, all of whose contexts are states, from pairs (key, n); and the last one's probabilities."""
-    keys, n = _counted([(pairs["key"].to_numpy().view(np.uint64), pairs["n"].to_numpy())])
-    table = {}
-    for d in range(_WHOLE - 1, -1, -1):
-        if d < _WHOLE - 1:
-            keys, n = _counted([(keys & np.uint64((1 << (8 * (d + 1))) - 1), n)])
-        which = np.unique(keys >> np.uint64(8), return_inverse=True)[1]
-        of = np.bincount(which, n)[which] if len(keys) else n.astype(float)
-        table[d] = keys[n >= LEAST], n[n >= LEAST].astype(float), of[n >= LEAST]
-    levels = tree(table, gain=-np.inf)
-    return levels, (levels[-1].keys, 10 ** levels[-1].score)
+    rows = keyed(docs).withColumn("held_out", held_out_column()).select("rid", "doc_id", "held_out", "text")
+    blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    answers = scratch.table(_answers(_requests(rows, blocks)), "answers")
+    tokens, known, texts = (x or 0 for x in answers.where(F.col("kind") == _TOTAL).agg(F.sum("at"), F.sum("chunk"), F.sum("part")).first())
+    scored = scratch.table(_scored(_met(answers, _segment_rows(rows)), blocks, tokens, known).withColumn("half", F.when(F.col("kind") == _REQUEST, 2 * F.col("at") >= blocks).cast("int")), "scored", by="half")
+    scratch.drop("answers")
+    changes = []
+    for half in (0, 1):  # one after the other, so that only half of the requests are on the disks twice
+        changes.append(scratch.table(_changes(scored.where(F.col("half") == half)), f"changes{half}"))
+        scratch.drop(f"scored/half={half}")
+    changes = changes[0].unionByName(changes[1])
+    states = 1 + known + (changes.where(F.col("kind") == _STATES).agg(F.sum("at")).first()[0] or 0)
+    result = _changed(_met(changes, scored.where(F.col("half").isNull())))
+    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
+    return result.groupBy("rid", "doc_id", "held_out").agg(*sums).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score", F.lit(states).cast("long").alias("n_states")
+    )
