@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch, keyed, row_number
+from dirbook.llm.common import Scratch, fresh, keyed, row_number
 
 BLOCK = 4096
 
@@ -81,6 +81,11 @@ def exact_groups(docs: DataFrame, block: int = BLOCK, scratch: Scratch | None =
 
 
 def drop_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """docs without the rows whose text another row keeps; all columns."""
-    dropped = exact_groups(docs, scratch=scratch).where("not kept").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", row_number(docs)).join(dropped, "__rid", "left_anti").drop("__rid")
+    """docs without the rows whose text another row keeps, with all columns, whatever their names.
+
+    Null counts as the empty text, so of all null and empty texts one row stays; ties of doc_id are told apart as in
+    exact_groups(). An empty table stays empty.
+    """
+    rid = fresh(docs)
+    dropped = exact_groups(docs, scratch=scratch).where("not kept").select(F.col("rid").alias(rid))
+    return docs.withColumn(rid, row_number(docs)).join(dropped, rid, "left_anti").drop(rid)

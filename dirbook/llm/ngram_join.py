@@ -19,16 +19,15 @@ been compared with every other member of another component. So no link between c
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import grams, mix
-from dirbook.llm.common import Scratch, bytes_of, keyed, row_number, word_ids
+from dirbook.llm.common import Scratch, bytes_of, fresh, keyed, row_number, slices, word_hashes
 
 WORDS, SIMILAR = 5, 80
 #: A token is frequent if FREQUENT nodes have it at least; at most MOST_FREQUENT tokens are, by raising that bound.
@@ -43,22 +42,36 @@ SMALL_GROUP = 8
 CENTERS = 16
 
 
-def tokens(text: bytes, words: int = WORDS) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text."""
-    ids = word_ids(lower=True).of(text.split())
-    n = len(ids)
-    if n < words:
-        if not n:
-            return ids
-        whole = np.array([n], np.uint64)
-        for k in range(n):
-            whole = mix(whole, ids[k : k + 1])
-        return whole
+def token_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    ids, counts = word_hashes(texts, lower=True)
     span = 1 << (words.bit_length() - 1)
-    found = grams(ids, 1, span)[: n - span + 1]
+    found = grams(ids, 1, span)
     for k in range(span, words):
-        found = mix(found[: n - k], ids[k:])
-    return np.unique(found)
+        found = mix(found[: max(0, len(ids) - k)], ids[k:])
+    out, at = [], 0
+    for n in counts.tolist():
+        if n >= words:
+            out.append(_unique(found[at : at + n - words + 1]))
+        else:  # fewer words are one shingle
+            whole = np.array([n], np.uint64)
+            for k in range(at, at + n):
+                whole = mix(whole, ids[k : k + 1])
+            out.append(whole if n else ids[:0])
+        at += n
+    return out
+
+
+def _unique(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
+def tokens(text: bytes, words: int = WORDS) -> np.ndarray:
+    """The sorted distinct shingle hashes of a text."""
+    return token_sets([text], words)[0]
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = SIMILAR) -> bool:
@@ -78,8 +91,10 @@ def missing(n: int, percent: int = SIMILAR) -> int:
 def subclasses(size_class: int) -> int:
     """Into how many subclasses sets of 2**size_class tokens and more, up to twice as many, deal frequent tokens.
 
-    Four tokens or more for each subclass, so that a prefix always reaches its credit; small sets have none."""
-    return (1 << size_class) // 4 if size_class >= 4 else 0
+    Four tokens or more for each, so that a prefix always reaches its credit: a set of n tokens indexes for size classes up
+    to 1.25 n, so it has 0.3125 n subclasses at most, each of which costs one token of n, and 0.6875 n is d + 1 at least
+    from three tokens on. Sets of fewer than four have none."""
+    return (1 << size_class) // 4
 
 
 def signatures(found: np.ndarray, frequent: np.ndarray, percent: int = SIMILAR) -> np.ndarray:
@@ -139,13 +154,19 @@ def _split(block: np.ndarray, *arrays: np.ndarray) -> tuple[np.ndarray, list[lis
     return block[np.append(0, cuts)], [[x.tobytes() for x in np.split(a, cuts)] for a in arrays]
 
 
+def _dealt(names: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which block each name goes to, and the order by block."""
+    block = ((names ^ (names >> np.uint64(32))) % np.uint64(blocks)).astype(np.int32)
+    return block, np.argsort(block, kind="stable")
+
+
 def _counted_tokens(docs: DataFrame, words: int, share: float, blocks: int, frequent_from: int | None) -> DataFrame:
     """COUNTED rows of the kinds _SET, _COMMON and, from so many nodes on, _OFTEN, of docs(rid, doc_id, text)."""
     bound = np.uint64(min(int(share * 2**64), 2**64 - 1))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [tokens(t, words) for t in bytes_of(batch["text"])]
+        for batch in slices(batches):
+            found = token_sets(bytes_of(batch["text"]), words)
             names = np.array([node_of(x) for x in found], np.uint64)
             used = [x[: np.searchsorted(x, bound, "right")] for x in found]
             yield _rows(_SET, len(found), block=(names % np.uint64(blocks)).astype(np.int64), rid=batch["rid"], doc_id=batch["doc_id"], n=[len(x) for x in found], used=[len(x) for x in used], node=names.view(np.int64))
@@ -153,8 +174,7 @@ def _counted_tokens(docs: DataFrame, words: int, share: float, blocks: int, freq
             if once:
                 token = np.concatenate(once)
                 node = np.repeat(np.array([name for name, x in dict(zip(names.tolist(), used)).items() if len(x)], np.uint64), [len(x) for x in once])
-                block = ((token ^ (token >> np.uint64(32))) % np.uint64(blocks)).astype(np.int32)
-                order = np.argsort(block, kind="stable")
+                block, order = _dealt(token, blocks)
                 where, (some, whose) = _split(block[order], token[order], node[order])
                 yield _rows(_TOKENS, len(where), block=where.astype(np.int64), tokens=some, nodes=whose)
 
@@ -181,7 +201,9 @@ def _counted_tokens(docs: DataFrame, words: int, share: float, blocks: int, freq
         sizes = np.diff(starts, append=len(token))
         names, common = np.unique(node[np.repeat(sizes, sizes) > 1], return_counts=True)
         if len(names):
-            yield _rows(_COMMON, len(names), node=names.view(np.int64), n=common)
+            block, order = _dealt(names, blocks)
+            where, (some, times) = _split(block[order], names[order], common[order].astype(np.uint32))
+            yield _rows(_COMMON, len(where), block=where.astype(np.int64), nodes=some, tokens=times)
         if frequent_from is not None:
             often = sizes >= frequent_from
             if often.any():
@@ -200,11 +222,35 @@ def _distinct(first: np.ndarray, second: np.ndarray, *more: np.ndarray) -> tuple
     return first[one], second[one], *(x[order][one] for x in more)
 
 
+def _common(counted: DataFrame) -> DataFrame:
+    """(node, common): how many of a node's tokens others have, too, from the parts that blocks of tokens have counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            for block, some, times in zip(*(batch[c].to_pylist() for c in ("block", "nodes", "tokens"))):
+                if block != last and held:
+                    yield flush(held)
+                    held = []
+                last = block
+                held.append((some, times))
+        if held:
+            yield flush(held)
+
+    def flush(held: list) -> pa.RecordBatch:
+        node, which = np.unique(np.frombuffer(b"".join([h[0] for h in held]), np.int64), return_inverse=True)
+        common = np.bincount(which, np.frombuffer(b"".join([h[1] for h in held]), np.uint32), len(node)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(common)], ["node", "common"])
+
+    parts = counted.where(F.col("kind") == _COMMON).select("block", "nodes", "tokens")
+    return parts.repartition(F.col("block")).sortWithinPartitions("block").mapInArrow(run, "node long, common long")
+
+
 def _possible(counted: DataFrame, percent: int) -> DataFrame:
     """(node, rep, n, shared) of nodes that don't have more tokens of their own than a similar set can lack; `shared`: how
     many tokens others may have, too."""
     nodes = counted.where((F.col("kind") == _SET) & (F.col("n") > 0)).groupBy("node").agg(F.min("rid").alias("rep"), F.max("n").alias("n"), F.max("used").alias("used"))
-    common = counted.where(F.col("kind") == _COMMON).groupBy("node").agg(F.sum("n").alias("common"))
+    common = _common(counted)
     lacking = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
     shared = F.coalesce("common", F.lit(0))
     return nodes.join(common, "node", "left").where(F.col("used") - shared <= lacking).select("node", "rep", "n", (F.col("n") - F.col("used") + shared).alias("shared"))
@@ -216,8 +262,8 @@ def _index(texts: DataFrame, frequent: np.ndarray, words: int, percent: int, blo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
-        for batch in batches:
-            found = [tokens(t, words) for t in bytes_of(batch["text"])]
+        for batch in slices(batches):
+            found = token_sets(bytes_of(batch["text"]), words)
             sigs = [signatures(x, often, percent) for x in found]
             if not found:
                 continue
@@ -294,27 +340,18 @@ def _groups(index: DataFrame, percent: int) -> DataFrame:
     return index.mapInArrow(run, GROUPED)
 
 
-_MAP = [f"b{i}" for i in range(_BITS // 64)]
-
-
 def _maps(texts: DataFrame, words: int) -> DataFrame:
-    """(node, b0, b1, ...): which of _BITS equal parts of the hash range a node's tokens fall into, a bit each."""
+    """(node, map): which of _BITS equal parts of the hash range a node's tokens fall into, a bit each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = np.zeros((batch.num_rows, _BITS), bool)
-            for row, text in zip(rows, bytes_of(batch["text"])):
-                row[((tokens(text, words) >> np.uint64(32)).astype(np.int64) * _BITS) >> 32] = True
-            packed = np.packbits(rows, axis=1, bitorder="little").view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["node"], *(pa.array(np.ascontiguousarray(packed[:, i])) for i in range(len(_MAP)))], ["node", *_MAP])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, " + ", ".join(f"{c} long" for c in _MAP))
+            for row, found in zip(rows, token_sets(bytes_of(batch["text"]), words)):
+                row[((found >> np.uint64(32)).astype(np.int64) * _BITS) >> 32] = True
+            packed = np.packbits(rows, axis=1, bitorder="little")
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([x.tobytes() for x in packed], pa.binary())], ["node", "map"])
 
-
-def _most_common(size: str, own: str, other: str) -> Column:
-    """How many tokens of a set another can have at most: each part that only this one has tokens in is one less."""
-    lacking = [F.bit_count(F.col(f"{c}{own}").bitwiseAND(F.bitwise_not(F.col(f"{c}{other}")))) for c in _MAP]
-    return F.col(size) - reduce(lambda x, y: x + y, lacking)
+    return texts.select("node", "text").mapInArrow(run, "node long, map binary")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -397,7 +434,7 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scra
         pairs = scratch.table(pairs, f"pairs{k}")  # distinct before the join, not after
         more = scratch.table(pairs.join(tried, ["a", "b"], "left_anti"), f"more{k}")
         found = scratch.table(_verify(more, texts, words, percent), f"links{k}")
-        done, tried = done.unionByName(chosen.select("gid", "node")), tried.unionByName(more)
+        done, tried = done.unionByName(chosen), tried.unionByName(more)
         if found.take(1):
             links = links.unionByName(found)
             comps = scratch.table(connect(links, scratch, f"cc{k}"), f"comps{k}")
@@ -408,23 +445,93 @@ def components(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scra
     return inside.unionByName(placed.where("comp is null").select("rid", "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "comp"))
 
 
+OPEN = "gid long, node long, n long, shared long, comp long, top long, was boolean, map binary"
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """(gid, columns of its members) of OPEN rows sorted by gid."""
+    names = [c.split()[0] for c in OPEN.split(", ")][1:]
+    last, held = None, []
+
+    def columns() -> dict[str, np.ndarray]:
+        found = {c: np.concatenate([h[c].to_numpy(zero_copy_only=False) for h in held]) for c in names if c != "map"}
+        return found | {"map": np.frombuffer(b"".join([x for h in held for x in h["map"].to_pylist()]), np.uint64).reshape(-1, _BITS // 64)}
+
+    for batch in batches:
+        gid = batch["gid"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(gid)) + 1).tolist(), len(gid)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                if gid[a] != last and held:
+                    yield last, columns()
+                    held = []
+                last = int(gid[a])
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield last, columns()
+
+
+def _centers(group: dict[str, np.ndarray], centers: int) -> np.ndarray:
+    """Places of members outside the group's largest component that weren't centers yet: those with fewest tokens of their own."""
+    outside = np.flatnonzero((group["comp"] != group["top"]) & ~group["was"])
+    own = group["n"][outside] - group["shared"][outside]
+    return outside[np.lexsort((group["node"][outside], own))][:centers]
+
+
+def _possible_partners(group: dict[str, np.ndarray], center: int, percent: int) -> np.ndarray:
+    """Places of members of other components that may be similar to the center, by what sizes and maps tell."""
+    n, shared, comp = group["n"], group["shared"], group["comp"]
+    others = np.flatnonzero((comp != comp[center]) & _near(n[center], n, shared[center], shared, percent, np.minimum))
+    mine, theirs = group["map"][center], group["map"][others]
+    # each part of the hash range that only one of two has tokens in is a token that the other lacks
+    most = np.minimum(n[center] - np.bitwise_count(mine & ~theirs).sum(1), n[others] - np.bitwise_count(theirs & ~mine).sum(1))
+    return others[(100 + percent) * most >= percent * (n[center] + n[others])]
+
+
+#: Memberships of groups with one largest component that a task takes, about.
+_TASK = 200_000
+
+
 def _more_pairs(members: DataFrame, comps: DataFrame, maps: DataFrame, done: DataFrame, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame, DataFrame]:
-    """Centers: members outside their group's largest component that weren't centers yet, in groups that aren't settled;
-    and their pairs with members of other components that can be similar by their sizes."""
+    """(gid, node) of new centers, in groups that aren't settled, and their pairs (a, b) with members of other components.
+
+    Groups overlap, as similar nodes share many combinations. Those with the same largest component go to the same tasks,
+    which form a pair once, however many of their groups have it; how many tasks grows with their members."""
     at = members.join(comps, "node", "left").select("gid", "node", "n", "shared", F.coalesce("comp", "node").alias("comp"))
     sizes = at.groupBy("gid", "comp").agg(F.count("*").alias("c"))
-    tops = sizes.groupBy("gid").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1").select("gid", "top")
-    at = scratch.table(at.join(tops, "gid").join(maps, "node"), f"open{k}")
-    outside = at.where("comp <> top").join(done, ["gid", "node"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("gid").orderBy(F.col("n") - F.col("shared"), "node"))
-    chosen = scratch.table(outside.withColumn("rank", rank).where(F.col("rank") <= centers).select("gid", "node", "n", "shared", "comp", *_MAP), f"chosen{k}")
-    other = at.select("gid", F.col("node").alias("other"), F.col("n").alias("m"), F.col("shared").alias("shared_m"), F.col("comp").alias("its"), *[F.col(c).alias(f"{c}_m") for c in _MAP])
-    bound = F.lit(percent) * (F.col("n") + F.col("m"))
-    near = _near(F.col("n"), F.col("m"), F.col("shared"), F.col("shared_m"), percent, F.least)
-    for most in (_most_common("n", "", "_m"), _most_common("m", "_m", "")):  # dearer, so looked at last
-        near = near & (F.lit(100 + percent) * most >= bound)
-    pairs = chosen.join(other, "gid").where((F.col("comp") != F.col("its")) & near).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    return chosen, pairs
+    tops = sizes.groupBy("gid").agg(F.max_by("comp", F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("c").alias("c")).where("comps > 1")
+    tops = scratch.table(tops.select("gid", "top", "c"), f"tops{k}")
+    tasks = tops.groupBy("top").agg(F.ceil(F.sum("c") / _TASK).alias("tasks"))
+    tops = tops.join(tasks, "top").select("gid", "top", F.pmod(F.xxhash64("gid"), "tasks").alias("task"))
+    before = done.withColumn("was", F.lit(True))
+    opened = at.join(tops, "gid").join(before, ["gid", "node"], "left").join(maps, "node").withColumn("was", F.coalesce("was", F.lit(False)))
+    names = [c.split()[0] for c in OPEN.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right, held = [], [], 0
+        for gid, group in _members(batches):
+            chosen = _centers(group, centers)
+            yield rows(np.full(len(chosen), gid), group["node"][chosen], True)
+            for c in chosen:
+                others = group["node"][_possible_partners(group, c, percent)]
+                left.append(np.minimum(others, group["node"][c]))
+                right.append(np.maximum(others, group["node"][c]))
+                held += len(others)
+            if held > 1_000_000:
+                left, right = ([x] for x in _distinct(np.concatenate(left), np.concatenate(right)))
+                if len(left[0]) > 500_000:
+                    yield rows(left[0], right[0], False)
+                    left, right = [], []
+                held = sum(map(len, left))
+        if left:
+            yield rows(*_distinct(np.concatenate(left), np.concatenate(right)), False)
+
+    def rows(a: np.ndarray, b: np.ndarray, is_center: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(np.full(len(a), is_center))], ["a", "b", "is_center"])
+
+    found = opened.repartition("top", "task").sortWithinPartitions("gid").select(*names).mapInArrow(run, "a long, b long, is_center boolean")
+    found = scratch.table(found, f"found{k}")
+    return found.where("is_center").select(F.col("a").alias("gid"), F.col("b").alias("node")), found.where("not is_center").select("a", "b").distinct()
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scratch: Scratch | None = None) -> DataFrame:
@@ -433,5 +540,6 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = SIMILAR, scr
     found = scratch.table(components(docs, words, percent, scratch), "components")
     first = found.where("comp is not null").groupBy("comp").agg(F.min(F.struct("doc_id", "rid")).getField("rid").alias("first"), F.count("*").alias("c"))
     first = scratch.table(first.where("c > 1"), "first")
-    dropped = found.join(first, "comp").where("rid <> first").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", row_number(docs)).join(dropped, "__rid", "left_anti").drop("__rid")
+    rid = fresh(docs)
+    dropped = found.join(first, "comp").where("rid <> first").select(F.col("rid").alias(rid))
+    return docs.withColumn(rid, row_number(docs)).join(dropped, rid, "left_anti").drop(rid)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import RUNS, by_row, candidates, grams, parts, portions, repeated_alone, runs, spans
-from dirbook.llm.common import Scratch, batched, bytes_of, hash_pair, keyed, row_number, slices, word_ids
+from dirbook.llm.common import Scratch, batched, bytes_of, fresh, hash_pair, keyed, row_number, slices, word_ids
 from dirbook.llm.suffix_array import PIECES, RANGES, WINDOWS, buckets
 
 WIDTH, GRAM = 35, 8
@@ -214,7 +214,8 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch:
 
     Texts that lose nothing are left as they are; others become their remaining words, a space between them.
     """
-    cut = by_row(repeated_ranges(keyed(docs), width, gram, scratch), "start", "n").withColumnRenamed("rid", "__rid").withColumnRenamed("runs", "__runs")
+    rid, cuts = fresh(docs), fresh(docs, "cuts")
+    cut = by_row(repeated_ranges(keyed(docs), width, gram, scratch), "start", "n").select(F.col("rid").alias(rid), F.col("runs").alias(cuts))
     at, names = docs.columns.index("text"), docs.columns
     lengths = [i for i, c in enumerate(names) if c == "n_chars"]
 
@@ -229,5 +230,5 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch:
                 columns[i] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field(i).type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    joined = docs.withColumn("__rid", row_number(docs)).join(cut, "__rid", "left").drop("__rid")
+    joined = docs.withColumn(rid, row_number(docs)).join(cut, rid, "left").drop(rid)
     return joined.mapInArrow(run, docs.schema)
