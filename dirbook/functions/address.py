@@ -127,13 +127,11 @@ def split_address(df: DataFrame, address: str, as_of: str, nfkc: bool = True) ->
     In order: the text before the first comma, or else the longest dictionary prefix, is a district before a town of its
     own or a known name; otherwise the first ward name found; otherwise all of it is an area of the city.
     """
-    tidy = df.withColumn("__address", tidy_address(F.col(address), nfkc)).withColumn("__version", valid_from(F.col(as_of)))
-    found = tidy.withColumn("__found", F.when(F.col("__version") == D.LATE, _split(F.col("__address"), D.LATE)).otherwise(_split(F.col("__address"), D.EARLY)))
+    text, at = tidy_address(F.col(address), nfkc), valid_from(F.col(as_of))
+    tidy = df.withColumn("__address", text).withColumn("__version", at)
+    split = F.when(F.col("__version") == D.LATE, _split(F.col("__address"), D.LATE)).otherwise(_split(F.col("__address"), D.EARLY))
+    # through a generator, so that filters on the parts don't make the optimizer write the split out again
+    found = tidy.select("*", F.explode(F.array(split)).alias("__found"))
     rest = F.col("__found.rest")
-    return (
-        found.withColumn("prefecture", F.col("__found.prefecture"))
-        .withColumn("municipality", F.col("__found.municipality"))
-        .withColumn("area", without_lot(rest))
-        .withColumn("lot", lot_number(rest))
-        .drop("__address", "__version", "__found")
-    )
+    parts = {"prefecture": F.col("__found.prefecture"), "municipality": F.col("__found.municipality"), "area": without_lot(rest), "lot": lot_number(rest)}
+    return found.withColumns(parts).drop("__address", "__version", "__found")

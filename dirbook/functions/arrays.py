@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dirbook.functions.text import compact_address, strip
+from dirbook.functions.text import compact_address, composed, strip
 
 
 def string_candidates(values: Column) -> Column:
@@ -13,6 +13,11 @@ def string_candidates(values: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), strip), lambda x: x != ""))
 
 
+def composed_candidates(values: Column) -> Column:
+    """string_candidates() of texts that aren't normalised yet: composed all at once, with a separator between them."""
+    return string_candidates(F.split(composed(F.array_join(F.coalesce(values, F.array().cast("array<string>")), "\x1e")), "\x1e"))
+
+
 def blank(values: Column) -> Column:
     return ~F.exists(values, lambda x: strip(x) != "")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dirbook.functions.text import normalized, without_space
+from dirbook.functions.text import normalized, strip, without_space
 
 # fixed values: what a number looks like in print, its area code, its dashes
 PATTERN = r"(?:※?[0-9]{2,4}[-()（）]?[0-9]{1,4}[-()（）]?[0-9]{2,4}(?:代表|代)?|※?[0-9]{3,4}-[0-9]{3,4}(?:代表|代)?|※?[0-9]{3,4}(?:代表|代)?)"
@@ -43,12 +43,15 @@ def publish_number(phone: Column, nfkc: bool = True) -> Column:
 
 
 def number_candidates(values: Column, fallback: Column) -> Column:
-    """Distinct numbers of an array of texts that are normalised already, or else the one in the fallback."""
+    """Distinct numbers of an array of texts that are normalised already, or else the one in the fallback.
+
+    Each step's array is bound to a variable before the next uses it, so nothing is computed twice for an element."""
     parts = F.flatten(F.transform(F.filter(values, lambda v: v != ""), lambda v: F.split(F.regexp_replace(v, r"^[{}]+|[{}]+$", ""), "[、,，/|]+")))
-    number = lambda p: F.when(first_number(p) != "", first_number(p)).otherwise(p)
-    found = F.filter(F.transform(parts, lambda p: export_number(number(p), nfkc=False)), lambda x: x != "")
-    other = export_number(F.lit(""), fallback, nfkc=False)
-    return F.when(F.size(found) > 0, F.array_distinct(found)).when(other != "", F.array(other)).otherwise(F.array().cast("array<string>"))
+    hits = F.transform(parts, lambda p: F.coalesce(F.nullif(first_number(p), F.lit("")), p))
+    tidy = F.transform(hits, lambda p: _tidy(F.translate(strip(p), "()（）", "----")))
+    found = F.array_distinct(F.filter(F.transform(tidy, with_area_code), lambda x: x != ""))
+    other = F.transform(F.array(export_number(F.lit(""), fallback, nfkc=False)), lambda x: F.when(x != "", F.array(x)).otherwise(F.array().cast("array<string>")))
+    return F.transform(F.array(found), lambda f: F.when(F.size(f) > 0, f).otherwise(other[0]))[0]
 
 
 def only_numbers(text: Column, numbers: Column) -> Column:

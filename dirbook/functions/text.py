@@ -15,6 +15,11 @@ def _nfkc(values: pd.Series) -> pd.Series:
     return values.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
 
+def composed(column: Column) -> Column:
+    """In compatibility composition."""
+    return _nfkc(column)
+
+
 def strip(column: Column) -> Column:
     """Without white space, of any script, at either end."""
     return F.regexp_replace(column, r"(?U)^[\s\x1c-\x1f\x85]+|[\s\x1c-\x1f\x85]+$", "")
@@ -31,8 +36,11 @@ def without_space(column: Column) -> Column:
 
 
 # fixed values: characters that three comparisons disregard
+COMPACT_ADDRESS = r"(?U)[\s,，、・.．:：()（）{}［］\[\]「」『』]+"
+
+
 def compact_address(column: Column) -> Column:
-    return F.regexp_replace(column, r"(?U)[\s,，、・.．:：()（）{}［］\[\]「」『』]+", "")
+    return F.regexp_replace(column, COMPACT_ADDRESS, "")
 
 
 def comparable(column: Column) -> Column:

@@ -100,15 +100,19 @@ def address_longest_prefix(spark, sf_dir):
     return load(spark, sf_dir, "v_address").select("row_idx", F.when(late, A.longest_prefix(text, D.LATE)).otherwise(A.longest_prefix(text, D.EARLY)).alias("prefix"))
 
 
-@query(f"""WITH {_DICT}, {_HEADS}, {_TOWNS}, {_ADDRESS},
-s AS (SELECT row_idx, v, address, 1 AS k, split_part(address, ',', 1) AS p, substr(address, instr(address, ',') + 1) AS rest FROM a WHERE instr(address, ',') > 1
+#: From a(row_idx, v, address) to f(row_idx, prefecture, municipality, rest).
+_SPLIT = """s AS (SELECT row_idx, v, address, 1 AS k, split_part(address, ',', 1) AS p, substr(address, instr(address, ',') + 1) AS rest FROM a WHERE instr(address, ',') > 1
   UNION ALL SELECT row_idx, v, any_value(address), 2, arg_max(h.prefix, length(h.prefix)), substr(any_value(address), max(length(h.prefix)) + 1) FROM a JOIN h ON h.valid_from = a.v AND starts_with(address, h.prefix) AND address <> h.prefix GROUP BY row_idx, v),
 w AS (SELECT row_idx, k, p, rest, arg_max(t.town, length(t.name)) AS town, max(length(t.name)) AS n FROM s JOIN t ON t.valid_from = s.v AND t.district = s.p AND starts_with(s.rest, t.name) GROUP BY ALL),
 e AS (SELECT row_idx, k, p, rest, arg_min(d.prefecture, precedence) AS prefecture, arg_min(d.municipality, precedence) AS municipality FROM s JOIN d ON d.valid_from = s.v AND d.prefix = s.p GROUP BY ALL),
 r AS (SELECT row_idx, k, 0 AS o, '大阪府' AS prefecture, town AS municipality, trim(substr(rest, n + 1), ',') AS rest FROM w
   UNION ALL SELECT row_idx, k, 1, prefecture, municipality, coalesce((SELECT trim(substr(e.rest, length(c) + 1), ',') FROM (SELECT unnest([p, regexp_replace(regexp_replace(p, '^.*郡', ''), '[市町村区]$', ''), regexp_replace(regexp_replace(municipality, '^.*郡', ''), '[市町村区]$', '')]) AS c) q WHERE length(c) > 1 AND starts_with(e.rest, c) ORDER BY length(c) DESC LIMIT 1), e.rest) FROM e),
 b AS (SELECT row_idx, arg_min(prefecture, k * 2 + o) AS prefecture, arg_min(municipality, k * 2 + o) AS municipality, arg_min(rest, k * 2 + o) AS rest FROM r GROUP BY row_idx),
-f AS (SELECT a.row_idx, coalesce(b.prefecture, '大阪府') AS prefecture, coalesce(b.municipality, '大阪市') AS municipality, coalesce(b.rest, a.address) AS rest FROM a LEFT JOIN b ON b.row_idx = a.row_idx)
+f AS (SELECT a.row_idx, coalesce(b.prefecture, '大阪府') AS prefecture, coalesce(b.municipality, '大阪市') AS municipality, coalesce(b.rest, a.address) AS rest FROM a LEFT JOIN b ON b.row_idx = a.row_idx)"""
+
+
+@query(f"""WITH {_DICT}, {_HEADS}, {_TOWNS}, {_ADDRESS},
+{_SPLIT}
 SELECT row_idx, prefecture, municipality, trim(regexp_replace(rest, '[0-9]+(-[0-9]+)*$', '')) AS area, regexp_extract(rest, '[0-9]+(-[0-9]+)*$', 0) AS lot FROM f""")
 def address_split(spark, sf_dir):
     return A.split_address(load(spark, sf_dir, "v_address"), "address", "as_of").select("row_idx", "prefecture", "municipality", "area", "lot")
@@ -314,6 +318,26 @@ def range_first(spark, sf_dir):
     return W.range_first(left, right, "user_id", "at", "value", "first_view").select("event_id", "first_view")
 
 
+#: The fold over the segments below, step by step: eid counts the entries that gave a row, lp, ln, la are the latest one's
+#: number, name and address, sn and sa the name and address said last, st the names of lines by indentation.
+_FOLD = """g AS (SELECT *, CAST(sum(CASE WHEN entry_type <> 'directory_entry' THEN 1 ELSE 0 END) OVER (PARTITION BY book ORDER BY pos) AS BIGINT) AS section FROM v_segment),
+i AS (SELECT book, section, pos % 5 AS kind, indent_level AS lv, name, '06-' || (pos % 900 + 100) || '-' || lpad(CAST(pos % 9000 AS VARCHAR), 4, '0') AS phone,
+  CASE pos % 3 WHEN 0 THEN '北' WHEN 1 THEN '豊,中' ELSE '布,' END || '町' || (pos % 40) AS address, row_number() OVER (PARTITION BY book, section ORDER BY pos) AS k FROM g WHERE entry_type = 'directory_entry'),
+z AS (SELECT DISTINCT book, section, CAST(0 AS BIGINT) AS k, CAST(0 AS INTEGER) AS eid, '' AS lp, '' AS ln, '' AS la, '' AS sn, '' AS sa, [CAST(NULL AS VARCHAR), NULL, NULL, NULL] AS st FROM i
+  UNION ALL
+  SELECT i.book, i.section, i.k, z.eid + CAST(y.new AS INTEGER), CASE WHEN y.new THEN i.phone ELSE z.lp END, CASE WHEN y.new THEN y.f ELSE z.ln END,
+    CASE WHEN x.more THEN z.la || i.address WHEN y.new THEN y.addr ELSE z.la END,
+    CASE WHEN x.more THEN z.ln WHEN y.f <> '' AND y.addr <> '' THEN y.f ELSE z.sn END, CASE WHEN x.more THEN z.la || i.address WHEN y.f <> '' AND y.addr <> '' THEN y.addr ELSE z.sa END,
+    CASE WHEN x.more THEN z.st ELSE list_transform([0, 1, 2, 3], lambda j: CASE WHEN j < i.lv THEN z.st[j + 1] WHEN j = i.lv AND y.f <> '' THEN y.f END) END
+  FROM z JOIN i ON i.book = z.book AND i.section = z.section AND i.k = z.k + 1,
+  LATERAL (SELECT i.kind = 4 AND z.eid > 0 AS more, CASE WHEN i.kind = 3 THEN z.sn WHEN i.kind = 4 THEN '町の' ELSE i.name END AS n, CASE WHEN i.kind = 3 THEN z.sa ELSE i.address END AS addr,
+    coalesce(CASE i.lv WHEN 1 THEN z.st[1] WHEN 2 THEN coalesce(z.st[2], z.st[1]) WHEN 3 THEN coalesce(z.st[3], z.st[2], z.st[1]) END, '') AS head) x,
+  LATERAL (SELECT x.addr AS addr, i.kind <> 4 AND x.addr <> '' AS new, CASE WHEN x.n = '' OR starts_with(x.n, x.head) THEN x.n ELSE x.head || x.n END AS f) y),
+q AS (SELECT book, section, eid, arg_max(lp, k) AS phone, arg_max(ln, k) AS name, arg_max(la, k) AS address FROM z WHERE eid > 0 GROUP BY book, section, eid),
+n AS (SELECT *, row_number() OVER (ORDER BY book, section, eid) AS row_idx FROM q),
+a AS (SELECT row_idx, '1963-02-01' AS v, address FROM n)"""
+
+
 def _directory_segments(spark, sf_dir) -> DataFrame:
     """v_segment as segments: numbers and addresses by place, gaps included, so that all ways of the fold are taken."""
     s = load(spark, sf_dir, "v_segment")
@@ -329,7 +353,10 @@ def _directory_segments(spark, sf_dir) -> DataFrame:
     )
 
 
-@query()
+@query(f"""WITH RECURSIVE {_DICT}, {_HEADS}, {_TOWNS}, {_FOLD},
+{_SPLIT}
+SELECT '昭和38年2月1日' || book AS book, section, eid - 1 AS row_no, phone, name, prefecture, municipality, trim(regexp_replace(rest, '[0-9]+(-[0-9]+)*$', '')) AS area, regexp_extract(rest, '[0-9]+(-[0-9]+)*$', 0) AS lot
+FROM n JOIN f ON f.row_idx = n.row_idx""")
 def export_fold(spark, sf_dir):
     return X.export(_directory_segments(spark, sf_dir))
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,14 +61,12 @@ def test_dictionary_sizes(spark):
 @pytest.mark.parametrize("phone, want", [("761-8512代", "06-761-8512"), ("761-8512代表", "06-761-8512"), ("※", "06-"), ("※072(11)2222", "072-11-2222"), ("761--8512-代", "06-761-8512-"), ("", ""), ("０６ー１", "06ー1")])
 def test_export_numbers(spark, phone, want):
     assert one(spark, P.export_number(F.lit(phone))) == want
-    assert X.number(phone) == want
 
 
 def test_number_candidates(spark):
     values = F.array(F.lit("{761-8512、762-1111代}"), F.lit("761-8512"))
     assert one(spark, P.number_candidates(values, F.lit(""))) == ["06-761-8512", "06-762-1111"]
     assert one(spark, P.number_candidates(F.array(F.lit("")), F.lit("町200"))) == ["06-200"]
-    assert X.numbers([""], "町200") == ["06-200"]
 
 
 def test_lists(spark):
@@ -178,3 +177,26 @@ def test_compact_and_full_responses(spark):
     rows = [(1, 1, json.dumps(compact)), (1, 2, "nothing"), (1, 3, None)]
     got = S.normalize_responses(spark.createDataFrame(rows, "page int, column int, text string")).collect()
     assert [(r["column"], r["segments"] is None, r["error"]) for r in got] == [(1, False, None), (2, True, "no JSON object"), (3, True, "no JSON object")]
+
+
+def test_lists_of_the_fold_follow_the_column_rules(spark):
+    rng = random.Random(3)
+    some = lambda values, n: [rng.choice(values) for _ in range(rng.randint(0, n))]
+    rows = [(i, some(["1", "2", "3"], 3), some(["n", "", "m"], 3), some(["北町1", "北、町1", "町1", "", "豊,中２", "（北町）1-2"], 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, phones array<string>, names array<string>, addresses array<string>")
+    got = df.select("i", R.collapse_fragments(F.col("addresses")).alias("whole"), R.expand_candidates(F.col("phones"), F.col("names"), F.col("addresses")).alias("rows")).collect()
+    for r in got:
+        _, phones, names, addresses = rows[r["i"]]
+        assert r["whole"] == X.collapse(addresses), addresses
+        assert [tuple(x) for x in r["rows"]] == X.expand(phones, names, addresses), rows[r["i"]]
+
+
+def test_a_segment_alone_is_prepared_by_columns(spark):
+    """Numbers from a list, a hint or the text; names and addresses from lists, hints or what the text has beside its number."""
+    rows = [[segment("x", ["{931-1111、(06)932-2222}", "931-1111"], [" ｎ "], ["北町1", "北,町1"])], [segment("丸山 商店 371-1111 北町 1")], [segment("371-1111 …")]]
+    fields = ("entryType", "rawText", "cleanText", "indentLevel", "phones", "names", "addresses", "entryHints")
+    flat = spark.createDataFrame([("昭和38年2月1日", f"{i}", j, *(x[k] for k in fields)) for i, f in enumerate(rows) for j, x in enumerate(f)], SEGMENTS)
+    got = {r["file_key"]: r for r in X.prepared(flat).collect()}
+    assert (got["0"]["phones"], got["0"]["names"], got["0"]["addresses"], got["0"]["bare"]) == (["06-931-1111", "06-932-2222"], ["n"], ["北町1"], False)
+    assert (got["1"]["phones"], got["1"]["name"], got["1"]["address"], got["1"]["bare"]) == (["06-371-1111"], "丸山", "商店 北町 1", False)
+    assert (got["2"]["phones"], got["2"]["bare"]) == (["06-371-1111"], True)
