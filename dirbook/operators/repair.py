@@ -11,14 +11,21 @@ from pyspark.sql import functions as F
 
 from dirbook import dictionary as D
 from dirbook.functions.similarity import similarity
-from dirbook.functions.text import comparable, location_id
+from dirbook.functions.text import comparable, location_id, normalized
+from dirbook.operators.windows import in_order
 
 KEY = ["prefecture", "municipality", "area"]
 
 
+def normal_keys(rows: DataFrame) -> DataFrame:
+    """rows with their locations in compatibility composition and stripped, the form in which they are counted and matched."""
+    return rows.withColumns({c: normalized(F.col(c)) for c in KEY})
+
+
 def location_counts(rows: DataFrame) -> DataFrame:
-    """(id, prefecture, municipality, area, count, first_seen) of rows(row_idx, KEY...) with an area."""
-    counted = rows.where(F.col("area") != "").groupBy(*KEY).agg(F.count("*").alias("count"), F.min("row_idx").alias("first_seen"))
+    """(id, prefecture, municipality, area, count, first_seen, comparable) of rows(row_idx, KEY...) with an area; spellings that
+    normalise alike are one location."""
+    counted = normal_keys(rows.select("row_idx", *KEY)).where(F.col("area") != "").groupBy(*KEY).agg(F.count("*").alias("count"), F.min("row_idx").alias("first_seen"))
     return counted.select(location_id(*map(F.col, KEY)).alias("id"), *KEY, "count", "first_seen", comparable(F.col("area")).alias("comparable"))
 
 
@@ -103,10 +110,21 @@ def candidates(odd: DataFrame, counts: DataFrame, common_min: int = 8, min_simil
 def samples(rows: DataFrame, counts: DataFrame, limit: int = 5) -> DataFrame:
     """(id, samples): the first rows of each location."""
     rank = F.row_number().over(Window.partitionBy(*KEY).orderBy("row_idx"))
-    first = rows.join(counts.select("id", *KEY), KEY).withColumn("rank", rank).where(F.col("rank") <= limit)
+    first = normal_keys(rows).join(counts.select("id", *KEY), KEY).withColumn("rank", rank).where(F.col("rank") <= limit)
     return first.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "row_idx", "lot"))).alias("samples"))
 
 
+def items(odd: DataFrame, found: DataFrame, rows: DataFrame, max_items: int = 0, limit: int = 5) -> DataFrame:
+    """(place, id, count, reasons, samples, candidates): what is asked about, the rarest locations first and then by id, only
+    those that have candidates; of more than `max_items` (0: all) the first."""
+    offered = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "candidate", "similarity", "candidate_count"))).alias("candidates"))
+    asked = odd.join(offered, "id")
+    if max_items:
+        asked = asked.orderBy("count", "id").limit(max_items)
+    whole = asked.join(samples(rows, asked, limit), "id", "left")
+    return in_order(whole.select("id", "count", "reasons", "samples", "candidates"), ["count", "id"], "place")
+
+
 def deterministic_decisions(odd: DataFrame, found: DataFrame, counts: DataFrame, version: str = D.EARLY) -> DataFrame:
     """(id, action, corrected_id, confidence) for areas with a separator or the prefecture's name in them that equal just
     one of their candidates once separators or a municipality's name are taken out."""
@@ -149,9 +167,10 @@ def valid_corrections(decisions: DataFrame, odd: DataFrame, found: DataFrame, co
 
 
 def apply_corrections(rows: DataFrame, corrections: DataFrame) -> DataFrame:
-    """rows with corrected locations and `changed`; lots stay. Spark broadcasts the corrections if they are small."""
+    """rows with corrected locations and `changed`; lots stay, and so do locations without a correction, as they were written.
+    Spark broadcasts the corrections if they are small."""
     new = corrections.select("id", *[F.col(c).alias(f"new_{c}") for c in KEY])
-    joined = rows.withColumn("id", location_id(*map(F.col, KEY))).join(new, "id", "left")
+    joined = rows.withColumn("id", location_id(*(normalized(F.col(c)) for c in KEY))).join(new, "id", "left")
     fixed = [F.coalesce(F.col(f"new_{c}"), F.col(c)).alias(c) for c in KEY]
     return joined.select("row_idx", *fixed, "lot", F.col("new_area").isNotNull().alias("changed"))
 

@@ -18,17 +18,22 @@ def carry_forward(df: DataFrame, value: Column, partition: list[str], order: lis
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
 
 
-def chunked(df: DataFrame, order: list[str], size: int, out: str = "chunk") -> DataFrame:
-    """df with numbers of chunks of `size` rows in order. Places come from counts of sorted partitions, not from a
-    window over one of them; the counts, one row a partition, are all that is gathered."""
-    if size <= 0:
-        raise ValueError("chunk size must be positive")
+def in_order(df: DataFrame, order: list[str], out: str = "place") -> DataFrame:
+    """df with places from 0 in order. They come from counts of sorted partitions, not from a window over one of them; the
+    counts, one row a partition, are all that is gathered."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
     counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"), F.min("__id").alias("__first"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__part", "__base", "__first")
     place = F.col("__base") + F.col("__id") - F.col("__first")
-    return ranged.join(F.broadcast(bases), "__part").withColumn(out, F.floor(place / size).cast("long")).drop("__part", "__id", "__base", "__first")
+    return ranged.join(F.broadcast(bases), "__part").withColumn(out, place).drop("__part", "__id", "__base", "__first")
+
+
+def chunked(df: DataFrame, order: list[str], size: int, out: str = "chunk") -> DataFrame:
+    """df with numbers of chunks of `size` rows in order."""
+    if size <= 0:
+        raise ValueError("chunk size must be positive")
+    return in_order(df, order, out).withColumn(out, F.floor(F.col(out) / size).cast("long"))
 
 
 def islands(df: DataFrame, flag: Column, partition: list[str], order: str) -> DataFrame:

@@ -235,6 +235,32 @@ def remaining_items(spark, sf_dir):
     return Q.remaining(_locations(spark, sf_dir)[1], load(spark, sf_dir, "v_decision")).select("id", "count")
 
 
+_NORMAL = "n AS (SELECT row_idx, trim(prefecture) || chr(9) || municipality || chr(9) || trim(translate(area, '０１２３４', '01234')) AS id, lot FROM v_wide_location)"
+
+
+@query(f"WITH {_NORMAL} SELECT id, count(*) AS count, min(row_idx) AS first_seen FROM n GROUP BY id")
+def location_counts_wide(spark, sf_dir):
+    """Spellings that normalise alike are one location."""
+    return Q.location_counts(load(spark, sf_dir, "v_wide_location")).select("id", "count", "first_seen")
+
+
+@query(f"""WITH {_NORMAL}, c AS (SELECT id, count(*) AS n, min(row_idx) AS seen FROM n GROUP BY id),
+o AS (SELECT id, n FROM c WHERE n <= 2 OR contains(id, ',')),
+s AS (SELECT id, string_agg(CAST(row_idx AS VARCHAR), ' ' ORDER BY row_idx) FILTER (k <= 5) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY row_idx) AS k FROM n) GROUP BY id),
+f AS (SELECT o.id, count(*) AS candidates FROM o JOIN c ON split_part(c.id, chr(9), 1) = split_part(o.id, chr(9), 1) AND split_part(c.id, chr(9), 2) = split_part(o.id, chr(9), 2) AND c.id <> o.id AND c.n >= 8 GROUP BY o.id),
+p AS (SELECT o.id, o.n, s.samples, f.candidates, row_number() OVER (ORDER BY o.n, o.id) AS place FROM o JOIN f ON f.id = o.id JOIN s ON s.id = o.id)
+SELECT place - 1 AS place, id, n AS count, samples, candidates FROM p WHERE place <= 12""")
+def suspicious_items(spark, sf_dir):
+    """The first locations that would be asked about, with samples; candidates are all frequent ones of the municipality."""
+    rows = load(spark, sf_dir, "v_wide_location")
+    counts = Q.location_counts(rows)
+    odd = Q.suspicious(counts)
+    pairs = Q.block_pairs(odd, Q.common(counts, 8)).where("block = 0 AND id <> candidate")
+    found = pairs.select("id", "candidate", F.lit(1).alias("rank"), F.lit(1.0).alias("similarity"), F.lit(0).alias("candidate_count"))
+    asked = Q.items(odd, found, rows, max_items=12)
+    return asked.select("place", "id", "count", F.array_join(F.transform("samples", lambda x: x["row_idx"].cast("string")), " ").alias("samples"), F.size("candidates").cast("long").alias("candidates"))
+
+
 @query(f"""WITH s AS (SELECT *, row_number() OVER (PARTITION BY prefecture, municipality, area ORDER BY row_idx) AS k FROM v_location)
 SELECT prefecture || chr(9) || municipality || chr(9) || area AS id, string_agg(CAST(row_idx AS VARCHAR) || ':' || lot, ' ' ORDER BY k) AS samples FROM s WHERE k <= 5 GROUP BY ALL""")
 def location_samples(spark, sf_dir):

@@ -25,6 +25,8 @@ SELECT c_custkey AS row_idx, concat(CASE c_custkey % 9 WHEN 0 THEN '北' WHEN 1
 SELECT c_custkey AS row_idx, concat('P', cast(c_nationkey % 3 AS string)) AS prefecture, concat('M', cast(c_nationkey % 6 AS string)) AS municipality,
  concat(CASE WHEN c_custkey % 211 = 0 THEN 'x,' ELSE '' END, substr('abcdefgh', cast(c_custkey % 8 + 1 AS int), 1), cast((c_custkey * c_custkey) % 5 AS string)) AS area,
  cast(c_custkey % 100 AS string) AS lot FROM customer""",
+    "v_wide_location": """
+SELECT row_idx, concat(' ', prefecture) AS prefecture, municipality, CASE WHEN row_idx % 3 = 0 THEN translate(area, '01234', '０１２３４') WHEN row_idx % 3 = 1 THEN concat(area, ' ') ELSE area END AS area, lot FROM v_location""",
     "v_separated": "SELECT row_idx, prefecture, municipality, replace(area, 'x,', ',') AS area, lot FROM v_location",
     "v_judged": """
 SELECT row_idx AS decision_idx, concat(prefecture, chr(9), municipality, chr(9), area) AS id, CASE WHEN row_idx % 3 = 0 THEN 'keep' ELSE 'replace' END AS action,
