@@ -52,6 +52,23 @@ def find_uri(value: object) -> str:
     return ""
 
 
+@F.pandas_udf(StringType())
+def _uris(values: pd.Series) -> pd.Series:
+    return values.map(lambda x: find_uri(_decoded(x)))
+
+
+def _decoded(text: str | None) -> object:
+    try:
+        return json.loads(text or "null")
+    except (ValueError, RecursionError):
+        return None
+
+
+def find_uri_column(value: Column) -> Column:
+    """find_uri() of JSON texts; empty where there is none or the text isn't JSON."""
+    return _uris(value)
+
+
 def output_key(uri: Column) -> Column:
     """A result's key: the file's base name without its extension."""
     return F.regexp_replace(F.regexp_extract(uri, r"([^/]*)\z", 1), r"\.[^.]*\z", "")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dirbook.operators.windows import unused
+
 # fixed values: states of a batch job that end it
 SUCCESS = ("JOB_STATE_SUCCEEDED", "JOB_STATE_PARTIALLY_SUCCEEDED")
 TERMINAL = (*SUCCESS, "JOB_STATE_FAILED", "JOB_STATE_CANCELLED", "JOB_STATE_EXPIRED")
@@ -12,14 +14,14 @@ TERMINAL = (*SUCCESS, "JOB_STATE_FAILED", "JOB_STATE_CANCELLED", "JOB_STATE_EXPI
 
 def harvest(results: DataFrame, requests: DataFrame, existing: DataFrame | None = None, key: str = "output_key") -> DataFrame:
     """results with `status`: saved, skipped (the output exists) or unmatched (no request; to be quarantined)."""
-    known = requests.select(key).distinct().withColumn("__known", F.lit(True))
-    out = results.join(known, key, "left")
+    known, there = unused(results, "known"), unused(results, "there")
+    out = results.join(requests.select(key).distinct().withColumn(known, F.lit(True)), key, "left")
     if existing is None:
-        out = out.withColumn("__there", F.lit(None).cast("boolean"))
+        out = out.withColumn(there, F.lit(None).cast("boolean"))
     else:
-        out = out.join(existing.select(key).distinct().withColumn("__there", F.lit(True)), key, "left")
-    status = F.when(F.col("__known").isNull(), F.lit("unmatched")).when(F.col("__there"), F.lit("skipped")).otherwise(F.lit("saved"))
-    return out.withColumn("status", status).drop("__known", "__there")
+        out = out.join(existing.select(key).distinct().withColumn(there, F.lit(True)), key, "left")
+    status = F.when(F.col(known).isNull(), F.lit("unmatched")).when(F.col(there), F.lit("skipped")).otherwise(F.lit("saved"))
+    return out.withColumn("status", status).drop(known, there)
 
 
 def missing_results(requests: DataFrame, results: DataFrame, key: str = "output_key", listed: int = 100) -> DataFrame:
@@ -41,8 +43,3 @@ def zip_by_place(left: DataFrame, right: DataFrame, group: str, order_left: str,
     a, b = left.withColumn("place", place(order_left)), right.withColumn("place", place(order_right))
     side = F.when(F.col(order_right).isNull(), F.lit("left")).when(F.col(order_left).isNull(), F.lit("right")).otherwise(F.lit("both"))
     return a.join(b, [group, "place"], "full").withColumn("side", side)
-
-
-def job_progress(jobs: DataFrame) -> DataFrame:
-    """jobs(state) with whether it is done and whether it succeeded."""
-    return jobs.withColumn("terminal", F.col("state").isin(*TERMINAL)).withColumn("succeeded", F.col("state").isin(*SUCCESS))

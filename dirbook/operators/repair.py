@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dirbook import dictionary as D
-from dirbook.functions.similarity import similarity
+from dirbook.functions.similarity import rounded, similarity
 from dirbook.functions.text import comparable, location_id, normalized
 from dirbook.operators.windows import in_order
 
@@ -86,7 +86,7 @@ def similar_candidates(odd: DataFrame, counts: DataFrame, common_min: int = 8, m
     sides = _with_sides(pairs.unionByName(wide).where("id <> candidate"), counts)
     scored = sides.withColumn("score", similarity(F.col("la"), F.col("r"), F.col("lm") == F.col("rm"))).where(F.col("score") >= min_similarity)
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), F.desc("candidate_count"), "block", "seen"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("id", "candidate", "rank", F.round("score", 4).alias("similarity"), "candidate_count")
+    return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("id", "candidate", "rank", rounded(F.col("score"), 4).alias("similarity"), "candidate_count")
 
 
 def fallback_candidates(odd: DataFrame, counts: DataFrame, common_min: int = 8, top: int = 8) -> DataFrame:
@@ -103,7 +103,7 @@ def candidates(odd: DataFrame, counts: DataFrame, common_min: int = 8, min_simil
     near = similar_candidates(odd, counts, common_min, min_similarity, top)
     rest = odd.where(F.exists("reasons", lambda r: r != "rare_location")).join(near.select("id").distinct(), "id", "left_anti")
     more = _with_sides(fallback_candidates(rest, counts, common_min, top).drop("candidate_count"), counts)
-    scored = more.select("id", "candidate", "rank", F.round(similarity(F.col("la"), F.col("r"), F.col("lm") == F.col("rm")), 4).alias("similarity"), "candidate_count")
+    scored = more.select("id", "candidate", "rank", rounded(similarity(F.col("la"), F.col("r"), F.col("lm") == F.col("rm")), 4).alias("similarity"), "candidate_count")
     return near.unionByName(scored)
 
 

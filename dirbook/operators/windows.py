@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever case counts."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def sections(df: DataFrame, reset: Column, book: str, order: list[str], out: str = "section") -> DataFrame:
     """df with a running number that grows at each reset row of its book."""
     w = Window.partitionBy(book).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -38,27 +46,30 @@ def chunked(df: DataFrame, order: list[str], size: int, out: str = "chunk") -> D
 
 def islands(df: DataFrame, flag: Column, partition: list[str], order: str) -> DataFrame:
     """(partition, first, last, length) of each run of rows with the flag at consecutive places."""
-    marked = df.where(flag)
+    run = unused(df, "run")
     number = F.row_number().over(Window.partitionBy(*partition).orderBy(order))
-    return marked.withColumn("__group", F.col(order) - number).groupBy(*partition, "__group").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("length")).drop("__group")
+    marked = df.where(flag).withColumn(run, F.col(order) - number)
+    return marked.groupBy(*partition, run).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("length")).drop(run)
 
 
 def asof_backward(left: DataFrame, right: DataFrame, key: str, at: str, value: str, out: str) -> DataFrame:
     """left with the value of the latest right row of its key at or before it: one union and one window, no join."""
-    both = left.withColumn("__right", F.lit(0)).withColumn("__v", F.lit(None).cast(right.schema[value].dataType))
-    other = right.select(key, at, F.col(value).alias("__v")).withColumn("__right", F.lit(1))
-    w = Window.partitionBy(key).orderBy(F.col(at), F.desc("__right")).rowsBetween(Window.unboundedPreceding, 0)
-    return both.unionByName(other, allowMissingColumns=True).withColumn(out, F.last("__v", ignorenulls=True).over(w)).where("__right = 0").drop("__right", "__v")
+    side, v = unused(left, "side"), unused(left, "v")
+    both = left.withColumn(side, F.lit(0)).withColumn(v, F.lit(None).cast(right.schema[value].dataType))
+    other = right.select(key, at, F.col(value).alias(v)).withColumn(side, F.lit(1))
+    w = Window.partitionBy(key).orderBy(F.col(at), F.desc(side)).rowsBetween(Window.unboundedPreceding, 0)
+    return both.unionByName(other, allowMissingColumns=True).withColumn(out, F.last(v, ignorenulls=True).over(w)).where(F.col(side) == 0).drop(side, v)
 
 
 def range_first(left: DataFrame, right: DataFrame, key: str, at: str, value: str, out: str) -> DataFrame:
     """left with the first right value from its own place up to before the next left row's."""
-    both = left.withColumn("__left", F.lit(1)).withColumn("__v", F.lit(None).cast(right.schema[value].dataType))
-    other = right.select(key, at, F.col(value).alias("__v")).withColumn("__left", F.lit(0))
-    order = Window.partitionBy(key).orderBy(F.col(at), F.desc("__left"))
-    grouped = both.unionByName(other, allowMissingColumns=True).withColumn("__g", F.sum("__left").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(key, "__g").orderBy(F.col(at), F.desc("__left")).rowsBetween(0, Window.unboundedFollowing)
-    return grouped.withColumn(out, F.first("__v", ignorenulls=True).over(inside)).where("__left = 1").drop("__left", "__v", "__g")
+    side, v, run = unused(left, "side"), unused(left, "v"), unused(left, "run")
+    both = left.withColumn(side, F.lit(1)).withColumn(v, F.lit(None).cast(right.schema[value].dataType))
+    other = right.select(key, at, F.col(value).alias(v)).withColumn(side, F.lit(0))
+    order = Window.partitionBy(key).orderBy(F.col(at), F.desc(side))
+    grouped = both.unionByName(other, allowMissingColumns=True).withColumn(run, F.sum(side).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = Window.partitionBy(key, run).orderBy(F.col(at), F.desc(side)).rowsBetween(0, Window.unboundedFollowing)
+    return grouped.withColumn(out, F.first(v, ignorenulls=True).over(inside)).where(F.col(side) == 1).drop(side, v, run)
 
 
 def moving_average(df: DataFrame, value: str, width: int, partition: list[str], order: str, out: str) -> DataFrame:

@@ -12,14 +12,17 @@ from dirbook.functions import address as A
 from dirbook.functions import arrays as R
 from dirbook.functions import phone as P
 from dirbook.functions import text as T
+from dirbook.functions import jsons as N
 from dirbook.functions.jsons import extract_object
 from dirbook.operators import export as X
 from dirbook.operators import harvest as H
+from dirbook.operators import jobs as J
 from dirbook.operators import layout as L
 from dirbook.operators import publish as B
 from dirbook.operators import repair as Q
 from dirbook.operators import segments as S
 from dirbook.operators import windows as W
+from dirbook.sources import books
 from dirbook.views import load, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -490,6 +493,68 @@ def page_exclusion(spark, sf_dir):
     return L.excluded_pages(pages, "page", ["000003", "000777"], [("000010", "000020"), ("000600", "000500")])
 
 
+@query("SELECT name, state, state <> 'JOB_STATE_RUNNING' AS terminal, state = 'JOB_STATE_SUCCEEDED' AS succeeded FROM v_job")
+def job_status(spark, sf_dir):
+    return J.job_status(load(spark, sf_dir, "v_job"))
+
+
+_OUTCOME = """r AS (SELECT CAST(l_orderkey AS VARCHAR) AS k FROM lineitem GROUP BY l_orderkey),
+x AS (SELECT job, output_key, CASE WHEN output_key NOT IN (SELECT k FROM r) THEN 'unmatched' WHEN status_said = 'F' THEN 'skipped' WHEN error IS NOT NULL OR said = 'nothing found' THEN 'failed' ELSE 'saved' END AS status, said, error FROM v_result)"""
+
+
+def _outcomes(spark, sf_dir) -> DataFrame:
+    """Results as a service gives them: a key for some, for others the file that the response names; outputs of finished orders exist."""
+    rows = load(spark, sf_dir, "v_result")
+    text = F.struct(F.array(F.struct(F.struct(F.array(F.struct(F.col("said").alias("text"))).alias("parts")).alias("content"))).alias("candidates"), F.struct(F.concat(F.lit("gs://in/a/"), "output_key", F.lit(".png")).alias("file_uri")).alias("instance"))
+    results = rows.select("job", F.when(F.col("job") != "2-HIGH", F.col("output_key")).otherwise("").alias("output_key"), F.to_json(text).alias("response"), "error")
+    requests = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("output_key"))
+    existing = rows.where("status_said = 'F'").select("output_key")
+    return J.harvested(results, requests, existing)
+
+
+@query(f"""WITH {_OUTCOME} SELECT job, output_key, status, CASE WHEN status IN ('saved', 'failed') AND said <> 'nothing found' THEN substr(said, 5, length(said) - 8) END AS payload,
+CASE status WHEN 'unmatched' THEN 'no request' WHEN 'failed' THEN coalesce(error, 'no JSON object') END AS problem FROM x""")
+def harvest_outcomes(spark, sf_dir):
+    return _outcomes(spark, sf_dir).select("job", "output_key", "status", "payload", "problem")
+
+
+@query(f"""WITH {_OUTCOME} SELECT job, count(*) FILTER (status = 'saved') AS saved, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'unmatched') AS unmatched, count(*) AS total FROM x GROUP BY ROLLUP (job)""")
+def harvest_counters(spark, sf_dir):
+    return J.counters(_outcomes(spark, sf_dir), "job", "status", ("saved", "skipped", "failed", "unmatched"))
+
+
+@query("""SELECT o_orderstatus AS book, o_orderkey AS page, o_custkey % 6 + 1 AS columns FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) i ON l_orderkey = o_orderkey
+WHERE coalesce(n, 0) < o_custkey % 6 + 1""")
+def pages_to_split(spark, sf_dir):
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("book"), F.col("o_orderkey").alias("page"), (F.col("o_custkey") % 6 + 1).alias("columns"))
+    images = load(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("page")).select("book", "page")
+    return J.pending_pages(orders, images)
+
+
+@query("""WITH u AS (SELECT page_id AS page, url AS uri, regexp_replace(regexp_extract(url, '[^/]*$', 0), '\\.[^.]*$', '') AS output_key FROM pages)
+SELECT output_key, page, uri, json_object('output_key', output_key, 'page', page, 'column', 1, 'uri', uri, 'mime', 'image/png')::VARCHAR AS item FROM u""")
+def manifest_items(spark, sf_dir):
+    pages = load(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), F.lit(1).alias("column"), F.translate("url", "/", "\\").alias("path"), F.lit("image/png").alias("mime"))
+    return J.manifest_items(pages).select("output_key", "page", "uri", "item")
+
+
+@query("""SELECT event_id, CASE event_type WHEN 'click' THEN 'gs://a/' || event_id || '.png' WHEN 'view' THEN 'gs://b/' || user_id ELSE '' END AS uri FROM events""")
+def nested_uri(spark, sf_dir):
+    e = load(spark, sf_dir, "events")
+    deep = F.to_json(F.struct(F.struct(F.lit(1).alias("n")).alias("first"), F.array(F.struct(F.struct(F.concat(F.lit("gs://a/"), F.col("event_id").cast("string"), F.lit(".png")).alias("file_uri")).alias("fileData"))).alias("parts")))
+    flat = F.to_json(F.struct(F.lit("").alias("file_uri"), F.concat(F.lit("gs://b/"), F.col("user_id").cast("string")).alias("fileUri")))
+    value = F.when(F.col("event_type") == "click", deep).when(F.col("event_type") == "view", flat).otherwise(F.lit("{broken"))
+    return e.select("event_id", N.find_uri_column(value).alias("uri"))
+
+
+@query("""WITH a AS (SELECT row_idx, string_split(addresses_text, '|') AS x, CASE WHEN row_idx % 3 = 0 THEN '' WHEN row_idx % 3 = 1 THEN name ELSE split_part(addresses_text, '|', 2) END AS hint FROM v_entry)
+SELECT row_idx, array_to_string(CASE WHEN hint = '' OR list_contains(x, hint) THEN x ELSE list_prepend(hint, x) END, '|') AS addresses FROM a""")
+def hint_first(spark, sf_dir):
+    x = F.split("addresses_text", "[|]")
+    hint = F.when(F.col("row_idx") % 3 == 0, "").when(F.col("row_idx") % 3 == 1, F.col("name")).otherwise(x[1])
+    return load(spark, sf_dir, "v_entry").select("row_idx", F.array_join(R.put_first(x, hint), "|").alias("addresses"))
+
+
 # -- layout -------------------------------------------------------------------------------------------------------
 
 
@@ -519,6 +584,17 @@ def width_stats(spark, sf_dir):
     return s.select("vec_id", "n", F.round("mean_width", 4).alias("mean_width"), *[F.round(c, 6).alias(c) for c in ("cv", "min_ratio", "max_ratio")])
 
 
+@query(f"""{_STATS}, i AS (SELECT vec_id, bool_or(width / 100000 < 0.35 * med / 100000) AS under FROM w JOIN s USING (vec_id) GROUP BY vec_id)
+SELECT vec_id, concat_ws('/', CASE WHEN cv > 0.18 THEN 'uneven_column_widths' END, CASE WHEN under THEN 'possible_blank_or_underfilled_column' END, CASE WHEN m > 0 AND lo > greatest(0.30, 1.85 * m / 100000) THEN 'possible_text_cut_at_column_edge' END) AS flags, cv > 0.18 AS fatal
+FROM s JOIN i USING (vec_id)""")
+def quality_flags(spark, sf_dir):
+    w = _widths(spark, sf_dir)
+    inks = w.groupBy("vec_id").agg(F.collect_list(F.col("width") / 100000).alias("inks"), (F.median("width") / 100000).alias("median"))
+    s = L.width_stats(w, ["vec_id"], "width").join(inks, "vec_id")
+    flags = L.quality_flags(F.col("cv"), F.col("inks"), F.col("median"), F.col("min_ratio"), F.col("mean_width") / 100000)
+    return s.select("vec_id", F.array_join(flags, "/").alias("flags"), L.fatal(flags).alias("fatal"))
+
+
 @query(f"""{_STATS}, k AS (SELECT label, vec_id % 7 AS page, 2 + vec_id % 3 AS n_cols, min(cv) AS cv, min(lo) AS lo, min(hi) AS hi FROM s GROUP BY ALL),
 c AS (SELECT *, 3 * cv + 0.9 - 2.5 * cv - 3 * greatest(0.55 - lo, 0) - 2 * greatest(hi - 1.6, 0) - 4 * greatest(lo - 0.03, 0) - 0.3 * greatest(3 - n_cols, 0) - CASE n_cols WHEN 2 THEN 0.05 WHEN 4 THEN 0.02 ELSE 0 END AS score FROM k)
 SELECT label * 10 + page AS page, arg_max(n_cols, score) AS n_cols, round(max(score), 6) AS score FROM c GROUP BY 1""")
@@ -549,7 +625,7 @@ def first_crossing(spark, sf_dir):
 
 @query("SELECT doc_id, sha256(coalesce(text, '')) AS sha FROM documents")
 def content_sha256(spark, sf_dir):
-    return load(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
+    return books.content_hash(load(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("content"))).select("doc_id", F.col("sha256").alias("sha"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.page') AS VARCHAR) AS page, json_extract_string(props, '$.k') AS k FROM events")

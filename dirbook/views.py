@@ -39,6 +39,11 @@ SELECT l_orderkey % 7 AS book, row_number() OVER (PARTITION BY l_orderkey % 7 OR
     "v_bookname": """
 SELECT o_orderkey AS row_idx, CASE WHEN o_orderkey % 10 = 0 THEN 'misc' ELSE concat('昭和', cast(year(o_orderdate) - 1925 AS string), '年', cast(month(o_orderdate) AS string), '月', cast(day(o_orderdate) AS string), '日', '大阪市',
  CASE o_orderkey % 3 WHEN 0 THEN '50音別電話番号簿' WHEN 1 THEN '職業別電話番号簿' ELSE '名簿' END) END AS book FROM orders""",
+    "v_job": """
+SELECT o_orderkey AS name, CASE o_orderstatus WHEN 'F' THEN 'JOB_STATE_SUCCEEDED' WHEN 'O' THEN 'JOB_STATE_RUNNING' ELSE 'JOB_STATE_FAILED' END AS state FROM orders""",
+    "v_result": """
+SELECT o_orderpriority AS job, cast(o_orderkey AS string) AS output_key, o_orderstatus AS status_said, CASE WHEN o_orderpriority = '5-LOW' THEN 'nothing found' ELSE concat('``` ', chr(123), '"a":', cast(o_custkey AS string), chr(125), ' ```') END AS said,
+ CASE WHEN o_orderpriority = '1-URGENT' THEN 'quota' END AS error FROM orders""",
     "v_decision": """
 SELECT row_idx AS decision_idx, concat(prefecture, chr(9), municipality, chr(9), area) AS id, CASE WHEN row_idx % 3 = 0 THEN 'keep' ELSE 'replace' END AS action,
  concat(prefecture, chr(9), municipality, chr(9), replace(area, 'x,', '')) AS corrected_id, cast((row_idx % 100) / 100.0 AS double) AS confidence
