@@ -28,7 +28,8 @@ def list_names(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
 
 
 def page_images(spark: SparkSession, root: str) -> DataFrame:
-    """(book, page, path, content) of PNG pages in order of path; content is read only where it is used."""
+    """(book, page, path, content) of PNG pages; content is read only where it is used. `path` gives their order, for those
+    that need one: sorting here would shuffle the images."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[pP][nN][gG]").load(root)
     return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1).alias("book"), output_key(F.col("path")).alias("page"), "path", "content")
 
@@ -84,13 +85,23 @@ def exported_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_rows(spark: SparkSession, path: str) -> DataFrame:
-    """(row_idx, ROW_FIELDS) of csv or csv.gz files with or without a header; short rows are padded, long ones cut."""
+    """(row_idx, ROW_FIELDS) of csv or csv.gz files with or without a header; short rows are padded, long ones cut.
+
+    Only a file's first row can be its header; a later row that reads the same is a row."""
     read = spark.read.schema(", ".join(f"{c} string" for c in ROW_FIELDS)).option("escape", '"').option("multiLine", "true").csv(path)
-    rows = read.select(F.monotonically_increasing_id().alias("row_idx"), *[F.coalesce(c, F.lit("")).alias(c) for c in ROW_FIELDS])
-    header = F.lit(True)
+    rows = read.select(F.monotonically_increasing_id().alias("row_idx"), F.col("_metadata.file_path").alias("file"), *[F.coalesce(c, F.lit("")).alias(c) for c in ROW_FIELDS])
+    named = F.lit(True)
     for c, h in zip(ROW_FIELDS, HEADER):
-        header = header & (F.col(c) == h)
-    return rows.where(~header)
+        named = named & (F.col(c) == h)
+    first = rows.groupBy("file").agg(F.min("row_idx").alias("first"))  # a row for each file
+    headers = rows.where(named).join(first, "file").where("row_idx = first").select("row_idx")
+    return rows.drop("file").join(headers, "row_idx", "left_anti")
+
+
+def blank_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(blank) one row: how many lines of csv files hold nothing, which the reader of tables leaves out. Lines inside a
+    quoted field count, too."""
+    return spark.read.text(path).agg(F.count_if(F.col("value").isin("", "\r")).alias("blank"))
 
 
 def result_lines(spark: SparkSession, root: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.operators.harvest import write_if_absent
+from dirbook.operators.jobs import report
 from dirbook.schemas import HEADER, ROW_FIELDS
 
 
@@ -25,6 +26,11 @@ def write_published(rows: DataFrame, path: str, single_file: bool = False) -> No
     _csv(plain.coalesce(1) if single_file else plain).mode("overwrite").csv(path)
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """A frame of a few rows as one JSON text."""
+    report(df).coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_requests(requests: DataFrame, path: str) -> None:
     """requests(output_key, uri, mime, prompt) as JSONL for a batch service."""
     parts = F.array(F.struct(F.struct(F.col("uri").alias("fileUri"), F.col("mime").alias("mimeType")).alias("fileData")))
