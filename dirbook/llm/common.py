@@ -145,14 +145,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """_powers(n); those for a span are kept."""
+    if n > _SPAN:
+        return _powers(n)
+    if not _POWERS:
+        _POWERS.append(_powers(_SPAN))
+    return _POWERS[0][0][:n], _POWERS[0][1][:n]
+
+
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit content hashes of the words of all texts, number of words of each text).
 
     A word's hash is a difference of prefix sums of coefficient times power, divided by the power where the word starts; so
     all words of a span are hashed by a few operations on arrays. A word longer than a span is a span of its own.
     """
-    if not _POWERS:
-        _POWERS.append(_powers(_SPAN))
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     space = _IS_SPACE[data]
     edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
@@ -164,10 +171,10 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
         low = starts[first]
         last = max(first + 1, int(np.searchsorted(ends, low + _SPAN, "right")))
         high = ends[last - 1]
-        power, inverse = _POWERS[0] if high - low <= _SPAN else _powers(high - low)
+        power, inverse = powers(high - low)
         sums = np.empty(high - low + 1, np.uint64)
         sums[0] = 0
-        np.cumsum(coefficients[data[low:high]] * power[: high - low], out=sums[1:])
+        np.cumsum(coefficients[data[low:high]] * power, out=sums[1:])
         a = starts[first:last] - low
         out[first:last] = (sums[ends[first:last] - low] - sums[a]) * inverse[a]
         first = last

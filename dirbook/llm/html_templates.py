@@ -15,16 +15,19 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch, row_number
+from dirbook.llm.anchors import mix
+from dirbook.llm.common import Scratch, powers, row_number, slices
 
 #: A subtree is template if it recurs on this many pages of its host, whatever its size; a block of text outside marked
 #: articles if it does at the same place from the page's start or end.
@@ -42,6 +45,8 @@ _TEXT_BLOCKS = frozenset("a abbr address b bdi bdo blockquote br cite code dd de
 #: Start tags that end an open element of these names.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("ul ol dl table article main section div body html td th".split())
+_WALLS = frozenset("article main body td".split())
+_END_OF = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in _RAW | _RAW_DECODED}
 _ENDS_P = _BLOCK - {"br", "body", "html", "head", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "summary", "legend", "figcaption"}
 # fixed values: words of class, id and role that name what isn't the article
 _NAMED = frozenset(
@@ -80,19 +85,28 @@ def _marked(attributes: str) -> tuple[bool, bool]:
 
 
 class Open(NamedTuple):
+    """An open element. `node`: the innermost candidate up to it; `wrapper`: the innermost named element up to it; -1: none."""
+
     name: str
     start: int
     node: int
+    own: bool
     hidden: bool
-    main: int
-    named: tuple[int, ...]
+    main: bool
+    wrapper: int
 
 
 class Page(NamedTuple):
-    """blocks: text and the hashes of the subtrees that would take it along; subtrees: all distinct hashes."""
+    """A page's blocks and the tree of subtrees that may take them along.
+
+    texts: of the blocks, in order; inside: the innermost subtree of each (-1: none); parents, hashes: of the subtrees, a
+    parent before its children (hash 0: in a named element, counts nowhere); placed: of each block outside marked articles two hashes of its text at its place."""
 
-    blocks: list[tuple[str, list[int]]]
-    subtrees: list[int]
+    texts: list[str]
+    inside: list[int]
+    parents: list[int]
+    hashes: list[int]
+    placed: list[list[int]]
 
 
 def _hash(text: str) -> int:
@@ -104,31 +118,93 @@ def _placed(text: str, place: int) -> int:
     return _hash(f"{place} {text}") & ~1
 
 
+def _substring_hashes(source: str, starts: list[int], ends: list[int]) -> list[int]:
+    """Odd hashes of substrings, however they overlap, in time that is linear in the source: differences of prefix sums."""
+    if not starts:
+        return []
+    codes = np.frombuffer(source.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    power, inverse = powers(len(codes) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes, codes) * power[:-1], dtype=np.uint64)])
+    a, b = np.array(starts), np.array(ends)
+    found = mix((sums[b] - sums[a]) * inverse[a], (b - a).astype(np.uint64))
+    return (found.view(np.int64) | 1).tolist()
+
+
+class _Elements:
+    """The open elements, with the places of each name, so that end tags find theirs without a search."""
+
+    def __init__(self) -> None:
+        self.stack: list[Open] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.scopes: list[int] = []
+        self.walls: list[int] = []
+
+    def push(self, x: Open) -> None:
+        i = len(self.stack)
+        self.stack.append(x)
+        self.at[x.name].append(i)
+        if x.name in _SCOPES:
+            self.scopes.append(i)
+        if x.name in _WALLS:
+            self.walls.append(i)
+
+    def pop(self) -> Open:
+        x = self.stack.pop()
+        self.at[x.name].pop()
+        if x.name in _SCOPES:
+            self.scopes.pop()
+        if x.name in _WALLS:
+            self.walls.pop()
+        return x
+
+    def last(self, *names: str) -> int:
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+
+    def ended_by(self, name: str) -> int:
+        """Where the element stands that an end tag ends, or -1: a stray one doesn't end what holds it."""
+        i = self.last(name)
+        return i if name in _SCOPES or not self.walls or i >= self.walls[-1] else -1
+
+    def closed_by(self, name: str) -> int:
+        """Where the element stands that a start tag ends, or -1."""
+        if name not in _ENDS_P and name not in _CLOSES:
+            return -1
+        i = self.last(*(("p",) if name in _ENDS_P or name in ("li", "dt", "dd") else ()), *_CLOSES.get(name, ()))
+        return i if not self.scopes or i >= self.scopes[-1] else -1
+
+
 def parse(source: str) -> Page:
     """Blocks of a page in order, without what its kind or name gives away."""
-    # each block: text, whether it lies in a marked article, numbers of the enclosing candidate and named elements
-    blocks: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []
-    stack: list[Open] = []
-    ends: dict[int, tuple[int, int]] = {}
+    source = " ".join(source.split())
+    # each block: text, whether it lies in a marked article, the innermost subtree and named element around it
+    blocks: list[tuple[str, bool, int, int]] = []
+    elements = _Elements()
+    stack = elements.stack
     pieces: list[str] = []
-    within: dict[int, tuple[int, ...]] = {}
-    at = nodes = wrappers = 0
-    # of outermost article and main elements, whether it is an article and the named elements around it
-    opened: list[tuple[bool, tuple[int, ...]]] = []
+    # of subtrees: parent, start, end and the innermost named element around; of named elements: the one around
+    parents: list[int] = []
+    starts: list[int] = []
+    ends: list[int] = []
+    under: list[int] = []
+    wrappers: list[int] = []
+    # of outermost article and main elements, whether it is an article and the innermost named element around it
+    opened: list[tuple[bool, int]] = []
+    at = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         pieces.clear()
         if text:
-            blocks.append((text, bool(stack and stack[-1].main), tuple(x.node for x in stack if x.node >= 0), stack[-1].named if stack else ()))
+            top = stack[-1] if stack else None
+            blocks.append((text, bool(top and top.main), top.node if top else -1, top.wrapper if top else -1))
 
     def close(until: int, end: int) -> None:
         while len(stack) > until:
             if stack[-1].name in _BLOCK:
                 flush()
-            x = stack.pop()
-            if x.node >= 0:
-                ends[x.node] = (x.start, end)
+            x = elements.pop()
+            if x.own:
+                ends[x.node] = end
 
     size = len(source)
     while at < size:
@@ -143,55 +219,66 @@ def parse(source: str) -> Page:
             continue
         name = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == name:
-                    close(i, m.end())
-                    break
-                if stack[i].name in ("article", "main", "body", "td") and name not in _SCOPES:
-                    break  # a stray end tag doesn't end what holds it
+            if (i := elements.ended_by(name)) >= 0:
+                close(i, m.end())
             continue
         if name in _BLOCK:
-            if name in _ENDS_P or name in _CLOSES:
-                names = ("p", *_CLOSES.get(name, ())) if name in _ENDS_P or name in ("li", "dt", "dd") else _CLOSES[name]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].name in names:
-                        close(i, m.start())
-                        break
-                    if stack[i].name in _SCOPES:
-                        break
+            if (i := elements.closed_by(name)) >= 0:
+                close(i, m.start())
             flush()
         if name in _VOID or m[3].endswith("/") and name not in _BLOCK:
             continue
         if name in _RAW or name in _RAW_DECODED:
-            e = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
+            e = _END_OF[name].search(source, at)
             at = e.end() if e else size
             continue
         named, role = _marked(m[3]) if m[3] else (False, False)
-        hidden = bool(stack and stack[-1].hidden) or name in _NO_TEXT
-        inside = bool(stack and stack[-1].main)
+        top = stack[-1] if stack else None
+        hidden = bool(top and top.hidden) or name in _NO_TEXT
+        inside = bool(top and top.main)
         main = not hidden and (name in ("article", "main") or role)
-        around = stack[-1].named if stack else ()
+        wrapper, node = (top.wrapper, top.node) if top else (-1, -1)
         if main and not inside:
-            opened.append((name == "article" and not role, around))
+            opened.append((name == "article" and not role, wrapper))
         if named and not hidden and name not in _NEVER_NAMED:
-            around, wrappers = (*around, wrappers), wrappers + 1
-        node = -1
-        if not hidden and not main and name not in _TEXT_BLOCKS and name not in ("html", "body"):
-            node, nodes = nodes, nodes + 1
-            within[node] = around
-        stack.append(Open(name, m.start(), node, hidden, inside or main, around))
+            wrappers.append(wrapper)
+            wrapper = len(wrappers) - 1
+        own = not hidden and not main and name not in _TEXT_BLOCKS and name not in ("html", "body")
+        if own:
+            parents.append(node)
+            starts.append(m.start())
+            ends.append(size)
+            under.append(wrapper)
+            node = len(parents) - 1
+        elements.push(Open(name, m.start(), node, own, hidden, inside or main, wrapper))
     close(0, size)
     flush()
     # where all articles are in named elements, these are the page's wrappers
-    shown = set().union(*(path for _, path in opened)) if all(path for _, path in opened) else set()
-    blocks = [x for x in blocks if shown.issuperset(x[3])]
+    shown = [False] * len(wrappers)
+    if all(w >= 0 for _, w in opened):
+        for _, w in opened:
+            while w >= 0 and not shown[w]:
+                shown[w], w = True, wrappers[w]
+    clear = []
+    for w, around in enumerate(wrappers):
+        clear.append(shown[w] and (around < 0 or clear[around]))
+    is_clear = lambda w: w < 0 or clear[w]
+    blocks = [x for x in blocks if is_clear(x[3])]
     # several articles and no main element can be cards beside the page's text, which then only counts of subtrees cut
-    tops = [is_article for is_article, path in opened if shown.issuperset(path)]
+    tops = [is_article for is_article, w in opened if is_clear(w)]
     cut = len(tops) == 1 or not all(tops)
-    hashes = {n: _hash(" ".join(source[a:b].split())) | 1 for n, (a, b) in ends.items() if shown.issuperset(within[n])}
-    kept = [(text, in_main, [hashes[n] for n in path]) for text, in_main, path, _ in blocks if in_main or not cut]
-    found = [(text, path if in_main else [*path, _placed(text, i), _placed(text, i - len(kept))]) for i, (text, in_main, path) in enumerate(kept)]
-    return Page(found, sorted(set(hashes.values()).union(*(path for _, path in found))))
+    kept = [x for x in blocks if x[1] or not cut]
+    placed = [[] if in_main else [_placed(text, i), _placed(text, i - len(kept))] for i, (text, in_main, _, _) in enumerate(kept)]
+    hashes = [h if is_clear(w) else 0 for h, w in zip(_substring_hashes(source, starts, ends), under)]
+    return Page([x[0] for x in kept], [x[2] for x in kept], parents, hashes, placed)
+
+
+def without(page: Page, gone: set[int]) -> list[str]:
+    """Texts of the blocks that are in no subtree, and at no place, of those hashes."""
+    cut: list[bool] = []
+    for parent, h in zip(page.parents, page.hashes):
+        cut.append(h in gone or parent >= 0 and cut[parent])
+    return [text for text, node, placed in zip(page.texts, page.inside, page.placed) if not (node >= 0 and cut[node]) and gone.isdisjoint(placed)]
 
 
 def host_of(url: str | None) -> str:
@@ -201,25 +288,38 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-PARSED = "rid long, page_id long, url string, host string, page long, texts array<string>, paths array<array<long>>, subtrees array<long>"
+PARSED = "rid long, page_id long, url string, host string, page long, texts array<string>, inside array<int>, parents array<int>, hashes array<long>, placed array<array<long>>"
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
     names = [c.split()[0] for c in PARSED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            urls = batch["url"].to_pylist()
+        for batch in slices(batches):
             sources = [x or "" for x in batch["html"].to_pylist()]
-            found = [parse(x) for x in sources]
-            columns = [[host_of(u) for u in urls], [_hash(x) for x in sources], [[t for t, _ in p.blocks] for p in found], [[x for _, x in p.blocks] for p in found], [p.subtrees for p in found]]
-            yield pa.RecordBatch.from_arrays([batch["rid"], batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(columns, kinds[3:]))], names)
+            found = [[host_of(u) for u in batch["url"].to_pylist()], [_hash(x) for x in sources], *map(list, zip(*map(parse, sources)))]
+            yield pa.RecordBatch.from_arrays([batch["rid"], batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(found, kinds))], names)
 
     rows = pages.select(row_number(pages).alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     return rows.mapInArrow(run, PARSED)
 
 
+TEXTS = "page_id long, url string, text string"
+
+
+def _cut(pages: DataFrame) -> DataFrame:
+    """TEXTS of PARSED rows with the hashes `gone` of their templates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            columns = [batch[c].to_pylist() for c in Page._fields]
+            texts = ["\n".join(without(Page(*row), set(gone))) for *row, gone in zip(*columns, batch["gone"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    return pages.select("page_id", "url", *Page._fields, "gone").mapInArrow(run, TEXTS)
+
+
 def main_text(pages: DataFrame, many: int = MANY_PAGES, many_texts: int = MANY_TEXTS, scratch: Scratch | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of pages(page_id, url, html).
 
@@ -233,15 +333,11 @@ def main_text(pages: DataFrame, many: int = MANY_PAGES, many_texts: int = MANY_T
     least = F.when(F.col("h") % 2 == 0, many_texts).otherwise(many)
     once = parsed.groupBy("host", "page").agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
     copies = parsed.select("rid", "host", "page").join(once.where("n > 1").select("host", "page", F.col("rid").alias("first")), ["host", "page"]).where("rid <> first").select("rid")
-    seen = parsed.select("rid", "host", F.explode("subtrees").alias("h")).join(copies, "rid", "left_anti").groupBy("host", "h").agg(F.count("*").alias("n"))
-    templates = scratch.table(seen.where(F.col("n") >= least).select("host", "h"), "templates")
-    # verdicts only for pages that have blocks in some subtree
-    inside = parsed.select("rid", "host", F.explode(F.array_distinct(F.flatten("paths"))).alias("h"))
-    verdicts = scratch.table(inside.join(templates, ["host", "h"]).groupBy("rid").agg(F.collect_list("h").alias("cut")), "verdicts")
-    open_pages = F.exists("paths", lambda p: F.size(p) > 0)
-    pending = parsed.where(open_pages).join(verdicts, "rid", "left")
-    deleted = F.coalesce("cut", F.array().cast("array<long>"))
-    pairs = F.filter(F.arrays_zip("texts", "paths"), lambda x: ~F.arrays_overlap(x["paths"], deleted))
-    rest = pending.select("page_id", "url", F.array_join(F.transform(pairs, lambda x: x["texts"]), "\n").alias("text"))
-    done = parsed.where(~open_pages).select("page_id", "url", F.array_join("texts", "\n").alias("text"))
-    return done.unionByName(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    every = F.array_remove(F.array_distinct(F.concat("hashes", F.flatten("placed"))), F.lit(0).cast("long"))
+    seen = parsed.select("rid", "host", F.explode(every).alias("h"))
+    counts = seen.join(copies, "rid", "left_anti").groupBy("host", "h").agg(F.count("*").alias("n"))
+    templates = scratch.table(counts.where(F.col("n") >= least).select("host", "h"), "templates")
+    verdicts = scratch.table(seen.join(templates, ["host", "h"]).groupBy("rid").agg(F.collect_list("h").alias("gone")), "verdicts")
+    judged = parsed.join(verdicts, "rid", "left")
+    whole = judged.where(F.col("gone").isNull()).select("page_id", "url", F.array_join("texts", "\n").alias("text"))
+    return whole.unionByName(_cut(judged.where(F.col("gone").isNotNull()))).withColumn("n_chars", F.char_length("text").cast("long"))

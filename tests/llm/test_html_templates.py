@@ -1,14 +1,16 @@
-import re
 import html as H
+import random
+import re
+from collections import Counter
 
 import pytest
 import pyarrow.parquet as pq
 
-from dirbook.llm.html_templates import host_of, main_text, parse
+from dirbook.llm.html_templates import host_of, main_text, parse, without
 
 
 def text(source):
-    return "\n".join(t for t, _ in parse(source).blocks)
+    return "\n".join(parse(source).texts)
 
 
 @pytest.mark.parametrize("source, want", [
@@ -78,3 +80,43 @@ def test_templates_do_not_depend_on_the_share_of_a_host(spark):
     rows += [(200 + i, "http://a.b/copy", "<div><p>a page under many addresses</p></div>", 1) for i in range(8)]
     got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, PAGES)).collect()}
     assert got == {i: "\n".join([f"text {i}", f"more {i % 7}", *[f"own {i}"] * (i % 3), "a quoted passage", *[f"end {i}"] * (i % 4)]) for i in range(120)} | {200 + i: "a page under many addresses" for i in range(8)}
+
+
+def test_deep_pages_take_linear_time():
+    """A megabyte of nested elements, with names and stray end tags, and what a template takes from it."""
+    n = 60_000
+    deep = parse("<body>" + "<div class=a><i>x</i>" * n + "</b>" * n + "</body>")
+    assert len(deep.texts) == n and len(deep.parents) == n and parse('<div class="site-footer">x' * n).texts == []
+    half = n // 2
+    assert without(deep, {deep.hashes[half]}) == deep.texts[:half]
+
+
+def test_equal_subtrees_have_equal_hashes():
+    page = parse("<body><div><section>a <b>b</b>\n</section></div><div><section>a  <b>b</b> </section></div><div>a</div></body>")
+    hashes = dict(zip(range(5), page.hashes))
+    assert hashes[0] == hashes[2] and hashes[1] == hashes[3] and len(set(hashes.values())) == 3
+
+
+def test_main_text_equals_brute_force(spark):
+    """Templates counted in plain Python over generated sites, and pages with templates out of reach for comparison."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(120):
+        host = f"h{i % 3}.example"
+        parts = ["<div><p>box %d</p></div>" % rng.randint(0, 8) for _ in range(3)]
+        rows.append((i if i % 17 else None, f"http://{host}/{i}", "<body>" + "".join(parts) + f"<div><p>story {i}</p></div></body>", "x"))
+    rows += rows[:4] + [(500, None, None, "x"), (501, "http://h0.example/e", "", "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = Counter((r["page_id"], r["url"], r["text"], r["n_chars"]) for r in main_text(df, many=5, many_texts=10**6).collect())
+    seen = {}
+    for p, u, h, _ in rows:
+        seen.setdefault((host_of(u), h or ""), set()).update(x for x in parse(h or "").hashes)
+    counts = Counter((host, x) for (host, _), hashes in seen.items() for x in hashes)
+    want = Counter()
+    for p, u, h, _ in rows:
+        page = parse(h or "")
+        text = "\n".join(t for t, node in zip(page.texts, page.inside) if counts[host_of(u), page.hashes[node]] < 5)
+        want[p, u, text, len(text)] += 1
+    assert got == want
+    whole = {(r["page_id"], r["url"]): r["text"] for r in main_text(df, many=10**6, many_texts=10**6).collect()}
+    assert sum(whole[p, u] != t for p, u, t, _ in got) > 100  # templates do the work here
