@@ -489,7 +489,7 @@ def _possible_partners(group: dict[str, np.ndarray], center: int, percent: int)
 
 
 #: Memberships of groups with one largest component that a task takes, about.
-_TASK = 200_000
+_TASK = 20_000
 
 
 def _more_pairs(members: DataFrame, comps: DataFrame, maps: DataFrame, done: DataFrame, centers: int, percent: int, scratch: Scratch, k: int) -> tuple[DataFrame, DataFrame]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dirbook.llm.common import SPACES, bytes_of, keyed, slices
 
-#: Documents of the sample, from the first partitions that have any; their whole texts are tried.
+#: Documents of the sample, about, drawn from all of the table; their whole texts are tried.
 SAMPLE = 400
 _SYMBOLS, _CONTINUED = b"#*$%&|<>", bytes(range(0x80, 0xC0))
 
@@ -127,15 +127,25 @@ class Estimate(NamedTuple):
 
 
 def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> list[Estimate]:
-    """Seconds and share of rejections of each rule alone, on `sample` documents at most."""
-    texts = [bytes(r["data"]) for r in docs.select(F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data")).limit(sample).collect()]
-    found = []
-    for rule in rules:
-        began, rejected = time.perf_counter(), 0
-        for text in texts:
-            rejected += bool(rule.rejects(Features(text)))
-        found.append(Estimate(rule.name, (time.perf_counter() - began) / max(len(texts), 1), rejected / max(len(texts), 1)))
-    return found
+    """Seconds and share of rejections of each rule alone, on about `sample` documents drawn from all of the table. They are
+    tried where they lie; only sums reach the driver."""
+    share = min(1.0, sample / max(docs.count(), 1))
+    drawn = docs.select(F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text")).sample(share, seed=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tried, cost, rejected = 0, [0.0] * len(rules), [0] * len(rules)
+        for batch in slices(batches):
+            texts = bytes_of(batch["text"])
+            tried += len(texts)
+            for i, rule in enumerate(rules):
+                began = time.perf_counter()
+                rejected[i] += sum(bool(rule.rejects(Features(text))) for text in texts)
+                cost[i] += time.perf_counter() - began
+        yield pa.RecordBatch.from_pydict({"rule": [r.name for r in rules], "cost": cost, "rejected": rejected, "tried": [tried] * len(rules)})
+
+    sums = drawn.mapInArrow(run, "rule string, cost double, rejected long, tried long").groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("cost", "rejected", "tried")])
+    by_rule = {r["rule"]: (r["cost"] / max(r["tried"], 1), r["rejected"] / max(r["tried"], 1)) for r in sums.collect()}  # a row for each rule
+    return [Estimate(rule.name, *by_rule.get(rule.name, (0.0, 0.0))) for rule in rules]
 
 
 def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
