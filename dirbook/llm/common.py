@@ -41,19 +41,27 @@ def fresh(docs: DataFrame, name: str = "rid") -> str:
     return name
 
 
+def whole_number(key: Column) -> Column:
+    """An id of any type as a long; null where it is no whole number, such as a name."""
+    return key.try_cast("long")
+
+
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(rid, key, text) of every row; null texts become empty. Other columns, whatever their names, are left out."""
     return docs.select(
         row_number(docs).alias("rid"),
-        docs[key].cast("long").alias(key),
+        whole_number(docs[key]).alias(key),
         F.coalesce(docs[text].cast("string"), F.lit("")).alias(text),
     )
 
 
 def shared_base(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share. Only where all run in one process may the session name none."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="dirbook-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import mix
-from dirbook.llm.common import Scratch, powers, row_number, slices
+from dirbook.llm.common import Scratch, powers, row_number, slices, whole_number
 
 #: A subtree is template if it recurs on this many pages of its host, whatever its size; a block of text outside marked
 #: articles if it does at the same place from the page's start or end.
@@ -301,7 +301,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
             found = [[host_of(u) for u in batch["url"].to_pylist()], [_hash(x) for x in sources], *map(list, zip(*map(parse, sources)))]
             yield pa.RecordBatch.from_arrays([batch["rid"], batch["page_id"], batch["url"], *(pa.array(c, k) for c, k in zip(found, kinds))], names)
 
-    rows = pages.select(row_number(pages).alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
+    rows = pages.select(row_number(pages).alias("rid"), whole_number(pages["page_id"]).alias("page_id"), pages["url"].cast("string").alias("url"), pages["html"].cast("string").alias("html"))
     return rows.mapInArrow(run, PARSED)
 
 

@@ -5,7 +5,8 @@ written under a name of its own attempt and then moved, so a task that runs agai
 
 Reader: at each place it takes a gzip member or a plain record and checks it: member checksum, version line, headers,
 block length, block digest, record end. After a failed check it searches for the next valid member or version line,
-goes on there, and logs the bytes between as a quarantined gap. It reads files in windows; only one record is held.
+goes on there, and logs the bytes between as a quarantined gap. A member may hold many records; a damaged one among them
+is a gap inside the member. Files are read in windows; only one plain record, or one member, is held.
 """
 
 from __future__ import annotations
@@ -24,12 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dirbook.llm.common import Scratch, bytes_of, row_number
+from dirbook.llm.common import Scratch, bytes_of, row_number, whole_number
 
 VERSION = b"WARC/1.1\r\n"
 FILE_BYTES = 64 << 20
 WINDOW = 1 << 20
-#: A block longer than this is taken for damage, not read into memory.
+#: A block longer than this, which no row could hold, is taken for damage.
 MOST_BLOCK = 1 << 31
 
 
@@ -54,19 +55,25 @@ def header_value(text: str) -> str:
 
 
 class Found(NamedTuple):
-    """A record, or a gap (headers None) with the reason why its bytes were quarantined."""
+    """A record, or a gap (headers None) with the reason why its bytes were quarantined. `inside`: where it begins in the
+    content of the member from `start` to `end`; 0 for a member's first record and for plain ones."""
 
     start: int
     end: int
     headers: dict[str, str] | None
     block: bytes
     reason: str = ""
+    inside: int = 0
 
 
 class Damaged(Exception):
     pass
 
 
+_VERSION = re.compile(rb"WARC/\d\.\d\r\n")
+_HEADER = re.compile(rb"[!-9;-~]+[ \t]*:|[ \t]")
+
+
 class Archive:
     """Random access to a file of `size` bytes through read(start, n)."""
 
@@ -93,20 +100,23 @@ class Archive:
             except zlib.error as e:
                 raise Damaged(f"member: {e}") from None
             at += len(data)
-            if not parts and part and not b"WARC/".startswith(part[:5]):
-                raise Damaged("member holds no record")
             parts.append(part)
             total += len(part)
+            if total - len(part) < 1 << 16 <= total and b"WARC/" not in b"".join(parts):
+                raise Damaged("member holds no record")
             if total > MOST_BLOCK + (1 << 16):
                 raise Damaged("member too long")
         return b"".join(parts), at - len(unpacker.unused_data)
 
     def plain_at(self, start: int) -> tuple[bytes, int]:
         """(content, end) of the uncompressed record at `start`."""
-        head = self.window(start, 1 << 16, 1 << 16)
-        stop = head.find(b"\r\n\r\n")
-        if stop < 0:
-            raise Damaged("headers without an end")
+        n, stop = 1 << 12, -1
+        while stop < 0:
+            head = self.window(start, n, n)
+            stop = head.find(b"\r\n\r\n")
+            if stop < 0 and (len(head) < n or not all(_HEADER.match(x) for x in head.split(b"\r\n")[1:-1])):
+                raise Damaged("headers without an end")
+            n *= 2  # as long as all lines so far are headers
         m = re.search(rb"\r\ncontent-length[ \t]*:[ \t]*(\d{1,18})[ \t]*\r\n", head[: stop + 2], re.I)
         if not m:
             raise Damaged("no Content-Length")
@@ -115,16 +125,16 @@ class Archive:
             raise Damaged("block cut short")
         return self.window(start, end - start) if end - start <= WINDOW else self.read(start, end - start), end
 
-    def found_at(self, start: int) -> Found:
+    def found_at(self, start: int) -> list[Found]:
+        """The plain record at `start`, or all records of the member there with the gaps between them."""
         head = self.window(start, 5)
         if head[:2] == b"\x1f\x8b":
-            data, end = self.member_at(start)
-        elif head == b"WARC/":
+            return records_in(*self.member_at(start), start)
+        if head == b"WARC/":
             data, end = self.plain_at(start)
-        else:
-            raise Damaged("neither a member nor a version line")
-        headers, block = parse(data)
-        return Found(start, end, headers, block)
+            headers, block, _ = parse(data)
+            return [Found(start, end, headers, block)]
+        raise Damaged("neither a member nor a version line")
 
     def next_start(self, after: int) -> int:
         """The next place from `after` on where a member or version line can begin, or the end."""
@@ -153,21 +163,43 @@ class Archive:
             if gap is not None:
                 yield Found(gap, at, None, b"", reason)
                 gap = None
-            yield found
-            at = found.end
+            yield from found
+            at = found[-1].end
         if gap is not None:
             yield Found(gap, self.size, None, b"", reason)
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers (names in lower case) and block of a record that must be whole."""
-    if not re.match(rb"WARC/\d\.\d\r\n", data):
+def records_in(content: bytes, end: int, start: int) -> list[Found]:
+    """The records in a member's content, one after the other, and the gaps between; a member without any is damaged."""
+    found, at, gap, reason = [], 0, None, "member holds no record"
+    while at < len(content):
+        try:
+            headers, block, after = parse(content, at)
+        except Damaged as e:
+            if gap is None:
+                gap, reason = at, str(e)
+            m = _VERSION.search(content, at + 1)
+            at = m.start() if m else len(content)
+            continue
+        if gap is not None:
+            found.append(Found(start, end, None, b"", reason, gap))
+            gap = None
+        found.append(Found(start, end, headers, block, inside=at))
+        at = after
+    if not any(x.headers for x in found):
+        raise Damaged(reason)
+    return found if gap is None else [*found, Found(start, end, None, b"", reason, gap)]
+
+
+def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """Headers (names in lower case) and block of the record from `at` on, which must be whole, and where it ends."""
+    if not _VERSION.match(data, at):
         raise Damaged("no version line")
-    stop = data.find(b"\r\n\r\n")
+    stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
         raise Damaged("headers without an end")
     headers: dict[str, str] = {}
-    for line in data[:stop].split(b"\r\n")[1:]:
+    for line in data[at:stop].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header without a colon")
@@ -175,13 +207,13 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     if not {"warc-type", "warc-record-id", "content-length"} <= headers.keys() or not headers["content-length"].isdecimal():
         raise Damaged("a required header is missing")
     end = stop + 4 + int(headers["content-length"])
-    if data[end:] != b"\r\n\r\n":
+    if data[end : end + 4] != b"\r\n\r\n":
         raise Damaged("block length and record end disagree")
     block = data[stop + 4 : end]
     kind, _, digest = headers.get("warc-block-digest", "").partition(":")
     if kind == "sha1" and digest != sha1_base32(block):
         raise Damaged("block digest differs")
-    return headers, block
+    return headers, block, end + 4
 
 
 def payload(block: bytes, headers: dict[str, str]) -> bytes:
@@ -210,7 +242,7 @@ def write_archives(pages: DataFrame, folder: str, least_revisit: int = 0, scratc
     spark: SparkSession = pages.sparkSession
     scratch = scratch or Scratch(spark)
     html = F.coalesce(pages["html"].cast("string"), F.lit(""))
-    rows = pages.select(row_number(pages).alias("rid"), pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"))
+    rows = pages.select(row_number(pages).alias("rid"), whole_number(pages["page_id"]).alias("page_id"), pages["url"].cast("string").alias("url"), html.alias("html"))
     digests = rows.select("rid", "page_id", F.unhex(F.sha2("html", 256)).alias("digest"), F.octet_length("html").alias("n")).where(F.col("n") >= least_revisit)
     groups = digests.groupBy("digest", "n").agg(F.max(F.struct("page_id", "rid")).alias("last"), F.count("*").alias("size")).where("size > 1")
     revisits = digests.join(groups, ["digest", "n"]).where("rid != last.rid").select("rid", F.col("last.rid").alias("original"), F.col("last.page_id").alias("refers_to"))
@@ -262,7 +294,7 @@ def page_record(rid: int, page_id: int | None, url: str | None, body: bytes, ori
     return record(headers, b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(body) + body)
 
 
-READ = "path string, start long, end long, reason string, record_id string, record_type string, page_id long, url string, refers_to_id string, refers_to long, payload_digest string, payload_bytes long"
+READ = "path string, start long, end long, inside long, reason string, record_id string, record_type string, page_id long, url string, refers_to_id string, refers_to long, payload_digest string, payload_bytes long"
 
 
 def read_archives(paths: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -304,9 +336,9 @@ def _number(text: str | None) -> int | None:
 
 def _row(path: str, x: Found, payloads: bool) -> dict:
     if x.headers is None:
-        return {"path": path, "start": x.start, "end": x.end, "reason": x.reason}
+        return {"path": path, "start": x.start, "end": x.end, "inside": x.inside, "reason": x.reason}
     h = x.headers
-    row = {"path": path, "start": x.start, "end": x.end, "record_id": h["warc-record-id"], "record_type": h["warc-type"], "page_id": _number(h.get("page-id")), "url": h.get("warc-target-uri"), "refers_to_id": h.get("warc-refers-to"), "refers_to": _number(h.get("refers-to-page-id"))}
+    row = {"path": path, "start": x.start, "end": x.end, "inside": x.inside, "record_id": h["warc-record-id"], "record_type": h["warc-type"], "page_id": _number(h.get("page-id")), "url": h.get("warc-target-uri"), "refers_to_id": h.get("warc-refers-to"), "refers_to": _number(h.get("refers-to-page-id"))}
     if row["record_type"] == "revisit":
         row["payload_digest"] = h.get("warc-payload-digest", "").removeprefix("sha1:")
     else:

@@ -1,4 +1,7 @@
-from dirbook.llm.common import keyed
+import numpy as np
+import pytest
+
+from dirbook.llm.common import keyed, places, shared_base, word_hashes
 
 
 def test_rows_keep_their_numbers_when_cores_come_and_go(spark, tmp_path):
@@ -17,3 +20,34 @@ def test_rows_keep_their_numbers_when_cores_come_and_go(spark, tmp_path):
     finally:
         for c, x in before.items():
             spark.conf.unset(c) if x is None else spark.conf.set(c, x)
+
+
+def test_ids_that_are_no_numbers_count_as_null(spark):
+    df = spark.createDataFrame([("a7", "x"), ("12", "y"), (None, None)], "doc_id string, text string")
+    assert sorted(((r["doc_id"], r["text"]) for r in keyed(df).collect()), key=str) == [(12, "y"), (None, ""), (None, "x")]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, **conf):
+            self.conf = conf
+
+    with pytest.raises(ValueError):
+        shared_base(Session(**{"spark.master": "spark://host:7077"}))
+    assert shared_base(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "s3a://b/x/"})) == "s3a://b/x"
+
+
+def test_words_are_hashed_by_content():
+    texts = ["", " ", "a b", "A b\x1c \x0bq", "x" * 3_000_000 + " a " + "é" * 10, "a"]
+    words = [w for t in texts for w in t.encode().split()]
+    for lower in (False, True):
+        hashes, counts = word_hashes([t.encode() for t in texts], lower)
+        assert counts.tolist() == [len(t.encode().split()) for t in texts]
+        assert len({*zip(hashes.tolist(), (w.lower() if lower else w for w in words))}) == len(set(hashes.tolist())) == len({w.lower() if lower else w for w in words})
+    assert len(word_hashes([])[0]) == 0
+
+
+def test_places_of_sorted_keys():
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**64, 5000, dtype=np.uint64))
+    assert (places(keys, keys[::-1]) == np.arange(len(keys))[::-1]).all()
+    assert places(keys[:1], keys[[0, 0]]).tolist() == [0, 0] and len(places(keys, keys[:0])) == 0

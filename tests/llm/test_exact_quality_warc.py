@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from dirbook.llm.exact import drop_copies, exact_groups
 from dirbook.llm.quality import RULES, Features, estimate, keep_good, quality, quality_report
-from dirbook.llm.warc import Archive, member, page_record, read_archives, round_trip, sha1_base32, write_archives
+from dirbook.llm.warc import Archive, member, page_record, read_archives, record, round_trip, sha1_base32, write_archives
 
 
 def test_exact_groups_equal_brute_force(spark, odd, empty):
@@ -112,3 +112,24 @@ def test_salvage_recovers_all_untouched_records(at, n, gz):
     ends = [sum(map(len, parts[: i + 1])) for i in range(len(parts))]
     intact = {str(i) for i, e in enumerate(ends) if e <= at or e - len(parts[i]) >= at + n}
     assert intact <= {x.headers.get("page-id") for x in found if x.headers}
+
+
+def salvaged(data):
+    return [(x.headers and x.headers["warc-record-id"], x.inside, x.reason) for x in Archive(lambda start, n: data[start : start + n], len(data)).salvage()]
+
+
+def plain(i, headers=()):
+    return record([("WARC-Type", "response"), ("WARC-Record-ID", str(i)), *headers], b"body %d" % i)
+
+
+def test_members_may_hold_many_records():
+    one, two, three = map(plain, (1, 2, 3))
+    assert salvaged(member(one + two + three)) == [("1", 0, ""), ("2", len(one), ""), ("3", len(one + two), "")]
+    got = salvaged(member(one + two.replace(b"body", b"b0dy") + three) + member(one))
+    assert got == [("1", 0, ""), (None, len(one), "block digest differs"), ("3", len(one + two), ""), ("1", 0, "")]
+    assert [x[0] for x in salvaged(member(b"") + member(two) + member(one)[:-1])] == [None, "2", None]
+
+
+def test_headers_of_any_length():
+    assert [x[0] for x in salvaged(plain(1, [("X-Long", "y" * 70_000)]) + plain(2))] == ["1", "2"]
+    assert [x[0] for x in salvaged(b"WARC/1.0\r\nno header\r\n" + b"z" * 100_000 + plain(1, [("X-Long", "y" * 3_000_000)]) + plain(2))] == [None, "1", "2"]
