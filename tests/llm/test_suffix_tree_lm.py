@@ -151,3 +151,11 @@ def test_parts_of_a_text_hold_each_symbol_once():
     for name in ("word", "pair"):
         assert (np.concatenate([getattr(p, name)[p.own] for p in parts]) == getattr(whole, name)[whole.own]).all()
     assert parts[-1].symbol[-1] == END
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_texts_held_out_are_more_probable_than_by_the_base(spark, sf):
+    rows = score(spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")).where("held_out").select("score", "base_score").collect()
+    model, plain = sum(r["score"] for r in rows), sum(r["base_score"] for r in rows)
+    assert plain < model < 0 and model > 0.85 * plain
+    assert sum(r["score"] >= r["base_score"] for r in rows) > 0.9 * len(rows)
