@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 OSAKA, EARLY, LATE = "大阪府", "1963-02-01", "1968-03-01"
 
 # fixed values: wards, cities, towns and their abbreviations as the directories use them
-WARDS = "北区 都島区 福島区 此花区 東区 西区 港区 大正区 天王寺区 南区 大淀区 浪速区 西淀川区 東淀川区 東成区 生野区 旭区 城東区 阿倍野区 住吉区 東住吉区 西成区".split()
+WARDS = ("北区", "都島区", "福島区", "此花区", "東区", "西区", "港区", "大正区", "天王寺区", "南区", "大淀区", "浪速区", "西淀川区", "東淀川区", "東成区", "生野区", "旭区", "城東区", "阿倍野区", "住吉区", "東住吉区", "西成区")
 WARD_INITIALS = {"都": "都島区", "福": "福島区", "此": "此花区", "大": "大正区", "天": "天王寺区", "浪": "浪速区", "西淀": "西淀川区", "東淀": "東淀川区", "生": "生野区", "城": "城東区", "阿": "阿倍野区", "住": "住吉区", "東住": "東住吉区"}
-CITIES = "大阪市 堺市 岸和田市 豊中市 池田市 吹田市 泉大津市 高槻市 貝塚市 守口市 枚方市 茨木市 八尾市 泉佐野市 富田林市 寝屋川市 河内長野市 松原市 大東市 和泉市 箕面市 柏原市 羽曳野市 布施市 枚岡市 河内市".split()
-MERGED_CITIES, NEW_CITIES = "布施市 河内市 枚岡市".split(), "門真市 摂津市 高石市 藤井寺市 東大阪市".split()
-TOWNS = "三島郡島本町 三島郡三島町 豊能郡能勢町 豊能郡東能勢村 北河内郡門真町 北河内郡四條畷町 北河内郡交野町 泉北郡高石町 泉北郡忠岡町 泉南郡熊取町 泉南郡田尻町 泉南郡岬町 泉南郡泉南町 泉南郡南海町 泉南郡東鳥取町 南河内郡太子町 南河内郡河南町 南河内郡美原町 南河内郡千早赤阪村 南河内郡狭山町 南河内郡美陵町".split()
-FORMER_TOWNS = "三島郡三島町 北河内郡門真町 泉北郡高石町 南河内郡美陵町".split()
-DISTRICTS = {"北河内郡": "北河 北河内 北河内郡", "南河内郡": "南河 南河内 南河内郡", "泉北郡": "泉北 泉北郡", "泉南郡": "泉南 泉南郡", "三島郡": "三島郡", "豊能郡": "豊能 豊能郡"}
+CITIES = ("大阪市", "堺市", "岸和田市", "豊中市", "池田市", "吹田市", "泉大津市", "高槻市", "貝塚市", "守口市", "枚方市", "茨木市", "八尾市", "泉佐野市", "富田林市", "寝屋川市", "河内長野市", "松原市", "大東市", "和泉市", "箕面市", "柏原市", "羽曳野市", "布施市", "枚岡市", "河内市")
+MERGED_CITIES, NEW_CITIES = ("布施市", "河内市", "枚岡市"), ("門真市", "摂津市", "高石市", "藤井寺市", "東大阪市")
+TOWNS = ("三島郡島本町", "三島郡三島町", "豊能郡能勢町", "豊能郡東能勢村", "北河内郡門真町", "北河内郡四條畷町", "北河内郡交野町", "泉北郡高石町", "泉北郡忠岡町", "泉南郡熊取町", "泉南郡田尻町", "泉南郡岬町", "泉南郡泉南町", "泉南郡南海町", "泉南郡東鳥取町", "南河内郡太子町", "南河内郡河南町", "南河内郡美原町", "南河内郡千早赤阪村", "南河内郡狭山町", "南河内郡美陵町")
+FORMER_TOWNS = ("三島郡三島町", "北河内郡門真町", "泉北郡高石町", "南河内郡美陵町")
+DISTRICTS = {"北河内郡": ("北河", "北河内", "北河内郡"), "南河内郡": ("南河", "南河内", "南河内郡"), "泉北郡": ("泉北", "泉北郡"), "泉南郡": ("泉南", "泉南郡"), "三島郡": ("三島郡",), "豊能郡": ("豊能", "豊能郡")}
 CITY_INITIALS = {EARLY: {"豊": "豊中市", "吹": "吹田市", "守": "守口市", "布": "布施市"}, LATE: {"豊": "豊中市", "吹": "吹田市", "守": "守口市", "三島": "摂津市", "藤": "藤井寺市", "美陵": "藤井寺市", "布": "東大阪市", "布施": "東大阪市", "河内": "東大阪市", "枚岡": "東大阪市"}}
 NEIGHBOURS = {"尼": "尼崎市", "尼崎": "尼崎市", "伊丹": "伊丹市", "西宮": "西宮市", "芦屋": "芦屋市", "神戸": "神戸市"}
 NEIGHBOUR_PREFECTURE = "兵庫県"
@@ -49,14 +49,14 @@ class Profile(NamedTuple):
 @cache
 def profile(valid_from: str) -> Profile:
     late = valid_from == LATE
-    cities = tuple(c for c in CITIES if not (late and c in MERGED_CITIES)) + (tuple(NEW_CITIES) if late else ())
+    cities = tuple(c for c in CITIES if not (late and c in MERGED_CITIES)) + (NEW_CITIES if late else ())
     names = {town.split("郡", 1)[1]: town for town in TOWNS if not (late and town in FORMER_TOWNS)}
     towns = names | {name[:-1]: town for name, town in names.items()}
     return Profile(valid_from, tuple(WARDS), cities, towns, {c[:-1]: c for c in cities if c != "大阪市"} | CITY_INITIALS[valid_from])
 
 
 def district_names() -> dict[str, str]:
-    return {name: district for district, names in DISTRICTS.items() for name in names.split()}
+    return {name: district for district, names in DISTRICTS.items() for name in names}
 
 
 def entries(valid_from: str) -> Iterator[Entry]:
