@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ SEGMENT = (
     "segmentId string, sequence int, entryType string, rawText string, cleanText string, indentLevel int, startsMidEntry boolean, endsMidEntry boolean, "
     f"entryHints {HINTS}, phones array<string>, names array<string>, addresses array<string>, reviewFlags array<string>, continuityFromPrevious {CONTINUITY}, confidence double"
 )
-# fixed values: entry types and their short forms
+# fixed values: entry types, their short forms, and the names of flags below
 TYPES = ("directory_entry", "ad_block", "category_heading")
 SHORT_TYPES = {"d": "directory_entry", "a": "ad_block", "h": "category_heading"}
 NO_CONTINUITY = {"sameEntry": False, "previousSegmentId": "", "mergedCleanText": "", "confidence": 0.0, "reason": ""}
@@ -34,11 +34,21 @@ def _need(value, kind, name: str):
     return value
 
 
+def _integer(value, name: str) -> int:
+    if not -(1 << 31) <= _need(value, int, name) < 1 << 31:
+        raise Invalid(f"{name} is beyond 32 bits")
+    return value
+
+
 def _texts(owner: dict, key: str, name: str) -> list[str]:
     found = [_need(x, str, f"{name}.{key}").strip() for x in _need(owner.get(key, []), list, f"{name}.{key}")]
     return list(dict.fromkeys(x for x in found if x))
 
 
+def _as_text(value) -> str:
+    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False) if value else ""
+
+
 def _flag(flags: list[str], **when: bool) -> list[str]:
     return list(dict.fromkeys([*flags, *(name for name, on in when.items() if on)]))
 
@@ -53,7 +63,7 @@ def _compact(row: dict, i: int, page: int, column: int) -> dict:
     if kind is None:
         raise Invalid(f"{name}.t is unknown")
     text = _need(row.get("x", ""), str, f"{name}.x").rstrip()
-    indent = _need(row.get("i", 0), int, f"{name}.i")
+    indent = _integer(row.get("i", 0), f"{name}.i")
     phones, names, addresses, flags = (_texts(row, k, name) for k in "pnaf")
     starts, ends = (row.get(k) is True for k in "se")
     flags = _flag(flags, starts_mid_entry=starts, ends_mid_entry=ends, multi_phone=len(phones) > 1, multi_address=len(addresses) > 1)
@@ -94,9 +104,9 @@ def _standard(row: dict, i: int, page: int, column: int) -> dict:
     ends = _need(row.get("endsMidEntry", False), bool, f"{name}.endsMidEntry")
     flags = _flag(lists["reviewFlags"], starts_mid_entry=starts, ends_mid_entry=ends, continued_from_previous=same, multi_phone=len(lists["phones"]) > 1, multi_address=len(lists["addresses"]) > 1)
     return {
-        "segmentId": row.get("segmentId") or f"{page:04d}-{column:02d}-{i:04d}", "sequence": _need(row.get("sequence", i), int, f"{name}.sequence"), "entryType": kind,
+        "segmentId": _as_text(row.get("segmentId")) or f"{page:04d}-{column:02d}-{i:04d}", "sequence": _integer(row.get("sequence", i), f"{name}.sequence"), "entryType": kind,
         "rawText": _need(row.get("rawText", ""), str, f"{name}.rawText").rstrip(), "cleanText": _need(row.get("cleanText", ""), str, f"{name}.cleanText").strip(),
-        "indentLevel": max(0, _need(row.get("indentLevel", 0), int, f"{name}.indentLevel")), "startsMidEntry": starts, "endsMidEntry": ends, "entryHints": given,
+        "indentLevel": max(0, _integer(row.get("indentLevel", 0), f"{name}.indentLevel")), "startsMidEntry": starts, "endsMidEntry": ends, "entryHints": given,
         "phones": lists["phones"], "names": lists["names"], "addresses": lists["addresses"], "reviewFlags": flags, "continuityFromPrevious": continuity,
         "confidence": _clamped(_need(row.get("confidence", 1.0), (int, float), f"{name}.confidence")),
     }
@@ -110,31 +120,49 @@ def normalize_response(payload: dict, page: int, column: int) -> list[dict]:
     return [make(_need(row, dict, f"row {i}"), i, page, column) for i, row in enumerate(rows, 1)]
 
 
+_TEXT, _LIST = pa.string(), pa.list_(pa.string())
+_CONTINUITY = pa.struct([("sameEntry", pa.bool_()), ("previousSegmentId", _TEXT), ("mergedCleanText", _TEXT), ("confidence", pa.float64()), ("reason", _TEXT)])
+#: SEGMENT as an Arrow type.
+_SEGMENT = pa.struct([
+    ("segmentId", _TEXT), ("sequence", pa.int32()), ("entryType", _TEXT), ("rawText", _TEXT), ("cleanText", _TEXT), ("indentLevel", pa.int32()), ("startsMidEntry", pa.bool_()), ("endsMidEntry", pa.bool_()),
+    ("entryHints", pa.struct([("phone", _TEXT), ("name", _TEXT), ("address", _TEXT)])), ("phones", _LIST), ("names", _LIST), ("addresses", _LIST), ("reviewFlags", _LIST), ("continuityFromPrevious", _CONTINUITY), ("confidence", pa.float64()),
+])
+
+
 def normalize_responses(responses: DataFrame, *keys: str) -> DataFrame:
     """responses(page, column, text, keys...) with `segments` (array) or `error` (string), one of them null.
 
-    Strict about types, which from_json is not: it would read 1 as "1". Python in Arrow batches, one pass, no shuffle.
+    Strict about types, which from_json is not: it would read 1 as "1". Whole numbers beyond 32 bits and text that is not
+    Unicode are errors. Python in Arrow batches of typed rows, one pass, no shuffle.
     """
     names = [*keys, "page", "column"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def segments_of(text: str | None, page: int, column: int) -> list[dict]:
+        payload = first_object(text)
+        if payload is None:
+            raise Invalid("no JSON object")
+        if "\\ud" in text.lower():  # half of a pair that stands for one character
+            try:
+                json.dumps(payload, ensure_ascii=False).encode()
+            except UnicodeEncodeError:
+                raise Invalid("text is not Unicode") from None
+        return normalize_response(payload, page, column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             segments, errors = [], []
-            for page, column, text in zip(frame["page"], frame["column"], frame["text"]):
+            for page, column, text in zip(*(batch[c].to_pylist() for c in ("page", "column", "text"))):
                 try:
-                    payload = first_object(text)
-                    if payload is None:
-                        raise Invalid("no JSON object")
-                    segments.append(json.dumps(normalize_response(payload, int(page), int(column)), ensure_ascii=False))
+                    segments.append(segments_of(text, page, column))
                     errors.append(None)
                 except Invalid as e:
                     segments.append(None)
                     errors.append(str(e))
-            yield frame[names].assign(__s=segments, error=errors)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(segments, pa.list_(_SEGMENT)), pa.array(errors, _TEXT)], [*names, "segments", "error"])
 
-    kinds = ", ".join(f"{c} {responses.schema[c].dataType.simpleString()}" for c in keys)
-    found = responses.select(*names, "text").mapInPandas(run, f"{kinds}{', ' if kinds else ''}page int, column int, __s string, error string")
-    return found.select(*names, F.from_json("__s", _array_type()).alias("segments"), "error")
+    numbers = {c: F.col(c).cast("int") for c in ("page", "column")}
+    kinds = [f"{c} {responses.schema[c].dataType.simpleString()}" for c in keys]
+    return responses.select(*names, "text").withColumns(numbers).mapInArrow(run, ", ".join([*kinds, "page int, column int", f"segments {_array_type()}", "error string"]))
 
 
 def _array_type() -> str:

@@ -5,16 +5,19 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from dirbook.functions import jsons, similarity, text
+from dirbook.functions import jsons, phone, similarity, text
 from dirbook.functions.address import split_text
-from dirbook.operators.export import expand, number
+from dirbook.operators.export import expand
 
 
-@F.pandas_udf(StringType())
-def _number(values: pd.Series) -> pd.Series:
-    return values.map(lambda x: number(x or ""))
+#: functions.phone.export_number() in SQL.
+_NORMALIZE_PHONE = r"""
+CREATE OR REPLACE TEMPORARY FUNCTION normalize_phone(printed STRING) RETURNS STRING RETURN
+regexp_replace(regexp_replace(
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate(nfkc(coalesce(printed, '')), '()（）', '----'), r'(?U)\s+', ''), '-+', '-'), '^-|-$', ''), '(?:代表|代)$', ''),
+  '^※(?=0)', ''), '^(?:※|(?=[^0]))', '{area}-')
+"""
 
 
 def register(spark: SparkSession) -> None:
@@ -22,7 +25,7 @@ def register(spark: SparkSession) -> None:
     expand_candidates(phones, names, addresses)."""
     spark.udf.register("nfkc", text._nfkc)
     spark.udf.register("seq_ratio", similarity._ratio)
-    spark.udf.register("normalize_phone", _number)
+    spark.sql(_NORMALIZE_PHONE.replace("{area}", phone.AREA_CODE))
     spark.udf.register("first_json", jsons._extract)
 
     def split(address: pd.Series, as_of: pd.Series) -> pd.DataFrame:  # type: ignore[no-untyped-def]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dirbook import sql
+from dirbook.functions import phone
 from dirbook.operators import layout, pixels, windows
 from dirbook.plans import stages
 from dirbook.sources import books, sinks
@@ -149,4 +150,7 @@ def test_sql_functions(spark):
     sql.register(spark)
     row = spark.sql("SELECT nfkc('ＡＢ') a, seq_ratio('abcd', 'bcde') b, normalize_phone('761-8512代') c, split_address('豊,岡町2', null).municipality d, first_json('x {\"a\": 1}') e").first()
     assert tuple(row) == ("AB", 0.75, "06-761-8512", "豊中市", '{"a":1}')
+    printed = ["761-8512代", "761-8512代表", "※", "※072(11)2222", "761--8512-代", "", "０６ー１", None, " 371 1111 ", "※3-4"]
+    df = spark.createDataFrame([(x,) for x in printed], "p string")
+    assert [tuple(r)[0] == tuple(r)[1] for r in df.select(F.expr("normalize_phone(p)"), phone.export_number(F.col("p"))).collect()] == [True] * len(printed)
     assert spark.sql("SELECT * FROM expand_candidates(array('1', '2'), array('n'), array('a'))").count() == 2

@@ -8,6 +8,7 @@ from dirbook.functions.jsons import find_uri_column
 from dirbook.functions.similarity import rounded, similarity
 from dirbook.operators import jobs as J
 from dirbook.operators import repair as Q
+from dirbook.operators import segments as S
 from dirbook.operators import windows as W
 from dirbook.sources import books, sinks
 
@@ -77,3 +78,11 @@ def test_repair_report_and_gate(spark):
     assert Q.report(rows, odd, corrections, repaired).first().asDict() == {"rows": 10, "suspicious": 1, "corrections": 1, "changed": 1}
     gate = spark.createDataFrame([(100, 10), (100, 11), (5, 3), (5, 4)], "asked int, missing int")
     assert [r[0] for r in gate.select(Q.too_many_missing(F.col("asked"), F.col("missing"))).collect()] == [False, True, False, True]
+
+
+def test_responses_with_numbers_and_text_that_no_row_can_hold_are_rejected(spark):
+    good = {"segments": [{"entryType": "directory_entry", "segmentId": 5, "sequence": 2**31 - 1}]}
+    rows = [(1, 1, json.dumps(good)), (1, 2, json.dumps({"r": [{"t": "d", "i": 2**31}]})), (1, 3, '{"r":[{"t":"d","x":"\\ud800"}]}'), (1, 4, '{"r":[{"t":"d","x":"\\ud83d\\ude00"}]}'), (1, 5, None)]
+    got = {r["column"]: r for r in S.normalize_responses(spark.createDataFrame(rows, "page int, column int, text string")).collect()}
+    assert got[1]["segments"][0]["segmentId"] == "5" and got[1]["segments"][0]["sequence"] == 2**31 - 1 and got[4]["segments"][0]["rawText"] == "\U0001f600"
+    assert [bool(got[c]["error"]) for c in (1, 2, 3, 4, 5)] == [False, True, True, False, True]
