@@ -7,6 +7,8 @@ apart by their place, so null and repeated doc_ids are fine; null texts are empt
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dirbook.llm.common import Scratch
@@ -16,40 +18,42 @@ from dirbook.llm.packing import pack
 from dirbook.llm.quality import keep_good
 from dirbook.llm.substring import cut_repeats
 
-_scratch: Scratch | None = None
+#: The scratch folder of the stage that each thread ran last.
+_last = threading.local()
 
 
 def _fresh(spark: SparkSession) -> Scratch:
-    """A scratch folder for a stage. The one before it has been written by now, so its own goes."""
-    global _scratch
-    if _scratch is not None:
-        _scratch.release()
-    _scratch = Scratch(spark)
-    return _scratch
+    """A scratch folder for a stage. Stages of a run follow each other in one thread, each on what the one before has
+    written; so that one's own folder goes. Runs in other threads have theirs."""
+    if getattr(_last, "scratch", None) is not None:
+        _last.scratch.release()
+    _last.scratch = Scratch(spark)
+    return _last.scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects; null and empty texts have too few words. An empty table stays empty."""
     return keep_good(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest doc_id."""
+    """Of equal texts, the document with the largest doc_id (null is the smallest; of ties the last row); null counts as empty."""
     return drop_copies(docs, scratch=_fresh(spark))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents that are similar on five-word shingles, the one with the least doc_id."""
+    """Of each component of documents that are similar on five-word shingles, the one with the least doc_id (of ties the
+    first row). Texts without words all stay."""
     return one_of_each(docs, scratch=_fresh(spark))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the windows of 35 words that occur elsewhere, too."""
+    """Texts without the windows of 35 words that occur elsewhere, too. All rows stay, those of null or short texts unchanged."""
     return cut_repeats(docs, scratch=_fresh(spark))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences: a row for each piece of a document, with its place."""
+    """Token sequences: a row for each piece of a document, with its place. Null texts are one token, the separator."""
     return pack(docs, scratch=_fresh(spark))
 
 
