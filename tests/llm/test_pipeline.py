@@ -68,3 +68,25 @@ def test_stages_keep_columns_and_stand_odd_rows(spark, odd, empty):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
             assert out.count() <= docs.count()
+
+
+def test_columns_of_any_name_stay(spark):
+    rows = [(1, "a b", 1, 2, 3), (2, "a b", 4, 5, 6), (3, None, 7, 8, 9), (3, "w " * 80, 1, 1, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __rid int, rid int, cuts int").coalesce(1)
+    for (name, stage), kept in zip(corpus_pipeline.STAGES[1:4], (3, 3, 4)):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert {tuple(r)[2:] for r in out.collect()} <= {r[2:] for r in rows} and out.count() == kept, name
+
+
+def test_packing_stage_takes_odd_rows(spark, odd, empty):
+    out = corpus_pipeline.STAGES[-1][1](spark, odd, SF)
+    whole = {}
+    for r in out.collect():
+        whole.setdefault((r["doc_id"], r["doc_tokens"]), []).append(r["length"])
+    assert sum(sum(x) for x in whole.values()) == sum(k[1] * sum(1 for r in odd.collect() if (r["doc_id"], tokens(r["text"])) == k) for k in whole)
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, SF).count() == 0
+
+
+def tokens(text):
+    return len(Tokenizer.from_file(public_tokenizers.path(VOCABULARY)).encode(text or "", add_special_tokens=False).ids) + 1
