@@ -168,12 +168,15 @@ class Candidates(NamedTuple):
     hot: DataFrame
 
 
-def candidates(table: DataFrame, scratch: Scratch, most: int | None = None) -> Candidates:
-    """Candidates among RUNS. Counts are combined before they are shuffled, and runs find theirs by an equi-join that
+def candidates(every: DataFrame, scratch: Scratch, most: int | None = None) -> Candidates:
+    """Candidates among RUNS, which are written first and dropped when candidates have been found. Counts are combined before they are shuffled, and runs find theirs by an equi-join that
     adaptive execution can split. Anchors have `most` contents at most, or are hot."""
+    table = scratch.table(every, "runs")
     anchors = table.groupBy("m").agg(F.count("*").alias("c"), F.min("sh").alias("low"), F.max("sh").alias("high"), F.max("again").alias("twice")).where("c > 1 or twice")
     anchors = scratch.table(anchors.select("m", F.expr("low = high and not twice").alias("one")), "anchors")
     found = scratch.table(table.join(anchors, "m"), "candidates")
+    scratch.drop("runs")
+    scratch.drop("anchors")
     contents = found.where("not one").groupBy("m", "sh").agg(F.count("*").alias("c"), F.min(F.struct("rid", "start", "n")).alias("rep"))
     contents = scratch.table(contents, "contents")
     copied = found.where("not one").join(contents.where("c > 1").select("m", "sh"), ["m", "sh"])

@@ -160,8 +160,7 @@ def _repeats(pieces: DataFrame, width: int, gram: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, scratch: Scratch | None = None) -> DataFrame:
     """(rid, start, n): the windows at words start .. start + n - 1 of keyed documents occur elsewhere too."""
     scratch = scratch or Scratch(docs.sparkSession)
-    table = scratch.table(word_runs(docs, width, gram), "runs")
-    found = candidates(table, scratch)
+    found = candidates(word_runs(docs, width, gram), scratch)
     pieces = _pieces(docs.join(by_row(found.pieces, "start", "n", "m", "c"), "rid"), width)
     dealt = pieces.repartition(F.col("m")).sortWithinPartitions("m")
     whole = found.whole
