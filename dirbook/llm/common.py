@@ -120,6 +120,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+_held: dict[str, object] = {}
+
+
+def held(name: str, make):
+    """What this Python worker holds from task to task under a name; only one such thing, to bound its memory."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 #: Words are hashed as polynomials modulo 2**64, in spans of about this many bytes.
 _SPAN = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -166,8 +177,10 @@ def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np
     """(64-bit content hashes of the words of all texts, number of words of each text).
 
     A word's hash is a difference of prefix sums of coefficient times power, divided by the power where the word starts; so
-    all words of a span are hashed by a few operations on arrays. A word longer than a span is a span of its own.
+    all words of a span are hashed by a few operations on arrays. A word longer than a span is a span of its own. What the
+    worker holds for other operators goes.
     """
+    _held.clear()
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     space = _IS_SPACE[data]
     edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
@@ -209,41 +222,6 @@ def places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return at
 
 
-class WordIds(dict):
-    """64-bit content hashes of words, kept for words seen before; at most `most` are kept."""
-
-    def __init__(self, most: int = 500_000, lower: bool = False):
-        super().__init__()
-        self.most, self.lower = most, lower
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        found = xxhash.xxh3_64_intdigest(word.lower() if self.lower else word)
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-_held: dict[str, object] = {}
-
-
-def held(name: str, make):
-    """What this Python worker holds from task to task under a name; only one such thing, to bound its memory."""
-    if name not in _held:
-        _held.clear()
-        _held[name] = make()
-    return _held[name]
-
-
-def word_ids(lower: bool = False) -> WordIds:
-    """This Python worker's hashes of words."""
-    return held(f"words {lower}", lambda: WordIds(lower=lower))
-
-
 def batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Row tuples as record batches."""
     held: list[tuple] = []

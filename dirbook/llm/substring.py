@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import RUNS, by_row, candidates, grams, parts, portions, repeated_alone, runs, spans
-from dirbook.llm.common import Scratch, batched, bytes_of, fresh, hash_pair, keyed, row_number, slices, word_ids
+from dirbook.llm.common import Scratch, batched, bytes_of, fresh, hash_pair, keyed, row_number, slices, word_hashes
 from dirbook.llm.suffix_array import PIECES, RANGES, WINDOWS, buckets
 
 WIDTH, GRAM = 35, 8
@@ -34,10 +34,10 @@ def word_runs(docs: DataFrame, width: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RUNS.split(", ")]
-        hashed = word_ids()
-        for batch in batches:
+        for batch in slices(batches):
             rids = batch["rid"].to_numpy(zero_copy_only=False)
-            words = [hashed.of(x.split()) for x in bytes_of(batch["text"])]
+            hashes, counts = word_hashes(bytes_of(batch["text"]))
+            words = np.split(hashes, np.cumsum(counts)[:-1])
             for some in portions(parts(words, width), 1 << 18):
                 items = np.concatenate([x[2] for x in some])
                 if len(items) < width:
@@ -71,12 +71,10 @@ def _windows(docs: DataFrame, width: int) -> DataFrame:
     """Hashes of all windows of the runs that documents (rid, text, runs) list: those of hot anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = word_ids()
-
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for rid, text, listed in zip(batch["rid"].to_pylist(), bytes_of(batch["text"]), batch["runs"].to_pylist()):
-                    data = hashed.of(text.split()).tobytes()
+                    data = word_hashes([text])[0].tobytes()
                     for x in listed:
                         for at in range(x["start"], x["start"] + x["n"]):
                             yield *hash_pair(data[8 * at : 8 * (at + width)]), rid, at, x["c"]
@@ -98,14 +96,11 @@ def _classes(previous: np.ndarray, words: np.ndarray, places: np.ndarray, within
 
 def repeated_windows(anchors: list[int], pieces: list[bytes], copies: list[int], width: int, gram: int) -> list[np.ndarray]:
     """For each piece, which of its windows (by their first word) occur twice or more in the pieces of its anchor."""
-    hashed = word_ids()
-    items = [hashed.of(x.split()) for x in pieces]
-    lengths = np.array([len(x) for x in items])
+    words, lengths = word_hashes(pieces)
     begins = np.cumsum(lengths) - lengths
-    words = np.concatenate(items)
     found = grams(words, 1, gram)
     # seeds: places in each piece where its anchor's gram stands
-    owner = np.repeat(np.arange(len(items)), lengths)[: len(found)]
+    owner = np.repeat(np.arange(len(pieces)), lengths)[: len(found)]
     anchor = np.array(anchors, np.int64).view(np.uint64)
     seeds = np.flatnonzero(found == anchor[owner])
     piece = owner[seeds]
@@ -136,7 +131,7 @@ def repeated_windows(anchors: list[int], pieces: list[bytes], copies: list[int],
     which, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in hits)
     order = np.lexsort((at, which))
     which, at = which[order], at[order]
-    return np.split(at, np.searchsorted(which, np.arange(1, len(items))))
+    return np.split(at, np.searchsorted(which, np.arange(1, len(pieces))))
 
 
 def _repeats(pieces: DataFrame, width: int, gram: int) -> DataFrame:
