@@ -14,6 +14,7 @@ from dirbook.llm.substring import remove_repeats as remove_repeated_words
 from dirbook.llm.suffix_array import remove_repeats
 from dirbook.llm.suffix_tree_lm import score
 from dirbook.llm.warc import round_trip
+from dirbook.llm.winnowing import fingerprints
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +65,11 @@ def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first)}
+def op13_winnowed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first, op13_winnowed_fingerprints)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
