@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dirbook.llm.bpe import token_digests
+from dirbook.llm.divergence import audit
 from dirbook.llm.exact import exact_groups
 from dirbook.llm.html_templates import main_text
 from dirbook.llm.ngram_join import components
@@ -65,11 +66,15 @@ def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op12_source_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir))
+
+
 def op13_winnowed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first, op13_winnowed_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first, op12_source_tries, op13_winnowed_fingerprints)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -128,4 +133,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIG
 FROM o
 """
 
-ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op6_combination_prefixes": OP6, "op7_seed_and_extend": OP7, "op8_block_naming": OP8, "op9_quality_cascade": OP9}
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+v AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN v USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (SELECT g.lang, g.source, v.term, CAST(coalesce(c.n, 0) AS HUGEINT) AS n FROM g JOIN v ON v.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+p AS (SELECT *, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p FROM s),
+l AS (SELECT lang, term, sum(n) AS n FROM s GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q FROM l),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+e AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM e)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM k WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op6_combination_prefixes": OP6, "op7_seed_and_extend": OP7, "op8_block_naming": OP8, "op9_quality_cascade": OP9, "op12_source_tries": OP12}
