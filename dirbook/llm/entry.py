@@ -8,6 +8,7 @@ from dirbook.llm.bpe import token_digests
 from dirbook.llm.divergence import audit
 from dirbook.llm.exact import exact_groups
 from dirbook.llm.html_templates import main_text
+from dirbook.llm.merkle import manifest
 from dirbook.llm.ngram_join import components
 from dirbook.llm.packing import pack
 from dirbook.llm.quality import quality_report
@@ -66,6 +67,10 @@ def op10_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(documents(spark, sf_dir))
+
+
 def op12_source_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir))
 
@@ -74,7 +79,7 @@ def op13_winnowed_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first, op12_source_tries, op13_winnowed_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_site_templates, op2_suffix_tree_scores, op3_two_stage_suffixes, op4_salvage_warc, op5_forced_boundary_bpe, op6_combination_prefixes, op7_seed_and_extend, op8_block_naming, op9_quality_cascade, op10_shortest_pack_first, op11_merkle_manifest, op12_source_tries, op13_winnowed_fingerprints)}
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -133,6 +138,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIG
 FROM o
 """
 
+_MARKED = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(0, 8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _digest(text: str) -> str:
+    return "sha256(" + " || ".join(_MARKED.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP11 = f"""
+WITH RECURSIVE h AS (SELECT doc_id, lang, {_digest("text")} AS leaf,
+    CASE WHEN {_CRC32} % 3 = 0 THEN {_digest("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_digest("text")} END AS now FROM documents),
+d AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM h),
+x AS (SELECT lang, 0 AS level, pos, n, leaf AS digest FROM d
+  UNION ALL SELECT lang, level + 1, pos >> 3, (n + 7) >> 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM x WHERE n > 1 GROUP BY lang, level, pos >> 3, n),
+s AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM x WHERE n = 1),
+y AS (SELECT 0 AS level, pos, n, subroot AS digest FROM s
+  UNION ALL SELECT level + 1, pos >> 3, (n + 7) >> 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM y WHERE n > 1 GROUP BY level, pos >> 3, n),
+m AS (SELECT r, 0 AS tree, level, x.pos - (d.pos >> (3 * level)) AS side, digest FROM d JOIN x ON x.lang IS NOT DISTINCT FROM d.lang AND x.n > 1 AND x.pos >> 3 = d.pos >> (3 * (level + 1))
+  UNION ALL SELECT r, 1, level, y.pos - (s.pos >> (3 * level)), digest FROM d JOIN s ON s.lang IS NOT DISTINCT FROM d.lang JOIN y ON y.n > 1 AND y.pos >> 3 = s.pos >> (3 * (level + 1))),
+l AS (SELECT r, tree, level, coalesce(string_agg(digest, '' ORDER BY side) FILTER (side < 0), '') AS b, coalesce(string_agg(digest, '' ORDER BY side) FILTER (side > 0), '') AS a FROM m GROUP BY ALL),
+p AS (SELECT r, string_agg(b || a, '' ORDER BY tree, level) AS proof, list(b || '|' || a ORDER BY tree, level) AS sides FROM l GROUP BY r),
+f AS (SELECT doc_id, leaf, subroot, (SELECT digest FROM y WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    list_reduce(list_concat([now], coalesce(sides, [])), lambda u, v: sha256(string_split(v, '|')[1] || u || string_split(v, '|')[2])) AS folded_root
+  FROM d JOIN s ON s.lang IS NOT DISTINCT FROM d.lang LEFT JOIN p ON p.r = d.r)
+SELECT *, folded_root = root AS verified FROM f
+"""
+
 OP12 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -153,4 +186,4 @@ k AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM k WHERE part = 'pair' OR rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op6_combination_prefixes": OP6, "op7_seed_and_extend": OP7, "op8_block_naming": OP8, "op9_quality_cascade": OP9, "op12_source_tries": OP12}
+ORACLES: dict[str, str] = {"op4_salvage_warc": OP4, "op6_combination_prefixes": OP6, "op7_seed_and_extend": OP7, "op8_block_naming": OP8, "op9_quality_cascade": OP9, "op11_merkle_manifest": OP11, "op12_source_tries": OP12}
