@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from dirbook.functions import arrays as R
 from dirbook.functions import phone as P
 from dirbook.functions import text as T
 from dirbook.functions import jsons as N
+from dirbook.functions.images import png
 from dirbook.functions.jsons import extract_object
 from dirbook.operators import export as X
 from dirbook.operators import harvest as H
@@ -22,7 +25,10 @@ from dirbook.operators import publish as B
 from dirbook.operators import repair as Q
 from dirbook.operators import segments as S
 from dirbook.operators import windows as W
+from dirbook.plans import split
+from dirbook.plans.split import FileSink, attempt_name
 from dirbook.sources import books
+from dirbook.sources.shared import shared_folder
 from dirbook.views import load, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -637,3 +643,53 @@ def json_props(spark, sf_dir):
 def extract_json_object(spark, sf_dir):
     wrapped = F.concat(F.lit("note {not json} ```json\n"), "props", F.lit("\n``` end {}"))
     return load(spark, sf_dir, "events").select("event_id", extract_object(wrapped).alias("found"))
+
+
+# -- the split stage ----------------------------------------------------------------------------------------------
+
+_SCAN_HEIGHT, _SCAN_EDGE, _OVERLAP = 420, 60, 40
+
+
+def _scans(frames):
+    """A scan for each (folder, book, page, columns, width, blank): rules between columns, short strokes, white margins."""
+    for frame in frames:
+        for folder, book, page, columns, width, blank in frame.itertuples(index=False, name=None):
+            image = np.full((_SCAN_HEIGHT, width), 255, np.uint8)
+            if not blank:
+                strokes = [x for x in range(_SCAN_EDGE, width - _SCAN_EDGE) if x % 9 < 5]
+                for y in range(40, _SCAN_HEIGHT - 40, 14):
+                    image[y : y + 8, strokes] = 0
+                for i in range(1, columns):
+                    x = _SCAN_EDGE + (width - 2 * _SCAN_EDGE) * i // columns
+                    image[:, x - 8 : x + 8] = 255
+                    image[30 : _SCAN_HEIGHT - 30, x : x + 2] = 0
+            FileSink(folder, attempt_name()).put(f"{book}/{page}.png", png(image))
+        yield frame[["book", "page"]]
+
+
+@query(f"""
+WITH s AS (SELECT concat('b', cast(s_suppkey % 3 + 2 AS string)) AS book, lpad(cast(s_suppkey AS string), 7, '0') AS page, s_suppkey % 3 + 2 AS n, 900 + s_nationkey * 4 AS w, s_acctbal < 0 AS blank FROM supplier),
+k AS (SELECT *, CASE WHEN page BETWEEN '0000005' AND '0000009' THEN 'excluded' WHEN blank THEN 'skipped' ELSE 'split' END AS status FROM s)
+SELECT book, page, status, CASE status WHEN 'excluded' THEN 'configured_exclude' WHEN 'skipped' THEN concat('0 rules for ', n, ' columns') END AS reason,
+ CASE WHEN status = 'split' THEN cast(n AS int) END AS columns,
+ CASE WHEN status = 'split' THEN array_to_string(list_transform(range(0, n), lambda i: CASE WHEN i = 0 THEN 0 ELSE {_SCAN_EDGE} + (w - {2 * _SCAN_EDGE}) * i // n - {_OVERLAP} END), ',') END AS starts,
+ CASE WHEN status = 'split' THEN array_to_string(list_transform(range(1, n + 1), lambda i: CASE WHEN i = n THEN w ELSE {_SCAN_EDGE} + (w - {2 * _SCAN_EDGE}) * i // n + {_OVERLAP} END), ',') END AS ends,
+ CASE WHEN status = 'split' THEN array_to_string(list_transform(range(1, n + 1), lambda i: concat(book, '/', page, '-', lpad(cast(i AS string), 2, '0'), '.png')), ',') END AS files FROM k""")
+def split_manifest(spark, sf_dir):
+    """The split stage over a scan for each supplier: drawn to a shared folder, split, written; what its manifest then says."""
+    folder = shared_folder(spark, "split")
+    suppliers = load(spark, sf_dir, "supplier").select(
+        F.lit(f"{folder}/scans").alias("folder"),
+        F.expr("concat('b', cast(s_suppkey % 3 + 2 AS string))").alias("book"),
+        F.expr("lpad(cast(s_suppkey AS string), 7, '0')").alias("page"),
+        F.expr("cast(s_suppkey % 3 + 2 AS int)").alias("columns"),
+        F.expr("cast(900 + s_nationkey * 4 AS int)").alias("width"),
+        F.expr("s_acctbal < 0").alias("blank"),
+    )
+    suppliers.mapInPandas(_scans, "book string, page string").write.format("noop").mode("overwrite").save()
+    for n in (2, 3, 4):
+        config = {"split": {"fixedColumnCount": n, "excludePageRanges": ["0000005-0000009"]}}
+        FileSink(f"{folder}/scans", "config").put(f"b{n}/{split.CONFIG}", json.dumps(config).encode())
+    found = split.split_books(spark, f"{folder}/scans", f"{folder}/columns")
+    listed = lambda of: F.array_join(F.transform("columns", lambda c: c[of].cast("string")), ",")
+    return found.select("book", "page", "status", "reason", F.col("columnCount").alias("columns"), listed("x1").alias("starts"), listed("x2").alias("ends"), F.array_join("files", ",").alias("files"))
