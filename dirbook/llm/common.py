@@ -234,19 +234,6 @@ def batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 20_000) -> Ite
         yield _batch(held, schema)
 
 
-def row_batches(rows: Iterator[tuple], schema: pa.Schema, weight, size: int = 100_000) -> Iterator[pa.RecordBatch]:
-    """Row tuples as record batches of about `size` by weight, for rows of unequal sizes."""
-    held, n = [], 0
-    for row in rows:
-        held.append(row)
-        n += weight(row)
-        if n >= size:
-            yield _batch(held, schema)
-            held, n = [], 0
-    if held:
-        yield _batch(held, schema)
-
-
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

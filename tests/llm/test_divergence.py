@@ -1,41 +1,46 @@
+import os
 import re
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from dirbook.llm import divergence
-from dirbook.llm.divergence import Trie, audit, probabilities, terms
+from dirbook.llm.divergence import Trie, audit, branch_depths, probabilities, tokens
 from dirbook.llm.entry import ORACLES, op12_source_tries
 
 
+def counters(rows):
+    return pa.table({"term": pa.array([t.encode() for t, _, _ in rows], pa.binary()), "source": pa.array([s for _, s, _ in rows], pa.string()), "n": pa.array([n for _, _, n in rows], pa.int64()), "documents": pa.array([1] * len(rows), pa.int64())})
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.text("abé日", max_size=5), st.sampled_from("xyz"), st.integers(1, 9)), max_size=40), st.integers(0, 40))
 def test_tries_hold_what_was_added(rows, cut):
     """Leaves come in the order of their bytes; two tries merged hold what one would."""
-    one, a, b = Trie(), Trie(), Trie()
     want: dict = defaultdict(Counter)
     documents = Counter()
-    for i, (term, source, n) in enumerate(rows):
-        for trie in (one, a if i < cut else b):
-            trie.add(term.encode(), 1, {source: n})
+    for term, source, n in rows:
         want[term.encode()][source] += n
         documents[term.encode()] += 1
-    a.merge(b)
-    for trie in (one, a):
-        found = [(t, d, dict(c)) for t, d, c in trie.walk()]
-        assert found == [(t, documents[t], dict(want[t])) for t in sorted(want)]
-        assert trie.leaves == len(want) and trie.counters == sum(map(len, want.values()))
+    one = Trie.merge([counters(rows)])
+    for trie in (one, Trie.merge([Trie.merge([counters(rows[:cut])]), Trie.merge([counters(rows[cut:])])])):
+        assert [(t, d, dict(c)) for t, d, c in trie.walk()] == [(t, documents[t], dict(want[t])) for t in sorted(want)]
+    terms = one.counters["term"].combine_chunks()
+    shared = [0] + [len(os.path.commonprefix([a, b])) for a, b in zip(terms.to_pylist(), terms.to_pylist()[1:])] if len(terms) else []
+    assert branch_depths(terms).tolist() == shared
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.text(st.sampled_from("aBz @[`{\x7f\x00\x80éßΣ日\n1'"), max_size=30))
-def test_terms(text):
-    want = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text)
-    assert [t.decode() for t in terms(text.encode())] == ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in want]
+@given(st.lists(st.text(st.sampled_from("aBz @[`{\x7f\x00\x80éßΣ日\n1'"), max_size=30), max_size=4))
+def test_terms(texts):
+    want = [("".join(c.lower() if "A" <= c <= "Z" else c for c in w), i) for i, t in enumerate(texts) for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t)]
+    found, text = tokens([t.encode() for t in texts])
+    assert list(zip([t.decode() for t in found.to_pylist()], text.tolist())) == want
 
 
 @given(st.lists(st.integers(0, 10**12), min_size=1, max_size=5), st.integers(0, 10**12))
@@ -47,7 +52,7 @@ def test_probabilities_are_exact(counts, more):
 
 
 def brute(rows):
-    rows = [(lang or "", source or "", terms((text or "").encode())) for lang, source, text in rows]
+    rows = [(lang or "", source or "", [t.decode() for t in tokens([(text or "").encode()])[0].to_pylist()]) for lang, source, text in rows]
     seen, count, sources = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
     for lang, source, words in rows:
         seen[lang].update(set(words))
@@ -66,7 +71,7 @@ def brute(rows):
 
         for s in sources[lang]:
             pairs = [(o, sum(f(p(counts[s], t), p(counts[o], t)) for t in kept)) for o in sources[lang] if o != s]
-            own = [(t.decode(), f(p(counts[s], t), p(whole, t))) for t in kept if counts[s][t] > 0 and p(counts[s], t) > p(whole, t)]
+            own = [(t, f(p(counts[s], t), p(whole, t))) for t in kept if counts[s][t] > 0 and p(counts[s], t) > p(whole, t)]
             for part, found, most in (("pair", pairs, None), ("term", own, 10)):
                 ranked = sorted(found, key=lambda x: (-x[1], x[0].encode()))[:most]
                 yield from ((lang, s, part, item, value, i + 1) for i, (item, value) in enumerate(ranked))
