@@ -1,40 +1,30 @@
-"""Ordered operators: sections, carrying values forward, islands, chunks, as-of and range lookups."""
+"""Ordered operators: sections, carrying values forward, islands, chunks, as-of and range lookups.
+
+Those that run along a key do so as distributed scans (see scans.py), as one book or user may hold all rows; the dealt rows are written
+to the shared folder when the plan is made. In `order`, a minus before a name means descending.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def unused(df: DataFrame, name: str) -> str:
-    """A column name that df doesn't have, whatever case counts."""
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name += "_"
-    return name
+from dirbook.operators.scans import places, running_last, running_sum, unused
 
 
 def sections(df: DataFrame, reset: Column, book: str, order: list[str], out: str = "section") -> DataFrame:
     """df with a running number that grows at each reset row of its book."""
-    w = Window.partitionBy(book).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(reset.cast("long")).over(w))
+    return running_sum(df, reset.cast("long"), [book], order, out)
 
 
 def carry_forward(df: DataFrame, value: Column, partition: list[str], order: list[str], out: str) -> DataFrame:
     """df with the last non-null value up to each row."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    return running_last(df, value, partition, order, out)
 
 
 def in_order(df: DataFrame, order: list[str], out: str = "place") -> DataFrame:
-    """df with places from 0 in order. They come from counts of sorted partitions, not from a window over one of them; the
-    counts, one row a partition, are all that is gathered."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id())
-    counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"), F.min("__id").alias("__first"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.withColumn("__base", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__part", "__base", "__first")
-    place = F.col("__base") + F.col("__id") - F.col("__first")
-    return ranged.join(F.broadcast(bases), "__part").withColumn(out, place).drop("__part", "__id", "__base", "__first")
+    """df with places from 0 in order."""
+    return places(df, order, out)
 
 
 def chunked(df: DataFrame, order: list[str], size: int, out: str = "chunk") -> DataFrame:
@@ -53,23 +43,24 @@ def islands(df: DataFrame, flag: Column, partition: list[str], order: str) -> Da
 
 
 def asof_backward(left: DataFrame, right: DataFrame, key: str, at: str, value: str, out: str) -> DataFrame:
-    """left with the value of the latest right row of its key at or before it: one union and one window, no join."""
+    """left with the value of the latest right row of its key at or before it: one union and one scan, no join."""
     side, v = unused(left, "side"), unused(left, "v")
     both = left.withColumn(side, F.lit(0)).withColumn(v, F.lit(None).cast(right.schema[value].dataType))
     other = right.select(key, at, F.col(value).alias(v)).withColumn(side, F.lit(1))
-    w = Window.partitionBy(key).orderBy(F.col(at), F.desc(side)).rowsBetween(Window.unboundedPreceding, 0)
-    return both.unionByName(other, allowMissingColumns=True).withColumn(out, F.last(v, ignorenulls=True).over(w)).where(F.col(side) == 0).drop(side, v)
+    merged = both.unionByName(other, allowMissingColumns=True)
+    return running_last(merged, F.col(v), [key], [at, f"-{side}"], out).where(F.col(side) == 0).drop(side, v)
 
 
 def range_first(left: DataFrame, right: DataFrame, key: str, at: str, value: str, out: str) -> DataFrame:
-    """left with the first right value from its own place up to before the next left row's."""
-    side, v, run = unused(left, "side"), unused(left, "v"), unused(left, "run")
+    """left with the first right value from its own place up to before the next left row's: scanned backward, what comes next is either
+    a left row, which hides all beyond it, or a value."""
+    side, v = unused(left, "side"), unused(left, "v")
     both = left.withColumn(side, F.lit(1)).withColumn(v, F.lit(None).cast(right.schema[value].dataType))
     other = right.select(key, at, F.col(value).alias(v)).withColumn(side, F.lit(0))
-    order = Window.partitionBy(key).orderBy(F.col(at), F.desc(side))
-    grouped = both.unionByName(other, allowMissingColumns=True).withColumn(run, F.sum(side).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(key, run).orderBy(F.col(at), F.desc(side)).rowsBetween(0, Window.unboundedFollowing)
-    return grouped.withColumn(out, F.first(v, ignorenulls=True).over(inside)).where(F.col(side) == 1).drop(side, v, run)
+    merged = both.unionByName(other, allowMissingColumns=True)
+    event = F.when((F.col(side) == 1) | F.col(v).isNotNull(), F.struct(F.col(v).alias("value")))
+    found = running_last(merged, event, [key], [at, f"-{side}"], out, backward=True, inclusive=False)
+    return found.where(F.col(side) == 1).withColumn(out, F.col(f"`{out}`.value")).drop(side, v)
 
 
 def moving_average(df: DataFrame, value: str, width: int, partition: list[str], order: str, out: str) -> DataFrame:
