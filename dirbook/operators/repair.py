@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dirbook import dictionary as D
 from dirbook.functions.similarity import rounded, similarity
 from dirbook.functions.text import comparable, location_id, normalized
+from dirbook.operators.similar import bounded_pairs
 from dirbook.operators.windows import in_order
 
 KEY = ["prefecture", "municipality", "area"]
@@ -76,14 +77,16 @@ def similar_candidates(odd: DataFrame, counts: DataFrame, common_min: int = 8, m
     """(id, candidate, rank, similarity, candidate_count): the most similar frequent locations of each odd one.
 
     By similarity before rounding, then count, then the order in which blocks list them. Where both blocks are empty, all
-    frequent locations of the prefecture are tried; such keys are rare, a frequent prefecture apart.
+    frequent locations of the prefecture are tried. Only pairs whose letters allow the similarity are formed.
     """
-    frequent = common(counts, common_min)
-    pairs = block_pairs(odd, frequent)
-    none = odd.join(pairs.select("id").distinct(), "id", "left_anti").select("id", "prefecture")
-    anywhere = counts.where((F.col("count") >= common_min) & (F.col("area") != "")).select(F.col("id").alias("candidate"), "prefecture", F.col("first_seen").alias("seen"))
-    wide = none.join(anywhere, "prefecture").select("id", "candidate", F.lit(2).alias("block"), "seen")
-    sides = _with_sides(pairs.unionByName(wide).where("id <> candidate"), counts)
+    if min_similarity > 0:
+        pairs = bounded_pairs(odd, counts, common_min, min_similarity)
+    else:  # even areas without a common letter are similar enough
+        blocked = block_pairs(odd, common(counts, common_min))
+        none = odd.join(blocked.select("id").distinct(), "id", "left_anti").select("id", "prefecture")
+        anywhere = counts.where((F.col("count") >= common_min) & (F.col("area") != "")).select(F.col("id").alias("candidate"), "prefecture", F.col("first_seen").alias("seen"))
+        pairs = blocked.unionByName(none.join(anywhere, "prefecture").select("id", "candidate", F.lit(2).alias("block"), "seen"))
+    sides = _with_sides(pairs.where("id <> candidate"), counts)
     scored = sides.withColumn("score", similarity(F.col("la"), F.col("r"), F.col("lm") == F.col("rm"))).where(F.col("score") >= min_similarity)
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), F.desc("candidate_count"), "block", "seen"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("id", "candidate", "rank", rounded(F.col("score"), 4).alias("similarity"), "candidate_count")

@@ -24,6 +24,7 @@ from dirbook.operators import layout as L
 from dirbook.operators import publish as B
 from dirbook.operators import repair as Q
 from dirbook.operators import segments as S
+from dirbook.operators import similar
 from dirbook.operators import windows as W
 from dirbook.plans import split
 from dirbook.plans.split import FileSink, attempt_name
@@ -182,6 +183,20 @@ def suspicious_reasons(spark, sf_dir):
     return _locations(spark, sf_dir)[1].select("id", "count", F.array_join("reasons", "/").alias("reasons"))
 
 
+@query("""WITH k AS (SELECT prefecture, municipality, area, count(*) AS n FROM v_odd_location GROUP BY ALL),
+r AS (SELECT prefecture || chr(9) || municipality || chr(9) || area AS id, n AS count, concat_ws('/',
+  CASE WHEN contains(area, '大阪府') OR contains(area, '大阪市') THEN 'area_contains_prefecture_or_city' END, CASE WHEN contains(area, ',') OR contains(area, '、') THEN 'area_contains_separator' END,
+  CASE WHEN regexp_matches(area, '[^\\s]{1,12}区') THEN 'area_contains_ward_name' END,
+  CASE WHEN length(area) > 1 AND regexp_matches(area, '^(豊中|守口|布施).') OR (starts_with(municipality, '大阪市') AND regexp_matches(area, '^(北|大|堺|豊).')) THEN 'area_starts_with_municipality_hint' END,
+  CASE WHEN municipality <> '' AND area <> 'M' || municipality AND area LIKE regexp_replace(municipality, '[市町村区]$', '') || '_%' THEN 'area_starts_with_own_municipality_name' END,
+  CASE WHEN n <= 2 THEN 'rare_location' END) AS reasons FROM k)
+SELECT * FROM r WHERE reasons <> ''""")
+def all_suspicious_reasons(spark, sf_dir):
+    """Every reason for which a location is asked about, each from rows of customers."""
+    odd = Q.suspicious(Q.location_counts(load(spark, sf_dir, "v_odd_location")))
+    return odd.select("id", "count", F.array_join("reasons", "/").alias("reasons"))
+
+
 @query(f"""WITH {_LOC}, f AS (SELECT * FROM l WHERE n >= 8 AND c <> '')
 SELECT o.id, f.id AS candidate, min(CASE WHEN o.municipality = f.municipality THEN 0 ELSE 1 END) AS block, min(f.seen) AS seen
 FROM o JOIN f ON o.prefecture = f.prefecture AND (o.municipality = f.municipality OR substr(o.c, 1, 1) = substr(f.c, 1, 1)) GROUP BY ALL""")
@@ -190,6 +205,25 @@ def block_candidates(spark, sf_dir):
     return Q.block_pairs(odd, Q.common(counts, 8))
 
 
+_COMMON_LETTERS = "list_sum(list_transform(list_distinct(string_split(o.c, '')), lambda x: least(length(o.c) - length(replace(o.c, x, '')), length(f.c) - length(replace(f.c, x, '')))))"
+_BLOCKED = f"""f AS (SELECT * FROM l WHERE n >= 8 AND c <> ''),
+b AS (SELECT o.id, f.id AS candidate, CASE WHEN o.municipality = f.municipality THEN 0 ELSE 1 END AS block, {_COMMON_LETTERS} AS common, length(o.c) + length(f.c) AS size
+  FROM o JOIN f ON o.prefecture = f.prefecture AND (o.municipality = f.municipality OR substr(o.c, 1, 1) = substr(f.c, 1, 1)))"""
+
+
+@query(f"WITH {_LOC}, {_BLOCKED} SELECT id, candidate, block FROM b WHERE id <> candidate AND 2.0 * common / size * CASE block WHEN 0 THEN 1.0 ELSE 0.82 END >= 0.5")
+def bounded_pairs(spark, sf_dir):
+    counts, odd = _locations(spark, sf_dir)
+    return similar.bounded_pairs(odd, counts, 8, 0.5).select("id", "candidate", "block")
+
+
+@query(f"""WITH {_LOC}, {_BLOCKED} SELECT 'blocked' AS stage, count(*) AS pairs FROM b
+UNION ALL SELECT 'matched', count(*) FROM b WHERE id <> candidate AND 2.0 * common / size * CASE block WHEN 0 THEN 1.0 ELSE 0.82 END >= 0.5""")
+def similarity_pair_counts(spark, sf_dir):
+    counts, odd = _locations(spark, sf_dir)
+    return similar.pair_counts(odd, counts, 8, 0.5)
+
+
 @query()
 def candidate_similarity_topk(spark, sf_dir):
     counts, odd = _locations(spark, sf_dir)

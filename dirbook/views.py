@@ -27,6 +27,10 @@ SELECT c_custkey AS row_idx, concat('P', cast(c_nationkey % 3 AS string)) AS pre
  cast(c_custkey % 100 AS string) AS lot FROM customer""",
     "v_wide_location": """
 SELECT row_idx, concat(' ', prefecture) AS prefecture, municipality, CASE WHEN row_idx % 3 = 0 THEN translate(area, '01234', '０１２３４') WHEN row_idx % 3 = 1 THEN concat(area, ' ') ELSE area END AS area, lot FROM v_location""",
+    "v_odd_location": """
+SELECT c_custkey AS row_idx, '大阪府' AS prefecture, CASE WHEN c_nationkey % 3 = 0 THEN '大阪市' WHEN c_nationkey % 3 = 1 THEN '堺市' ELSE '' END AS municipality,
+ concat(CASE c_custkey % 8 WHEN 0 THEN '大阪府' WHEN 1 THEN '豊中' WHEN 2 THEN '北' WHEN 3 THEN '堺' WHEN 4 THEN 'x区' WHEN 5 THEN '大阪' WHEN 6 THEN '中,' ELSE '' END, lower(c_mktsegment), CASE WHEN c_custkey % 50 = 0 THEN cast(c_custkey AS string) ELSE '' END) AS area,
+ '1' AS lot FROM customer""",
     "v_separated": "SELECT row_idx, prefecture, municipality, replace(area, 'x,', ',') AS area, lot FROM v_location",
     "v_judged": """
 SELECT row_idx AS decision_idx, concat(prefecture, chr(9), municipality, chr(9), area) AS id, CASE WHEN row_idx % 3 = 0 THEN 'keep' ELSE 'replace' END AS action,
