@@ -131,77 +131,51 @@ def held(name: str, make):
     return _held[name]
 
 
-#: Words are hashed as polynomials modulo 2**64, in spans of about this many bytes.
-_SPAN = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-
-
-def _coefficients(lower: bool) -> np.ndarray:
-    """A number for each byte, by a rule that spreads bits."""
-    x = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-    for shift, by in ((30, 0x94D049BB133111EB), (27, 0xD6E8FEB86659FD93), (31, 0xBF58476D1CE4E5B9)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
-    x ^= x >> np.uint64(32)
-    if lower:
-        x[ord("A") : ord("Z") + 1] = x[ord("a") : ord("z") + 1]
-    return x
-
-
-_COEFFICIENTS = {lower: _coefficients(lower) for lower in (False, True)}
 _IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES, np.uint8))
+_TO_LOWER = np.arange(256, dtype=np.uint8)
+_TO_LOWER[ord("A") : ord("Z") + 1] += 32
+#: Longer words are hashed one by one.
+_LONG = 64
+_STEPS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of _BASE modulo 2**64, and of its inverse."""
-    found = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        x = np.full(n, base, np.uint64)
-        x[0] = 1
-        found.append(np.cumprod(x, dtype=np.uint64))
-    return found[0], found[1]
-
-
-_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_powers(n); those for a span are kept."""
-    if n > _SPAN:
-        return _powers(n)
-    if not _POWERS:
-        _POWERS.append(_powers(_SPAN))
-    return _POWERS[0][0][:n], _POWERS[0][1][:n]
+def _stirred(state: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """One round: for a given state no two blocks give the same, and what comes out depends on all bits in no linear way."""
+    x = state ^ block
+    for shift, by in zip((32, 29, 32), _STEPS):
+        x = (x ^ (x >> np.uint64(shift))) * by
+    return x ^ (x >> np.uint64(31))
 
 
 def word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit content hashes of the words of all texts, number of words of each text).
 
-    A word's hash is a difference of prefix sums of coefficient times power, divided by the power where the word starts; so
-    all words of a span are hashed by a few operations on arrays. A word longer than a span is a span of its own. What the
-    worker holds for other operators goes.
+    All words' first eight bytes are stirred in at once, then the next eight of those that have more. Words of eight bytes and fewer
+    never have the same hash as others of their length; longer ones do with the chance of a random hash. What the worker holds for other
+    operators goes.
     """
     _held.clear()
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     space = _IS_SPACE[data]
     edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
-    coefficients = _COEFFICIENTS[lower]
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        low = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, low + _SPAN, "right")))
-        high = ends[last - 1]
-        power, inverse = powers(high - low)
-        sums = np.empty(high - low + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(coefficients[data[low:high]] * power, out=sums[1:])
-        a = starts[first:last] - low
-        out[first:last] = (sums[ends[first:last] - low] - sums[a]) * inverse[a]
-        first = last
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    out ^= out >> np.uint64(29)
+    length = ends - starts
+    if lower:
+        data = _TO_LOWER[data]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(data) + 1, "<u8", padded.tobytes(), 0, (1,))
+    out = _stirred(np.full(len(starts), 0x2545F4914F6CDD1D, np.uint64), length.astype(np.uint64))
+    todo, at = np.flatnonzero(length <= _LONG), 0
+    while len(todo):
+        block = blocks[starts[todo] + at].astype(np.uint64)
+        rest = length[todo] - at
+        cut = rest < 8
+        block[cut] &= (np.uint64(1) << (np.uint64(8) * rest[cut].astype(np.uint64))) - np.uint64(1)
+        out[todo] = _stirred(out[todo], block)
+        at += 8
+        todo = todo[rest > 8]
+    for i in np.flatnonzero(length > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), 0x9E3779B97F4A7C15)
     bounds = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
     return out, counts

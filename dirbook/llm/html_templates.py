@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dirbook.llm.anchors import mix
-from dirbook.llm.common import Scratch, powers, row_number, slices, whole_number
+from dirbook.llm.common import Scratch, row_number, slices, whole_number
 
 #: A subtree is template if it recurs on this many pages of its host, whatever its size; a block of text outside marked
 #: articles if it does at the same place from the page's start or end.
@@ -40,7 +40,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-_NO_TEXT = frozenset("applet audio button canvas datalist dialog footer form head header iframe input label link map math menu meta nav noscript object option script select style svg template textarea title video aside search".split())
+_NO_TEXT = frozenset("applet audio button canvas datalist dialog footer head header iframe input label link map math menu meta nav noscript object option script select style svg template textarea title video aside search".split())
 _TEXT_BLOCKS = frozenset("a abbr address b bdi bdo blockquote br cite code dd del dfn dl dt em figcaption font h1 h2 h3 h4 h5 h6 i ins kbd li mark ol p pre q s samp small span strong sub sup td th time tr tt u ul var".split())
 #: Start tags that end an open element of these names.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -118,15 +118,34 @@ def _placed(text: str, place: int) -> int:
     return _hash(f"{place} {text}") & ~1
 
 
+#: Fixed primes under 2^31 and bases, modulo which substrings are hashed.
+_FIELDS = ((2_147_483_647, 1_103_515_245), (2_147_483_629, 1_812_433_253))
+
+
+def _field_powers(n: int, base: int, prime: int) -> np.ndarray:
+    """The first n powers of a base modulo a prime, twice as many in each step."""
+    out = np.ones(n, np.uint64)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = out[:more] * np.uint64(pow(base, have, prime)) % np.uint64(prime)
+        have += more
+    return out
+
+
 def _substring_hashes(source: str, starts: list[int], ends: list[int]) -> list[int]:
-    """Odd hashes of substrings, however they overlap, in time that is linear in the source: differences of prefix sums."""
+    """Odd hashes of substrings, however they overlap, in time that is linear in the source: differences of prefix sums of polynomials over
+    two prime fields, where, unlike modulo a power of two, no family of texts has the same hash whatever the base."""
     if not starts:
         return []
     codes = np.frombuffer(source.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    power, inverse = powers(len(codes) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(codes, codes) * power[:-1], dtype=np.uint64)])
-    a, b = np.array(starts), np.array(ends)
-    found = mix((sums[b] - sums[a]) * inverse[a], (b - a).astype(np.uint64))
+    spread, a, b = mix(codes, codes), np.array(starts), np.array(ends)
+    found = (b - a).astype(np.uint64)
+    for prime, base in _FIELDS:
+        p = np.uint64(prime)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(spread % p * _field_powers(len(codes), base, prime) % p, dtype=np.uint64)])
+        inverse = _field_powers(len(codes) + 1, pow(base, -1, prime), prime)
+        found = mix(found, (sums[b] - sums[a]) % p * inverse[a] % p)
     return (found.view(np.int64) | 1).tolist()
 
 
@@ -187,6 +206,7 @@ def parse(source: str) -> Page:
     ends: list[int] = []
     under: list[int] = []
     wrappers: list[int] = []
+    forms: list[int] = []
     # of outermost article and main elements, whether it is an article and the innermost named element around it
     opened: list[tuple[bool, int]] = []
     at = 0
@@ -240,9 +260,11 @@ def parse(source: str) -> Page:
         wrapper, node = (top.wrapper, top.node) if top else (-1, -1)
         if main and not inside:
             opened.append((name == "article" and not role, wrapper))
-        if named and not hidden and name not in _NEVER_NAMED:
+        if (named or name == "form") and not hidden and name not in _NEVER_NAMED:
             wrappers.append(wrapper)
             wrapper = len(wrappers) - 1
+            if not named:
+                forms.append(wrapper)
         own = not hidden and not main and name not in _TEXT_BLOCKS and name not in ("html", "body")
         if own:
             parents.append(node)
@@ -259,6 +281,17 @@ def parse(source: str) -> Page:
         for _, w in opened:
             while w >= 0 and not shown[w]:
                 shown[w], w = True, wrappers[w]
+    if not opened and forms:  # nor is a form that holds most of the text of a page without a marked article
+        held = [0] * len(wrappers)
+        for text, _, _, w in blocks:
+            if w >= 0:
+                held[w] += len(text)
+        for w in range(len(wrappers) - 1, -1, -1):
+            if wrappers[w] >= 0:
+                held[wrappers[w]] += held[w]
+        whole = sum(len(x[0]) for x in blocks)
+        for w in forms:
+            shown[w] = 2 * held[w] > whole
     clear = []
     for w, around in enumerate(wrappers):
         clear.append(shown[w] and (around < 0 or clear[around]))

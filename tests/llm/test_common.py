@@ -47,6 +47,17 @@ def test_words_are_hashed_by_content():
     assert len(word_hashes([])[0]) == 0
 
 
+def test_no_family_of_words_has_one_hash():
+    """A word of the Thue-Morse sequence and its complement collide under any polynomial modulo a power of two."""
+    for n in (16, 64, 1024, 4096):
+        word = "".join("ab"[i.bit_count() % 2] for i in range(n))
+        hashes, _ = word_hashes([word.encode(), word.translate(str.maketrans("ab", "ba")).encode()])
+        assert len(set(hashes.tolist())) == 2
+    words = [f"{i:x}" for i in range(200_000)]
+    assert len(set(word_hashes([" ".join(words).encode()])[0].tolist())) == len(words)
+    assert len(set(word_hashes([b"a a\0 a\0\0 " + b"a" * 8 + b" " + b"a" * 9 + b" " + b"a" * 64 + b" " + b"a" * 65])[0].tolist())) == 7
+
+
 def test_places_of_sorted_keys():
     keys = np.unique(np.random.default_rng(3).integers(0, 2**64, 5000, dtype=np.uint64))
     assert (places(keys, keys[::-1]) == np.arange(len(keys))[::-1]).all()

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 import pyarrow.parquet as pq
 
-from dirbook.llm.html_templates import host_of, main_text, parse, without
+from dirbook.llm.html_templates import _substring_hashes, host_of, main_text, parse, without
 
 
 def text(source):
@@ -120,3 +120,21 @@ def test_main_text_equals_brute_force(spark):
     assert got == want
     whole = {(r["page_id"], r["url"]): r["text"] for r in main_text(df, many=10**6, many_texts=10**6).collect()}
     assert sum(whole[p, u] != t for p, u, t, _ in got) > 100  # templates do the work here
+
+
+def test_what_holds_the_text_is_never_hidden():
+    """A form around the whole page, with a marked article in it or without."""
+    for source in (
+        '<form id="aspnetForm"><nav>a b</nav><article><p>Whole story</p></article><div class="footer">c</div></form>',
+        '<form action="/"><div><p>Whole story</p></div></form>',
+    ):
+        assert "Whole story" in parse(source).texts, source
+    assert parse('<article><p>Story</p><form><label>Mail</label> Sign up for all of our many letters</form></article>').texts == ["Story"]
+    assert parse('<article><p>Story</p><div class="comments"><p>Longer than the story by far, but from readers</p></div></article>').texts == ["Story"]
+
+
+def test_subtree_hashes_have_no_colliding_family():
+    word = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    both = word + word.translate(str.maketrans("ab", "ba"))
+    a, b, c = _substring_hashes(both + word, [0, 2048, 4096], [2048, 4096, 6144])
+    assert a != b and a == c and a & 1
