@@ -88,9 +88,10 @@ class Archive:
             self._at, self._held = start, self.read(start, max(n, WINDOW))
         return self._held[start - self._at : start - self._at + n]
 
-    def member_at(self, start: int) -> tuple[bytes, int]:
-        """(content, end) of the gzip member at `start`."""
-        unpacker, at, parts, total = zlib.decompressobj(31), start, [], 0
+    def member_at(self, start: int) -> tuple[bytes, int, int]:
+        """(content, end, skipped) of the gzip member at `start`; the first `skipped` bytes, in which no record can begin, are left out of
+        the content, so that what only looks like a member, or a long damaged record, isn't held."""
+        unpacker, at, parts, total, skipped, begun = zlib.decompressobj(31), start, [], 0, 0, False
         while not unpacker.eof:
             data = self.window(at, 1 << 14, 1)
             if not data:
@@ -102,11 +103,14 @@ class Archive:
             at += len(data)
             parts.append(part)
             total += len(part)
-            if total - len(part) < 1 << 16 <= total and b"WARC/" not in b"".join(parts):
-                raise Damaged("member holds no record")
-            if total > MOST_BLOCK + (1 << 16):
+            if not begun:  # the end of what is held may be a version line's beginning
+                whole = b"".join(parts)
+                begun = b"WARC/" in whole
+                parts = [whole if begun else whole[-4:]]
+                skipped = 0 if begun and total == len(whole) else total - len(parts[0])
+            if total - skipped > MOST_BLOCK + (1 << 16):
                 raise Damaged("member too long")
-        return b"".join(parts), at - len(unpacker.unused_data)
+        return b"".join(parts), at - len(unpacker.unused_data), skipped
 
     def plain_at(self, start: int) -> tuple[bytes, int]:
         """(content, end) of the uncompressed record at `start`."""
@@ -129,7 +133,8 @@ class Archive:
         """The plain record at `start`, or all records of the member there with the gaps between them."""
         head = self.window(start, 5)
         if head[:2] == b"\x1f\x8b":
-            return records_in(*self.member_at(start), start)
+            content, end, skipped = self.member_at(start)
+            return records_in(content, end, start, skipped)
         if head == b"WARC/":
             data, end = self.plain_at(start)
             headers, block, _ = parse(data)
@@ -169,9 +174,10 @@ class Archive:
             yield Found(gap, self.size, None, b"", reason)
 
 
-def records_in(content: bytes, end: int, start: int) -> list[Found]:
-    """The records in a member's content, one after the other, and the gaps between; a member without any is damaged."""
-    found, at, gap, reason = [], 0, None, "member holds no record"
+def records_in(content: bytes, end: int, start: int, skipped: int = 0) -> list[Found]:
+    """The records in a member's content, one after the other, and the gaps between; a member without any is damaged. Places inside count
+    from the member's own beginning, `skipped` bytes before the content."""
+    found, at, gap, reason = [], 0, -skipped if skipped else None, "member holds no record"
     while at < len(content):
         try:
             headers, block, after = parse(content, at)
@@ -182,13 +188,13 @@ def records_in(content: bytes, end: int, start: int) -> list[Found]:
             at = m.start() if m else len(content)
             continue
         if gap is not None:
-            found.append(Found(start, end, None, b"", reason, gap))
+            found.append(Found(start, end, None, b"", reason, gap + skipped))
             gap = None
-        found.append(Found(start, end, headers, block, inside=at))
+        found.append(Found(start, end, headers, block, inside=at + skipped))
         at = after
     if not any(x.headers for x in found):
         raise Damaged(reason)
-    return found if gap is None else [*found, Found(start, end, None, b"", reason, gap)]
+    return found if gap is None else [*found, Found(start, end, None, b"", reason, gap + skipped)]
 
 
 def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
@@ -331,7 +337,9 @@ def _batch(rows: list[dict], arrow: pa.Schema, names: list[str]) -> pa.RecordBat
 
 
 def _number(text: str | None) -> int | None:
-    return int(text) if text and re.fullmatch(r"-?\d{1,19}", text) else None
+    """A whole number of 64 bits; any other text is none."""
+    found = int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) else None
+    return found if found is not None and -(1 << 63) <= found < 1 << 63 else None
 
 
 def _row(path: str, x: Found, payloads: bool) -> dict:

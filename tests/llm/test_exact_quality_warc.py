@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from dirbook.llm.exact import drop_copies, exact_groups
 from dirbook.llm.quality import RULES, Features, estimate, keep_good, quality, quality_report
-from dirbook.llm.warc import Archive, member, page_record, read_archives, record, round_trip, sha1_base32, write_archives
+from dirbook.llm.warc import Archive, _number, member, page_record, read_archives, record, round_trip, sha1_base32, write_archives
 
 
 def test_exact_groups_equal_brute_force(spark, odd, empty):
@@ -133,3 +133,16 @@ def test_members_may_hold_many_records():
 def test_headers_of_any_length():
     assert [x[0] for x in salvaged(plain(1, [("X-Long", "y" * 70_000)]) + plain(2))] == ["1", "2"]
     assert [x[0] for x in salvaged(b"WARC/1.0\r\nno header\r\n" + b"z" * 100_000 + plain(1, [("X-Long", "y" * 3_000_000)]) + plain(2))] == [None, "1", "2"]
+
+
+def test_records_after_a_long_damaged_one_in_a_member():
+    """However much of a member holds no version line, the records after it are found, at their own places."""
+    broken = b"WXRC/1.1\r\n" + record([("WARC-Type", "response"), ("WARC-Record-ID", "0")], bytes(range(256)) * 800)[10:]
+    for n in (0, 3, 70_000, 500_000):
+        lead = b"\xff" * n + broken
+        got = salvaged(member(lead + plain(1) + plain(2)) + member(plain(3)))
+        assert got == [(None, 0, got[0][2]), ("1", len(lead), ""), ("2", len(lead + plain(1)), ""), ("3", 0, "")]
+
+
+def test_numbers_beyond_a_long_are_none():
+    assert [_number(x) for x in ("9223372036854775807", "9223372036854775808", "9999999999999999999", "-9223372036854775808", "12", "x", None)] == [2**63 - 1, None, None, -(2**63), 12, None, None]
