@@ -27,31 +27,30 @@ def bound(left: Column, right: Column, factor: Column) -> Column:
     return F.when(common == 0, F.lit(0.0)).otherwise(2.0 * common / (F.size(left) + F.size(right)) * factor)
 
 
-def prefixes(side: DataFrame, seen: DataFrame, ratio: float) -> DataFrame:
-    """side(id, tokens, ...) with a row for each token of its prefix; seen(token, n): how frequent tokens are."""
-    one = side.select("id", F.size("tokens").alias("size"), F.explode("tokens").alias("token")).join(seen, "token", "left")
+def prefixes(side: DataFrame, frequency: DataFrame, ratio: float) -> DataFrame:
+    """side(id, tokens, ...) with a row for each token of its prefix; frequency(token, n): how frequent tokens are."""
+    one = side.withColumn("token", F.explode("tokens")).join(frequency, "token", "left")
     place = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(0)), "token"))
-    needed = F.ceil(F.col("size") * (ratio / (2 - ratio)) - 1e-9)
-    kept = one.withColumn("place", place).where(F.col("place") <= F.col("size") - needed + 1).select("id", "token")
-    return side.join(kept, "id")
+    needed = F.ceil(F.size("tokens") * (ratio / (2 - ratio)) - 1e-9)
+    return one.withColumn("place", place).where(F.col("place") <= F.size("tokens") - needed + 1).drop("place", "n")
 
 
 def bounded_pairs(odd: DataFrame, counts: DataFrame, common_min: int, min_similarity: float) -> DataFrame:
     """(id, candidate, block, seen): the pairs of an odd location with a frequent one of its municipality (block 0), of its prefecture and
     first letter (1) or, where there are none of these, of its prefecture (2), whose letters allow the similarity, which is over 0."""
-    sides = lambda df: df.select("id", "prefecture", F.col("municipality").alias("m"), F.substring("comparable", 1, 1).alias("initial"), letters(F.col("comparable")).alias("tokens"))
+    sides = lambda df: df.select("id", "prefecture", F.col("municipality").alias("m"), F.substring("comparable", 1, 1).alias("initial"), letters(F.col("comparable")).alias("tokens"), F.col("first_seen").alias("seen"))
     left = sides(odd)
     frequent = counts.where((F.col("count") >= common_min) & (F.col("comparable") != ""))
-    right = sides(frequent).join(frequent.select("id", F.col("first_seen").alias("seen")), "id")
-    seen = right.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    right = sides(frequent)
+    frequency = right.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     alone = left.join(right.select("prefecture", "m").distinct(), ["prefecture", "m"], "left_anti").join(right.select("prefecture", "initial").distinct(), ["prefecture", "initial"], "left_anti")
 
     def pairs(some: DataFrame, by: list[str], factor: float, block: int) -> DataFrame:
         ratio = min_similarity / factor
         if ratio > 1:
             return some.limit(0).select("id", F.lit("").alias("candidate"), F.lit(block).alias("block"), F.lit(0).cast("long").alias("seen"))
-        a = prefixes(some, seen, ratio).select("id", "token", *[c for c in ("prefecture", "m", "initial") if c in by], F.col("m").alias("m_a"), F.col("tokens").alias("tokens_a"))
-        b = prefixes(right, seen, ratio).select(F.col("id").alias("candidate"), "token", *[c for c in ("prefecture", "m", "initial") if c in by], F.col("m").alias("m_b"), F.col("tokens").alias("tokens_b"), "seen")
+        a = prefixes(some, frequency, ratio).select("id", "token", *[c for c in ("prefecture", "m", "initial") if c in by], F.col("m").alias("m_a"), F.col("tokens").alias("tokens_a"))
+        b = prefixes(right, frequency, ratio).select(F.col("id").alias("candidate"), "token", *[c for c in ("prefecture", "m", "initial") if c in by], F.col("m").alias("m_b"), F.col("tokens").alias("tokens_b"), "seen")
         met = a.join(b, [*by, "token"]).where("id <> candidate")
         if block:
             met = met.where(~F.col("m_a").eqNullSafe(F.col("m_b")))

@@ -679,6 +679,32 @@ def extract_json_object(spark, sf_dir):
     return load(spark, sf_dir, "events").select("event_id", extract_object(wrapped).alias("found"))
 
 
+@query("""WITH k AS (SELECT o_orderkey, o_orderkey % 12 AS m, o_custkey FROM orders),
+e AS (SELECT *, CASE m WHEN 1 THEN 'segments[1].indentLevel is float' WHEN 2 THEN 'segments[1].indentLevel is bool' WHEN 3 THEN 'segments[1].indentLevel is str' WHEN 4 THEN 'segments[1].entryType is unknown'
+  WHEN 5 THEN 'segments[1].phones is int' WHEN 6 THEN 'segments[2].confidence is str' WHEN 7 THEN 'row 2 is list' WHEN 8 THEN 'segments[1].indentLevel is beyond 32 bits' END AS error FROM k)
+SELECT o_orderkey, error, CASE WHEN error IS NULL THEN 2 END AS segments, CASE WHEN error IS NULL THEN CASE m WHEN 9 THEN 0 ELSE 2 END END AS indent,
+ CASE WHEN error IS NULL THEN CASE WHEN m = 10 THEN 'h' || o_custkey || '/p' ELSE 'p' END END AS phones, CASE WHEN error IS NULL THEN CASE WHEN m = 10 THEN 'h' || o_custkey ELSE 'p' END END AS phone,
+ CASE WHEN error IS NULL THEN concat_ws('/', 'old', CASE WHEN m = 11 THEN 'starts_mid_entry' END, CASE WHEN m = 11 THEN 'continued_from_previous' END, CASE WHEN m = 10 THEN 'multi_phone' END) END AS flags,
+ CASE WHEN error IS NULL THEN m = 11 END AS same, CASE WHEN error IS NULL THEN CAST(CASE m WHEN 0 THEN 1.0 ELSE 0.25 END AS DOUBLE) END AS confidence FROM e""")
+def segment_strict(spark, sf_dir):
+    """The full schema with every kind of slip: a response for each order, its types checked on the JVM."""
+    o = load(spark, sf_dir, "orders").withColumn("m", F.expr("cast(o_orderkey % 12 AS int)"))
+    json_of = lambda otherwise, **when: F.coalesce(*[F.when(F.col("m") == int(k[1:]), F.lit(v) if isinstance(v, str) else v) for k, v in when.items()], F.lit(otherwise))
+    indent = json_of("2", m1="1.5", m2="true", m3='"1"', m8="2147483648", m9="-3")
+    first = F.concat(
+        F.lit('{"entryType": "'), json_of("directory_entry", m4="entry"), F.lit('", "indentLevel": '), indent, F.lit(', "phones": ['), json_of('" p "', m5="7"), F.lit('], "reviewFlags": ["old"], "entryHints": {"phone": "'),
+        json_of("", m10=F.concat(F.lit("h"), F.col("o_custkey").cast("string"))), F.lit('"}, "continuityFromPrevious": {"sameEntry": '), json_of("false", m11="true"), F.lit('}, "confidence": '), json_of("0.25", m0="7"), F.lit("}"),
+    )
+    second = json_of('{"entryType": " ad_block "}', m6='{"entryType": "ad_block", "confidence": "1"}', m7="[]")
+    text = F.concat(F.lit('{"segments": ['), first, F.lit(", "), second, F.lit("]}"))
+    told = S.strict_responses(o.select("o_orderkey", F.lit(1).alias("page"), F.lit(1).alias("column"), text.alias("text")), "o_orderkey")
+    s = F.col("segments")[0]
+    return told.select(
+        "o_orderkey", "error", F.when(F.col("error").isNull(), F.size("segments")).alias("n"), s["indentLevel"].alias("indent"), F.array_join(s["phones"], "/").alias("phones"), s["entryHints"]["phone"].alias("phone"),
+        F.array_join(s["reviewFlags"], "/").alias("flags"), s["continuityFromPrevious"]["sameEntry"].alias("same"), s["confidence"].alias("confidence"),
+    ).withColumnRenamed("n", "segments")
+
+
 # -- the split stage ----------------------------------------------------------------------------------------------
 
 _SCAN_HEIGHT, _SCAN_EDGE, _OVERLAP = 420, 60, 40
