@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dirbook.functions.jsons import extract_object, find_uri_column, output_key, response_text
 from dirbook.operators.harvest import SUCCESS, TERMINAL, harvest
+from dirbook.operators.scans import running_last, running_sum, unused
 
 
 def slashes(path: Column) -> Column:
@@ -55,6 +56,24 @@ def harvested(results: DataFrame, requests: DataFrame, existing: DataFrame | Non
     return told.withColumn("problem", problem).withColumn("status", F.when(failed, F.lit("failed")).otherwise(F.col("status")))
 
 
+def replay(requests: DataFrame, group: list[str], order: list[str], failed: Column, budget: int = 3) -> DataFrame:
+    """requests with `outcome`: done, failed, or undone for all that come after the first `budget` failures in a row of their group.
+
+    Runs of failures are islands over ordered ranges: the failures so far less those at the last success. So a group of any size is cut by
+    distributed scans, and no request after the cut is looked at twice. Null in `failed` counts as success."""
+    bad, sofar, base, cut = (unused(requests, n) for n in ("bad", "sofar", "base", "cut"))
+    rows = running_sum(requests.withColumn(bad, F.coalesce(failed, F.lit(False))), F.col(bad).cast("long"), group, order, sofar)
+    rows = running_last(rows, F.when(~F.col(bad), F.col(sofar)), group, order, base)
+    place = F.struct(*[F.col(c) for c in order])
+    full = rows.where(F.col(bad) & (F.col(sofar) - F.coalesce(base, F.lit(0)) == budget)).groupBy(*group).agg(F.min(place).alias(cut))
+    named = full.select(*[F.col(c).alias(f"{cut}_{i}") for i, c in enumerate(group)], cut)
+    same = F.lit(True)
+    for i, c in enumerate(group):
+        same = same & F.col(c).eqNullSafe(F.col(f"{cut}_{i}"))
+    outcome = F.when(F.col(cut).isNotNull() & (place > F.col(cut)), F.lit("undone")).when(F.col(bad), F.lit("failed")).otherwise(F.lit("done"))
+    return rows.join(named, same, "left").withColumn("outcome", outcome).drop(bad, sofar, base, cut, *[f"{cut}_{i}" for i in range(len(group))])
+
+
 def counters(rows: DataFrame, by: str, status: str, kinds: tuple[str, ...]) -> DataFrame:
     """(by, kinds..., total): how many rows of each status a group has; null in `by` is all groups together."""
     return rows.rollup(by).agg(*[F.count_if(F.col(status) == k).alias(k) for k in kinds], F.count("*").alias("total"))

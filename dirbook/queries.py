@@ -705,6 +705,16 @@ def segment_strict(spark, sf_dir):
     ).withColumnRenamed("n", "segments")
 
 
+@query("""WITH k AS (SELECT o_orderpriority AS job, o_orderkey, o_orderstatus = 'F' AS bad, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER w AS sofar FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderkey)),
+b AS (SELECT *, sofar - coalesce(max(CASE WHEN NOT bad THEN sofar END) OVER (PARTITION BY job ORDER BY o_orderkey), 0) AS streak FROM k),
+c AS (SELECT job, min(o_orderkey) AS cut FROM b WHERE bad AND streak = 8 GROUP BY job)
+SELECT b.job, o_orderkey, CASE WHEN o_orderkey > cut THEN 'undone' WHEN bad THEN 'failed' ELSE 'done' END AS outcome FROM b LEFT JOIN c ON c.job = b.job""")
+def error_budget(spark, sf_dir):
+    """Requests in order, up to the first eight errors in a row of their job."""
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("job"), "o_orderkey", "o_orderstatus")
+    return J.replay(o, ["job"], ["o_orderkey"], F.col("o_orderstatus") == "F", 8).select("job", "o_orderkey", "outcome")
+
+
 # -- the split stage ----------------------------------------------------------------------------------------------
 
 _SCAN_HEIGHT, _SCAN_EDGE, _OVERLAP = 420, 60, 40
