@@ -715,6 +715,18 @@ def error_budget(spark, sf_dir):
     return J.replay(o, ["job"], ["o_orderkey"], F.col("o_orderstatus") == "F", 8).select("job", "o_orderkey", "outcome")
 
 
+@query("""SELECT o_orderpriority AS job, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS line, o_orderkey FROM orders""")
+def response_lines(spark, sf_dir):
+    """Line numbers of result files, one a job, that Spark reads in several splits each."""
+    folder = shared_folder(spark, "lines")
+    o = load(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("job"), "o_orderkey")
+    ordered = o.repartition("job").sortWithinPartitions("job", "o_orderkey").select("job", F.to_json(F.struct("o_orderkey")).alias("value"))
+    ordered.write.mode("overwrite").partitionBy("job").text(folder)
+    found = books.numbered_lines(spark, folder)
+    job = F.regexp_extract("file", "/job=([^/]*)/", 1)
+    return found.select(F.url_decode(job).alias("job"), F.col("line").cast("long").alias("line"), F.get_json_object("value", "$.o_orderkey").cast("long").alias("o_orderkey"))
+
+
 # -- the split stage ----------------------------------------------------------------------------------------------
 
 _SCAN_HEIGHT, _SCAN_EDGE, _OVERLAP = 420, 60, 40

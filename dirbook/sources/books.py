@@ -7,10 +7,11 @@ import re
 from pathlib import PurePosixPath
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dirbook.functions.jsons import output_key
+from dirbook.operators.windows import in_order
 from dirbook.schemas import DOCUMENT, HEADER, ROW_FIELDS
 
 _COLUMN_IMAGE = r"(?i)([0-9]+)-([0-9]+)\.(png|webp)\z"
@@ -104,9 +105,31 @@ def blank_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).agg(F.count_if(F.col("value").isin("", "\r")).alias("blank"))
 
 
+def numbered_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(file, line, value) of all lines of text files, numbered from 1 within each file, however files are split: a line's place in its
+    split, after the lines of the splits before, of which only the counts are summed up. A split is all that a task orders."""
+    scan = spark.read.option("recursiveFileLookup", "true").text(root).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    counts = scan.groupBy("file", "start").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("file", "start").orderBy("id"))
+    placed = scan.withColumn("id", F.monotonically_increasing_id()).withColumn("place", place)
+    return placed.join(counts.select("file", "start", before.alias("before")), ["file", "start"]).select("file", (F.col("before") + F.col("place")).alias("line"), "value")
+
+
+def inline_responses(spark: SparkSession, path: str, requests: DataFrame, order: str) -> DataFrame:
+    """requests(..., order) with the `response` line at their place: the lines of a file that a service answered in the order of what it was
+    asked. Blank lines don't count. A count that differs is an error, as nothing else tells which answer belongs to which request."""
+    lines = numbered_lines(spark, path).where(F.trim("value") != "").select(F.lit(0).alias("all"), F.col("file"), F.col("line"), F.col("value").alias("response"))
+    places = in_order(lines.select("file", "line", "response"), ["file", "line"], "place")
+    asked = in_order(requests, [order], "place")
+    joined = asked.join(places.drop("file", "line"), "place", "full")
+    odd = F.when(F.col(order).isNull() | F.col("response").isNull(), F.raise_error(F.concat(F.lit("as many responses as requests are needed; unmatched at place "), F.col("place").cast("string"))))
+    return joined.withColumn("response", F.coalesce(odd.cast("string"), F.col("response"))).drop("place")
+
+
 def result_lines(spark: SparkSession, root: str) -> DataFrame:
     """(file, line, output_key, response, error) of JSONL batch results; blank lines are skipped, broken ones have an error."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(root).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    lines = numbered_lines(spark, root)
     wanted = lines.where(F.col("file").rlike(r"(\.jsonl\z|/prediction\.results-[^/]*\z)") & (F.trim("value") != ""))
     ok = F.try_parse_json("value").isNotNull()
     uri = F.regexp_extract("value", r'"file_?[uU]ri"\s*:\s*"([^"]*)"', 1)
