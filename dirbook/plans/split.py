@@ -1,8 +1,8 @@
 """The split stage: page scans in, column images and a manifest out.
 
-Pages are listed without their contents, joined with what the manifest and the folder of images hold already, and only those
-that lack something are read, PORTION of them a job. Tasks split pages and write their column images themselves: to a name of
-their own attempt first, then moved onto the final one, so that a reader never sees half a file and a task that runs again
+Pages are listed once, without their contents, joined with what the manifest and the folder of images hold already, and only those
+that lack something are read, about PORTION of them a job. Tasks read and split pages and write their column images themselves: to a
+name of their own attempt first, then moved onto the final one, so that a reader never sees half a file and a task that runs again
 replaces what it wrote with the same. A page's row goes to the manifest through Spark's committer after its images are there;
 a page is done when the manifest says so and its images are listed. Whatever goes wrong with a page is its row's reason.
 
@@ -16,8 +16,8 @@ import json
 import time
 import uuid
 from collections.abc import Iterator
-from itertools import islice
 from typing import Any
+from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
@@ -30,11 +30,14 @@ from dirbook.functions.jsons import output_key
 from dirbook.operators.jobs import pending_pages
 from dirbook.operators.layout import excluded_pages
 from dirbook.operators.pixels import split_page
+from dirbook.operators.scans import written
 from dirbook.sources import books
 
 CONFIG = "phonebook.config.json"
 #: Pages a job, after which the manifest has them.
 PORTION = 10_000
+#: Pages a task.
+PAGES_A_TASK = 32
 MANIFEST = (
     "run long, book string, page string, input string, status string, reason string, columnCount int, files array<string>, cropRect struct<x1:int,y1:int,x2:int,y2:int>, "
     "columns array<struct<x1:int,y1:int,x2:int,y2:int>>, inference struct<mode:string,scores:map<int,double>>, quality struct<pageInkRatio:double,"
@@ -43,9 +46,11 @@ MANIFEST = (
 _NAMES = ("run", "book", "page", "input", "status", "reason", "columnCount", "files", "cropRect", "columns", "inference", "quality")
 
 
-def _opened(folder: str) -> tuple[fs.FileSystem, str]:
-    """A folder's file system and its path there; `file:/a`, as Hadoop writes it, is fine."""
-    files, root = fs.FileSystem.from_uri("file://" + folder.removeprefix("file:") if folder.startswith("file:/") and not folder.startswith("file://") else folder)
+def _opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder or a file and its path there. `file:/a`, as Hadoop writes it, is fine, and so is any character in a name."""
+    if path.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").strip("/")
+    files, root = fs.FileSystem.from_uri(quote(path, safe="/:@?&=%") if "://" in path else path)
     return files, root.rstrip("/")
 
 
@@ -78,11 +83,17 @@ def attempt_name() -> str:
     return f"{task.stageId()}-{task.partitionId()}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}" if task else uuid.uuid4().hex
 
 
-def _row(page: tuple[str, str, str, bytes], sink: FileSink, options: dict[str, Any], run: int) -> dict[str, Any]:
-    book, name, path, content = page
+def _content(path: str) -> bytes:
+    files, at = _opened(path)
+    with files.open_input_stream(at) as file:
+        return file.read()
+
+
+def _row(page: tuple[str, str, str] | tuple[str, str, str, bytes], sink: FileSink, options: dict[str, Any], run: int) -> dict[str, Any]:
+    book, name, path = page[:3]
     row: dict[str, Any] = dict.fromkeys(_NAMES) | {"run": run, "book": book, "page": name, "input": path}
     try:
-        found = split_page(decoded(content), options["columns"], options["scale"], options.get("tolerant", False))
+        found = split_page(decoded(page[3] if len(page) > 3 else _content(path)), options["columns"], options["scale"], options.get("tolerant", False))
         files = [f"{book}/{name}-{i:02d}.png" for i in range(1, found["columnCount"] + 1)]
         for file, image in zip(files, found["images"]):
             sink.put(file, image)
@@ -95,7 +106,8 @@ def _row(page: tuple[str, str, str, bytes], sink: FileSink, options: dict[str, A
 
 
 def split_rows(pages: DataFrame, out: str, options: dict[str, dict[str, Any]], run: int) -> DataFrame:
-    """MANIFEST rows of pages(book, page, path, content), whose column images are written to `out` on the way; options by book."""
+    """MANIFEST rows of pages(book, page, path, content), whose column images are written to `out` on the way; options by book.
+    Without `content`, tasks read the files at `path`."""
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sink = FileSink(out, attempt_name())
@@ -103,7 +115,7 @@ def split_rows(pages: DataFrame, out: str, options: dict[str, dict[str, Any]], r
             rows = [_row(page, sink, options[page[0]], run) for page in frame.itertuples(index=False, name=None)]
             yield pd.DataFrame({c: pd.Series([r[c] for r in rows], dtype=object) for c in _NAMES})
 
-    return pages.select("book", "page", "path", "content").mapInPandas(work, MANIFEST)
+    return pages.select("book", "page", "path", *(c for c in pages.columns if c == "content")).mapInPandas(work, MANIFEST)
 
 
 def manifest(spark: SparkSession, out: str) -> DataFrame:
@@ -142,13 +154,17 @@ def pending(spark: SparkSession, pages: DataFrame, out: str) -> DataFrame:
     return new.unionByName(lacking.select("book", "page", "path"))
 
 
-def empty_pages(spark: SparkSession, root: str, names: list[str]) -> list[tuple[str, str, str]]:
-    """(book, page, path) of page files without a byte, which Spark's readers pass over."""
-    found = []
-    for name in names:
-        path, files = books._hadoop(spark, f"{root}/{name}")
-        found += [(name, s.getPath().getName()[:-4], str(s.getPath())) for s in files.listStatus(path) if s.isFile() and not s.getLen() and s.getPath().getName().lower().endswith(".png")]
-    return found
+def empty_pages(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    """(book, page, path) of page files without a byte, which Spark's readers pass over; a task lists a book."""
+
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for book in frame["book"]:
+                files, at = _opened(f"{root}/{book}")
+                empty = [f.base_name for f in files.get_file_info(fs.FileSelector(at)) if f.is_file and not f.size and f.base_name.lower().endswith(".png")]
+                yield pd.DataFrame({"book": [book] * len(empty), "page": [n[:-4] for n in empty], "path": [f"{root}/{book}/{n}" for n in empty]}, dtype=object)
+
+    return spark.createDataFrame([(n,) for n in names], "book string").repartition(len(names)).mapInPandas(work, "book string, page string, path string")
 
 
 def _literal(path: str) -> str:
@@ -166,7 +182,7 @@ def split_books(spark: SparkSession, root: str, out: str, resume: bool = True, s
         raise FileNotFoundError(f"no book with page scans under {root}")
     options = book_options(spark, root, names, **given)
     run = time.time_ns()
-    pages = books.page_images(spark, root).drop("content")
+    pages = written(books.page_images(spark, root).drop("content").coalesce(spark.sparkContext.defaultParallelism))
     choosy = {name: o for name, o in options.items() if o["exact"] or o["ranges"]}
     todo, excluded = pages.where(~F.col("book").isin(list(choosy))), None
     for name, chosen in choosy.items():
@@ -174,18 +190,17 @@ def split_books(spark: SparkSession, root: str, out: str, resume: bool = True, s
         kept = excluded_pages(own, "page", chosen["exact"], chosen["ranges"])
         gone = own.join(kept.select("path"), "path", "left_anti").select("book", "page", "path")
         todo, excluded = todo.unionByName(kept), gone if excluded is None else excluded.unionByName(gone)
-    wanted = pending(spark, todo, out) if resume else todo
-    paths = (r["path"] for r in wanted.select("path").toLocalIterator())
-    while portion := list(islice(paths, PORTION)):
-        read = spark.read.format("binaryFile").load([_literal(p) for p in portion])
-        named = read.select(F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1).alias("book"), output_key(F.col("path")).alias("page"), "path", "content")
-        split_rows(named, out, options, run).write.mode("append").parquet(f"{out}/_manifest")
+    wanted = written(pending(spark, todo, out) if resume else todo)
+    count = wanted.count()
+    jobs = -(-count // PORTION)
+    for job in range(jobs):
+        portion = wanted.where(F.pmod(F.xxhash64("path"), F.lit(jobs)) == job).repartition(-(-min(count, PORTION) // PAGES_A_TASK))
+        split_rows(portion, out, options, run).write.mode("append").parquet(f"{out}/_manifest")
     if excluded is not None:
         left_out = excluded.select(F.lit(run).alias("run"), "book", "page", F.col("path").alias("input"), F.lit("excluded").alias("status"), F.lit("configured_exclude").alias("reason"))
         left_out.write.mode("append").parquet(f"{out}/_manifest")
-    if empty := empty_pages(spark, root, names):
-        gone = spark.createDataFrame([(run, *page, "skipped", "empty file") for page in empty], "run long, book string, page string, input string, status string, reason string")
-        gone.write.mode("append").parquet(f"{out}/_manifest")
+    empty = empty_pages(spark, root, names).select(F.lit(run).alias("run"), "book", "page", F.col("path").alias("input"), F.lit("skipped").alias("status"), F.lit("empty file").alias("reason"))
+    empty.write.mode("append").parquet(f"{out}/_manifest")
     FileSink.clear(out)
     rows = manifest(spark, out)
     write_summaries(spark, rows, out)

@@ -768,7 +768,8 @@ def split_manifest(spark, sf_dir):
         F.expr("cast(900 + s_nationkey * 4 AS int)").alias("width"),
         F.expr("s_acctbal < 0").alias("blank"),
     )
-    suppliers.mapInPandas(_scans, "book string, page string").write.format("noop").mode("overwrite").save()
+    tasks = -(-suppliers.count() // split.PAGES_A_TASK)  # a small table is read by one task
+    suppliers.repartition(max(1, tasks)).mapInPandas(_scans, "book string, page string").write.format("noop").mode("overwrite").save()
     for n in (2, 3, 4):
         config = {"split": {"fixedColumnCount": n, "excludePageRanges": ["0000005-0000009"]}}
         FileSink(f"{folder}/scans", "config").put(f"b{n}/{split.CONFIG}", json.dumps(config).encode())

@@ -35,10 +35,21 @@ def page_images(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+\z", 1).alias("book"), output_key(F.col("path")).alias("page"), "path", "content")
 
 
+def _holds(spark: SparkSession, folder: str, suffix: str) -> bool:
+    """Whether a folder holds a file with this ending; listed up to the first one only."""
+    path, fs = _hadoop(spark, folder)
+    files = fs.listStatusIterator(path)
+    while files.hasNext():
+        status = files.next()
+        if status.getPath().getName().lower().endswith(suffix) and not status.isDirectory():
+            return True
+    return False
+
+
 def books_with(spark: SparkSession, root: str, suffix: str) -> list[str]:
     """Folders under root that hold a file with this ending: .png for scans, .ocr.json for recognised books."""
     folders = [name for name, is_dir in list_names(spark, root) if is_dir]
-    return [b for b in folders if any(not d and n.lower().endswith(suffix) for n, d in list_names(spark, f"{root}/{b}"))]
+    return [b for b in folders if _holds(spark, f"{root}/{b}", suffix)]
 
 
 def books_marked(spark: SparkSession, root: str, marker: str = "column_count.json") -> list[str]:

@@ -177,3 +177,42 @@ def test_failures_can_be_errors(spark, tmp_path):
     assert split.split_books(spark, str(tmp_path / "s"), str(tmp_path / "o")).count() == 2
     with pytest.raises(FileNotFoundError):
         split.split_books(spark, str(tmp_path / "none"), str(tmp_path / "o2"))
+
+
+def plain_filtered(mask, size, axis, all_of):
+    """A window at a time: what lies beyond the edge is true for erosion and false for dilation."""
+    before, out = size // 2, np.zeros_like(mask)
+    lines, into = (mask, out) if axis else (mask.T, out.T)
+    for line, found in zip(lines, into):
+        for i in range(len(line)):
+            window = [line[j] if 0 <= j < len(line) else all_of for j in range(i - before, i - before + size)]
+            found[i] = all(window) if all_of else any(window)
+    return out
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 8, 20, 45])
+def test_windows_of_any_size(size):
+    rng = np.random.default_rng(size)
+    for share in (0.1, 0.5, 0.9):
+        mask = rng.random((23, 31)) < share
+        for axis in (0, 1):
+            for all_of in (False, True):
+                assert (pixels._filtered(mask, size, axis, all_of) == plain_filtered(mask, size, axis, all_of)).all()
+
+
+def test_pages_are_dealt_in_portions_without_lists_on_the_driver(spark, tmp_path, monkeypatch):
+    """Each portion is one job of many tasks; neither names nor files are gathered one by one."""
+    root, out = tmp_path / "scans", tmp_path / "columns"
+    scans(root, {f"a/{i:04d}": png(page(2)) for i in range(9)} | {"a/0009": b""})
+    monkeypatch.setattr(split, "PORTION", 4)
+    monkeypatch.setattr(split, "PAGES_A_TASK", 2)
+
+    def local(*_, **__):
+        raise AssertionError("pages came to the driver one by one")
+
+    with monkeypatch.context() as m:
+        m.setattr(split, "write_summaries", lambda *_: None)
+        m.setattr("pyspark.sql.classic.dataframe.DataFrame.toLocalIterator", local)
+        rows = split.split_books(spark, str(root), str(out), columns=2)
+    assert sorted((r["page"], r["status"]) for r in rows.collect()) == [(f"{i:04d}", "split") for i in range(9)] + [("0009", "skipped")]
+    assert len(list(out.rglob("*.png"))) == 18
