@@ -15,7 +15,9 @@ _DECODER = json.JSONDecoder()
 
 def first_object(text: str | None) -> dict | None:
     """The first JSON object that decodes, from any opening brace on; text around it, fences included, is ignored."""
-    cleaned = re.sub(r"\s*```$", "", re.sub(r"^```(?:json)?\s*", "", (text or "").strip(), flags=re.M), flags=re.M)
+    cleaned = (text or "").strip()
+    if "```" in cleaned:
+        cleaned = re.sub(r"\s*```$", "", re.sub(r"^```(?:json)?\s*", "", cleaned, flags=re.M), flags=re.M)
     at = cleaned.find("{")
     while at >= 0:
         try:

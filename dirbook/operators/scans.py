@@ -97,3 +97,19 @@ def places(df: DataFrame, order: Order, out: str) -> DataFrame:
     bases = counts.select(F.col("p").alias(f"{part}_of"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias(f"{own}_base"))
     placed = rows.join(F.broadcast(bases), F.col(part) == F.col(f"{part}_of")).withColumn(f"{own}_place", F.col(own) + F.col(f"{own}_base"))
     return placed.drop(part, own, f"{part}_of", f"{own}_base").withColumn(out, F.col(f"{own}_place")).drop(f"{own}_place")
+
+
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Order, out: str) -> DataFrame:
+    """df with numbers from 1 in order within each key, for few keys: counts of sorted ranges, a row for each key of a range, are broadcast."""
+    part, own, base = unused(df, "part"), unused(df, "own"), unused(df, "base")
+    ranges = [F.col(f"`{k}`").asc_nulls_first() for k in keys] + ordering(order)
+    rows = written(df.repartitionByRange(*ranges).sortWithinPartitions(*ranges).withColumn(part, F.spark_partition_id()).withColumn(own, F.monotonically_increasing_id()))
+    counts = rows.groupBy(part, *keys).agg(F.count("*").alias("n"), F.min(own).alias("first"))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    named = [F.col(f"`{k}`").alias(f"{base}_{i}") for i, k in enumerate(keys)]
+    bases = counts.select(F.col(part).alias(f"{part}_of"), *named, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias(base))
+    same = F.col(part) == F.col(f"{part}_of")
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"{base}_{i}"))
+    placed = rows.join(F.broadcast(bases), same)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(own) + F.col(base)).alias(out))

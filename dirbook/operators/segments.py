@@ -27,6 +27,8 @@ class Invalid(ValueError):
 
 
 def _need(value, kind, name: str):
+    if type(value) is kind:
+        return value
     wrong_bool = isinstance(value, bool) and kind is not bool
     if wrong_bool or not isinstance(value, kind):
         raise Invalid(f"{name} is {type(value).__name__}")
@@ -40,8 +42,14 @@ def _integer(value, name: str) -> int:
 
 
 def _texts(owner: dict, key: str, name: str) -> list[str]:
-    found = [_need(x, str, f"{name}.{key}").strip() for x in _need(owner.get(key, []), list, f"{name}.{key}")]
-    return list(dict.fromkeys(x for x in found if x))
+    given = owner.get(key)
+    if given is None and key not in owner:
+        return []
+    found = {}
+    for x in _need(given, list, f"{name}.{key}"):
+        if text := (x if type(x) is str else _need(x, str, f"{name}.{key}")).strip():
+            found[text] = None
+    return list(found)
 
 
 def _as_text(value) -> str:
@@ -63,14 +71,14 @@ def _compact(row: dict, i: int, page: int, column: int) -> dict:
         raise Invalid(f"{name}.t is unknown")
     text = _need(row.get("x", ""), str, f"{name}.x").rstrip()
     indent = _integer(row.get("i", 0), f"{name}.i")
-    phones, names, addresses, flags = (_texts(row, k, name) for k in "pnaf")
-    starts, ends = (row.get(k) is True for k in "se")
-    flags = _flag(flags, starts_mid_entry=starts, ends_mid_entry=ends, multi_phone=len(phones) > 1, multi_address=len(addresses) > 1)
-    first = lambda x: x[0] if x else ""
+    phones, names, addresses, flags = _texts(row, "p", name), _texts(row, "n", name), _texts(row, "a", name), _texts(row, "f", name)
+    starts, ends = row.get("s") is True, row.get("e") is True
+    if starts or ends or len(phones) > 1 or len(addresses) > 1:
+        flags = _flag(flags, starts_mid_entry=starts, ends_mid_entry=ends, multi_phone=len(phones) > 1, multi_address=len(addresses) > 1)
     return {
         "segmentId": f"{page:04d}-{column:02d}-{i:04d}", "sequence": i, "entryType": kind, "rawText": text, "cleanText": text, "indentLevel": max(0, indent),
-        "startsMidEntry": starts, "endsMidEntry": ends, "entryHints": {"phone": first(phones), "name": first(names), "address": first(addresses)},
-        "phones": phones, "names": names, "addresses": addresses, "reviewFlags": flags, "continuityFromPrevious": dict(NO_CONTINUITY), "confidence": 1.0,
+        "startsMidEntry": starts, "endsMidEntry": ends, "entryHints": {"phone": phones[0] if phones else "", "name": names[0] if names else "", "address": addresses[0] if addresses else ""},
+        "phones": phones, "names": names, "addresses": addresses, "reviewFlags": flags, "continuityFromPrevious": NO_CONTINUITY.copy(), "confidence": 1.0,
     }
 
 

@@ -75,3 +75,21 @@ def test_empty_tables(spark, rows):
     none = rows.limit(0)
     assert windows.sections(none, F.lit(True), "key", ["place"]).count() == 0 and windows.in_order(none, ["place"]).count() == 0
     assert windows.asof_backward(none.select("key", "place"), none.select("key", "place", "value"), "key", "place", "value", "v").count() == 0
+
+
+def test_row_numbers_equal_windows_and_spread_one_key(spark, rows):
+    want = rows.select("key", "place", "part", F.row_number().over(Window.partitionBy("key").orderBy("place")).alias("n"))
+    got = scans.row_numbers(rows, ["key"], ["place"], "n")
+    assert bag(got, "key", "place", "part", "n") == bag(want, "key", "place", "part", "n")
+    down = rows.select("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("place"))).alias("n"))
+    assert bag(scans.row_numbers(rows, ["key"], ["-place"], "n"), "place", "n") == bag(down, "place", "n")
+
+
+def test_segments_are_numbered_without_a_window_over_a_book(spark):
+    """All lines of a book in one task was what bounded every query on segments."""
+    from dirbook.views import VIEWS, load
+
+    found = load(spark, "/root/testdata/sf0.001", "v_segment")
+    assert "row_number" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = spark.sql(VIEWS["v_segment"].replace("FROM lineitem", "FROM {lineitem}"), lineitem=load(spark, "/root/testdata/sf0.001", "lineitem"))
+    assert found.dtypes == want.dtypes and bag(found, *want.columns) == bag(want, *want.columns)
