@@ -200,3 +200,18 @@ def test_a_segment_alone_is_prepared_by_columns(spark):
     assert (got["0"]["phones"], got["0"]["names"], got["0"]["addresses"], got["0"]["bare"]) == (["06-931-1111", "06-932-2222"], ["n"], ["北町1"], False)
     assert (got["1"]["phones"], got["1"]["name"], got["1"]["address"], got["1"]["bare"]) == (["06-371-1111"], "丸山", "商店 北町 1", False)
     assert (got["2"]["phones"], got["2"]["bare"]) == (["06-371-1111"], True)
+
+
+def test_indented_names_of_one_long_section_are_not_gathered(spark):
+    r = random.Random(8)
+    lines = [(1, 5, i, r.choice([0, 1, 2, 3]), r.choice(["a", "b", "ab", ""])) for i in range(11000)]
+    got = X.indented_names(spark.createDataFrame(lines, "b long, section long, p long, l int, n string").repartition(5), "b", "p", "l", "n")
+    assert got.columns == ["b", "section", "pos", "name"] and "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want, above = [], []
+    for _, _, i, level, name in lines:
+        above = [x for x in above if x[0] < level]
+        head = above[-1][1] if above and level else ""
+        full = name if not name or name.startswith(head) else head + name
+        above += [(level, full)] if full else []
+        want.append((1, 5, i, full))
+    assert [tuple(x) for x in got.orderBy("pos").collect()] == want
