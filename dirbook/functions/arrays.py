@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,17 +27,29 @@ def blank(values: Column) -> Column:
 def expand_candidates(phones: Column, names: Column, addresses: Column) -> Column:
     """Rows (phone, name, address): as many as there are phones or addresses. A single phone goes to all rows, the first
     name and the last address fill up."""
+    some = lambda c: F.filter(c, lambda x: x != "")
     filled = lambda c: F.when(F.size(c) > 0, c).otherwise(F.array(F.lit("")))
-    phones, names, addresses = filled(phones), filled(F.filter(names, lambda x: x != "")), filled(F.filter(addresses, lambda x: x != ""))
-    rows = F.sequence(F.lit(0), F.greatest(F.size(phones), F.size(addresses)) - 1)
-    return F.transform(
-        rows,
-        lambda i: F.struct(
-            F.coalesce(F.get(phones, i), F.when(F.size(phones) == 1, F.get(phones, F.lit(0))), F.lit("")).alias("phone"),
-            F.coalesce(F.get(names, i), F.get(names, F.lit(0))).alias("name"),
-            F.coalesce(F.get(addresses, i), F.element_at(addresses, -1)).alias("address"),
-        ),
-    )
+
+    def rows(v: Column) -> Column:
+        p, n, a = v["p"], v["n"], v["a"]
+        # what holds for all rows is bound before them
+        fixed = F.struct(p.alias("p"), n.alias("n"), a.alias("a"), F.when(F.size(p) == 1, F.get(p, F.lit(0))).otherwise(F.lit("")).alias("phone"), F.get(n, F.lit(0)).alias("name"), F.element_at(a, -1).alias("address"))
+        return _with(fixed, lambda f: F.transform(F.sequence(F.lit(0), F.greatest(F.size(f["p"]), F.size(f["a"])) - 1), lambda i: row(f, i)))
+
+    def row(f: Column, i: Column) -> Column:
+        return F.struct(
+            F.coalesce(F.get(f["p"], i), f["phone"], F.lit("")).alias("phone"),
+            F.coalesce(F.get(f["n"], i), f["name"]).alias("name"),
+            F.coalesce(F.get(f["a"], i), f["address"]).alias("address"),
+        )
+
+    given = F.struct(phones.alias("p"), some(names).alias("n"), some(addresses).alias("a"))
+    return _with(given, lambda g: _with(F.struct(*[filled(g[c]).alias(c) for c in "pna"]), rows))
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used: in a lambda it would be computed for each element."""
+    return F.transform(F.array(value), use)[0]
 
 
 def collapse_fragments(addresses: Column) -> Column:

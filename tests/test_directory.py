@@ -215,3 +215,9 @@ def test_indented_names_of_one_long_section_are_not_gathered(spark):
         above += [(level, full)] if full else []
         want.append((1, 5, i, full))
     assert [tuple(x) for x in got.orderBy("pos").collect()] == want
+
+
+def test_expansion_computes_each_list_once(spark):
+    lists = spark.range(1).select(*[F.split(F.concat(F.lit("1 2 3"), F.col("id").cast("string")), " ").alias(c) for c in "pna"])
+    plan = lists.select(R.expand_candidates(F.reverse("p"), F.col("n"), F.col("a")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert (plan.count("filter("), plan.count("reverse(")) == (2, 1)
