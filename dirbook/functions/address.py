@@ -98,7 +98,7 @@ def tidy_address(address: Column, nfkc: bool = True) -> Column:
 
 def split_text(text: str, version: str) -> tuple[str, str, str]:
     """(prefecture, municipality, rest) of one address, as split_address() gives them, for code that folds rows in Python."""
-    address = re.sub(r"\s+", "", unicodedata.normalize("NFKC", text or "").translate({ord(c): "," for c in "、，"}))
+    address = re.sub(r"[^\S\x1c-\x1f]+", "", unicodedata.normalize("NFKC", text or "").strip().translate({ord(c): "," for c in "、，"}))
     if not address:
         return D.OSAKA, "大阪市", ""
     head, comma, tail = address.partition(",")
@@ -116,7 +116,7 @@ def split_text(text: str, version: str) -> tuple[str, str, str]:
             local = [re.sub("[市町村区]$", "", x.rpartition("郡")[2]) for x in (prefix, place[1])]
             said = max((x for x in (prefix, *local) if len(x) > 1 and rest.startswith(x)), key=len, default="")
             return *place, rest[len(said) :].strip(",") if said else rest
-    if m := re.search(WARD, address):
+    if m := re.search(WARD, address, re.ASCII):
         return D.OSAKA, "大阪市" + m[1], address[m.end() :].strip(",")
     return D.OSAKA, "大阪市", address
 

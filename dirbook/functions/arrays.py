@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dirbook.functions.text import compact_address, composed, strip
+from dirbook.functions.text import compact_address, composed_lists, strip
 
 
 def string_candidates(values: Column) -> Column:
@@ -16,8 +16,8 @@ def string_candidates(values: Column) -> Column:
 
 
 def composed_candidates(values: Column) -> Column:
-    """string_candidates() of texts that aren't normalised yet: composed all at once, with a separator between them."""
-    return string_candidates(F.split(composed(F.array_join(F.coalesce(values, F.array().cast("array<string>")), "\x1e")), "\x1e"))
+    """string_candidates() of texts that aren't normalised yet."""
+    return string_candidates(composed_lists(values))
 
 
 def blank(values: Column) -> Column:

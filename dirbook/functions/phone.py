@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from dirbook.functions.text import normalized, strip, without_space
 
-# fixed values: what a number looks like in print, its area code, its dashes
+# fixed values: what a number looks like in print, its area code, its dashes, what needs no tidying
 PATTERN = r"(?:※?[0-9]{2,4}[-()（）]?[0-9]{1,4}[-()（）]?[0-9]{2,4}(?:代表|代)?|※?[0-9]{3,4}-[0-9]{3,4}(?:代表|代)?|※?[0-9]{3,4}(?:代表|代)?)"
 AREA_CODE = "06"
 DASHES = "－‐‑‒–—―ー"
+PLAIN = r"^(?:[0-9]{3,4}-[0-9]{3,4}|[0-9]{2,4}-[0-9]{1,4}-[0-9]{2,4})\z"
 CANONICAL = r"^06-[0-9]{3}-[0-9]{4}\z"
 
 
@@ -25,8 +26,8 @@ def with_area_code(number: Column) -> Column:
 
 
 def _tidy(number: Column) -> Column:
-    dashed = F.regexp_replace(without_space(number), "-+", "-")
-    return F.regexp_replace(F.regexp_replace(dashed, "^-|-$", ""), "(?:代表|代)$", "")
+    dashed = F.btrim(F.regexp_replace(without_space(number), "--+", "-"), F.lit("-"))
+    return F.regexp_replace(dashed, "(?:代表|代)$", "")
 
 
 def export_number(phone: Column, fallback: Column | None = None, nfkc: bool = True) -> Column:
@@ -45,13 +46,16 @@ def publish_number(phone: Column, nfkc: bool = True) -> Column:
 def number_candidates(values: Column, fallback: Column) -> Column:
     """Distinct numbers of an array of texts that are normalised already, or else the one in the fallback.
 
-    Each step's array is bound to a variable before the next uses it, so nothing is computed twice for an element."""
-    parts = F.flatten(F.transform(F.filter(values, lambda v: v != ""), lambda v: F.split(F.regexp_replace(v, r"^[{}]+|[{}]+$", ""), "[、,，/|]+")))
+    Each step's array is bound to a variable before the next uses it, so nothing is computed twice for an element. Separators
+    are made one before the split, as a split by a single character takes no expression; empty parts fall away later. Where all are plain already, none of that is done."""
+    parts = F.flatten(F.transform(F.filter(values, lambda v: v != ""), lambda v: F.split(F.translate(F.btrim(v, F.lit("{}")), "、，/|", ",,,,"), ",")))
     hits = F.transform(parts, lambda p: F.coalesce(F.nullif(first_number(p), F.lit("")), p))
     tidy = F.transform(hits, lambda p: _tidy(F.translate(strip(p), "()（）", "----")))
-    found = F.array_distinct(F.filter(F.transform(tidy, with_area_code), lambda x: x != ""))
-    other = F.transform(F.array(export_number(F.lit(""), fallback, nfkc=False)), lambda x: F.when(x != "", F.array(x)).otherwise(F.array().cast("array<string>")))
-    return F.transform(F.array(found), lambda f: F.when(F.size(f) > 0, f).otherwise(other[0]))[0]
+    ready = F.when(F.forall(values, lambda v: v.rlike(PLAIN)), values).otherwise(tidy)
+    found = F.array_distinct(F.filter(F.transform(ready, with_area_code), lambda x: x != ""))
+    spoken = F.array(_tidy(F.translate(first_number(normalized(fallback, nfkc=False)), "()（）", "----")))
+    other = F.filter(F.transform(spoken, with_area_code), lambda x: x != "")
+    return F.transform(F.array(found), lambda f: F.when(F.size(f) > 0, f).otherwise(other))[0]
 
 
 def only_numbers(text: Column, numbers: Column) -> Column:
